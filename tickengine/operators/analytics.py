@@ -96,6 +96,9 @@ def ticks_with_vwap(
     and their ticks stay where they are. Any other window holds under ``1/hot_limit``
     of the ticks. Whether there are such windows is looked up first, by a filter on
     the count that a stored VWAP table answers from its file statistics.
+
+    If both sides have ``date_partition``, it is a join key as well (for windows that
+    divide a day), so that a date filter on the ticks also prunes the windows.
     """
     if closed not in ("left", "both"):
         raise ValueError("closed must be 'left' or 'both'")
@@ -115,6 +118,9 @@ def ticks_with_vwap(
             .drop("_first")
         )
     keys = ["window_start", "ticker"]
+    dated = "date_partition" in ticks.columns and "date_partition" in vwap.columns
+    if dated and closed == "left" and times.seconds("1 day") % times.seconds(duration) == 0:
+        keys.append("date_partition")
     windows = vwap.select(*keys, value, count)
     shuffled = windows.drop(count)
     if hot_ticks is None or windows.filter(F.col(count) >= hot_ticks).isEmpty():
@@ -139,10 +145,13 @@ def vwap_deviation(
     """Ticks whose price lies more than ``threshold`` away from their window's VWAP.
 
     The sort takes all output columns after the deviation, and last a running number,
-    so that many equal deviations or copies of a tick do not end up in one range.
+    so that many equal deviations or copies of a tick do not end up in one range. A
+    sort reads its input twice, to sample and to shuffle; the rebalance before it keeps
+    that from running the join twice.
     """
     value = f"vwap_{times.label(duration)}"
-    slim = ticks.select("ticker", "event_time", "price")
+    date = [c for c in ("date_partition",) if c in ticks.columns]
+    slim = ticks.select("ticker", "event_time", "price", *date)
     joined = ticks_with_vwap(
         slim, vwap, duration, closed=closed, hot_ticks=hot_ticks, hot_limit=hot_limit
     )
@@ -157,7 +166,8 @@ def vwap_deviation(
     if not ordered:
         return alerts
     return (
-        alerts.withColumn("_row", F.monotonically_increasing_id())
+        alerts.hint("rebalance", "ticker", "event_time")
+        .withColumn("_row", F.monotonically_increasing_id())
         .orderBy(F.col("deviation_pct").desc(), "ticker", "event_time", "price", value, "_row")
         .drop("_row")
     )

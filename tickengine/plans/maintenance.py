@@ -32,42 +32,39 @@ TARGET_FILE_BYTES = 512 * 1024 * 1024
 RETENTION_HOURS = 168  # Fixed value: seven days.
 HISTORY_COLUMNS = ["version", "timestamp", "operation", "operationMetrics"]
 
-_DATE = r"date_partition=(\d{4}-\d{2}-\d{2})"
-_BATCH = r"/data/.*batch_id=(\d+)/"
-_VERSION = r"/rewrites/version=(\d+)/"
+_FOLDER = r"/data/date_partition=(\d{4}-\d{2}-\d{2})/batch_id=(-?\d+)/"
 
 
-def table_files(spark: SparkSession, root: str) -> DataFrame:
+def table_files(spark: SparkSession, root: str, date: dt.date | None = None) -> DataFrame:
     """Data files of a table with what their path tells, and whether readers use them.
 
-    A file is live unless the newest rewrite of its date replaces its batch, or it
-    belongs to another rewrite. ``replaced_at`` is when that rewrite was published.
+    With a date only its folder is listed. Of a rewritten date, the newest rewrite and the batches after it are live; of any
+    other date, all appended batches. ``replaced_at`` is when that rewrite was published.
     """
 
-    def part(pattern: str, to: str):
-        return F.nullif(F.regexp_extract("path", pattern, 1), F.lit("")).cast(to)
+    def part(group: int, to: str):
+        return F.nullif(F.regexp_extract("path", _FOLDER, group), F.lit("")).cast(to)
 
-    found = list_files(spark, root).filter(F.col("path").rlike("/(data|rewrites)/")).select(
+    folder = f"{root}/data" if date is None else f"{root}/data/date_partition={date}"
+    found = list_files(spark, folder).select(
         "path",
         "modificationTime",
         "length",
-        part(_DATE, "date").alias("date_partition"),
-        part(_BATCH, "long").alias("batch_id"),
-        part(_VERSION, "long").alias("file_version"),
+        part(1, "date").alias("date_partition"),
+        part(2, "long").alias("batch_id"),
     )
     # One row per rewritten date, hence small whatever the size of the table.
     newest = published_rewrites(spark, root).select(
         "date_partition",
-        F.col("version").alias("live_version"),
+        "rewrite_batch",
         "through_batch",
         F.col("timestamp").alias("replaced_at"),
     )
-    placed = found.join(F.broadcast(newest), "date_partition", "left")
-    unread = F.when(
-        F.col("file_version").isNotNull(),
-        ~F.col("file_version").eqNullSafe(F.col("live_version")),
-    ).otherwise(F.coalesce(F.col("batch_id") <= F.col("through_batch"), F.lit(False)))
-    return placed.withColumn("is_live", ~unread)
+    after = F.col("batch_id") > F.coalesce("through_batch", F.lit(-1))
+    rewritten = F.coalesce(F.col("batch_id") == F.col("rewrite_batch"), F.lit(False))
+    return found.join(F.broadcast(newest), "date_partition", "left").withColumn(
+        "is_live", after | rewritten
+    )
 
 
 def _rewrite(
@@ -83,14 +80,15 @@ def _rewrite(
 ) -> int:
     """Write the live rows of a date anew and publish the folder."""
     date = dt.date.fromisoformat(date) if isinstance(date, str) else date
-    day = F.col("date_partition") == F.lit(date)
     before = (
-        table_files(spark, root)
-        .filter(day & F.col("is_live"))
+        table_files(spark, root, date)
+        .filter("is_live")
         .agg(
             F.count(F.lit(1)).alias("files"),
             F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
-            F.max(F.coalesce("batch_id", "through_batch")).alias("through"),
+            F.max(
+                F.when(F.col("batch_id") < 0, F.col("through_batch")).otherwise(F.col("batch_id"))
+            ).alias("through"),
         )
         .first()
     )
@@ -107,7 +105,10 @@ def _rewrite(
         session.conf.set("spark.sql.files.openCostInBytes", "0")
         session.conf.set("spark.sql.files.minPartitionNum", "1")
 
-    rows = read_table(session, root, date=date, with_batch=True)
+    # A batch that arrived after the listing stays as it is.
+    rows = read_table(session, root, date=date, with_batch=True).filter(
+        F.col("batch_id") <= before["through"]
+    )
     columns = [c for c in rows.columns if c != "batch_id"]
     if keys:
         rows = latest_rows(rows, ["date_partition", *keys])
@@ -115,16 +116,17 @@ def _rewrite(
     files = max(1, math.ceil(before["bytes"] / target_bytes))
     written = Observation()
     version = next_version(spark, root)
-    folder = f"rewrites/version={version}/date_partition={date}"
+    rewrite_batch = -1 - version
+    folder = f"{root}/data/date_partition={date}/batch_id={rewrite_batch}"
     (
         arrange(rows, files)
         .observe(written, F.count(F.lit(1)).alias("rows"))
         .drop("date_partition")
         .write.mode("overwrite")
-        .parquet(f"{root}/{folder}")
+        .parquet(folder)
     )
     after = (
-        list_files(spark, f"{root}/{folder}")
+        list_files(spark, folder)
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
         .first()
     )
@@ -136,7 +138,7 @@ def _rewrite(
         "numOutputRows": written.get["rows"],
     }
     append_history(
-        spark, root, operation, metrics, date=date, directory=folder,
+        spark, root, operation, metrics, date=date, rewrite_batch=rewrite_batch,
         through_batch=before["through"], version=version,
     )
     return version

@@ -113,11 +113,12 @@ def movers_sql(where: str, limit: str) -> str:
 def deviation_sql(width: str, suffix: str, upper: str, having: str = "TRUE") -> str:
     return f"""
         SELECT r.ticker, r.event_time, r.price, v.vwap_{suffix},
-               ROUND(ABS(r.price - v.vwap_{suffix}) / v.vwap_{suffix} * 100, 2) AS deviation_pct
+               ROUND(ABS(r.price - v.vwap_{suffix}) / NULLIF(v.vwap_{suffix}, 0) * 100, 2)
+                   AS deviation_pct
         FROM {TICKS} r JOIN ({vwap_sql(width, suffix)}) v
           ON r.ticker = v.ticker AND r.event_time >= v.window_start
              AND r.event_time {upper} v.window_end
-        WHERE ABS(r.price - v.vwap_{suffix}) / v.vwap_{suffix} > 0.01 AND {having}"""
+        WHERE ABS(r.price - v.vwap_{suffix}) / NULLIF(v.vwap_{suffix}, 0) > 0.01 AND {having}"""
 
 
 LINEITEM_TICKS = (
@@ -272,9 +273,7 @@ def vwap_deviation_hot(spark, sf):
 def window_join_lineitem(spark, sf):
     """The tick-to-window join on a larger table, checked by its totals."""
     source = ticks_from_lineitem(table(spark, sf, "lineitem"))
-    root = new_dir(spark, "vwap")
-    tables.write_batch(windows.with_date(windows.vwap(source, "1 day", decimals=2)), root)
-    made = tables.read_table(spark, root)
+    made = windows.vwap(source, "1 day", decimals=2)
     matched = (
         analytics.ticks_with_vwap(source, made, "1 day")
         .groupBy("ticker", "window_start")

@@ -2,14 +2,14 @@
 
 A table is a folder::
 
-    <root>/data/date_partition=D/batch_id=B/     rows appended by batch B
-    <root>/rewrites/version=V/date_partition=D/  rows of D after maintenance
-    <root>/history/                              one row per maintenance operation
+    <root>/data/date_partition=D/batch_id=B/   B >= 0: rows appended by batch B
+    <root>/data/date_partition=D/batch_id=-N/  N >= 1: rows of D after a rewrite
+    <root>/history/                            one row per maintenance operation
 
 Writing a batch again replaces only that batch's folders, so replays are harmless.
 Maintenance never touches a file somebody may be reading: it writes a new folder and
 then adds a history row that names it, together with the last batch it replaces.
-Readers take the newest folder of a date plus the batches after it.
+Readers take the newest rewrite of a date plus the batches after it.
 """
 
 from __future__ import annotations
@@ -81,14 +81,19 @@ def dump_jsonl(
 # --- history and published rewrites -------------------------------------------------
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """All maintenance operations on a table; empty if there were none."""
+def _history_files(spark: SparkSession, root: str) -> DataFrame | None:
     try:
         return spark.read.schema(HISTORY_SCHEMA).parquet(f"{root}/history")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], HISTORY_SCHEMA)
+        return None
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """All maintenance operations on a table; empty if there were none."""
+    found = _history_files(spark, root)
+    return spark.createDataFrame([], HISTORY_SCHEMA) if found is None else found
 
 
 def append_history(
@@ -98,7 +103,7 @@ def append_history(
     metrics: dict,
     *,
     date=None,
-    directory: str | None = None,
+    rewrite_batch: int | None = None,
     through_batch: int | None = None,
     version: int | None = None,
 ) -> int:
@@ -106,7 +111,7 @@ def append_history(
     if version is None:
         version = next_version(spark, root)
     told = {k: str(v) for k, v in metrics.items()}
-    row = (version, None, operation, told, date, directory, through_batch)
+    row = (version, None, operation, told, date, rewrite_batch, through_batch)
     (
         spark.createDataFrame([row], HISTORY_SCHEMA)
         .withColumn("timestamp", F.current_timestamp())
@@ -127,22 +132,22 @@ def published_rewrites(spark: SparkSession, root: str) -> DataFrame:
     newest_first = Window.partitionBy("date_partition").orderBy(F.col("version").desc())
     return (
         read_history(spark, root)
-        .filter(F.col("directory").isNotNull())
+        .filter(F.col("rewrite_batch").isNotNull())
         .withColumn("_rank", F.row_number().over(newest_first))
         .filter(F.col("_rank") == 1)
         .drop("_rank")
     )
 
 
-def covered_batch(published: list) -> Column:
-    """Last batch a rewrite replaces, looked up by the partition date (else -1)."""
-    if not published:
-        return F.lit(-1).cast("long")
-    pairs = [F.lit(v) for r in published for v in (r["date_partition"], r["through_batch"])]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("date_partition")), F.lit(-1))
+# --- reading -----------------------------------------------------------------------
 
 
-# --- reading -----------------------------------------------------------------------
+def _by_date(rewrites: list, field: str) -> Column:
+    """A field of the newest rewrite of a row's date, as a lookup in a literal map."""
+    if not rewrites:
+        return F.lit(None).cast("long")
+    pairs = [F.lit(v) for r in rewrites for v in (r["date_partition"], r[field])]
+    return F.try_element_at(F.create_map(*pairs), F.col("date_partition")).cast("long")
 
 
 def read_table(
@@ -156,41 +161,29 @@ def read_table(
 ) -> DataFrame:
     """The live rows of a table.
 
-    What a rewrite replaces is told by a predicate on partition columns alone, so
-    replaced folders are pruned before the scan. The driver holds one row per
-    rewritten date.
+    Which folders are live is told by a predicate on partition columns alone, so the
+    others are pruned before the scan. The driver holds one row per rewritten date.
+    ``with_batch`` keeps ``batch_id``; rewritten rows carry the last batch they cover.
+    With a ``date`` only its folder is listed.
     """
-    rewrites = published_rewrites(spark, root)
-    if date is not None:
-        rewrites = rewrites.filter(F.col("date_partition") == F.lit(date).cast("date"))
-    published = rewrites.select("date_partition", "directory", "through_batch").collect()
-    covered = covered_batch(published)
-
-    def load(*paths: str, base: str) -> DataFrame:
-        reader = spark.read.format(fmt).option("basePath", base)
-        if merge_schema:
-            reader = reader.option("mergeSchema", "true")
-        return reader.load(list(paths))
-
-    parts = []
-    try:
-        appended = load(f"{root}/data", base=f"{root}/data")
-        parts.append(appended.filter(F.col("batch_id") > covered))
-    except AnalysisException as error:
-        # After vacuum of a fully rewritten table no appended file is left.
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        if not published:
-            raise
-    if published:
-        folders = [f"{root}/{r['directory']}" for r in published]
-        rewritten = load(*folders, base=f"{root}/rewrites").drop("version")
-        parts.append(rewritten.withColumn("batch_id", covered.cast("long")))
-    live = parts[0]
-    for part in parts[1:]:
-        live = live.unionByName(part, allowMissingColumns=True)
-    if date is not None:
-        live = live.filter(F.col("date_partition") == F.lit(date).cast("date"))
+    reader = spark.read.format(fmt).option("basePath", f"{root}/data")
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    stored = reader.load(f"{root}/data" if date is None else f"{root}/data/date_partition={date}")
+    batch = F.col("batch_id")
+    if _history_files(spark, root) is None:
+        live = stored.filter(batch >= 0)
+    else:
+        rewrites = published_rewrites(spark, root)
+        if date is not None:
+            rewrites = rewrites.filter(F.col("date_partition") == F.lit(date).cast("date"))
+        rewrites = rewrites.select("date_partition", "rewrite_batch", "through_batch").collect()
+        covered = _by_date(rewrites, "through_batch")
+        live = stored.filter(
+            (batch > F.coalesce(covered, F.lit(-1))) | (batch == _by_date(rewrites, "rewrite_batch"))
+        )
+        if with_batch:
+            live = live.withColumn("batch_id", F.when(batch < 0, covered).otherwise(batch))
     return live if with_batch else live.drop("batch_id")
 
 
