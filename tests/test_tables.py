@@ -1,0 +1,152 @@
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickengine.operators import windows
+from tickengine.schemas import RAW_SCHEMA, vwap_schema
+from tickengine.session import new_dir
+from tickengine.sources import messages, tables
+from tickengine.sources.ticks import read_named, read_path
+
+TICKS = [("A", 1.0, 1, "10:00:00"), ("B", 2.0, 2, "10:00:30"), ("A", 3.0, 3, "10:01:00")]
+
+
+@pytest.fixture
+def dated(ticks_of):
+    def make(rows=TICKS, day="2024-06-03"):
+        return ticks_of(rows, day).withColumn("date_partition", F.to_date("event_time"))
+
+    return make
+
+
+def test_writing_a_batch_again_replaces_it(spark, dated):
+    root = new_dir(spark, "t")
+    tables.write_batch(dated(), root, 0)
+    tables.write_batch(dated(), root, 1)
+    tables.write_batch(dated(), root, 1)
+    assert tables.read_table(spark, root).count() == 6
+    assert tables.read_table(spark, root, with_batch=True).filter("batch_id = 1").count() == 3
+
+
+def test_reading_one_date(spark, dated):
+    root = new_dir(spark, "t")
+    tables.write_batch(dated().unionByName(dated(day="2024-06-04")), root)
+    one = tables.read_table(spark, root, date="2024-06-04")
+    assert one.count() == 3
+    assert one.select("date_partition").distinct().first()[0] == dt.date(2024, 6, 4)
+    assert "batch_id" not in one.columns
+
+
+def test_unfinished_rewrite_is_not_read(spark, dated):
+    """A rewrite that crashed before its history row leaves a folder nobody reads."""
+    root = new_dir(spark, "t")
+    tables.write_batch(dated(), root)
+    dated().drop("date_partition").write.parquet(f"{root}/data/date_partition=2024-06-03/batch_id=-1")
+    assert tables.read_table(spark, root).count() == 3
+
+
+def test_new_column_in_later_files(spark, dated):
+    root = new_dir(spark, "t")
+    tables.write_batch(dated(), root, 0)
+    wider = dated().withColumn("currency", F.lit("USD"))
+    tables.write_batch(wider, root, 1)
+    merged = tables.read_table(spark, root, merge_schema=True)
+    assert merged.count() == 6
+    assert merged.filter(F.col("currency").isNull()).count() == 3
+
+
+def test_align_schema(spark, dated):
+    ready = tables.align_schema(dated().withColumn("extra", F.lit(1)), RAW_SCHEMA)
+    assert ready.columns == [*RAW_SCHEMA.fieldNames(), "extra"]
+    assert ready.schema["market_cap"].dataType == RAW_SCHEMA["market_cap"].dataType
+    assert ready.filter("market_cap is null").count() == 3
+
+
+def test_upserted_rows_newest_wins(spark, dated):
+    root = new_dir(spark, "v")
+    first = windows.with_date(windows.vwap(dated(TICKS[:1])))
+    later = windows.with_date(windows.vwap(dated(TICKS[:1] + [("A", 9.0, 1, "10:00:59")])))
+    for batch_id, batch in ((0, first), (1, later), (2, windows.with_date(windows.vwap(dated(TICKS[1:2]))))):
+        tables.write_batch(batch, root, batch_id)
+    rows = {r["ticker"]: (r["vwap_1m"], r["tick_count_1m"]) for r in tables.read_upserted(spark, root).collect()}
+    assert rows == {"A": (5.0, 2), "B": (2.0, 1)}
+
+
+def test_upsert_can_make_a_value_null(spark, dated):
+    root = new_dir(spark, "v")
+    for batch_id, volume in ((0, 1), (1, 0)):
+        tables.write_batch(
+            windows.with_date(windows.vwap(dated([("A", 1.0, volume, "10:00:00")]))), root, batch_id
+        )
+    assert tables.read_upserted(spark, root).first()["vwap_1m"] is None
+
+
+def test_merging_versions_is_hash_based(spark, dated):
+    root = new_dir(spark, "v")
+    tables.write_batch(windows.with_date(windows.vwap(dated())), root)
+    text = tables.read_upserted(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and text.count("Exchange") == 1
+
+
+def test_jsonl_dump(spark, tmp_path):
+    path = str(tmp_path / "dump")
+    ticks = spark.createDataFrame(
+        [("A", 1.0, "2024-06-01T10:00:00"), ("A", 2.0, "2024-06-02T10:00:00"), ("B", 3.0, None)],
+        "ticker string, price double, timestamp string",
+    )
+    tables.dump_jsonl(ticks, path)
+    tables.dump_jsonl(ticks, path)
+    folders = {os.path.relpath(d, path) for d, _, files in os.walk(path) if any(f.endswith(".json") for f in files)}
+    today = spark.sql("SELECT CAST(current_date() AS STRING)").first()[0]
+    assert folders == {"_date=2024-06-01/_ticker=A", "_date=2024-06-02/_ticker=A", f"_date={today}/_ticker=B"}
+    folder = os.path.join(path, "_date=2024-06-01/_ticker=A")
+    lines = [
+        json.loads(line)
+        for f in os.listdir(folder) if f.endswith(".json")
+        for line in open(os.path.join(folder, f))
+    ]
+    assert lines == [{"ticker": "A", "price": 1.0, "timestamp": "2024-06-01T10:00:00"}] * 2
+
+
+def test_publish_with_another_format(spark, dated, tmp_path):
+    messages.publish(dated(), "parquet", path=str(tmp_path / "topic"))
+    sent = spark.read.parquet(str(tmp_path / "topic"))
+    assert sent.columns == ["key", "value"] and sent.count() == 3
+
+
+def test_raw_table_ddl(spark, dated, tmp_path):
+    tables.create_raw(spark, "raw_ddl", str(tmp_path / "raw"), properties={"purpose": "test"})
+    tables.create_raw(spark, "raw_ddl", str(tmp_path / "raw"))
+    tables.insert_into(dated(), "raw_ddl")
+    tables.insert_into(dated(), "raw_ddl")
+    stored = read_named(spark, "raw_ddl")
+    assert stored.count() == 6 and stored.columns == RAW_SCHEMA.fieldNames()
+    tables.insert_into(dated(day="2024-06-04"), "raw_ddl", overwrite_dates=True)
+    tables.insert_into(dated(), "raw_ddl", overwrite_dates=True)
+    # each date was replaced on its own, the other one stayed
+    assert read_named(spark, "raw_ddl").count() == 6
+    assert read_named(spark, "raw_ddl").select("date_partition").distinct().count() == 2
+    told = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE raw_ddl").collect()}
+    assert told["ticker"] == tables.RAW_COMMENTS["ticker"]
+    spark.sql("DROP TABLE raw_ddl")
+    assert read_path(spark, str(tmp_path / "raw")).count() == 6
+
+
+def test_vwap_table_ddl(spark, dated, tmp_path):
+    tables.create_vwap(spark, "vwap_ddl", str(tmp_path / "v"), suffix="5m")
+    tables.insert_into(windows.with_date(windows.vwap(dated(), "5 minutes")), "vwap_ddl")
+    stored = read_named(spark, "vwap_ddl")
+    assert stored.count() == 2 and stored.columns == vwap_schema("5m").fieldNames()
+    spark.sql("DROP TABLE vwap_ddl")
+
+
+def test_sql_over_views(spark, dated):
+    tables.register_views(spark, v_ticks=dated(), v_vwap=windows.vwap(dated()))
+    rows = spark.sql(
+        """SELECT r.ticker, r.price, v.vwap_1m FROM v_ticks r JOIN v_vwap v
+           ON r.ticker = v.ticker AND r.event_time BETWEEN v.window_start AND v.window_end"""
+    )
+    assert rows.count() == 4  # the tick at 10:01:00 lies in two closed intervals

@@ -41,7 +41,9 @@ def with_z_value(
     """Add the Morton order of ``columns``, each cut into ``2**bits`` quantile buckets.
 
     The quantiles come from Spark's own distributed sketch; only ``2**bits``
-    boundaries per column reach the driver.
+    boundaries per column reach the driver. A column with few distinct values has
+    fewer buckets; their numbers are spread over the whole range, so that its bits
+    weigh as much as those of the other columns.
     """
     from pyspark.ml.feature import QuantileDiscretizer
 
@@ -57,6 +59,11 @@ def with_z_value(
         relativeError=1.0 / 2 ** (bits + 1),
         handleInvalid="keep",
     )
-    bucketed = discretizer.fit(staged).transform(staged)
-    z = interleave([F.col(b) for b in buckets], bits)
+    model = discretizer.fit(staged)
+    bucketed = model.transform(staged)
+    top = 2**bits - 1
+    # One more than the last regular bucket is the one for NULL.
+    last = [len(splits) - 1 for splits in model.getSplitsArray()]
+    spread = [F.floor(F.col(b) * F.lit(top / n)) for b, n in zip(buckets, last)]
+    z = interleave(spread, bits)
     return bucketed.withColumn(name, z).drop(*numbers, *buckets)

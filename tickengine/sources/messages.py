@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tickengine.functions import times
-from tickengine.schemas import TICK_SCHEMA
+from tickengine.schemas import CONTRACT, TICK_SCHEMA
 
 
 def to_messages(ticks: DataFrame) -> DataFrame:
     """Binary ``key`` and ``value`` columns, as a bus sink expects them.
 
-    A tick without the time text gets it from ``event_time``. NULL fields are written,
-    so every message has all keys.
+    A tick without the time text gets it from ``event_time``, and a field the contract
+    allows to be absent is NULL. NULL fields are written, so every message has all keys.
     """
     if "timestamp" not in ticks.columns:
         ticks = ticks.withColumn("timestamp", times.to_iso("event_time"))
+    optional = [f for f in CONTRACT if f.nullable and f.name not in ticks.columns]
+    ticks = ticks.withColumns({f.name: F.lit(None).cast(f.dataType) for f in optional})
     body = F.to_json(F.struct(*TICK_SCHEMA.fieldNames()), {"ignoreNullFields": "false"})
     return ticks.select(
         F.encode("ticker", "UTF-8").alias("key"), F.encode(body, "UTF-8").alias("value")

@@ -284,11 +284,21 @@ def create_vwap(
 
 
 def insert_into(df: DataFrame, name: str, *, overwrite_dates: bool = False) -> None:
-    """Write into a catalog table by column name, appending or replacing dates."""
-    table = df.sparkSession.table(name)
+    """Write into a catalog table by column name, appending or replacing dates.
+
+    ``insertInto`` takes the overwrite mode from the session only; without it, replacing
+    some dates would remove all others.
+    """
+    spark = df.sparkSession
+    table = spark.table(name)
     ready = align_schema(df, table.schema).select(*table.columns).hint("rebalance", "date_partition")
-    writer = ready.write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(name, overwrite=overwrite_dates)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        ready.write.insertInto(name, overwrite=overwrite_dates)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def register_views(spark: SparkSession, **tables: DataFrame) -> None:
