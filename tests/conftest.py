@@ -1,3 +1,7 @@
+import sys, pathlib
+
+sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
+
 import datetime as dt
 
 import pytest

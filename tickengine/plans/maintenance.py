@@ -67,6 +67,12 @@ def table_files(spark: SparkSession, root: str, date: dt.date | None = None) ->
     )
 
 
+def next_batch(spark: SparkSession, root: str) -> int:
+    """The first batch number a table has not used yet."""
+    last = table_files(spark, root).agg(F.max(F.greatest("batch_id", "through_batch"))).first()[0]
+    return 0 if last is None else last + 1
+
+
 def _rewrite(
     spark: SparkSession,
     root: str,

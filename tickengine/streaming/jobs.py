@@ -30,13 +30,14 @@ def run_streams(
     decimals: int | None = None,
     every: str | None = "30 seconds",
     upsert: bool = False,
+    first_batch: int = 0,
 ) -> list[StreamingQuery]:
     """Start the raw query and one VWAP query per window length.
 
     Tables are ``<tables>/raw``, ``<tables>/vwap_1m`` and so on; each query has its own
     checkpoint. Rows that break the contract go to ``<tables>/quarantine``, under the
     date of their arrival, and into no other table. ``upsert`` publishes open windows
-    too.
+    too. ``first_batch`` as in ``append_stream``.
     """
     parsed = parse_events(messages, keep_raw=True)
 
@@ -44,6 +45,7 @@ def run_streams(
         return f"{tables}/{name}", f"{checkpoints}/{name}"
 
     def write_parsed(batch: DataFrame, batch_id: int) -> None:
+        batch_id += first_batch
         batch = batch.persist()  # parsed once for both writes
         try:
             valid, rejected = split_valid(batch)
@@ -61,14 +63,15 @@ def run_streams(
         windows = with_date(
             vwap(ticks, duration, watermark=watermark, high_low=high_low, decimals=decimals)
         )
-        queries.append(start(windows, *places(name), every=every, name=name))
+        queries.append(
+            start(windows, *places(name), every=every, name=name, first_batch=first_batch)
+        )
     return queries
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
     """Wait until all queries have ended; if one fails, stop the rest and raise."""
-    spark = queries[0].sparkSession if hasattr(queries[0], "sparkSession") else None
-    spark = spark or SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
     running = list(queries)
     while running:
         try:
@@ -86,7 +89,12 @@ def await_all(queries: list[StreamingQuery]) -> None:
 
 
 def backfill(
-    spark: SparkSession, location: str, path: str, checkpoint: str, fmt: str = "text", **options: str
+    spark: SparkSession,
+    location: str,
+    path: str,
+    checkpoint: str,
+    fmt: str = "text",
+    **options: str,
 ) -> StreamingQuery:
     """Dump a source from its beginning as JSON lines, resuming where it last ended."""
     ticks = parse_events(read_backlog(spark, location, fmt, **options))
@@ -109,12 +117,14 @@ def deviation_alerts(
     which lets the watermark clear that state; the event time beside it is a plain
     column, because a stream may have one watermarked column only. A hot ticker would put all its waiting
     ticks into one task, so ticks are spread over ``salts`` parts of each window and
-    the few VWAP rows are repeated for each part.
+    the few VWAP rows are repeated for each part. The part depends on the tick and its
+    input partition: copies are spread too, and a repeated task decides the same way.
     """
     suffix = times.label(duration)
     value = f"vwap_{suffix}"
     timed = ticks.withWatermark("event_time", watermark)
-    salt = F.pmod(F.xxhash64("event_time", "price", "volume"), F.lit(salts)).cast("int")
+    place = F.xxhash64("event_time", "price", "volume", F.spark_partition_id())
+    salt = F.pmod(place, F.lit(salts)).cast("int")
     waiting = timed.select(
         F.window("event_time", duration).alias("window"),
         "ticker",

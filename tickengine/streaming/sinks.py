@@ -38,15 +38,18 @@ def append_stream(
     every: str | None = "30 seconds",
     name: str | None = None,
     rebalance: bool = True,
+    first_batch: int = 0,
 ) -> StreamingQuery:
     """Append each micro-batch to a table; a replayed batch replaces itself.
 
     Batch writes instead of the file sink: the sink's own metadata log would break
-    readers once maintenance rewrites files.
+    readers once maintenance rewrites files. A new checkpoint counts from 0 again; for
+    a table that has batches already pass ``first_batch=next_batch(spark, root)``, and
+    the same number whenever that checkpoint is used again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, root, batch_id, rebalance=rebalance)
+        write_batch(batch, root, first_batch + batch_id, rebalance=rebalance)
 
     return each_batch(df, write, checkpoint, every=every, name=name)
 
@@ -58,15 +61,17 @@ def upsert_stream(
     *,
     every: str | None = "30 seconds",
     name: str | None = None,
+    first_batch: int = 0,
 ) -> StreamingQuery:
     """Write the windows each micro-batch changed; ``read_upserted`` merges by key.
 
     Update mode makes windows visible before they close. A batch costs what it
     changed, not the size of the dates it touches; compaction folds versions later.
+    ``first_batch`` as in ``append_stream``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, root, batch_id)
+        write_batch(batch, root, first_batch + batch_id)
 
     return each_batch(df, write, checkpoint, mode="update", every=every, name=name)
 
@@ -79,7 +84,12 @@ def dump_stream(
 
 
 def publish_stream(
-    messages: DataFrame, checkpoint: str, fmt: str = "kafka", *, every: str | None = "30 seconds", **options: str
+    messages: DataFrame,
+    checkpoint: str,
+    fmt: str = "kafka",
+    *,
+    every: str | None = "30 seconds",
+    **options: str,
 ) -> StreamingQuery:
     """Send a stream of messages (``to_messages``) to a sink format."""
     return (
