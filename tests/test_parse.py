@@ -90,8 +90,10 @@ def test_message_roundtrip(messages_of, parsed):
 
 
 def test_body_is_parsed_once(parsed):
-    plan = parsed._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 1
+    valid, rejected = parse.split_valid(parsed)
+    for df in (parsed, valid, rejected, parsed.filter("price > 1").select("ticker")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") == 1
 
 
 def test_raw_columns_drop_the_time_text(parsed):

@@ -19,12 +19,16 @@ def parse_payload(
 
     Unreadable JSON gives a row of NULLs, a field of the wrong type gives one NULL,
     unknown keys are dropped. ``keep_raw`` keeps the text as ``raw_value``.
+
+    The struct is unfolded by ``inline`` rather than by ``select("data.*")``: filters on
+    its fields are not pushed through a generator, whereas below a projection each of
+    them would parse the message again.
     """
     text = F.col(value).cast("string")
-    decoded = messages.select(
-        F.from_json(text, schema).alias("_tick"), *([text.alias("raw_value")] if keep_raw else [])
-    )
-    return decoded.select("_tick.*", *(["raw_value"] if keep_raw else []))
+    fields = F.inline(F.array(F.from_json(text, schema)))
+    if not keep_raw:
+        return messages.select(fields)
+    return messages.select(fields, text.alias("raw_value"))
 
 
 def enrich(ticks: DataFrame) -> DataFrame:

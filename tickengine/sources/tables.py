@@ -231,6 +231,15 @@ RAW_COMMENTS = {
 }
 
 
+# Table properties where the format is ``delta``.
+RAW_DELTA = {
+    "delta.autoOptimize.optimizeWrite": "true",
+    "delta.autoOptimize.autoCompact": "true",
+    "delta.dataSkippingNumIndexedCols": "4",
+}
+VWAP_DELTA = {"delta.autoOptimize.optimizeWrite": "true"}
+
+
 def _create(
     spark: SparkSession,
     name: str,
@@ -262,7 +271,9 @@ def create_raw(
     properties: dict[str, str] | None = None,
 ) -> None:
     """The raw tick table in the catalog, partitioned by date."""
-    _create(spark, name, RAW_SCHEMA, location, fmt, RAW_COMMENTS, properties or {})
+    if properties is None:
+        properties = RAW_DELTA if fmt == "delta" else {}
+    _create(spark, name, RAW_SCHEMA, location, fmt, RAW_COMMENTS, properties)
 
 
 def create_vwap(
@@ -280,7 +291,9 @@ def create_vwap(
         "window_end": f"{suffix} window end",
         f"vwap_{suffix}": "Volume-Weighted Average Price",
     }
-    _create(spark, name, vwap_schema(suffix), location, fmt, comments, properties or {})
+    if properties is None:
+        properties = VWAP_DELTA if fmt == "delta" else {}
+    _create(spark, name, vwap_schema(suffix), location, fmt, comments, properties)
 
 
 def insert_into(df: DataFrame, name: str, *, overwrite_dates: bool = False) -> None:
