@@ -128,6 +128,34 @@ def test_compacting_an_upserted_table(spark, batch):
     assert bag(newest.drop("date_partition")) == bag(windows.vwap(batch(2)))
 
 
+def test_settled_dates_are_not_merged_again(spark, batch):
+    root = new_dir(spark, "m")
+    keys = ["window_start", "ticker"]
+    both = lambda n: windows.with_date(windows.vwap(batch(n).unionByName(batch(n, OTHER))))
+    for number in (0, 1):
+        tables.write_batch(both(number), root, number)
+    expected = bag(tables.read_upserted(spark, root))
+
+    def exchanges(date=None):
+        assert date or bag(tables.read_upserted(spark, root)) == expected
+        found = tables.read_upserted(spark, root, date=date)
+        return found._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    assert exchanges() == 1
+    maintenance.compact(spark, root, DAY, keys=keys)
+    assert exchanges() == 1 and exchanges(DAY) == 0 and exchanges(OTHER) == 1
+    tables.write_batch(both(1), root, 2)  # the compacted date is open again
+    assert exchanges(DAY) == 1 and exchanges() == 1
+
+
+def test_keyed_table_rewritten_without_keys_is_refused(spark, batch):
+    root = new_dir(spark, "m")
+    tables.write_batch(windows.with_date(windows.vwap(batch(0))), root)
+    maintenance.compact(spark, root, DAY)
+    with pytest.raises(ValueError, match="without the keys"):
+        tables.read_upserted(spark, root)
+
+
 def test_vacuum_lists_only_what_nobody_reads(spark, root):
     assert maintenance.vacuum_candidates(spark, root, as_of=FAR).count() == 0
     maintenance.compact(spark, root, DAY)

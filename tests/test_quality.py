@@ -23,6 +23,21 @@ def test_days_count_in_the_age(ticks_of):
     assert (row["age_minutes"], row["is_stale"]) == (1445, True)
 
 
+def test_fresh_looks_at_recent_partitions_only(spark, ticks_of, tmp_path):
+    path = str(tmp_path / "t")
+    for day in ("2024-06-01", "2024-06-03"):
+        made = ticks_of([("A", 1.0, 1, "10:00:00")], day)
+        made.withColumn("date_partition", F.to_date("event_time")).write.mode("append").partitionBy(
+            "date_partition"
+        ).parquet(path)
+    stored = spark.read.parquet(path)
+    check = lambda at: quality.freshness(stored, at, time="event_time", days=1)
+    scan = check("2024-06-03 10:05:00")._jdf.queryExecution().executedPlan().toString()
+    assert ">= 2024-06-02" in scan.split("PartitionFilters")[1]
+    assert check("2024-06-03 10:05:00").first()["age_minutes"] == 5
+    assert check("2024-06-09 10:05:00").first()["is_stale"]
+
+
 def test_no_data_is_stale(ticks_of):
     empty = ticks_of([("A", 1.0, 1, "10:00:00")]).filter("false")
     assert quality.freshness(empty, time="event_time").first()["is_stale"]

@@ -15,13 +15,22 @@ class DataQualityError(RuntimeError):
 
 
 def freshness(
-    df: DataFrame, as_of=None, max_age_minutes: int = 10, *, time: str = "ingest_time"
+    df: DataFrame,
+    as_of=None,
+    max_age_minutes: int = 10,
+    *,
+    time: str = "ingest_time",
+    days: int | None = None,
 ) -> DataFrame:
     """One row: newest time, its age in whole minutes, and whether that is too old.
 
     No data at all counts as stale. For a file listing pass ``time="modificationTime"``.
+    ``days`` looks only at the partitions of that many days before ``as_of``, instead of
+    at the whole history of the table.
     """
     reference = times.moment(as_of, times.time_type(df, time))
+    if days is not None:
+        df = df.filter(F.col("date_partition") >= F.date_sub(F.to_date(reference), days))
     age = times.whole_minutes(F.col("newest"), reference)
     return df.agg(F.max(time).alias("newest")).select(
         "newest",
@@ -31,10 +40,15 @@ def freshness(
 
 
 def require_fresh(
-    df: DataFrame, as_of=None, max_age_minutes: int = 10, *, time: str = "ingest_time"
+    df: DataFrame,
+    as_of=None,
+    max_age_minutes: int = 10,
+    *,
+    time: str = "ingest_time",
+    days: int | None = None,
 ) -> int:
     """The age in minutes; raises when there is no data or it is too old."""
-    row = freshness(df, as_of, max_age_minutes, time=time).first()
+    row = freshness(df, as_of, max_age_minutes, time=time, days=days).first()
     if row["newest"] is None:
         raise DataQualityError("no data found")
     if row["is_stale"]:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tickengine.functions import times
 from tickengine.functions.clustering import with_z_value
 from tickengine.sources.tables import (
+    MERGE_KEYS,
     append_history,
     latest_rows,
     next_version,
@@ -143,6 +144,8 @@ def _rewrite(
         "numAddedBytes": after["bytes"],
         "numOutputRows": written.get["rows"],
     }
+    if keys:
+        metrics[MERGE_KEYS] = ",".join(keys)
     append_history(
         spark, root, operation, metrics, date=date, rewrite_batch=rewrite_batch,
         through_batch=before["through"], version=version,

@@ -20,6 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from tickengine.schemas import HISTORY_SCHEMA, RAW_SCHEMA, vwap_schema
 
 
+# Entry of a rewrite's metrics that names the keys its rows were merged by.
+MERGE_KEYS = "mergeKeys"
+
 # --- writing -----------------------------------------------------------------------
 
 
@@ -166,25 +169,37 @@ def read_table(
     ``with_batch`` keeps ``batch_id``; rewritten rows carry the last batch they cover.
     With a ``date`` only its folder is listed.
     """
+    rows, rewrites = _live_rows(spark, root, date, merge_schema, fmt)
+    if not with_batch:
+        return rows.drop("batch_id")
+    covered = _by_date(rewrites, "through_batch")
+    batch = F.col("batch_id")
+    return rows.withColumn("batch_id", F.when(batch < 0, covered).otherwise(batch))
+
+
+def _live_rows(
+    spark: SparkSession, root: str, date, merge_schema: bool, fmt: str
+) -> tuple[DataFrame, list]:
+    """Live rows with the batch number of their folder, and the newest rewrites."""
     reader = spark.read.format(fmt).option("basePath", f"{root}/data")
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
     stored = reader.load(f"{root}/data" if date is None else f"{root}/data/date_partition={date}")
-    batch = F.col("batch_id")
     if _history_files(spark, root) is None:
-        live = stored.filter(batch >= 0)
-    else:
-        rewrites = published_rewrites(spark, root)
-        if date is not None:
-            rewrites = rewrites.filter(F.col("date_partition") == F.lit(date).cast("date"))
-        rewrites = rewrites.select("date_partition", "rewrite_batch", "through_batch").collect()
-        covered = _by_date(rewrites, "through_batch")
-        live = stored.filter(
-            (batch > F.coalesce(covered, F.lit(-1))) | (batch == _by_date(rewrites, "rewrite_batch"))
-        )
-        if with_batch:
-            live = live.withColumn("batch_id", F.when(batch < 0, covered).otherwise(batch))
-    return live if with_batch else live.drop("batch_id")
+        return stored.filter(F.col("batch_id") >= 0), []
+    published = published_rewrites(spark, root)
+    if date is not None:
+        published = published.filter(F.col("date_partition") == F.lit(date).cast("date"))
+    rewrites = published.select(
+        "date_partition",
+        "rewrite_batch",
+        "through_batch",
+        F.try_element_at("operationMetrics", F.lit(MERGE_KEYS)).alias("merge_keys"),
+    ).collect()
+    live = (F.col("batch_id") > F.coalesce(_by_date(rewrites, "through_batch"), F.lit(-1))) | (
+        F.col("batch_id") == _by_date(rewrites, "rewrite_batch")
+    )
+    return stored.filter(live), rewrites
 
 
 def latest_rows(rows: DataFrame, keys: list[str], version: str = "batch_id") -> DataFrame:
@@ -208,12 +223,30 @@ def read_upserted(
     """A table written by keyed batches, with the newest row of each key.
 
     The date is part of the grouping, because all versions of a key share it; so a
-    filter on it still prunes partitions.
+    filter on it still prunes partitions. Dates that were compacted by these keys and
+    got no batch since are read as they are, without an aggregation.
     """
-    rows = read_table(spark, root, date=date, with_batch=True, fmt=fmt)
-    return latest_rows(rows, ["date_partition", *keys]).select(
-        *[c for c in rows.columns if c != "batch_id"]
-    )
+    rows, rewrites = _live_rows(spark, root, date, False, fmt)
+    told = ",".join(keys)
+    for rewrite in rewrites:
+        if rewrite["merge_keys"] != told:
+            raise ValueError(
+                f"{rewrite['date_partition']} of {root} was rewritten without the keys {told}"
+            )
+    columns = [c for c in rows.columns if c != "batch_id"]
+    day, batch = F.col("date_partition"), F.col("batch_id")
+    dates = [r["date_partition"] for r in rewrites]
+    later = rows.filter(day.isin(dates) & (batch >= 0)).select(day).distinct() if dates else None
+    # Bounded by the number of dates, like the rewrites themselves.
+    reopened = {r[0] for r in later.collect()} if dates else set()
+    settled = [d for d in dates if d not in reopened]
+    as_stored = rows.filter(day.isin(settled)).select(*columns)
+    if settled and date is not None:
+        return as_stored
+    # A rewrite has a negative number, hence loses against any batch after it.
+    versions = rows.filter(~day.isin(settled)) if settled else rows
+    merged = latest_rows(versions, ["date_partition", *keys]).select(*columns)
+    return as_stored.unionByName(merged) if settled else merged
 
 
 # --- DDL ---------------------------------------------------------------------------
