@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 
 import pytest
@@ -203,12 +204,24 @@ def test_history(spark, root):
 def test_a_failing_table_is_reported_and_does_not_stop_the_others(spark, root):
     roots = {"missing": new_dir(spark, "none"), "raw": root}
     result = maintenance.run_all(spark, roots, DAY, raise_on_error=False)
-    told = {r["table"]: (r["version"], r["error"] is None) for r in result.collect()}
-    assert told == {"missing": (None, False), "raw": (0, True)}
+    told = {r["table"]: (r["dates_rewritten"], r["error"] is None) for r in result.collect()}
+    assert told == {"missing": (0, False), "raw": (1, True)}
     with pytest.raises(maintenance.MaintenanceError, match="missing"):
         maintenance.run_all(spark, roots, DAY)
 
 
+def test_all_closed_dates_with_new_batches(spark, root, batch):
+    before = bag(tables.read_table(spark, root))
+    closed = dt.date(2024, 6, 4)
+    assert maintenance.dates_to_rewrite(spark, root, closed) == [dt.date(2024, 6, 3)]
+    row = maintenance.run_all(spark, {"raw": root}).first()
+    assert (row["dates_rewritten"], row["error"]) == (2, None)
+    assert bag(tables.read_table(spark, root)) == before
+    assert maintenance.dates_to_rewrite(spark, root) == []
+    tables.write_batch(batch(9, OTHER), root, 3)
+    assert maintenance.dates_to_rewrite(spark, root) == [dt.date(2024, 6, 4)]
+
+
 def test_replay(spark, root):
     expected = windows.with_date(windows.vwap(tables.read_table(spark, root, date=DAY)))
     maintenance.compact(spark, root, DAY)

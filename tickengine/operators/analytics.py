@@ -98,7 +98,8 @@ def ticks_with_vwap(
     the count that a stored VWAP table answers from its file statistics.
 
     If both sides have ``date_partition``, it is a join key as well (for windows that
-    divide a day), so that a date filter on the ticks also prunes the windows.
+    divide a day, in a UTC session), so that a date filter on the ticks also prunes the
+    windows.
     """
     if closed not in ("left", "both"):
         raise ValueError("closed must be 'left' or 'both'")
@@ -119,7 +120,9 @@ def ticks_with_vwap(
         )
     keys = ["window_start", "ticker"]
     dated = "date_partition" in ticks.columns and "date_partition" in vwap.columns
-    if dated and closed == "left" and times.seconds("1 day") % times.seconds(duration) == 0:
+    utc = ticks.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC"
+    divides = times.seconds("1 day") % times.seconds(duration) == 0
+    if dated and utc and divides and closed == "left":
         keys.append("date_partition")
     windows = vwap.select(*keys, value, count)
     shuffled = windows.drop(count)

@@ -293,35 +293,54 @@ class MaintenanceError(RuntimeError):
     """At least one table could not be maintained."""
 
 
+def dates_to_rewrite(spark: SparkSession, root: str, before: dt.date | None = None) -> list:
+    """Closed dates with appended batches that no rewrite covers, oldest first.
+
+    Closed means before ``before``, by default the current date of the session.
+    """
+    limit = F.current_date() if before is None else F.lit(before)
+    open_dates = (
+        table_files(spark, root)
+        .filter(F.col("is_live") & (F.col("batch_id") >= 0) & (F.col("date_partition") < limit))
+        .select("date_partition")
+        .distinct()
+    )
+    return sorted(r["date_partition"] for r in open_dates.collect())
+
+
 def run_all(
     spark: SparkSession,
     tables: dict[str, str],
-    date,
+    date=None,
     *,
+    before: dt.date | None = None,
     cluster_by: dict[str, list[str]] | None = None,
     keys: dict[str, list[str]] | None = None,
     retention_hours: int = RETENTION_HOURS,
     dry_run: bool = True,
     raise_on_error: bool = True,
 ) -> DataFrame:
-    """Cluster a closed date of each table and vacuum it; one result row per table.
+    """Cluster and vacuum each table; one result row per table.
 
-    A failing table does not keep the others from running, but it is reported, and
-    raised at the end.
+    Without a ``date`` all closed dates that have new batches are clustered, each as a
+    job of its own. A failing table does not keep the others from running, but it is
+    reported, and raised at the end.
     """
     results = []
     for name, root in tables.items():
+        done = 0
         try:
-            version = zorder(
-                spark, root, date, (cluster_by or {}).get(name), keys=(keys or {}).get(name)
-            )
+            for day in dates_to_rewrite(spark, root, before) if date is None else [date]:
+                by = (cluster_by or {}).get(name)
+                zorder(spark, root, day, by, keys=(keys or {}).get(name))
+                done += 1
             vacuum(spark, root, retention_hours=retention_hours, dry_run=dry_run)
-            results.append((name, version, None))
+            results.append((name, done, None))
         except (PySparkException, ValueError) as error:
             logger.exception("maintenance of %s failed", name)
-            results.append((name, None, str(error)))
+            results.append((name, done, str(error)))
     if raise_on_error:
         failed = [f"{name}: {error}" for name, _, error in results if error]
         if failed:
             raise MaintenanceError("; ".join(failed))
-    return spark.createDataFrame(results, "table string, version long, error string")
+    return spark.createDataFrame(results, "table string, dates_rewritten long, error string")

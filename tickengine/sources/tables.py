@@ -240,11 +240,12 @@ def read_upserted(
     # Bounded by the number of dates, like the rewrites themselves.
     reopened = {r[0] for r in later.collect()} if dates else set()
     settled = [d for d in dates if d not in reopened]
-    as_stored = rows.filter(day.isin(settled)).select(*columns)
+    is_settled = F.coalesce(day.isin(settled), F.lit(False))
+    as_stored = rows.filter(is_settled).select(*columns)
     if settled and date is not None:
         return as_stored
     # A rewrite has a negative number, hence loses against any batch after it.
-    versions = rows.filter(~day.isin(settled)) if settled else rows
+    versions = rows.filter(~is_settled) if settled else rows
     merged = latest_rows(versions, ["date_partition", *keys]).select(*columns)
     return as_stored.unionByName(merged) if settled else merged
 
