@@ -63,6 +63,15 @@ def test_rewrite_keeps_rows_and_merges_files(spark, root, rewrite):
     assert live_files(spark, root, OTHER).count() == other
 
 
+def test_a_rewrite_that_loses_rows_is_not_published(spark, root, monkeypatch):
+    before = bag(tables.read_table(spark, root))
+    monkeypatch.setattr(maintenance, "clustered", lambda rows, *a, **k: rows.limit(10))
+    with pytest.raises(maintenance.MaintenanceError, match="10 of 900"):
+        maintenance.zorder(spark, root, DAY)
+    assert bag(tables.read_table(spark, root)) == before
+    assert maintenance.history(spark, root).count() == 0
+
+
 def test_reading_a_rewritten_table_is_one_scan(spark, root):
     maintenance.compact(spark, root, DAY)
     plan = tables.read_table(spark, root)._jdf.queryExecution().executedPlan().toString()

@@ -88,7 +88,11 @@ def split_valid(
 def observe_validity(
     ticks: DataFrame, observation: Observation | str, required: list[str] = REQUIRED
 ) -> DataFrame:
-    """Count rows in and rows quarantined while they pass, without another scan."""
+    """Count rows in and rows quarantined while they pass, without another scan.
+
+    For reports only: adaptive execution drops the counts with a stage that turns out
+    empty, e.g. when a filter above leaves no row.
+    """
     return ticks.observe(
         observation,
         F.count(F.lit(1)).alias("rows_in"),

@@ -12,7 +12,7 @@ import math
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickengine.functions import times
 from tickengine.functions.clustering import with_z_value
@@ -36,6 +36,10 @@ HISTORY_COLUMNS = ["version", "timestamp", "operation", "operationMetrics"]
 _FOLDER = r"/data/date_partition=(\d{4}-\d{2}-\d{2})/batch_id=(-?\d+)/"
 
 
+class MaintenanceError(RuntimeError):
+    """A rewrite or the maintenance of a table failed."""
+
+
 def table_files(spark: SparkSession, root: str, date: dt.date | None = None) -> DataFrame:
     """Data files of a table with what their path tells, and whether readers use them.
 
@@ -116,22 +120,26 @@ def _rewrite(
     rows = read_table(session, root, date=date, with_batch=True).filter(
         F.col("batch_id") <= before["through"]
     )
+    rows_before = rows.count()  # from file footers
     columns = [c for c in rows.columns if c != "batch_id"]
     if keys:
         rows = latest_rows(rows, ["date_partition", *keys])
     rows = rows.select(*columns)
     files = max(1, math.ceil(before["bytes"] / target_bytes))
-    written = Observation()
     version = next_version(spark, root)
     rewrite_batch = -1 - version
     folder = f"{root}/data/date_partition={date}/batch_id={rewrite_batch}"
     (
         arrange(rows, files)
-        .observe(written, F.count(F.lit(1)).alias("rows"))
         .drop("date_partition")
         .write.mode("overwrite")
         .parquet(folder)
     )
+    rows_after = spark.read.parquet(folder).count()
+    if not keys and rows_after != rows_before:
+        raise MaintenanceError(
+            f"{operation} of {date} in {root} wrote {rows_after} of {rows_before} rows; not published"
+        )
     after = (
         list_files(spark, folder)
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
@@ -142,7 +150,7 @@ def _rewrite(
         "numRemovedBytes": before["bytes"],
         "numAddedFiles": after["files"],
         "numAddedBytes": after["bytes"],
-        "numOutputRows": written.get["rows"],
+        "numOutputRows": rows_after,
     }
     if keys:
         metrics[MERGE_KEYS] = ",".join(keys)
@@ -289,10 +297,6 @@ def history(spark: SparkSession, root: str, n: int = 5) -> DataFrame:
     return read_history(spark, root).select(*HISTORY_COLUMNS).orderBy(F.desc("version")).limit(n)
 
 
-class MaintenanceError(RuntimeError):
-    """At least one table could not be maintained."""
-
-
 def dates_to_rewrite(spark: SparkSession, root: str, before: dt.date | None = None) -> list:
     """Closed dates with appended batches that no rewrite covers, oldest first.
 
@@ -336,7 +340,7 @@ def run_all(
                 done += 1
             vacuum(spark, root, retention_hours=retention_hours, dry_run=dry_run)
             results.append((name, done, None))
-        except (PySparkException, ValueError) as error:
+        except (PySparkException, MaintenanceError, ValueError) as error:
             logger.exception("maintenance of %s failed", name)
             results.append((name, done, str(error)))
     if raise_on_error:

@@ -45,15 +45,11 @@ def run_streams(
         return f"{tables}/{name}", f"{checkpoints}/{name}"
 
     def write_parsed(batch: DataFrame, batch_id: int) -> None:
-        batch_id += first_batch
-        batch = batch.persist()  # parsed once for both writes
-        try:
-            valid, rejected = split_valid(batch)
-            write_batch(raw_columns(valid.drop("raw_value")), places("raw")[0], batch_id)
-            dated = rejected.withColumn("date_partition", F.to_date("ingest_time"))
-            write_batch(dated, places("quarantine")[0], batch_id)
-        finally:
-            batch.unpersist()
+        # Reading and parsing a batch twice costs less than caching it.
+        valid, rejected = split_valid(batch)
+        write_batch(raw_columns(valid.drop("raw_value")), places("raw")[0], first_batch + batch_id)
+        dated = rejected.withColumn("date_partition", F.to_date("ingest_time"))
+        write_batch(dated, places("quarantine")[0], first_batch + batch_id)
 
     queries = [each_batch(parsed, write_parsed, places("raw")[1], every=every, name="raw")]
     ticks, _ = split_valid(parsed.drop("raw_value"))
