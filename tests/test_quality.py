@@ -100,16 +100,17 @@ def test_gaps_against_brute_force(spark, cells_per_chunk):
 
 def test_rules(spark):
     ticks = spark.createDataFrame(
-        [("A", 1.0, 1, 1), (None, -1.0, 1, None), ("B", None, -2, 1)],
+        [("A", 1.0, 1, 1), (None, -1.0, 1, None), ("B", None, -2, 1), ("C", float("nan"), 1, 1)],
         "ticker string, price double, volume long, event_time int",
     )
     rows = {r["rule"]: (r["rows_checked"], r["rows_failed"], r["passed"]) for r in quality.rules(ticks).collect()}
     assert rows == {
-        "ticker_missing": (3, 1, False),
-        "price_missing": (3, 1, False),
-        "event_time_missing": (3, 1, False),
-        "price_not_positive": (3, 1, False),
-        "volume_negative": (3, 1, False),
+        "ticker_missing": (4, 1, False),
+        "price_missing": (4, 1, False),
+        "event_time_missing": (4, 1, False),
+        "price_not_a_number": (4, 1, False),
+        "price_not_positive": (4, 1, False),
+        "volume_negative": (4, 1, False),
     }
     with pytest.raises(quality.DataQualityError, match="price_missing: 1"):
         quality.require_rules(ticks)

@@ -220,6 +220,20 @@ def test_alerts_equal_batch_deviation(spark, feed):
     assert bag(found) == bag(expected) and found.count() > 0
 
 
+def test_alerts_release_their_state(spark, feed):
+    fill(feed)
+    alerts = jobs.deviation_alerts(parsed(spark, feed), "1 minute", salts=2)
+    query = run(
+        alerts.withColumn("date_partition", F.to_date("event_time")),
+        new_dir(spark, "s"), new_dir(spark, "c"),
+    )
+    rows = jobs.progress_rows(query).orderBy("batch_id").collect()
+    # At the end only what belongs to the last, open windows waits: two tickers' ticks
+    # and their sums at 10:12.
+    assert max(r["state_rows"] for r in rows) > rows[-1]["state_rows"]
+    assert rows[-1]["state_rows"] <= 4
+
+
 def test_backfill_resumes_where_it_ended(spark, feed, tmp_path):
     path, checkpoint = str(tmp_path / "dump"), new_dir(spark, "c")
     fill(feed)

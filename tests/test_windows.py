@@ -55,6 +55,12 @@ def test_exact_sums_do_not_overflow(ticks_of):
     assert windows.vwap(ticks, decimals=2).first()["vwap_1m"] == 90000000.25
 
 
+def test_price_that_is_no_number(ticks_of):
+    ticks = ticks_of([("A", float("nan"), 5, "10:00:00"), ("A", 2.0, 5, "10:00:01")])
+    row = windows.vwap(ticks, decimals=2).first()
+    assert (row["vwap_1m"], row["tick_count_1m"]) == (2.0, 2)
+
+
 def test_types_of_zone_less_times(spark, ticks_of):
     zone_less = ticks_of([("A", 2.0, 5, "10:00:59")]).withColumn(
         "event_time", F.col("event_time").cast("timestamp_ntz")

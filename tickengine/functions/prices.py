@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def minor_units(price: str | Column, decimals: int) -> Column:
-    """A price as an exact whole number of its smallest unit."""
-    price = F.col(price) if isinstance(price, str) else price
-    return F.round(price * F.lit(10**decimals)).cast("long")
+def minor_units(price: Column, decimals: int) -> Column:
+    """A price as a whole number of its smallest unit, rounded to it.
+
+    NULL for a price that is no number or has more than 18 digits.
+    """
+    return F.round(price * F.lit(10**decimals)).try_cast("decimal(18,0)")
 
 
 def vwap_expr(
@@ -22,17 +24,19 @@ def vwap_expr(
 
     ``complete_rows`` leaves a volume out of the divisor when its price is NULL, so
     that both sums cover the same rows. ``decimals`` sums whole price units, which
-    makes the result independent of the order in which rows arrive.
+    makes the result independent of the order in which rows arrive; prices with more
+    decimals are rounded to that many.
     """
     p, v = F.col(price), F.col(volume)
+    if decimals is not None:
+        p = minor_units(p, decimals)
     weight = F.sum(F.when(p.isNotNull(), v) if complete_rows else v)
     if decimals is None:
         return F.try_divide(F.sum(p * v), weight)
-    # decimal(38,0): neither the product nor the sum of long values can overflow here.
-    units = minor_units(p, decimals).cast("decimal(19,0)") * v.cast("decimal(19,0)")
-    return F.try_divide(
-        F.sum(units).cast("double"), weight.cast("double") * F.lit(float(10**decimals))
-    )
+    # 18 and 19 digits: a product always fits 38 digits, and beyond that the sum raises.
+    units = F.sum(p * v.cast("decimal(19,0)"))
+    scale = F.lit(float(10**decimals))
+    return F.try_divide(units.cast("double"), weight.cast("double") * scale)
 
 
 def pct_change(opening: Column, closing: Column) -> Column:

@@ -127,6 +127,7 @@ def tick_rules() -> dict[str, Column]:
         "ticker_missing": F.col("ticker").isNull(),
         "price_missing": F.col("price").isNull(),
         "event_time_missing": F.col("event_time").isNull(),
+        "price_not_a_number": F.isnan("price"),
         "price_not_positive": F.col("price") <= 0,
         "volume_negative": F.col("volume") < 0,
     }

@@ -389,6 +389,7 @@ def gaps(spark, sf):
                 "ticker_missing": "ticker IS NULL",
                 "price_missing": "price IS NULL",
                 "event_time_missing": "event_time IS NULL",
+                "price_not_a_number": "isnan(price)",
                 "price_not_positive": "price <= 0",
                 "volume_negative": "volume < 0",
                 "volume_zero": "volume = 0",

@@ -49,10 +49,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (local tests) gets a folder of its own.
+    Only a local session without that setting (tests) gets a folder of its own; on a
+    cluster a folder of the driver's machine would be of no use.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="tickengine-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
