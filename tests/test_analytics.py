@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +112,23 @@ def test_deviation_equals_the_range_join(ticks_of, closed, hot_ticks, hot_limit)
     assert bag(found) == bag(literal_join(ticks, vwap, 0.01, closed == "both"))
 
 
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("closed", ["left", "both"])
+def test_random_ticks_with_many_on_boundaries(ticks_of, seed, closed):
+    draw = random.Random(seed)
+    ticks = ticks_of(
+        [
+            (draw.choice("AB"), draw.randrange(1, 500) / 100, draw.randrange(0, 9),
+             f"10:{draw.randrange(8):02d}:{draw.choice(['00', '00', '17', '59.999999'])}")
+            for _ in range(120)
+        ]
+    )
+    vwap = windows.vwap(ticks, decimals=2)
+    found = analytics.vwap_deviation(ticks, vwap, closed=closed, hot_ticks=5, hot_limit=7)
+    # a literal division by a missing VWAP would be the same NULL
+    assert bag(found) == bag(literal_join(ticks, vwap, 0.01, closed == "both"))
+
+
 def test_boundary_tick(ticks_of):
     ticks = ticks_of([("A", 1.0, 1, "10:00:30"), ("A", 3.0, 1, "10:01:00")])
     vwap = windows.vwap(ticks)

@@ -98,6 +98,13 @@ def test_gaps_against_brute_force(spark, cells_per_chunk):
     assert ("C", 600, 0, 1) in expected
 
 
+def test_require_no_gaps(ticks_of):
+    ticks = ticks_of([("A", 1.0, 1, "10:00:00"), ("A", 1.0, 1, "10:20:00"), ("A", 1.0, 1, "11:00:00")])
+    quality.require_no_gaps(ticks, "1 hour")
+    with pytest.raises(quality.DataQualityError, match="A: 1"):
+        quality.require_no_gaps(ticks)
+
+
 def test_rules(spark):
     ticks = spark.createDataFrame(
         [("A", 1.0, 1, 1), (None, -1.0, 1, None), ("B", None, -2, 1), ("C", float("nan"), 1, 1)],

@@ -121,6 +121,15 @@ def gaps(ticks: DataFrame, max_gap: str = "30 minutes", *, cells_per_chunk: int
     )
 
 
+def require_no_gaps(ticks: DataFrame, max_gap: str = "30 minutes") -> None:
+    """Raises with the number of gaps per ticker if there are any."""
+    found = gaps(ticks, max_gap).groupBy("ticker").count().orderBy(F.desc("count"), "ticker")
+    worst = found.limit(10).collect()
+    if worst:
+        told = ", ".join(f"{r['ticker']}: {r['count']}" for r in worst)
+        raise DataQualityError(f"gaps longer than {max_gap} (most by ticker: {told})")
+
+
 def tick_rules() -> dict[str, Column]:
     """Rule name to the condition of a row that breaks it."""
     return {
