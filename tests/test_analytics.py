@@ -129,6 +129,18 @@ def test_random_ticks_with_many_on_boundaries(ticks_of, seed, closed):
     assert bag(found) == bag(literal_join(ticks, vwap, 0.01, closed == "both"))
 
 
+def test_hot_windows_are_the_same_in_whatever_order_they_come(ticks_of):
+    """Equal counts at the limit must not depend on how the windows are partitioned."""
+    ticks = ticks_of([(f"T{i:02d}", 1.0, 1, f"10:{m:02d}:00") for i in range(20) for m in range(5)])
+    vwap = windows.vwap(ticks)
+    picks = {
+        tuple(bag(analytics.hot_windows(df, "tick_count_1m", 1, 7).select("window_start", "ticker")))
+        for df in (vwap, vwap.repartition(7, "ticker"), vwap.repartition(3, "vwap_1m"),
+                   vwap.orderBy(F.desc("ticker")), vwap.orderBy(F.desc("window_start")))
+    }
+    assert len(picks) == 1
+
+
 def test_boundary_tick(ticks_of):
     ticks = ticks_of([("A", 1.0, 1, "10:00:30"), ("A", 3.0, 1, "10:01:00")])
     vwap = windows.vwap(ticks)

@@ -71,8 +71,13 @@ def top_movers(
 
 
 def hot_windows(vwap: DataFrame, count: str, hot_ticks: int, limit: int) -> DataFrame:
-    """The at most ``limit`` fullest windows that hold ``hot_ticks`` or more."""
-    return vwap.filter(F.col(count) >= hot_ticks).orderBy(F.col(count).desc()).limit(limit)
+    """The at most ``limit`` fullest windows that hold ``hot_ticks`` or more.
+
+    Equal counts are ordered by the key of the window: the two joins that use the result
+    each compute it, and must agree on it.
+    """
+    full = vwap.filter(F.col(count) >= hot_ticks)
+    return full.orderBy(F.col(count).desc(), "window_start", "ticker").limit(limit)
 
 
 def ticks_with_vwap(

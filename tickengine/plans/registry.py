@@ -103,8 +103,8 @@ def movers_sql(where: str, limit: str) -> str:
         SELECT ticker, open_price, close_price,
                ROUND((close_price - open_price) / NULLIF(open_price, 0) * 100, 2) AS pct_change,
                total_volume
-        FROM (SELECT ticker, arg_min(price, event_time) AS open_price,
-                     arg_max(price, event_time) AS close_price,
+        FROM (SELECT ticker, arg_min(price, (event_time, event_id)) AS open_price,
+                     arg_max(price, (event_time, event_id)) AS close_price,
                      CAST(SUM(volume) AS BIGINT) AS total_volume
               FROM {TICKS} {where} GROUP BY ticker)
         ORDER BY ABS(pct_change) DESC NULLS LAST, ticker {limit}"""
@@ -178,19 +178,19 @@ def vwap_lineitem_1d(spark, sf):
 @query(movers_sql(f"WHERE event_time >= {NEWEST} - INTERVAL '1 hour'", "LIMIT 10"))
 def top_movers(spark, sf):
     found = ticks(spark, sf)
-    return analytics.top_movers(found, times.newest(found), "1 hour", 10)
+    return analytics.top_movers(found, times.newest(found), "1 hour", 10, tie="event_id")
 
 
 @query(movers_sql(f"WHERE event_time >= {NEWEST} - INTERVAL '7 days'", "LIMIT 3"))
 def top_movers_week(spark, sf):
     found = ticks(spark, sf)
-    return analytics.top_movers(found, times.newest(found), "7 days", 3)
+    return analytics.top_movers(found, times.newest(found), "7 days", 3, tie="event_id")
 
 
 @query(movers_sql(f"WHERE event_time >= {NEWEST} - INTERVAL '1 day'", ""))
 def top_movers_unlimited(spark, sf):
     found = ticks(spark, sf)
-    return analytics.top_movers(found, times.newest(found), "1 day", None)
+    return analytics.top_movers(found, times.newest(found), "1 day", None, tie="event_id")
 
 
 @query(

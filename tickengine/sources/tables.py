@@ -206,7 +206,7 @@ def latest_rows(rows: DataFrame, keys: list[str], version: str = "batch_id") ->
     """The newest version of each key.
 
     ``max_by`` per column merges before the shuffle, so a key that was written many
-    times reaches it once per task.
+    times reaches it once per task. Within a batch a key must be unique.
     """
     values = [c for c in rows.columns if c not in (*keys, version)]
     return rows.groupBy(*keys).agg(*[F.max_by(c, version).alias(c) for c in values])

@@ -67,7 +67,7 @@ def run_streams(
 
 def await_all(queries: list[StreamingQuery]) -> None:
     """Wait until all queries have ended; if one fails, stop the rest and raise."""
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.builder.getOrCreate()
     running = list(queries)
     while running:
         try:
@@ -167,7 +167,7 @@ def progress_rows(query: StreamingQuery) -> DataFrame:
                 report["batchDuration"],
             )
         )
-    return SparkSession.getActiveSession().createDataFrame(
+    return SparkSession.builder.getOrCreate().createDataFrame(
         rows,
         "name string, batch_id long, timestamp string, input_rows long, watermark string, "
         "late_rows_dropped long, state_rows long, duration_ms long",
