@@ -38,6 +38,9 @@ def run_streams(
     checkpoint. Rows that break the contract go to ``<tables>/quarantine``, under the
     date of their arrival, and into no other table. ``upsert`` publishes open windows
     too. ``first_batch`` as in ``append_stream``.
+
+    The raw query reads each batch twice, for ticks and for rejects, so its progress
+    reports twice the input rows.
     """
     parsed = parse_events(messages, keep_raw=True)
 
