@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow``, with this package on the path of Python workers that lack it.
+
+    Where executors have other folders, ship the package with ``--py-files`` as usual.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = df.sparkSession.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, home])
+    return df.mapInArrow(run, schema)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base``, lengthened until no column of ``df`` has that name in any case."""
     taken = {name.lower() for name in df.columns}

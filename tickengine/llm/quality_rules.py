@@ -20,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, words
+from .common import SPACES, table, words
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -162,8 +162,6 @@ COLUMNS = [
 
 
 def query(spark, sf_dir) -> DataFrame:
-    from .common import table
-
     return judge(measure(table(spark, sf_dir, "documents"))).select(*COLUMNS)
 
 

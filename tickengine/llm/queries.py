@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat_format, quality_rules
+from . import bpe, chat_format, quality_rules, url_rules
 
 QUERIES = {
+    "op1_url_rules": url_rules.query,
+    "op2_bpe": bpe.query,
     "op4_quality_rules": quality_rules.query,
     "op6_chat_format": chat_format.query,
 }
