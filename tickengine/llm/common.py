@@ -51,3 +51,15 @@ def free_name(df: DataFrame, base: str) -> str:
 def words(text: Column) -> Column:
     """The words of a text: maximal runs without the characters of ``SPACES``."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), "")
+
+
+def sampled(docs: DataFrame, most: int, *keys: str, seed: int = 17) -> DataFrame:
+    """About ``most`` rows of ``docs``, chosen by a hash of ``keys``; all rows if there are fewer.
+
+    For fitting models only. Rows that repeat in ``keys`` are taken once.
+    """
+    n = docs.count()
+    if n <= most:
+        return docs
+    share = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
+    return docs.filter(share < int(1_000_000 * most / n)).dropDuplicates([*keys])

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, quality_rules, url_rules
+from . import bpe, chat_format, language_id, quality_rules, secrets, url_rules
 
 QUERIES = {
     "op1_url_rules": url_rules.query,
     "op2_bpe": bpe.query,
     "op4_quality_rules": quality_rules.query,
+    "op5_language_id": language_id.query,
     "op6_chat_format": chat_format.query,
+    "op7_secrets": secrets.query,
 }
 ORACLES = {
     "op4_quality_rules": quality_rules.SQL,
