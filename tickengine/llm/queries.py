@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, language_id, quality_rules, secrets, url_rules
+from . import bpe, chat_format, language_id, quality_rules, secrets, url_rules, warc
 
 QUERIES = {
     "op1_url_rules": url_rules.query,
     "op2_bpe": bpe.query,
+    "op3_warc": warc.query,
     "op4_quality_rules": quality_rules.query,
     "op5_language_id": language_id.query,
     "op6_chat_format": chat_format.query,
