@@ -27,6 +27,33 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written intermediate tables of one operator, dropped when its result is written.
+
+    They lie in the shared folder, so a lost executor loses nothing of them.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.root, self.n = spark, new_dir(spark, label), 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read back."""
+        self.n += 1
+        path = f"{self.root}/{self.n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
+
+
 def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow``, with this package on the path of Python workers that lack it.
 
