@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, language_id, minhash, quality_rules, secrets, suffix_dedup, url_rules, warc
+from . import (
+    bpe,
+    chat_format,
+    decontaminate,
+    language_id,
+    minhash,
+    quality_rules,
+    secrets,
+    suffix_dedup,
+    url_rules,
+    warc,
+)
 
 QUERIES = {
     "op1_url_rules": url_rules.query,
@@ -13,6 +24,7 @@ QUERIES = {
     "op6_chat_format": chat_format.query,
     "op7_secrets": secrets.query,
     "op8_near_duplicates": minhash.query,
+    "op9_decontamination": decontaminate.query,
     "op10_suffix_dedup": suffix_dedup.query,
 }
 ORACLES = {

@@ -55,6 +55,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
+_PUNCTUATION = _SPACE.copy()
+_PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _words = Rolling(0x9E3779B97F4A7C15)
 
 
@@ -65,17 +67,22 @@ class Words(NamedTuple):
     end: np.ndarray
     hash: np.ndarray
     first: np.ndarray  # one more than there are texts
+    raw: np.ndarray  # the joined bytes, with A-Z as a-z
 
 
-def read_words(texts: list[bytes]) -> Words:
-    """Words are runs without blanks and control spaces; A-Z count as a-z."""
+def read_words(texts: list[bytes], punctuation: bool = True) -> Words:
+    """Words are runs without blanks and control spaces; A-Z count as a-z.
+
+    Without ``punctuation``, ASCII signs stand between words as well.
+    """
     raw = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
-    gap = _SPACE[raw]
+    gap = (_SPACE if punctuation else _PUNCTUATION)[raw]
+    raw = _LOWER[raw]
     edge = np.flatnonzero(np.diff(np.concatenate([[1], gap.view(np.int8), [1]])))
     start, end = edge[::2], edge[1::2]
-    sums = _words.sums(_LOWER[raw])
+    sums = _words.sums(raw)
     offset = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return Words(start, end, _words.pieces(sums, start, end), np.searchsorted(start, offset))
+    return Words(start, end, _words.pieces(sums, start, end), np.searchsorted(start, offset), raw)
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
