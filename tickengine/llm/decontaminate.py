@@ -18,8 +18,8 @@ shingle weighs as many bytes as its words have. From ``similarity`` on it is a l
 
 Defined results: NULL and empty texts hold nothing. Items with NULL or empty text or fewer
 than ``size`` words have no shingle and are found nowhere. Rows are searched one by one:
-repeated rows and NULL ids give rows of their own. Items with one id are all searched, the
-best one counts. An empty table on either side gives no rows. Columns besides ids and texts
+repeated rows and NULL ids give rows of their own. Repeated items count once; of different
+items with one id the best counts, in each slice. An empty table on either side gives no rows. Columns besides ids and texts
 are not read, whatever their names. Texts are searched whole.
 
 One pass over the texts, no shuffle. Items go to the tasks with the code, in slices of at
@@ -46,6 +46,7 @@ SIMILARITY = 0.8
 RADIUS = 7
 BLOCKS = 4
 SLICE = 4_000_000
+CHUNK = 500_000
 # Sums of votes stay below 2**15 for windows of up to 1,600 words.
 MOST_WEIGHT = 20
 _U = np.uint64
@@ -264,6 +265,20 @@ def apart(spans: list[tuple[int, int]]) -> int:
     return n
 
 
+def slices(benchmark: DataFrame, slice_bytes: int, item_col: str, text_col: str):
+    """Ids and texts of the items, in parts of about ``slice_bytes`` of text."""
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).filter(
+        F.col("text").isNotNull()
+    ).distinct()
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0]
+    if total:
+        n = -(-total // slice_bytes)
+        number = F.pmod(F.xxhash64("item", "text"), F.lit(n))
+        for i in range(n):
+            rows = items.filter(number == i).orderBy("item", "text").collect()
+            yield [r["item"] for r in rows], [r["text"] for r in rows]
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -284,19 +299,9 @@ def find_leaks(
         f"id {kind}, item_id {item_kind.simpleString()}, similarity double, first_word long, "
         "end_word long, n_passages long"
     )
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).filter(
-        F.col("text").isNotNull()
-    )
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0]
-    if not total:
-        return docs.sparkSession.createDataFrame([], schema)
-    n_slices = -(-total // slice_bytes)
-    number = F.pmod(F.xxhash64("item", "text"), F.lit(n_slices))
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
-    def searched(part: DataFrame) -> DataFrame:
-        rows = part.orderBy("item", "text").collect()  # at most about SLICE bytes of text
-        ids, texts = [r["item"] for r in rows], [r["text"] for r in rows]
+    def searched(ids: list, texts: list[str]) -> DataFrame:
         made: list[Index] = []
 
         def run(batches):
@@ -305,7 +310,7 @@ def find_leaks(
             for batch in batches:
                 best: dict[tuple, list] = {}
                 before = 0
-                for run_ in chunks(batch.column(1).to_pylist(), 500_000):
+                for run_ in chunks(batch.column(1).to_pylist(), CHUNK):
                     for text, item, first, end, score in search(run_, made[0], least):
                         seen = best.setdefault((before + text, ids[item]), [0.0, 0, 0, []])
                         if score > seen[0]:
@@ -323,10 +328,48 @@ def find_leaks(
 
         return mapped(own, run, schema)
 
-    parts = [searched(items.filter(number == i)) for i in range(n_slices)]
+    parts = [searched(*s) for s in slices(benchmark, slice_bytes, item_col, item_text_col)]
+    if not parts:
+        return docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
 
 
+def keep_clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    least: float = SIMILARITY,
+    radius: int = RADIUS,
+    size: int = SIZE,
+    slice_bytes: int = SLICE,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows, with all columns, that hold no item."""
+    place = docs.columns.index(text_col)
+
+    def without(part: DataFrame, texts: list[str]) -> DataFrame:
+        made: list[Index] = []
+
+        def run(batches):
+            if not made:
+                made.append(Index(texts, size, radius))
+            for batch in batches:
+                stays = np.ones(batch.num_rows, dtype=bool)
+                before = 0
+                for run_ in chunks(batch.column(place).to_pylist(), CHUNK):
+                    for text, *_ in search(run_, made[0], least):
+                        stays[before + text] = False
+                    before += len(run_)
+                yield batch.filter(pa.array(stays))
+
+        return mapped(part, run, part.schema)
+
+    for _, texts in slices(benchmark, slice_bytes, item_col, item_text_col):
+        docs = without(docs, texts)
+    return docs
+
+
 def _arrow(kind) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 

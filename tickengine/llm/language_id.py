@@ -305,6 +305,24 @@ def identify(
     return mapped(docs.select(id_col, text_col), run, schema)
 
 
+def keep_identified(
+    docs: DataFrame, model: Model, least: float, penalty: float = PENALTY, text_col: str = "text"
+) -> DataFrame:
+    """The rows, with all columns, whose language has a share of ``least`` of the letters."""
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            stays = []
+            for texts in _chunks(batch.column(place).to_pylist()):
+                best, share, _ = label_texts(texts, model, penalty)
+                stays.append((best >= 0) & (share >= least))
+            if stays:
+                yield batch.filter(pa.array(np.concatenate(stays)))
+
+    return mapped(docs, run, docs.schema)
+
+
 def query(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
