@@ -1,0 +1,100 @@
+"""The codec against the tokenizers library itself."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tickengine.llm import bpe
+
+tokenizers = pytest.importorskip("tokenizers")
+pytest.importorskip("public_tokenizers")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return tokenizers.Tokenizer.from_file(bpe.vocabulary())
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe.Codec(bpe.vocabulary())
+
+
+TEXTS = [
+    "", " ", "\n\t", "Hello, World!  it's 42 o'clock", "ΟΔΟΣ Σ", "İstanbul ſK", "naïve cafe\u0301",
+    "<|endoftext|>a<|startoftext|><|endoftext|>", "<|endoftext", "a" * 3000, "世界 こんにちは 🙂‍🙂", "\u1c89x\u0558",
+    "x\u0085y\u00a0z\u3000w", "\x00\x1c\x7f", "'S 'LL 'd''re",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_known_texts(library, codec, text):
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert list(codec.encode(text)) == ids
+    assert codec.decode(codec.encode(text)) == library.decode(ids, skip_special_tokens=False)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text())
+def test_any_text(library, codec, text):
+    assert list(codec.encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_every_letter(library, codec):
+    pick = random.Random(5)
+    points = [*range(0x3000), *(pick.randrange(0x110000) for _ in range(5000))]
+    for point in points:
+        if not 0xD800 <= point < 0xE000:
+            text = f"a{chr(point)}b1{chr(point)}"
+            assert list(codec.encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_cuts_are_never_inside_a_token(codec):
+    of = {c: i for i, c in enumerate(codec.letters)}
+    for string in list(codec.strings.values())[:5000]:
+        if string not in codec.special and string.endswith("</w>") and len(string) > 4:
+            raw = bytes(of[c] for c in string[:-4])
+            assert codec.cut(raw) == [(raw, True)]
+
+
+def test_cuts_split_pieces(codec):
+    cut = codec.cut("qxzjvkq".encode())
+    assert len(cut) > 1 and b"".join(f for f, _ in cut) == b"qxzjvkq"
+    assert [end for _, end in cut] == [False] * (len(cut) - 1) + [True]
+
+
+def test_cache_stays_bounded():
+    cache = bpe.Cache(lambda x: x, 3)
+    assert [cache[i] for i in (1, 2, 3, 4, 1, 5)] == [1, 2, 3, 4, 1, 5]
+    assert len(cache) <= 3 and len(cache.older) <= 3
+
+
+def test_edge_rows(library, docs_of):
+    rows = [(1, None), (1, None), (None, ""), (2, "ab <|endoftext|>"), (2, "ab <|endoftext|>"), (3, "w " * 50_000)]
+    found = bpe.encode_texts(docs_of(rows), bpe.vocabulary(), with_ids=True).collect()
+    assert len(found) == len(rows)
+    texts = {1: "", None: "", 2: rows[3][1], 3: rows[5][1]}
+    for row in found:
+        ids = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids
+        assert row["ids"] == ids and row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        text = library.decode(ids, skip_special_tokens=False)
+        assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_empty_table(docs_of):
+    assert bpe.encode_texts(docs_of([]), bpe.vocabulary(), with_ids=True).count() == 0
+
+
+def test_query(spark, sf_dir, rows_of, library):
+    found = {r["doc_id"]: r for r in bpe.query(spark, sf_dir).collect()}
+    for doc, text in rows_of("documents", "doc_id, text"):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        row = found.pop(doc)
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+    assert not found

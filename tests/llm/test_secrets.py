@@ -1,0 +1,97 @@
+"""Fixed patterns against the contract's patterns, planted random strings, redaction."""
+
+import random
+import re
+import string
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tickengine.llm import secrets as s
+
+ASSIGN = re.compile(
+    r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd])|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
+    r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def plain(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+PIECES = ["password", "PASSWD", "Secret", "token", "api_key", "apikey", '"', "'", " ", "=", ":", "AKIA", "AKIAAKIA",
+          "0123456789abcdef" * 2, "abc.def", "Z" * 17, "é", "ſ", "K", "toKen=", "\n", "a", "=="]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=25).map("".join))
+def test_fixed_patterns(text):
+    assert s.base_spans(text) == plain(text)
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    pick = random.Random(3)
+
+    def word():
+        return "".join(pick.choice(["th", "er", "in", "on", "re", "an", "_", "to"]) for _ in range(6))
+
+    rows = []
+    for i in range(200):
+        value = "".join(pick.choices(string.ascii_letters + string.digits, k=32))
+        rows.append((i, " ".join(word() for _ in range(60)) + (f" token = {value}" if i % 2 else "")))
+    return s.train(spark.createDataFrame(rows + [(None, None), (None, "")], "doc_id long, text string"))
+
+
+def test_planted_random_strings_are_found(model):
+    pick = random.Random(4)
+    hits = 0
+    for _ in range(50):
+        value = "".join(pick.choices(string.ascii_letters + string.digits, k=32))
+        text = f"theronin thinerin {value} reantoth"
+        spans = s.text_spans(text, model, s.THRESHOLD)
+        hits += (18, 3, 50) in [x[:3] for x in spans]
+    assert hits >= 48
+    assert s.text_spans("therinonreanthto" * 4 + " to_the_inner_thing_and_other", model, s.THRESHOLD) == []
+
+
+def test_edge_rows(docs_of, model):
+    key = "password: hunter22"
+    rows = [(1, None), (2, ""), (None, key), (3, key), (3, key), (4, "x " * 100_000 + key), (5, "é🙂 " + key)]
+    found = s.scan(docs_of(rows), model).select("doc_id", s.joined(F.col("spans")).alias("spans")).collect()
+    assert len(found) == len(rows)
+    by = {r["doc_id"]: r["spans"] for r in found}
+    assert by == {1: "", 2: "", None: "assign:0:18", 3: "assign:0:18", 4: "assign:200000:200018", 5: "assign:3:21"}
+    clean = s.redact(docs_of(rows), model)
+    assert clean.columns == docs_of(rows).columns
+    texts = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert texts == {1: None, 2: "", None: "[secret]", 3: "[secret]", 4: "x " * 100_000 + "[secret]", 5: "é🙂 [secret]"}
+
+
+def test_empty_tables(docs_of):
+    model = s.train(docs_of([]))
+    assert np.ptp(model) == 0
+    assert s.scan(docs_of([]), model).count() == 0
+    assert s.text_spans("aB3dE5gH7jK9mN1pQ3sT5vX7", model, s.THRESHOLD) == []
+
+
+def test_overlapping_spans_are_replaced_once(docs_of, model):
+    text = "token=" + "0123456789abcdef" * 2 + " end"
+    row = s.redact(docs_of([(1, text)]), model).first()
+    assert row["text"] == "[secret] end"
+
+
+def test_query(spark, sf_dir, rows_of):
+    found = {r["doc_id"]: r for r in s.query(spark, sf_dir).collect()}
+    for doc, text in rows_of("documents", "doc_id, text"):
+        row, base = found.pop(doc), plain(text or "")
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == [sum(k == i for _, k, _ in base) for i in range(3)]
+        own = [x for x in row["spans"].split(",") if x and not x.startswith("markov")]
+        assert own == [f"{s.KINDS[k]}:{a}:{b}" for a, k, b in base]
+    assert not found

@@ -1,0 +1,122 @@
+"""Removed bytes against a table of all windows; the suffix array against plain sorting."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tickengine.llm import suffix_dedup as s
+
+
+def plain(rows, window):
+    """Removed spans and the rest of each row."""
+    data = [(i, (t or "").encode()) for i, t in rows]
+    seen = Counter(d[at : at + window] for _, d in data for at in range(len(d) - window + 1))
+    made = []
+    for i, d in data:
+        spans = []
+        for at in range(len(d) - window + 1):
+            if seen[d[at : at + window]] > 1:
+                if spans and at <= spans[-1][1]:
+                    spans[-1][1] = at + window
+                else:
+                    spans.append([at, at + window])
+        edges = [0, *(x for span in spans for x in span), len(d)]
+        made.append((i, len(d), tuple(map(tuple, spans)), b"".join(d[a:b] for a, b in zip(edges[::2], edges[1::2]))))
+    return sorted(made, key=repr)
+
+
+def got(frame):
+    return sorted(
+        ((r["id"], r["n_bytes"], tuple((x["s"], x["e"]) for x in r["removed"]), bytes(r["kept"])) for r in frame.collect()),
+        key=repr,
+    )
+
+
+def test_suffix_order():
+    pick = random.Random(1)
+    for letters in (b"a", b"ab", b"abc", bytes(range(256))):
+        for n in (0, 1, 2, 3, 10, 300, 2_000):
+            text = bytes(pick.choice(letters) for _ in range(n))
+            order = s.suffix_order(text, n + 1).tolist()
+            assert order == sorted(range(n), key=lambda i: text[i:])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=200))
+def test_suffix_order_of_any_bytes(text):
+    assert s.suffix_order(text, 300).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+@pytest.mark.parametrize("depth", [3, 8])
+def test_suffix_order_to_a_depth(depth):
+    pick = random.Random(depth)
+    text = bytes(pick.choice(b"ab") for _ in range(500))
+    order = s.suffix_order(text, depth)
+    keys = [text[i : i + depth] for i in order]
+    assert keys == sorted(keys) and sorted(order) == list(range(500))
+
+
+def test_sliding_least():
+    draw = np.random.default_rng(1)
+    for n, width in ((5, 5), (7, 3), (100, 9), (64, 1)):
+        values = draw.integers(0, 50, n).astype(np.uint64)
+        assert s.sliding_least(values, width).tolist() == [min(values[i : i + width]) for i in range(n - width + 1)]
+
+
+SIZES = dict(window=40, gram=8, piece=3_000, block=2_000)
+
+
+@pytest.fixture
+def corpus(prose):
+    pick = random.Random(9)
+    passages = [prose(12, 50 + i) for i in range(6)]
+    rows = []
+    for i in range(60):
+        parts = [prose(pick.randrange(30), 1_000 + i)]
+        for _ in range(pick.randrange(4)):
+            parts += [pick.choice(passages)[pick.randrange(20) :], prose(pick.randrange(9), 2_000 + len(parts) + 9 * i)]
+        rows.append((i, " ".join(parts)))
+    return rows + [(100 + i, rows[3][1]) for i in range(5)]
+
+
+@pytest.mark.parametrize("hot", [512, 2])
+def test_passages(docs_of, corpus, hot):
+    found = s.remove_repeats(docs_of(corpus), hot=hot, **SIZES)
+    wanted = plain(corpus, 40)
+    assert got(found) == wanted
+    assert any(spans for _, _, spans, _ in wanted)
+
+
+def test_edge_rows(docs_of, prose):
+    text, long_ = prose(20, 1), prose(4_000, 2)
+    rows = [
+        (1, None), (1, ""), (2, "short"), (2, "short"), (None, text), (3, text), (3, text), (4, "a" * 500), (5, "ab" * 90),
+        (6, text[:39]), (7, text[:40]), (8, long_), (9, "x" + long_[500:9_000] + "y"), (10, "é" * 60 + text),
+        (11, text[10:] + " " + text[5:]), (12, "abc" + "a" * 45),
+    ]
+    for hot in (512, 1):
+        assert got(s.remove_repeats(docs_of(rows), hot=hot, **SIZES)) == plain(rows, 40)
+
+
+def test_production_sizes(docs_of, prose):
+    passage = prose(200, 5)
+    rows = [(i, f"{prose(300, i)} {passage[i:]} {prose(100, 70 + i)}") for i in range(6)]
+    assert got(s.remove_repeats(docs_of(rows))) == plain(rows, 400)
+
+
+def test_empty_table(docs_of):
+    assert s.remove_repeats(docs_of([])).count() == 0
+
+
+def test_query(spark, sf_dir, rows_of):
+    rows = rows_of("documents", "doc_id, text")
+    wanted = {i: (n, sum(e - a for a, e in spans), len(spans), hashlib.sha256(kept).hexdigest())
+              for i, n, spans, kept in plain(rows, 400)}
+    found = s.query(spark, sf_dir).collect()
+    names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert {r["doc_id"]: tuple(r[n] for n in names) for r in found} == wanted

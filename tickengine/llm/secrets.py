@@ -109,11 +109,17 @@ def train(
     return ratio(rows)
 
 
-def ratio(rows: pd.DataFrame) -> np.ndarray:
-    """Log-likelihood ratios from counts, with one seen transition of each kind added."""
-    seen = np.ones((2, _N + 1, _N))
+def ratio(rows: pd.DataFrame, weight: float = 5.0) -> np.ndarray:
+    """Log-likelihood ratios from counts.
+
+    A character's chance after another one is smoothed by ``weight`` times its chance
+    anywhere in the class, and that by half a character of each kind.
+    """
+    seen = np.zeros((2, _N + 1, _N))
     seen.reshape(2, -1)[rows["kind"].to_numpy(int), rows["step"].to_numpy(int)] += rows["n"].to_numpy(float)
-    chance = np.log(seen / seen.sum(axis=2, keepdims=True))
+    anywhere = seen.sum(axis=1, keepdims=True) + 0.5
+    anywhere /= anywhere.sum(axis=2, keepdims=True)
+    chance = np.log((seen + weight * anywhere) / (seen.sum(axis=2, keepdims=True) + weight))
     return (chance[1] - chance[0]).reshape(-1)
 
 

@@ -140,7 +140,7 @@ class Bytes:
         """At least ``n`` bytes ready, if the archive has them."""
         while len(self.ready) < n and self.at < len(self.packed):
             self.ready += self.unpack.decompress(self.packed[self.at : self.at + self.piece])
-            self.at += self.piece
+            self.at = min(len(self.packed), self.at + self.piece)
             if self.unpack.eof and self.unpack.unused_data:  # next member
                 self.at -= len(self.unpack.unused_data)
                 self.unpack = zlib.decompressobj(31)
