@@ -84,9 +84,9 @@ def corpus(prose):
     return rows + [(100 + i, rows[3][1]) for i in range(5)]
 
 
-@pytest.mark.parametrize("hot", [512, 2])
-def test_passages(docs_of, corpus, hot):
-    found = s.remove_repeats(docs_of(corpus), hot=hot, **SIZES)
+@pytest.mark.parametrize("hot, large", [(512, 16_384), (2, 16_384), (2, 4), (2, 2)])
+def test_passages(docs_of, corpus, hot, large):
+    found = s.remove_repeats(docs_of(corpus), hot=hot, large=large, **SIZES)
     wanted = plain(corpus, 40)
     assert got(found) == wanted
     assert any(spans for _, _, spans, _ in wanted)
@@ -99,8 +99,8 @@ def test_edge_rows(docs_of, prose):
         (6, text[:39]), (7, text[:40]), (8, long_), (9, "x" + long_[500:9_000] + "y"), (10, "é" * 60 + text),
         (11, text[10:] + " " + text[5:]), (12, "abc" + "a" * 45),
     ]
-    for hot in (512, 1):
-        assert got(s.remove_repeats(docs_of(rows), hot=hot, **SIZES)) == plain(rows, 40)
+    for hot, large in ((512, 512), (1, 512), (1, 1)):
+        assert got(s.remove_repeats(docs_of(rows), hot=hot, large=large, **SIZES)) == plain(rows, 40)
 
 
 def test_production_sizes(docs_of, prose):

@@ -12,8 +12,9 @@
    in two stages: suffixes smaller than their successors are sorted directly, to the depth
    of a window; all others are induced by one scan over the 256 buckets. Neighbours in it
    whose common prefix reaches a window's length are repeated.
-4. Strings of an anchor with more than ``HOT`` of them would overload a task: their windows
-   are counted by 128-bit hashes in a grouping, which finds the same windows.
+4. Anchors with more than ``HOT`` strings would make sorting slow: a task of their own counts
+   their windows by 128-bit hashes, which finds the same windows. From ``LARGE`` strings on
+   the windows are rows of a grouping, so that no task holds all of an anchor.
 5. Spans go back to the texts, where overlapping ones unite.
 
 Defined results: NULL and empty texts have no bytes; texts shorter than a window lose
@@ -42,6 +43,7 @@ GRAM = 64
 PIECE = 1 << 20
 BLOCK = 1 << 19
 HOT = 512
+LARGE = 16_384
 _U = np.uint64
 _POS = _U((1 << 26) - 1)
 _grams, _strings, _third = Rolling(0xD1B54A32D192ED03), Rolling(0xA0761D6478BD642F), Rolling(0xE7037ED1A0B428DB)
@@ -79,8 +81,11 @@ def anchored(raw: np.ndarray, valid: np.ndarray, window: int, gram: int):
     return begin, end, hashed[place[first]].view(np.int64), own.view(np.int64)
 
 
-def _pieces(values: list[str | None], window: int, piece: int):
-    """``(texts, offsets, raw, valid)`` of joined pieces; a window starts in one piece only."""
+def _joined(values: Iterable[tuple[int, bytes]], window: int, piece: int):
+    """``(numbers, offsets, parts, raw, valid)`` of joined pieces of numbered byte strings.
+
+    ``valid`` marks the windows; each starts in one piece only.
+    """
     texts, offsets, parts, size = [], [], [], 0
 
     def joined():
@@ -92,8 +97,7 @@ def _pieces(values: list[str | None], window: int, piece: int):
             at += len(part)
         return texts, offsets, parts, raw, valid
 
-    for number, value in enumerate(values):
-        data = (value or "").encode()
+    for number, data in values:
         for offset in range(0, max(0, len(data) - window + 1), piece):
             part = data[offset : offset + piece + window - 1]
             if parts and size + len(part) > piece:
@@ -113,7 +117,8 @@ def cut(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, piece: int = PI
     def run(batches):
         for batch in batches:
             k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for texts, offsets, parts, raw, valid in _pieces(batch.column(2).to_pylist(), window, piece):
+            data = enumerate((v.as_py() or "").encode() for v in batch.column(2))
+            for texts, offsets, parts, raw, valid in _joined(data, window, piece):
                 begin, end, anchor, own = anchored(raw, valid, window, gram)
                 edges = np.cumsum([0, *map(len, parts)])
                 part = np.searchsorted(edges, begin, side="right") - 1
@@ -229,8 +234,40 @@ def sorted_spans(strings: DataFrame, tasks: int, window: int) -> DataFrame:
     return dealt.groupBy("task").applyInPandas(run, _FOUND)
 
 
+def window_hashes(strings: list[bytes], window: int) -> tuple[np.ndarray, ...]:
+    """String, start and two hashes of every window."""
+    made = []
+    for texts, offsets, parts, raw, valid in _joined(enumerate(strings), window, PIECE):
+        at = np.flatnonzero(valid)
+        edges = np.cumsum([0, *map(len, parts)])
+        part = np.searchsorted(edges, at, side="right") - 1
+        made.append((np.array(texts)[part], np.array(offsets)[part] + at - edges[part],
+                     *(h.pieces(h.sums(raw), at, at + window) for h in (_strings, _third))))
+    return tuple(np.concatenate(x) for x in zip(*made))
+
+
+def hashed_spans(strings: DataFrame, window: int) -> DataFrame:
+    """The same as ``sorted_spans`` for common anchors, each in a task of its own."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        number, start, h1, h2 = window_hashes([bytes(x) for x in frame["bytes"]], window)
+        order = np.lexsort((h2, h1))
+        same = (h1[order[1:]] == h1[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
+        again = np.zeros(len(order), dtype=bool)
+        again[order[1:][same]] = again[order[:-1][same]] = True
+        number, start = number[again], start[again]
+        edges = np.searchsorted(number, np.arange(len(frame) + 1))
+        spans = [
+            covered(start[a:b], window) if n == 1 else [] for a, b, n in zip(edges, edges[1:], frame["n"])
+        ]
+        made = frame[["anchor", "string"]].assign(spans=spans)
+        return made[[len(x) > 0 for x in spans]]
+
+    return strings.groupBy("anchor").applyInPandas(run, _FOUND)
+
+
 def counted_spans(strings: DataFrame, window: int, scratch: Scratch) -> DataFrame:
-    """The same for very common anchors: windows are rows, counted by two hashes."""
+    """The same for anchors of any size: windows are rows, counted by two hashes."""
 
     def explode(batches):
         for batch in batches:
@@ -267,11 +304,14 @@ def _keys(text: Column) -> list[Column]:
 
 
 def find_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int = GRAM,
-               block: int = BLOCK, hot: int = HOT, piece: int = PIECE) -> DataFrame:
+               block: int = BLOCK, hot: int = HOT, large: int = LARGE, piece: int = PIECE) -> DataFrame:
     """Per text (k1, k2) with repeated windows: all its repeated spans, unmerged."""
     long_ = docs.filter(F.octet_length("text") >= window).select("k1", "k2", "text")
     cuts = scratch.keep(cut(long_, window, gram, piece))
-    shared = cuts.groupBy("anchor").agg(F.count("*").alias("c")).filter(F.col("c") > 1).select("anchor")
+    # Written first, so that Spark can split the rows of a common anchor in the join.
+    shared = scratch.keep(
+        cuts.groupBy("anchor").agg(F.count("*").alias("c")).filter(F.col("c") > 1).select("anchor")
+    )
     hits = scratch.keep(cuts.join(shared, "anchor"))
     place = [F.first(c).alias(c) for c in ("k1", "k2", "start", "end")]
     strings = scratch.keep(hits.groupBy("anchor", "string").agg(F.count("*").alias("n"), *place))
@@ -299,7 +339,10 @@ def find_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: in
         tasks = max(1, -(-total // block))
         found = found.unionByName(sorted_spans(fetched.filter(F.col("m") <= hot), tasks, window))
     if most and most > hot:
-        found = found.unionByName(counted_spans(fetched.filter(F.col("m") > hot), window, scratch))
+        some = fetched.filter((F.col("m") > hot) & (F.col("m") <= large))
+        found = found.unionByName(hashed_spans(some, window))
+    if most and most > large:
+        found = found.unionByName(counted_spans(fetched.filter(F.col("m") > large), window, scratch))
     back = hits.join(found, ["anchor", "string"]).select("k1", "k2", "start", F.explode("spans").alias("span"))
     placed = back.select(
         "k1", "k2", (F.col("start") + F.col("span.s")).alias("s"), (F.col("start") + F.col("span.e")).alias("e")
