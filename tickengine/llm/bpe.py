@@ -50,16 +50,20 @@ def byte_letters() -> list[str]:
 
 
 class Cache(dict):
-    """A dict that computes what it misses and starts anew when it is full."""
+    """A dict that computes what it misses; full, it keeps its entries for one more turn."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.older = make, limit, {}
 
     def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -74,10 +78,9 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in described["added_tokens"]}
         self.strings |= {i: s for s, i in self.special.items()}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        # Symbols are ids from here on: (left, right) -> (rank, merged).
-        self.merges = {
-            (vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(merges)
-        }
+        # Symbols are ids from here on.
+        self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(merges)}
+        self.merged = [vocab[a + b] for a, b in merges]
         self.inner = [vocab[c] for c in self.letters]
         self.final = [vocab[c + WORD_END] for c in self.letters]
         self.joined = self.find_pairs(vocab)
@@ -116,28 +119,23 @@ class Codec:
         return made
 
     def merge(self, raw: bytes, ends: bool) -> list[int]:
-        """The merges of one fragment, lowest rank first."""
+        """The merges of one fragment, lowest rank first, from left to right."""
         ids = [self.inner[b] for b in raw]
         if ends:
             ids[-1] = self.final[raw[-1]]
-        merges = self.merges
-        while len(ids) > 1:
-            best, pair = None, None
-            for found in zip(ids, ids[1:]):
-                known = merges.get(found)
-                if known and (best is None or known < best):
-                    best, pair = known, found
-            if best is None:
+        none, rank, merged = len(self.merged), self.ranks.get, self.merged
+        ranks = [rank(pair, none) for pair in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            made, i, n = [], 0, len(ids)
-            while i < n:
-                if i + 1 < n and ids[i] == pair[0] and ids[i + 1] == pair[1]:
-                    made.append(best[1])
-                    i += 2
-                else:
-                    made.append(ids[i])
-                    i += 1
-            ids = made
+            i = ranks.index(best)
+            ids[i] = merged[best]
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank((ids[i], ids[i + 1]), none)
+            if i:
+                ranks[i - 1] = rank((ids[i - 1], ids[i]), none)
         return ids
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
@@ -195,7 +193,7 @@ def encode_texts(
 ) -> DataFrame:
     """Per row: id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``; with ``with_ids`` also ``ids``."""
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
     def run(batches):
         own = codec(path)
