@@ -9,10 +9,10 @@ import pytest
 from tickengine.session import build_session
 
 SAMPLE = [
-    ("AAPL", 189.5, 1200000, 2950000000000, "2024-06-01T10:00:00", "NASDAQ"),
-    ("MSFT", 415.2, 850000, 3080000000000, "2024-06-01T10:00:01", "NASDAQ"),
-    ("GOOGL", 175.0, 620000, 2190000000000, "2024-06-01T10:00:02", "NASDAQ"),
-    ("TSLA", 185.8, 2100000, 590000000000, "2024-06-01T10:00:03", "NASDAQ"),
+    ("NORTH", 41.25, 310, 5200000, "2023-03-07T09:30:00", "EAST"),
+    ("SOUTH", 7.5, 1250, 880000, "2023-03-07T09:30:04", "EAST"),
+    ("RIVER", 120.0, 45, 99000000, "2023-03-07T09:30:09", "WEST"),
+    ("STONE", 63.75, 600, 4100000, "2023-03-07T09:31:00", "WEST"),
 ]
 
 

@@ -102,13 +102,11 @@ def test_ticks_as_of(ticks_of):
 
 
 @pytest.mark.parametrize("closed", ["left", "both"])
-@pytest.mark.parametrize("hot_ticks,hot_limit", [(None, 1), (1, 1), (2, 2), (2, 100)])
-def test_deviation_equals_the_range_join(ticks_of, closed, hot_ticks, hot_limit):
+@pytest.mark.parametrize("salts", [1, 2, 7])
+def test_deviation_equals_the_range_join(ticks_of, closed, salts):
     ticks = ticks_of(TICKS)
     vwap = windows.vwap(ticks)
-    found = analytics.vwap_deviation(
-        ticks, vwap, closed=closed, hot_ticks=hot_ticks, hot_limit=hot_limit
-    )
+    found = analytics.vwap_deviation(ticks, vwap, closed=closed, salts=salts)
     assert bag(found) == bag(literal_join(ticks, vwap, 0.01, closed == "both"))
 
 
@@ -124,21 +122,30 @@ def test_random_ticks_with_many_on_boundaries(ticks_of, seed, closed):
         ]
     )
     vwap = windows.vwap(ticks, decimals=2)
-    found = analytics.vwap_deviation(ticks, vwap, closed=closed, hot_ticks=5, hot_limit=7)
+    found = analytics.vwap_deviation(ticks, vwap, closed=closed, salts=5)
     # a literal division by a missing VWAP would be the same NULL
     assert bag(found) == bag(literal_join(ticks, vwap, 0.01, closed == "both"))
 
 
-def test_hot_windows_are_the_same_in_whatever_order_they_come(ticks_of):
-    """Equal counts at the limit must not depend on how the windows are partitioned."""
-    ticks = ticks_of([(f"T{i:02d}", 1.0, 1, f"10:{m:02d}:00") for i in range(20) for m in range(5)])
-    vwap = windows.vwap(ticks)
-    picks = {
-        tuple(bag(analytics.hot_windows(df, "tick_count_1m", 1, 7).select("window_start", "ticker")))
-        for df in (vwap, vwap.repartition(7, "ticker"), vwap.repartition(3, "vwap_1m"),
-                   vwap.orderBy(F.desc("ticker")), vwap.orderBy(F.desc("window_start")))
-    }
-    assert len(picks) == 1
+@pytest.mark.parametrize("salts", [1, 3])
+def test_two_versions_of_a_window_join_alike_whatever_their_counts(ticks_of, salts):
+    ticks = ticks_of([("A", 1.0, 1, "10:00:30"), ("A", 3.0, 1, "10:00:31")])
+    both = windows.vwap(ticks).unionByName(windows.vwap(ticks.limit(1)))
+    assert analytics.ticks_with_vwap(ticks, both, salts=salts).count() == 4
+
+
+def test_movers_skip_missing_prices(ticks_of):
+    ticks = ticks_of([("A", None, 1, "10:00:00"), ("A", 2.0, 1, "10:00:01"), ("A", 3.0, 1, "10:00:02"),
+                      ("A", None, 1, "10:00:03"), ("B", None, 5, "10:00:00")])
+    rows = {r["ticker"]: tuple(r)[1:] for r in analytics.top_movers(ticks, lookback=None).collect()}
+    assert rows == {"A": (2.0, 3.0, 50.0, 4), "B": (None, None, None, 5)}
+
+
+def test_nothing_runs_while_the_join_is_declared(spark, ticks_of):
+    ticks = ticks_of(TICKS)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    analytics.ticks_with_vwap(ticks, windows.vwap(ticks), salts=4)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
 
 
 def test_boundary_tick(ticks_of):
@@ -161,12 +168,12 @@ def test_deviation_is_sorted_and_skips_undefined(ticks_of):
 
 def test_copies_of_a_tick_are_all_kept(ticks_of):
     ticks = ticks_of([("A", 1.0, 1, "10:00:00")] * 50 + [("A", 9.0, 1, "10:00:01")] * 50)
-    assert analytics.vwap_deviation(ticks, windows.vwap(ticks), hot_ticks=10).count() == 100
+    assert analytics.vwap_deviation(ticks, windows.vwap(ticks), salts=10).count() == 100
 
 
 def test_join_has_equality_keys_only(ticks_of):
     ticks = ticks_of(TICKS)
-    plan = analytics.vwap_deviation(ticks, windows.vwap(ticks), ordered=False, hot_ticks=None)
+    plan = analytics.vwap_deviation(ticks, windows.vwap(ticks), ordered=False)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     join = [l for l in text.split("\n") if "Join Inner" in l][0]
     assert "window_start" in join and "window_end" not in join
@@ -180,7 +187,7 @@ def test_date_filter_on_ticks_prunes_windows(spark, ticks_of, tmp_path):
         df.write.partitionBy("date_partition").parquet(str(tmp_path / name))
     ticks, vwap = (spark.read.parquet(str(tmp_path / name)) for name in paths)
     found = analytics.vwap_deviation(
-        analytics.recent(ticks, "2024-06-03 10:02:00"), vwap, ordered=False, hot_ticks=None
+        analytics.recent(ticks, "2024-06-03 10:02:00"), vwap, ordered=False
     )
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     on_windows = [line for line in plan.split("\n") if "Filter" in line and "isnotnull(vwap_1m" in line]

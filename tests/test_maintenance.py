@@ -4,10 +4,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tickengine.functions.clustering import text_boundaries, text_rank
 from tickengine.operators import windows
 from tickengine.plans import maintenance, replay
 from tickengine.session import new_dir
-from tickengine.sources import tables
+from tickengine.sources import layout, tables
 
 DAY, OTHER = "2024-06-03", "2024-06-04"
 FAR = "2100-01-01 00:00:00"
@@ -88,22 +89,63 @@ def test_batches_after_a_rewrite_stay_visible(spark, root, batch):
 
 
 def test_batch_that_arrives_during_a_rewrite_is_counted_once(spark, root, batch, monkeypatch):
-    """The batch lands between the listing of files and the reading of rows."""
-    listed = maintenance.table_files
+    """The batch lands between the look at what is live and the reading of rows."""
+    reading = maintenance.read_folders
 
-    def listing(*args, **kwargs):
-        files = listed(*args, **kwargs).persist()
-        files.count()
-        if args[2:] and not os.path.exists(f"{root}/data/date_partition={DAY}/batch_id=3"):
-            tables.write_batch(batch(7), root, 3)
-        return files
+    def read(session, where, dates):
+        tables.write_batch(batch(7), root, 3)
+        return reading(session, where, dates)
 
-    monkeypatch.setattr(maintenance, "table_files", listing)
+    monkeypatch.setattr(maintenance, "read_folders", read)
     maintenance.compact(spark, root, DAY)
     assert tables.read_table(spark, root, date=DAY).count() == 1200
     assert tables.read_table(spark, root, date=DAY).distinct().count() == 1200
 
 
+def test_a_smaller_number_may_arrive_after_a_rewrite(spark, root, batch):
+    """Numbers are no order of arrival: what no rewrite covers is live."""
+    tables.write_batch(batch(7), root)  # a large number, the time
+    maintenance.compact(spark, root, DAY)
+    tables.write_batch(batch(8), root, 3)
+    assert tables.read_table(spark, root, date=DAY).count() == 1500
+
+
+def test_a_new_column_outlives_rewrites(spark, root, batch):
+    tables.write_batch(batch(7).withColumn("currency", F.lit("USD")), root, 3)
+    for rewrite in (maintenance.compact, maintenance.zorder):
+        rewrite(spark, root, DAY)
+        found = tables.read_table(spark, root)
+        assert found.filter("currency = 'USD'").count() == 300
+        assert found.filter("currency IS NULL").count() == 1800
+
+
+def test_a_rewrite_that_loses_columns_is_not_published(spark, root, monkeypatch):
+    monkeypatch.setattr(maintenance, "clustered", lambda rows, *a, **k: rows.drop("volume"))
+    with pytest.raises(maintenance.MaintenanceError, match="columns"):
+        maintenance.zorder(spark, root, DAY)
+    assert "volume" in tables.read_table(spark, root).columns
+
+
+def test_only_asked_dates_are_listed(spark, root, monkeypatch):
+    seen, listing = [], layout.live_date
+    monkeypatch.setattr(layout, "live_date", lambda s, r, d: seen.append(d) or listing(s, r, d))
+    assert tables.read_table(spark, root, first=OTHER, last="2024-07-01").count() == 900
+    assert tables.read_table(spark, root, last=DAY).count() == 900
+    assert seen == [OTHER, DAY]
+
+
+def test_long_texts_with_a_common_start_are_clustered(spark, ticks_of):
+    rows = ticks_of([(f"SAME_BEGINNING_{i % 50:02d}", 1.0, i, "10:00:00") for i in range(5000)])
+    by = ["ticker", "volume"]
+    placed = maintenance.clustered(rows, by, 16).withColumn("part", F.spark_partition_id())
+    parts = placed.groupBy("ticker").agg(F.count_distinct("part").alias("n"))
+    assert max(r["n"] for r in parts.collect()) < 12
+    cuts = text_boundaries(rows, "ticker", 256)
+    rank = {r["ticker"]: r["k"] for r in rows.select("ticker", text_rank(F.col("ticker"), cuts).alias("k")).collect()}
+    assert [t for t, _ in sorted(rank.items(), key=lambda x: x[1])] == sorted(rank)
+    assert len(set(rank.values())) > 45
+
+
 def test_clustering_narrows_what_a_filter_reads(spark, root):
     def touched(condition):
         rows = tables.read_table(spark, root, date=DAY)
@@ -193,8 +235,10 @@ def test_vacuum_deletes_and_rows_stay(spark, root):
     maintenance.vacuum(spark, root, as_of=FAR)
     folder = f"{root}/data/date_partition={DAY}"
     assert os.path.exists(f"{folder}/batch_id=0")  # dry run
-    maintenance.vacuum(spark, root, as_of=FAR, dry_run=False)
-    assert sorted(d for d in os.listdir(folder) if d.startswith("batch_id")) == ["batch_id=-1"]
+    told = maintenance.vacuum(spark, root, as_of=FAR, dry_run=False).first()
+    assert told["folders"] == 3 and told["files"] >= 3 and told["bytes"] > 0
+    left = [d for d in os.listdir(folder) if d.startswith("batch_id")]
+    assert len(left) == 1 and left[0].startswith("batch_id=-")
     assert bag(tables.read_table(spark, root)) == before
     last = maintenance.history(spark, root, 1).first()
     assert last["operation"] == "VACUUM" and int(last["operationMetrics"]["numDeletedFiles"]) > 0
@@ -219,6 +263,17 @@ def test_a_failing_table_is_reported_and_does_not_stop_the_others(spark, root):
         maintenance.run_all(spark, roots, DAY)
 
 
+def test_a_corrupt_table_does_not_stop_the_others(spark, root, batch):
+    bad = new_dir(spark, "bad")
+    tables.write_batch(batch(1), bad, 0)
+    spark.range(9).selectExpr("'no parquet' AS value").coalesce(1).write.mode("append").text(
+        f"{bad}/data/date_partition={DAY}/batch_id=0"
+    )
+    result = maintenance.run_all(spark, {"bad": bad, "raw": root}, raise_on_error=False)
+    told = {r["table"]: (r["dates_rewritten"], r["error"] is None) for r in result.collect()}
+    assert told == {"bad": (0, False), "raw": (2, True)}
+
+
 def test_all_closed_dates_with_new_batches(spark, root, batch):
     before = bag(tables.read_table(spark, root))
     closed = dt.date(2024, 6, 4)
@@ -239,5 +294,5 @@ def test_replay(spark, root):
     vwap_root = new_dir(spark, "v")
     wrong = expected.withColumn("vwap_1m", F.lit(0.0))
     tables.write_batch(wrong, vwap_root, 0)
-    replay.replay_into(spark, root, vwap_root, 1, DAY, DAY)
+    replay.replay_into(spark, root, vwap_root, DAY, DAY)
     assert bag(tables.read_upserted(spark, vwap_root).select(*expected.columns)) == bag(expected)

@@ -98,6 +98,37 @@ def test_gaps_against_brute_force(spark, cells_per_chunk):
     assert ("C", 600, 0, 1) in expected
 
 
+def test_an_outage_that_goes_on(ticks_of):
+    ticks = ticks_of([("A", 1.0, 1, "10:00:00"), ("B", 1.0, 1, "10:00:00"), ("B", 1.0, 1, "10:50:00")])
+    found = quality.gaps(ticks, "30 minutes", as_of="2024-06-03 11:00:00", expected=["A", "C"])
+    rows = {(r["ticker"], r["gap_seconds"]) for r in found.collect()}
+    assert rows == {("A", 3600), ("B", 3000), ("C", None)}
+    with pytest.raises(quality.DataQualityError, match="A: 1"):
+        quality.require_no_gaps(ticks.filter("ticker = 'A'"), as_of="2024-06-03 11:00:00")
+
+
+def test_how_many_more_gaps(ticks_of):
+    ticks = ticks_of([(f"T{i:02d}", 1.0, 1, at) for i in range(13) for at in ("10:00:00", "11:00:00")])
+    with pytest.raises(quality.DataQualityError, match="3 more"):
+        quality.require_no_gaps(ticks)
+
+
+def test_late_arrivals_are_fresh(ticks_of):
+    ticks = ticks_of([("A", 1.0, 1, "10:00:00")]).withColumns(
+        {"date_partition": F.to_date("event_time"), "ingest_time": F.lit("2024-08-01 10:00:00").cast("timestamp")}
+    )
+    assert quality.require_fresh(ticks, "2024-08-01 10:05:00", days=1) == 5
+
+
+def test_silent_intervals(ticks_of):
+    ticks = ticks_of([("A", 1.0, 1, "10:00:00"), ("A", 1.0, 1, "10:03:00"), ("B", 1.0, 1, "10:01:00")])
+    rows = {(r["ticker"], str(r["window_start"])[14:16], r["tick_count"]) for r in quality.tick_rate(ticks).collect()}
+    assert rows == {("A", "00", 1), ("A", "01", 0), ("A", "02", 0), ("A", "03", 1), ("B", "01", 1)}
+    found = quality.tick_rate(ticks, first="2024-06-03 10:00:00", last="2024-06-03 10:04:30")
+    assert found.count() == 10 and found.filter("is_low").count() == 10
+    assert quality.tick_rate(ticks, silent=False).count() == 3
+
+
 def test_require_no_gaps(ticks_of):
     ticks = ticks_of([("A", 1.0, 1, "10:00:00"), ("A", 1.0, 1, "10:20:00"), ("A", 1.0, 1, "11:00:00")])
     quality.require_no_gaps(ticks, "1 hour")

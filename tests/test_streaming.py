@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tickengine.operators import analytics, parse, windows
 from tickengine.plans import maintenance
 from tickengine.session import new_dir
-from tickengine.sources import messages, tables
+from tickengine.sources import layout, messages, tables
 from tickengine.streaming import jobs, sinks
 from tickengine.streaming.source import read_backlog, read_tick_stream, trigger
 
@@ -142,7 +142,7 @@ def test_a_batch_that_failed_after_writing_is_replayed_once(spark, feed):
     ticks = parse.raw_columns(parsed(spark, feed))
 
     def write_then_fail(batch, batch_id):
-        tables.write_batch(batch, root, batch_id)
+        tables.write_batch(batch, root, layout.batch_number(spark, root, checkpoint, batch_id))
         raise RuntimeError("driver lost")
 
     with pytest.raises(StreamingQueryException, match="driver lost"):
@@ -156,13 +156,56 @@ def test_a_new_checkpoint_continues_the_table(spark, feed):
     root = new_dir(spark, "s")
     for at in range(2):
         feed.add(body(*TICKS[at]))
-        ticks = parse.raw_columns(parsed(spark, feed))
-        first = maintenance.next_batch(spark, root) if at else 0
-        query = sinks.append_stream(ticks, root, new_dir(spark, "c"), every=None, first_batch=first)
-        query.awaitTermination()
+        run(parse.raw_columns(parsed(spark, feed)), root, new_dir(spark, "c"))
+        maintenance.compact(spark, root, "2024-06-03")
     # the second checkpoint reads the first file again, as its own batch
     assert tables.read_table(spark, root).count() == 3
-    assert maintenance.next_batch(spark, root) == 3
+
+
+def test_numbers_of_batches(spark):
+    root, one, two = (new_dir(spark, n) for n in ("s", "c", "c"))
+    first = layout.batch_number(spark, root, one, 0)
+    assert layout.batch_number(spark, root, one, 0) == first
+    others = {layout.batch_number(spark, root, one, 1), layout.batch_number(spark, root, two, 0),
+              layout.batch_number(spark, root + "x", one, 0)}
+    assert len(others) == 3 and first not in others
+    for n in range(2, 30):
+        layout.batch_number(spark, root, one, n)
+    assert len(layout.children(spark, f"{one}/numbers/" + layout.children(spark, f"{one}/numbers")[0])) <= 30
+
+
+def test_times_far_ahead_do_not_stop_the_others(spark, feed):
+    feed.add(body("A", 1.0, 1, "10:00:00"))
+    feed.add('{"ticker":"A","price":1.0,"volume":1,"timestamp":"9000-01-01T00:00:00"}')
+    for minute in range(1, 4):
+        feed.add(body("A", 1.0, 1, f"10:{minute:02d}:00"))
+    out = new_dir(spark, "job")
+    jobs.await_all(jobs.run_streams(feed.stream(spark), f"{out}/t", f"{out}/c", every=None,
+                                    durations=("1 minute",), upsert=True, max_ahead="1 day"))
+    assert tables.read_upserted(spark, f"{out}/t/vwap_1m").count() == 4
+    reject = tables.read_table(spark, f"{out}/t/quarantine").first()
+    assert reject["missing_fields"] == ["event_time_ahead"]
+
+
+def test_each_message_is_parsed_once_by_the_raw_query(spark, feed):
+    fill(feed)
+    out = new_dir(spark, "job")
+    queries = jobs.run_streams(feed.stream(spark), f"{out}/t", f"{out}/c", every=None, durations=())
+    jobs.await_all(queries)
+    rows = jobs.progress_rows(queries[0]).collect()
+    assert sum(r["input_rows"] for r in rows) == len(TICKS)
+
+
+def test_late_rows_are_added_up(spark, feed):
+    class Event:
+        def __init__(self, late):
+            state = type("S", (), {"numRowsDroppedByWatermark": late})()
+            self.progress = type("P", (), {"name": "q", "id": 1, "stateOperators": [state, state]})()
+
+    log = jobs.LateRows()
+    for late in (0, 2, 3):
+        log.onQueryProgress(Event(late))
+    assert log.dropped == {"q": 10}
 
 
 def test_copies_of_a_tick_are_all_reported(spark, feed):
@@ -241,9 +284,8 @@ def test_backfill_resumes_where_it_ended(spark, feed, tmp_path):
     jobs.backfill(spark, feed.folder, path, checkpoint).awaitTermination()
     feed.add(body("C", 1.0, 1, "11:00:00"))
     jobs.backfill(spark, feed.folder, path, checkpoint).awaitTermination()
-    stored = spark.read.json(path)
-    assert stored.count() == len(TICKS) + 1
-    assert {"ticker", "price", "volume", "timestamp", "_date", "_ticker"} <= set(stored.columns)
+    stored = [r["value"] for r in spark.read.text(path).select("value").collect()]
+    assert sorted(stored) == sorted([*(body(*t) for t in TICKS), "not json", body("C", 1.0, 1, "11:00:00")])
 
 
 def test_publishing_a_stream(spark, feed, tmp_path):

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickengine.operators import windows
+from tickengine.operators.parse import parse_events
+from tickengine.plans import maintenance
 from tickengine.schemas import RAW_SCHEMA, vwap_schema
 from tickengine.session import new_dir
 from tickengine.sources import messages, tables
@@ -53,7 +55,7 @@ def test_new_column_in_later_files(spark, dated):
     tables.write_batch(dated(), root, 0)
     wider = dated().withColumn("currency", F.lit("USD"))
     tables.write_batch(wider, root, 1)
-    merged = tables.read_table(spark, root, merge_schema=True)
+    merged = tables.read_table(spark, root)
     assert merged.count() == 6
     assert merged.filter(F.col("currency").isNull()).count() == 3
 
@@ -129,12 +131,47 @@ def test_raw_table_ddl(spark, dated, tmp_path):
     # each date was replaced on its own, the other one stayed
     assert read_named(spark, "raw_ddl").count() == 6
     assert read_named(spark, "raw_ddl").select("date_partition").distinct().count() == 2
-    told = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE raw_ddl").collect()}
-    assert told["ticker"] == tables.RAW_COMMENTS["ticker"]
     spark.sql("DROP TABLE raw_ddl")
     assert read_path(spark, str(tmp_path / "raw")).count() == 6
 
 
+def test_streamed_tables_by_name(spark, dated):
+    root = new_dir(spark, "t")
+    tables.write_batch(dated(), root)
+    tables.create_raw(spark, "streamed", root, streamed=True)
+    assert read_named(spark, "streamed").count() == 0
+    tables.sync_catalog(spark, "streamed", root)
+    assert read_named(spark, "streamed").count() == 3
+    tables.write_batch(dated().unionByName(dated(day="2024-06-04")), root)
+    maintenance.compact(spark, root, "2024-06-03")
+    tables.sync_catalog(spark, "streamed", root, first="2024-06-04")
+    assert read_named(spark, "streamed").count() == 6
+    tables.sync_catalog(spark, "streamed", root)
+    rows = read_named(spark, "streamed")
+    assert rows.count() == 9 and rows.select("date_partition", "batch_id").distinct().count() == 2
+    maintenance.vacuum(spark, root, as_of="2100-01-01 00:00:00", dry_run=False)
+    assert read_named(spark, "streamed").count() == 9
+    spark.sql("DROP TABLE streamed")
+
+
+def test_a_keyed_table_with_a_new_column(spark, dated):
+    root = new_dir(spark, "v")
+    made = windows.with_date(windows.vwap(dated()))
+    tables.write_batch(made, root)
+    tables.write_batch(made.filter("ticker = 'B'").withColumn("made_by", F.lit("x")), root)
+    rows = {(r["ticker"], r["made_by"]) for r in tables.read_upserted(spark, root).collect()}
+    assert rows == {("A", None), ("B", "x")}
+
+
+def test_messages_are_dumped_as_sent(spark, tmp_path):
+    sent = ['{"ticker":"A","price":1.0,"timestamp":"2024-06-01T10:00:00","bid":7}', "not json", '{"price": 1}']
+    messages_ = spark.createDataFrame([(x,) for x in sent], "value string")
+    tables.dump_messages(parse_events(messages_, keep_raw=True), str(tmp_path / "d"))
+    found = spark.read.text(str(tmp_path / "d"))
+    assert sorted(r["value"] for r in found.collect()) == sorted(sent)
+    assert {r["_ticker"] for r in found.collect()} == {"A", None}
+
+
 def test_vwap_table_ddl(spark, dated, tmp_path):
     tables.create_vwap(spark, "vwap_ddl", str(tmp_path / "v"), suffix="5m")
     tables.insert_into(windows.with_date(windows.vwap(dated(), "5 minutes")), "vwap_ddl")

@@ -61,6 +61,21 @@ def test_price_that_is_no_number(ticks_of):
     assert (row["vwap_1m"], row["tick_count_1m"]) == (2.0, 2)
 
 
+@pytest.mark.parametrize("price", [1e18, 0.0049, 1.125, -1e17])
+def test_prices_that_do_not_fit_are_refused(ticks_of, price):
+    ticks = ticks_of([("A", price, 5, "10:00:00"), ("A", 2.0, 5, "10:00:01")])
+    with pytest.raises(Exception, match="price does not fit 2 decimals"):
+        windows.vwap(ticks, decimals=2).collect()
+    whole = windows.vwap(ticks).first()["vwap_1m"]
+    assert whole == pytest.approx((price + 2.0) / 2)
+
+
+def test_prices_as_doubles_tell_them_fit(ticks_of):
+    prices = [0.07, 490.02, 1.15, 0.29, 1234567.89, 99999999999.99]
+    ticks = ticks_of([("A", p, 1, f"10:{i:02d}:00") for i, p in enumerate(prices)])
+    assert sorted(r["vwap_1m"] for r in windows.vwap(ticks, decimals=2).collect()) == sorted(prices)
+
+
 def test_types_of_zone_less_times(spark, ticks_of):
     zone_less = ticks_of([("A", 2.0, 5, "10:00:59")]).withColumn(
         "event_time", F.col("event_time").cast("timestamp_ntz")

@@ -44,6 +44,8 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         high_low=args.high_low,
         every=None if args.once else args.every,
         upsert=args.upsert,
+        decimals=args.decimals,
+        max_ahead=args.max_ahead,
     )
     await_all(queries)
 
@@ -97,6 +99,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--once", action="store_true", help="process what is there and end")
     sub.add_argument("--upsert", action="store_true", help="publish open windows too")
     sub.add_argument("--high-low", action="store_true")
+    sub.add_argument("--decimals", type=int, help="sum prices exactly, as whole units")
+    sub.add_argument("--max-ahead", default="1 day", help="quarantine times further ahead of their arrival")
 
     sub = job("backfill", dump, source=True)
     sub.add_argument("--out", required=True)

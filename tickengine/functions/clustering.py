@@ -6,15 +6,39 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-_TEXT_BYTES = 6
+# Rows drawn per boundary of a text column.
+_DRAWN = 100
 
 
-def as_number(column: str, data_type: T.DataType) -> Column:
-    """A column as a DOUBLE in the same order (text: by its first six bytes)."""
-    c = F.col(column)
+def text_boundaries(df: DataFrame, column: str, parts: int) -> list[str]:
+    """At most ``parts`` - 1 texts that cut a column evenly, from a bounded sample of it."""
+    n = df.filter(F.col(column).isNotNull()).count()
+    share = min(1.0, _DRAWN * parts / n) if n else 0.0
+    drawn = df.select(column).filter(F.col(column).isNotNull())
+    if share < 1.0:
+        drawn = drawn.sample(share, seed=1)
+    texts = sorted((r[0] for r in drawn.collect()), key=str.encode)
+    cuts = {texts[len(texts) * i // parts] for i in range(1, parts)} if texts else set()
+    return sorted(cuts, key=str.encode)
+
+
+def text_rank(column: Column, cuts: list[str]) -> Column:
+    """How many boundaries a text reaches, by bisection over whole texts."""
+
+    def rank(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(column < F.lit(cuts[middle]), rank(low, middle)).otherwise(rank(middle + 1, high))
+
+    return F.when(column.isNotNull(), rank(0, len(cuts)))
+
+
+def as_number(df: DataFrame, column: str, parts: int) -> Column:
+    """A column as a DOUBLE in the same order; text as its rank among boundaries."""
+    c, data_type = F.col(column), df.schema[column].dataType
     if isinstance(data_type, T.StringType):
-        head = F.hex(F.substring(F.encode(c, "UTF-8"), 1, _TEXT_BYTES))
-        return F.conv(F.rpad(head, 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
+        return text_rank(c, text_boundaries(df, column, parts)).cast("double")
     if isinstance(data_type, T.DateType):
         return F.unix_date(c).cast("double")
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
@@ -50,7 +74,7 @@ def with_z_value(
     numbers = [f"_n{i}" for i in range(len(columns))]
     buckets = [f"_b{i}" for i in range(len(columns))]
     staged = df.withColumns(
-        {n: as_number(c, df.schema[c].dataType) for n, c in zip(numbers, columns)}
+        {n: as_number(df, c, 2**bits) for n, c in zip(numbers, columns)}
     )
     discretizer = QuantileDiscretizer(
         numBucketsArray=[2**bits - 1] * len(columns),

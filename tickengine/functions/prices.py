@@ -6,11 +6,23 @@ from pyspark.sql import Column, functions as F
 
 
 def minor_units(price: Column, decimals: int) -> Column:
-    """A price as a whole number of its smallest unit, rounded to it.
+    """A price as a whole number of its smallest unit.
 
-    NULL for a price that is no number or has more than 18 digits.
+    NULL for a price that is no number. A price of more than 18 digits, or with more
+    ``decimals`` than said, is an error: to drop or to round it would change sums unseen.
     """
-    return F.round(price * F.lit(10**decimals)).try_cast("decimal(18,0)")
+    scaled = price * F.lit(float(10**decimals))
+    units = F.round(scaled)
+    infinite = F.isnan(price) | (F.abs(price) == float("inf"))
+    too_long = F.abs(units) >= F.lit(1e18)
+    # What a double cannot tell from a whole number of units passes.
+    too_fine = F.abs(scaled - units) > 1e-6 + F.abs(scaled) * 1e-12
+    told = F.concat(F.lit(f"price does not fit {decimals} decimals and 18 digits: "), price.cast("string"))
+    return (
+        F.when(price.isNull() | infinite, F.lit(None).cast("decimal(18,0)"))
+        .when(too_long | too_fine, F.raise_error(told).cast("decimal(18,0)"))
+        .otherwise(units.try_cast("decimal(18,0)"))
+    )
 
 
 def vwap_expr(
@@ -24,8 +36,8 @@ def vwap_expr(
 
     ``complete_rows`` leaves a volume out of the divisor when its price is NULL, so
     that both sums cover the same rows. ``decimals`` sums whole price units, which
-    makes the result independent of the order in which rows arrive; prices with more
-    decimals are rounded to that many.
+    makes the result independent of the order in which rows arrive; prices that do not
+    fit are an error.
     """
     p, v = F.col(price), F.col(volume)
     if decimals is not None:

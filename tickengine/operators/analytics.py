@@ -48,12 +48,13 @@ def top_movers(
 ) -> DataFrame:
     """Open, close, change and volume per ticker, largest change first.
 
-    Open and close are the prices at the first and last event time. ``tie`` names a
-    LONG column that orders ticks with equal times. ``n=None`` returns all tickers.
+    Open and close are the prices at the first and last event time that has a price.
+    ``tie`` names a LONG column that orders ticks with equal times. ``n=None`` returns
+    all tickers.
     """
     if lookback is not None:
         ticks = recent(ticks, as_of, lookback)
-    order = prices.time_order("event_time", tie)
+    order = F.when(F.col("price").isNotNull(), prices.time_order("event_time", tie))
     per_ticker = ticks.groupBy("ticker").agg(
         F.min_by("price", order).alias("open_price"),
         F.max_by("price", order).alias("close_price"),
@@ -70,37 +71,27 @@ def top_movers(
     return ranked if n is None else ranked.limit(n)
 
 
-def hot_windows(vwap: DataFrame, count: str, hot_ticks: int, limit: int) -> DataFrame:
-    """The at most ``limit`` fullest windows that hold ``hot_ticks`` or more.
-
-    Equal counts are ordered by the key of the window: the two joins that use the result
-    each compute it, and must agree on it.
-    """
-    full = vwap.filter(F.col(count) >= hot_ticks)
-    return full.orderBy(F.col(count).desc(), "window_start", "ticker").limit(limit)
-
-
 def ticks_with_vwap(
     ticks: DataFrame,
     vwap: DataFrame,
     duration: str = "1 minute",
     *,
     closed: str = "left",
-    hot_ticks: int | None = 1_000_000,
-    hot_limit: int = 1000,
+    carry: tuple[str, ...] = (),
+    salts: int = 1,
 ) -> DataFrame:
     """Every tick next to the VWAP of its window, joined on window start and ticker.
 
     The window start is computed from the event time, so the range condition becomes
     an equality and no tick is compared with more windows than it lies in.
     ``closed="left"`` is the window's own ``[start, end)``; ``closed="both"`` also
-    matches a tick on a boundary to the window that ends there.
+    matches a tick on a boundary to the window that ends there. ``carry`` names further
+    columns of the windows.
 
-    A window of ``hot_ticks`` or more would overload one task of the shuffle join.
-    The fullest ``hot_limit`` of them are broadcast instead - that many rows at most -
-    and their ticks stay where they are. Any other window holds under ``1/hot_limit``
-    of the ticks. Whether there are such windows is looked up first, by a filter on
-    the count that a stored VWAP table answers from its file statistics.
+    A window that holds a large part of all ticks is split by Spark's skew join where
+    both sides are stored tables. Where one is computed in the same query, ``salts``
+    spreads the ticks of each window over so many parts, and repeats each window row as
+    often; it does the same for every window, so rows do not depend on counts.
 
     If both sides have ``date_partition``, it is a join key as well (for windows that
     divide a day, in a UTC session), so that a date filter on the ticks also prunes the
@@ -109,7 +100,7 @@ def ticks_with_vwap(
     if closed not in ("left", "both"):
         raise ValueError("closed must be 'left' or 'both'")
     suffix = times.label(duration)
-    value, count = f"vwap_{suffix}", f"tick_count_{suffix}"
+    value = f"vwap_{suffix}"
     start = times.bucket_start("event_time", duration)
     if closed == "left":
         placed = ticks.withColumn("window_start", start)
@@ -129,14 +120,13 @@ def ticks_with_vwap(
     divides = times.seconds("1 day") % times.seconds(duration) == 0
     if dated and utc and divides and closed == "left":
         keys.append("date_partition")
-    windows = vwap.select(*keys, value, count)
-    shuffled = windows.drop(count)
-    if hot_ticks is None or windows.filter(F.col(count) >= hot_ticks).isEmpty():
-        return placed.join(shuffled, keys)
-    hot = F.broadcast(hot_windows(windows, count, hot_ticks, hot_limit).drop(count))
-    in_hot = placed.join(hot, keys)
-    in_rest = placed.join(hot, keys, "left_anti").join(shuffled, keys)
-    return in_hot.unionByName(in_rest)
+    windows = vwap.select(*keys, value, *carry)
+    if salts == 1:
+        return placed.join(windows, keys)
+    part = F.pmod(F.xxhash64("event_time", *placed.columns, F.spark_partition_id()), F.lit(salts))
+    salted = placed.withColumn("_salt", part.cast("int"))
+    repeated = windows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
 
 
 def vwap_deviation(
@@ -147,8 +137,7 @@ def vwap_deviation(
     threshold: float = 0.01,
     closed: str = "left",
     ordered: bool = True,
-    hot_ticks: int | None = 1_000_000,
-    hot_limit: int = 1000,
+    salts: int = 1,
 ) -> DataFrame:
     """Ticks whose price lies more than ``threshold`` away from their window's VWAP.
 
@@ -160,9 +149,7 @@ def vwap_deviation(
     value = f"vwap_{times.label(duration)}"
     date = [c for c in ("date_partition",) if c in ticks.columns]
     slim = ticks.select("ticker", "event_time", "price", *date)
-    joined = ticks_with_vwap(
-        slim, vwap, duration, closed=closed, hot_ticks=hot_ticks, hot_limit=hot_limit
-    )
+    joined = ticks_with_vwap(slim, vwap, duration, closed=closed, salts=salts)
     away = prices.deviation(F.col("price"), F.col(value))
     alerts = joined.filter(away > threshold).select(
         "ticker",

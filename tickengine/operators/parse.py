@@ -75,14 +75,21 @@ def is_complete(required: list[str] = REQUIRED) -> Column:
 
 
 def split_valid(
-    ticks: DataFrame, required: list[str] = REQUIRED
+    ticks: DataFrame, required: list[str] = REQUIRED, *, max_ahead: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows that satisfy the contract, and the others with ``missing_fields``."""
-    valid = ticks.filter(is_complete(required))
-    quarantined = ticks.filter(~is_complete(required)).withColumn(
-        "missing_fields", missing_fields(required)
-    )
-    return valid, quarantined
+    """Rows that satisfy the contract, and the others with ``missing_fields``.
+
+    With ``max_ahead`` a row whose event time lies further after its arrival breaks it
+    too: one such row would move a stream's watermark and make all others late. It is
+    told as ``event_time_ahead``.
+    """
+    good, told = is_complete(required), missing_fields(required)
+    if max_ahead is not None:
+        limit = F.col("ingest_time") + times.interval(max_ahead)
+        ahead = F.coalesce(F.col("event_time") > limit, F.lit(False))
+        good = good & ~ahead
+        told = F.concat(told, F.when(ahead, F.array(F.lit("event_time_ahead"))).otherwise(F.array()))
+    return ticks.filter(good), ticks.filter(~good).withColumn("missing_fields", told)
 
 
 def observe_validity(

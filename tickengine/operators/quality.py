@@ -47,8 +47,14 @@ def require_fresh(
     time: str = "ingest_time",
     days: int | None = None,
 ) -> int:
-    """The age in minutes; raises when there is no data or it is too old."""
+    """The age in minutes; raises when there is no data or it is too old.
+
+    If the last ``days`` hold nothing, the whole table is looked at.
+    """
     row = freshness(df, as_of, max_age_minutes, time=time, days=days).first()
+    if row["newest"] is None and days is not None:
+        # Late data may have arrived just now, under a date further back.
+        row = freshness(df, as_of, max_age_minutes, time=time).first()
     if row["newest"] is None:
         raise DataQualityError("no data found")
     if row["is_stale"]:
@@ -85,9 +91,19 @@ def require_coverage(
         raise DataQualityError(f"no recent ticks for: {', '.join(missing)}")
 
 
-def gaps(ticks: DataFrame, max_gap: str = "30 minutes", *, cells_per_chunk: int = 4096) -> DataFrame:
+def gaps(
+    ticks: DataFrame,
+    max_gap: str = "30 minutes",
+    *,
+    as_of=None,
+    expected: list[str] = (),
+    cells_per_chunk: int = 4096,
+) -> DataFrame:
     """Stretches longer than ``max_gap`` without a tick, per ticker.
 
+    With ``as_of`` also those that still go on then: from a ticker's last tick to that
+    time. A ticker of ``expected`` that never came has a gap without a start.
+
     Two ticks in the same time cell of width ``max_gap`` are never too far apart, so
     the first and last time of each cell are all that matters. Ticks are reduced to
     that before any shuffle, whatever their number or skew. Cells are compared with
@@ -113,7 +129,18 @@ def gaps(ticks: DataFrame, max_gap: str = "30 minutes", *, cells_per_chunk: int
     pairs = between(cells, ["ticker", "_chunk"], "_cell").unionByName(
         between(chunks, ["ticker"], "_chunk")
     )
-    return pairs.filter(F.col("gap_end") > F.col("gap_start") + times.interval(max_gap)).select(
+    if as_of is not None:
+        end = times.moment(as_of, times.time_type(ticks, "event_time"))
+        newest = chunks.groupBy("ticker").agg(F.max("_last").alias("gap_start"))
+        if expected:
+            wanted = ticks.sparkSession.createDataFrame([(t,) for t in expected], "ticker string")
+            newest = newest.join(wanted, "ticker", "full")
+        pairs = pairs.unionByName(newest.withColumn("gap_end", end))
+    silent = F.col("gap_end") > F.col("gap_start") + times.interval(max_gap)
+    if as_of is not None:
+        # A first tick has no tick before it either, but that is no gap.
+        silent = silent | (F.col("gap_start").isNull() & (F.col("gap_end") == end) & F.col("ticker").isin(*expected))
+    return pairs.filter(silent).select(
         "ticker",
         "gap_start",
         "gap_end",
@@ -121,12 +148,13 @@ def gaps(ticks: DataFrame, max_gap: str = "30 minutes", *, cells_per_chunk: int
     )
 
 
-def require_no_gaps(ticks: DataFrame, max_gap: str = "30 minutes") -> None:
+def require_no_gaps(ticks: DataFrame, max_gap: str = "30 minutes", *, as_of=None, expected: list[str] = ()) -> None:
     """Raises with the number of gaps per ticker if there are any."""
-    found = gaps(ticks, max_gap).groupBy("ticker").count().orderBy(F.desc("count"), "ticker")
-    worst = found.limit(10).collect()
+    found = gaps(ticks, max_gap, as_of=as_of, expected=expected).groupBy("ticker").count()
+    worst = found.orderBy(F.desc("count"), "ticker").limit(10).collect()
     if worst:
-        told = ", ".join(f"{r['ticker']}: {r['count']}" for r in worst)
+        more = found.count() - len(worst)
+        told = ", ".join(f"{r['ticker']}: {r['count']}" for r in worst) + (f", {more} more" if more else "")
         raise DataQualityError(f"gaps longer than {max_gap} (most by ticker: {told})")
 
 
@@ -171,18 +199,44 @@ def require_rules(ticks: DataFrame, checks: dict[str, Column] | None = None) ->
         raise DataQualityError(f"rules broken ({told})")
 
 
-def tick_rate(ticks: DataFrame, interval: str = "1 minute", expected_ticks: int = 12) -> DataFrame:
+def tick_rate(
+    ticks: DataFrame,
+    interval: str = "1 minute",
+    expected_ticks: int = 12,
+    *,
+    silent: bool = True,
+    first=None,
+    last=None,
+) -> DataFrame:
     """Ticks per ticker and interval against the number a healthy producer sends.
 
-    An interval without any tick has no row here; ``gaps`` finds those.
+    An interval without any tick has a row with 0, from a ticker's first interval to its
+    last, or from the time ``first`` to the time ``last`` for all tickers.
+    ``silent=False`` leaves these rows out.
     """
     suffix = times.label(interval)
-    counted = vwap(ticks, interval)
-    count = F.col(f"tick_count_{suffix}")
+    counted = vwap(ticks, interval).select("window_start", "ticker", F.col(f"tick_count_{suffix}").alias("tick_count"))
+    if silent:
+        like = times.time_type(counted, "window_start")
+
+        def bound(given, own: Column) -> Column:
+            return own if given is None else times.bucket_start(times.moment(given, like), interval)
+
+        spans = counted.groupBy("ticker").agg(F.min("window_start").alias("_first"), F.max("window_start").alias("_last"))
+        # One window expression a step; two in one are refused.
+        spans = spans.withColumn("_first", bound(first, F.col("_first")))
+        spans = spans.withColumn("_last", bound(last, F.col("_last"))).filter("_first <= _last")
+        slots = spans.select(
+            "ticker", F.explode(F.sequence("_first", "_last", times.interval(interval))).alias("window_start")
+        )
+        # Rows outside the bounds stay, as they have ticks.
+        counted = slots.join(counted, ["ticker", "window_start"], "full").withColumn(
+            "tick_count", F.coalesce("tick_count", F.lit(0).cast("long"))
+        )
     return counted.select(
         "window_start",
         "ticker",
-        count.alias("tick_count"),
-        (count / F.lit(expected_ticks)).alias("rate"),
-        (count < expected_ticks).alias("is_low"),
+        "tick_count",
+        (F.col("tick_count") / F.lit(expected_ticks)).alias("rate"),
+        (F.col("tick_count") < expected_ticks).alias("is_low"),
     )

@@ -10,21 +10,15 @@ import datetime as dt
 import logging
 import math
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickengine.functions import times
 from tickengine.functions.clustering import with_z_value
-from tickengine.sources.tables import (
-    MERGE_KEYS,
-    append_history,
-    latest_rows,
-    next_version,
-    published_rewrites,
-    read_history,
-    read_table,
-)
+from tickengine.sources import layout
+from tickengine.sources.tables import append_history, latest_rows, read_folders, read_history
 from tickengine.sources.ticks import list_files
 
 logger = logging.getLogger(__name__)
@@ -43,39 +37,36 @@ class MaintenanceError(RuntimeError):
 def table_files(spark: SparkSession, root: str, date: dt.date | None = None) -> DataFrame:
     """Data files of a table with what their path tells, and whether readers use them.
 
-    With a date only its folder is listed. Of a rewritten date, the newest rewrite and the batches after it are live; of any
-    other date, all appended batches. ``replaced_at`` is when that rewrite was published.
+    With a date only its folder is listed. ``replaced_at`` is when the newest rewrite of
+    the date was published.
     """
 
     def part(group: int, to: str):
         return F.nullif(F.regexp_extract("path", _FOLDER, group), F.lit("")).cast(to)
 
-    folder = f"{root}/data" if date is None else f"{root}/data/date_partition={date}"
-    found = list_files(spark, folder).select(
+    place = f"{root}/data" if date is None else f"{root}/data/date_partition={date}"
+    found = list_files(spark, place).select(
         "path",
         "modificationTime",
         "length",
         part(1, "date").alias("date_partition"),
         part(2, "long").alias("batch_id"),
     )
-    # One row per rewritten date, hence small whatever the size of the table.
-    newest = published_rewrites(spark, root).select(
-        "date_partition",
-        "rewrite_batch",
-        "through_batch",
-        F.col("timestamp").alias("replaced_at"),
+    rows = []
+    for live in layout.live_dates(spark, root, date, date):
+        at = None
+        if live.rewrite is not None:
+            path = f"{layout.folder(root, live.date, live.rewrite)}/{layout.COVERS}"
+            at = layout.written_at(spark, path)
+        rows += [(live.date, n, n not in live.dead, at) for n in (*live.numbers(), *live.dead)]
+    told = spark.createDataFrame(rows, "day string, batch_id long, is_live boolean, millis long")
+    known = told.select(
+        F.try_to_date("day").alias("date_partition"), "batch_id", "is_live",
+        F.timestamp_millis("millis").alias("replaced_at"),
+    )
+    return found.join(known, ["date_partition", "batch_id"], "left").withColumn(
+        "is_live", F.coalesce("is_live", F.lit(True))
     )
-    after = F.col("batch_id") > F.coalesce("through_batch", F.lit(-1))
-    rewritten = F.coalesce(F.col("batch_id") == F.col("rewrite_batch"), F.lit(False))
-    return found.join(F.broadcast(newest), "date_partition", "left").withColumn(
-        "is_live", after | rewritten
-    )
-
-
-def next_batch(spark: SparkSession, root: str) -> int:
-    """The first batch number a table has not used yet."""
-    last = table_files(spark, root).agg(F.max(F.greatest("batch_id", "through_batch"))).first()[0]
-    return 0 if last is None else last + 1
 
 
 def _rewrite(
@@ -89,22 +80,19 @@ def _rewrite(
     target_bytes: int,
     pack: bool,
 ) -> int:
-    """Write the live rows of a date anew and publish the folder."""
-    date = dt.date.fromisoformat(date) if isinstance(date, str) else date
+    """Write the live rows of a date anew and publish the folder.
+
+    What is live is looked up once; a batch that arrives later is not covered, hence
+    stays as it is.
+    """
+    live = layout.live_date(spark, root, str(date))
+    if not live.numbers():
+        raise ValueError(f"no live files for {date} in {root}")
     before = (
-        table_files(spark, root, date)
-        .filter("is_live")
-        .agg(
-            F.count(F.lit(1)).alias("files"),
-            F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
-            F.max(
-                F.when(F.col("batch_id") < 0, F.col("through_batch")).otherwise(F.col("batch_id"))
-            ).alias("through"),
-        )
+        list_files(spark, live.paths(root))
+        .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
         .first()
     )
-    if before["files"] == 0:
-        raise ValueError(f"no live files for {date} in {root}")
 
     # A session of its own, because how files are packed into tasks is a setting.
     session = spark.newSession()
@@ -116,35 +104,31 @@ def _rewrite(
         session.conf.set("spark.sql.files.openCostInBytes", "0")
         session.conf.set("spark.sql.files.minPartitionNum", "1")
 
-    # A batch that arrived after the listing stays as it is.
-    rows = read_table(session, root, date=date, with_batch=True).filter(
-        F.col("batch_id") <= before["through"]
-    )
+    rows = read_folders(session, root, [live])
     rows_before = rows.count()  # from file footers
     columns = [c for c in rows.columns if c != "batch_id"]
     if keys:
         rows = latest_rows(rows, ["date_partition", *keys])
     rows = rows.select(*columns)
     files = max(1, math.ceil(before["bytes"] / target_bytes))
-    version = next_version(spark, root)
-    rewrite_batch = -1 - version
-    folder = f"{root}/data/date_partition={date}/batch_id={rewrite_batch}"
-    (
-        arrange(rows, files)
-        .drop("date_partition")
-        .write.mode("overwrite")
-        .parquet(folder)
-    )
-    rows_after = spark.read.parquet(folder).count()
+    number = -layout.new_number()
+    folder = layout.folder(root, date, number)
+    arrange(rows, files).drop("date_partition").write.mode("overwrite").parquet(folder)
+    written = spark.read.parquet(folder)
+    rows_after = written.count()
     if not keys and rows_after != rows_before:
         raise MaintenanceError(
             f"{operation} of {date} in {root} wrote {rows_after} of {rows_before} rows; not published"
         )
+    if set(written.columns) != set(columns) - {"date_partition"}:
+        raise MaintenanceError(f"{operation} of {date} in {root} lost columns; not published")
     after = (
         list_files(spark, folder)
         .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
         .first()
     )
+    covers = [*live.covers, *live.batches]
+    layout.publish(spark, root, date, number, covers, ",".join(keys) if keys else None)
     metrics = {
         "numRemovedFiles": before["files"],
         "numRemovedBytes": before["bytes"],
@@ -152,13 +136,7 @@ def _rewrite(
         "numAddedBytes": after["bytes"],
         "numOutputRows": rows_after,
     }
-    if keys:
-        metrics[MERGE_KEYS] = ",".join(keys)
-    append_history(
-        spark, root, operation, metrics, date=date, rewrite_batch=rewrite_batch,
-        through_batch=before["through"], version=version,
-    )
-    return version
+    return append_history(spark, root, operation, metrics, date=dt.date.fromisoformat(str(date)))
 
 
 def compact(
@@ -267,10 +245,11 @@ def vacuum(
     force: bool = False,
     dry_run: bool = True,
 ) -> DataFrame:
-    """List removable files; with ``dry_run=False`` also delete their folders.
+    """List removable files; with ``dry_run=False`` delete their folders and return counts.
 
     A folder holds one batch or one rewrite of a date and is dead or live as a whole, so
-    whole folders are deleted, one at a time while their names are streamed in.
+    whole folders are deleted, several at a time. One that cannot be deleted is an error,
+    once all others are gone.
     """
     candidates = vacuum_candidates(
         spark, root, as_of=as_of, retention_hours=retention_hours, force=force
@@ -281,15 +260,20 @@ def vacuum(
     doomed = candidates.groupBy(folder.alias("folder")).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    files = total = 0
-    for row in doomed.toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(row["folder"])
-        path.getFileSystem(conf).delete(path, True)
-        files, total = files + row["files"], total + row["bytes"]
+    folders = files = total = 0
+    failed = []
+    with ThreadPoolExecutor(16) as pool:
+        rows = doomed.toLocalIterator()
+        while part := list(islice(rows, 1_000)):
+            for row, gone in zip(part, pool.map(lambda r: layout.delete(spark, r["folder"]), part)):
+                if gone:
+                    folders, files, total = folders + 1, files + row["files"], total + row["bytes"]
+                else:
+                    failed.append(row["folder"])
     append_history(spark, root, "VACUUM", {"numDeletedFiles": files, "numDeletedBytes": total})
-    return candidates
+    if failed:
+        raise MaintenanceError(f"{len(failed)} folders of {root} could not be deleted, as {failed[0]}")
+    return spark.createDataFrame([(folders, files, total)], "folders long, files long, bytes long")
 
 
 def history(spark: SparkSession, root: str, n: int = 5) -> DataFrame:
@@ -302,14 +286,30 @@ def dates_to_rewrite(spark: SparkSession, root: str, before: dt.date | None = No
 
     Closed means before ``before``, by default the current date of the session.
     """
-    limit = F.current_date() if before is None else F.lit(before)
-    open_dates = (
-        table_files(spark, root)
-        .filter(F.col("is_live") & (F.col("batch_id") >= 0) & (F.col("date_partition") < limit))
-        .select("date_partition")
-        .distinct()
-    )
-    return sorted(r["date_partition"] for r in open_dates.collect())
+    end = str(spark.sql("SELECT current_date()").first()[0] if before is None else before)
+    found = layout.live_dates(spark, root, last=end)
+    return [dt.date.fromisoformat(d.date) for d in found if d.batches and d.date < end]
+
+
+def rewrite_dates(
+    spark: SparkSession,
+    root: str,
+    before: dt.date | None,
+    rewrite: Callable[..., int],
+    *args,
+    at_once: int = 4,
+    **options,
+) -> int:
+    """Rewrite all closed dates with new batches, some at once; how many there were.
+
+    ``rewrite`` is ``compact`` or ``zorder``; further arguments go to it.
+    """
+    days = dates_to_rewrite(spark, root, before)
+    with ThreadPoolExecutor(at_once) as pool:
+        done = [pool.submit(rewrite, spark, root, day, *args, **options) for day in days]
+        for job in done:
+            job.result()
+    return len(days)
 
 
 def run_all(
@@ -327,20 +327,22 @@ def run_all(
     """Cluster and vacuum each table; one result row per table.
 
     Without a ``date`` all closed dates that have new batches are clustered, each as a
-    job of its own. A failing table does not keep the others from running, but it is
+    job of its own, some at once. A failing table does not keep the others from running, but it is
     reported, and raised at the end.
     """
     results = []
     for name, root in tables.items():
         done = 0
         try:
-            for day in dates_to_rewrite(spark, root, before) if date is None else [date]:
-                by = (cluster_by or {}).get(name)
-                zorder(spark, root, day, by, keys=(keys or {}).get(name))
-                done += 1
+            by, own = (cluster_by or {}).get(name), (keys or {}).get(name)
+            if date is None:
+                done = rewrite_dates(spark, root, before, zorder, by, keys=own)
+            else:
+                zorder(spark, root, date, by, keys=own)
+                done = 1
             vacuum(spark, root, retention_hours=retention_hours, dry_run=dry_run)
             results.append((name, done, None))
-        except (PySparkException, MaintenanceError, ValueError) as error:
+        except Exception as error:  # whatever ends one table's maintenance, the next has its turn
             logger.exception("maintenance of %s failed", name)
             results.append((name, done, str(error)))
     if raise_on_error:

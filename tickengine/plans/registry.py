@@ -7,6 +7,9 @@ whole cents and do not depend on the order of rows.
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -78,11 +81,14 @@ def ntz(df: DataFrame) -> DataFrame:
 def vwap_table(spark: SparkSession, sf: str, duration: str) -> DataFrame:
     """VWAP windows as a written table, the way the alert query meets them."""
     root = new_dir(spark, "vwap")
-    made = windows.with_date(windows.vwap(ticks(spark, sf), duration, decimals=2))
-    tables.write_batch(made, root)
+    tables.write_batch(dated_vwap(ticks(spark, sf), duration), root)
     return tables.read_table(spark, root)
 
 
+def dated_vwap(found: DataFrame, duration: str, decimals: int | None = 2) -> DataFrame:
+    return windows.with_date(windows.vwap(found, duration, decimals=decimals))
+
+
 # --- SQL building blocks -------------------------------------------------------------
 
 
@@ -110,12 +116,14 @@ def movers_sql(where: str, limit: str) -> str:
         ORDER BY ABS(pct_change) DESC NULLS LAST, ticker {limit}"""
 
 
-def deviation_sql(width: str, suffix: str, upper: str, having: str = "TRUE") -> str:
+def deviation_sql(
+    width: str, suffix: str, upper: str, having: str = "TRUE", source: str = TICKS
+) -> str:
     return f"""
         SELECT r.ticker, r.event_time, r.price, v.vwap_{suffix},
                ROUND(ABS(r.price - v.vwap_{suffix}) / NULLIF(v.vwap_{suffix}, 0) * 100, 2)
                    AS deviation_pct
-        FROM {TICKS} r JOIN ({vwap_sql(width, suffix)}) v
+        FROM {source} r JOIN ({vwap_sql(width, suffix, source)}) v
           ON r.ticker = v.ticker AND r.event_time >= v.window_start
              AND r.event_time {upper} v.window_end
         WHERE ABS(r.price - v.vwap_{suffix}) / NULLIF(v.vwap_{suffix}, 0) > 0.01 AND {having}"""
@@ -172,6 +180,16 @@ def vwap_lineitem_1d(spark, sf):
     return windows.vwap(source, "1 day", high_low=True, decimals=2)
 
 
+@query(
+    vwap_sql("1 hour", "1h", f"(SELECT * REPLACE (ROUND(price) AS price) FROM {TICKS})").replace(
+        "CAST(SUM(CAST(ROUND(price * 100) AS BIGINT) * volume) AS DOUBLE)", "SUM(price * volume)"
+    ).replace("CAST(SUM(volume) AS DOUBLE) * 100.0", "SUM(volume)")
+)
+def vwap_double_sums(spark, sf):
+    """The default: sums of doubles, exact here because the prices are whole numbers."""
+    return windows.vwap(ticks(spark, sf).withColumn("price", F.round("price")), "1 hour")
+
+
 # --- analytics -------------------------------------------------------------------------
 
 
@@ -214,6 +232,16 @@ def top_movers_tied(spark, sf):
     return analytics.top_movers(found, lookback=None, n=None, tie="o_orderkey")
 
 
+PRICELESS = f"(SELECT * REPLACE (CASE WHEN volume >= 50 THEN price END AS price) FROM {TICKS})"
+
+
+@query(movers_sql("", "").replace(TICKS, PRICELESS))
+def top_movers_priceless(spark, sf):
+    """Half of the ticks lack a price, first and last ones included."""
+    found = ticks(spark, sf).withColumn("price", F.when(F.col("volume") >= 50, F.col("price")))
+    return analytics.top_movers(found, lookback=None, n=None, tie="event_id")
+
+
 @query(
     f"""SELECT ticker, arg_min(price, event_time) AS open_price,
                arg_max(price, event_time) AS close_price,
@@ -232,32 +260,42 @@ def sql_text_movers(spark, sf):
     )
 
 
+def deviation(spark, sf, duration: str, **options) -> DataFrame:
+    found = ticks(spark, sf)
+    return analytics.vwap_deviation(found, dated_vwap(found, duration), duration, **options)
+
+
 @query(deviation_sql("1 hour", "1h", "<"))
 def vwap_deviation(spark, sf):
-    return analytics.vwap_deviation(
-        ticks(spark, sf), vwap_table(spark, sf, "1 hour"), "1 hour"
-    )
+    return deviation(spark, sf, "1 hour")
 
 
 @query(deviation_sql("1 minute", "1m", "<"))
 def vwap_deviation_1m(spark, sf):
-    return analytics.vwap_deviation(
-        ticks(spark, sf), vwap_table(spark, sf, "1 minute"), "1 minute"
-    )
+    return deviation(spark, sf, "1 minute", ordered=False)
 
 
 @query(deviation_sql("1 hour", "1h", "<="))
 def vwap_deviation_closed(spark, sf):
-    return analytics.vwap_deviation(
-        ticks(spark, sf), vwap_table(spark, sf, "1 hour"), "1 hour", closed="both"
-    )
+    return deviation(spark, sf, "1 hour", closed="both", ordered=False)
 
 
 @query(deviation_sql("1 hour", "1h", "<"))
 def vwap_deviation_hot(spark, sf):
-    """Windows of eight or more ticks take the broadcast way, the others the shuffle."""
+    """The ticks of every window spread over eight parts."""
+    return deviation(spark, sf, "1 hour", salts=8, ordered=False)
+
+
+MINUTE_TICKS = f"(SELECT * REPLACE (date_trunc('minute', event_time) AS event_time) FROM {TICKS})"
+
+
+@query(deviation_sql("1 minute", "1m", "<=", source=MINUTE_TICKS))
+def vwap_deviation_boundary(spark, sf):
+    """Every tick on a boundary: it meets the window it starts and the one that ends there."""
+    whole = F.date_trunc("minute", "event_time").cast("timestamp_ntz")
+    found = ticks(spark, sf).withColumn("event_time", whole)
     return analytics.vwap_deviation(
-        ticks(spark, sf), vwap_table(spark, sf, "1 hour"), "1 hour", hot_ticks=8, hot_limit=50
+        found, dated_vwap(found, "1 minute"), "1 minute", closed="both", ordered=False
     )
 
 
@@ -274,13 +312,14 @@ def window_join_lineitem(spark, sf):
     """The tick-to-window join on a larger table, checked by its totals."""
     source = ticks_from_lineitem(table(spark, sf, "lineitem"))
     made = windows.vwap(source, "1 day", decimals=2)
-    matched = (
-        analytics.ticks_with_vwap(source, made, "1 day")
+    return (
+        analytics.ticks_with_vwap(source, made, "1 day", carry=("total_volume_1d",))
         .groupBy("ticker", "window_start")
-        .agg(F.count(F.lit(1)).alias("ticks_matched"), F.sum("volume").alias("volume_matched"))
-    )
-    return matched.join(
-        made.select("ticker", "window_start", "total_volume_1d"), ["ticker", "window_start"]
+        .agg(
+            F.count(F.lit(1)).alias("ticks_matched"),
+            F.sum("volume").alias("volume_matched"),
+            F.min("total_volume_1d").alias("total_volume_1d"),
+        )
     )
 
 
@@ -342,6 +381,26 @@ def split_quarantined(spark, sf):
     )
 
 
+@query(
+    f"""SELECT ticker, price, event_id_text AS exchange, 'event_time_ahead' AS missing_fields
+        FROM (SELECT *, CAST(event_id AS VARCHAR) AS event_id_text FROM {TICKS}) WHERE ticker = 'view'"""
+)
+def split_ahead(spark, sf):
+    """Ticks that claim a time far after their arrival are put aside."""
+    found = ticks(spark, sf).withColumns(
+        {
+            "exchange": F.col("event_id").cast("string"),
+            "event_time": F.when(F.col("ticker") == "view", F.expr("event_time + INTERVAL 7000 YEARS"))
+            .otherwise(F.col("event_time")),
+        }
+    )
+    parsed = parse.parse_events(messages.to_messages(found))
+    _, rejected = parse.split_valid(parsed, max_ahead="1 day")
+    return rejected.select(
+        "ticker", "price", "exchange", F.concat_ws(",", "missing_fields").alias("missing_fields")
+    )
+
+
 # --- data quality ------------------------------------------------------------------------
 
 
@@ -408,7 +467,38 @@ def dq_rules(spark, sf):
         FROM {TICKS} GROUP BY ALL"""
 )
 def tick_rate(spark, sf):
-    return quality.tick_rate(ticks(spark, sf), "1 hour", 3)
+    return quality.tick_rate(ticks(spark, sf), "1 hour", 3, silent=False)
+
+
+@query(
+    f"""WITH counted AS (
+            SELECT time_bucket(INTERVAL '10 minutes', event_time) AS window_start, ticker,
+                   COUNT(*) AS n FROM {TICKS} GROUP BY ALL),
+        slots AS (
+            SELECT ticker, UNNEST(generate_series(MIN(window_start), MAX(window_start),
+                   INTERVAL '10 minutes')) AS window_start FROM counted GROUP BY ticker)
+        SELECT window_start, ticker, COALESCE(n, 0) AS tick_count, COALESCE(n, 0) / 2.0 AS rate,
+               COALESCE(n, 0) < 2 AS is_low
+        FROM slots LEFT JOIN counted USING (ticker, window_start)"""
+)
+def tick_rate_silent(spark, sf):
+    """Intervals without a tick have a row too."""
+    return quality.tick_rate(ticks(spark, sf), "10 minutes", 2)
+
+
+@query(
+    f"""SELECT ticker, gap_start, gap_end, datesub('second', gap_start, gap_end) AS gap_seconds
+        FROM (SELECT ticker, event_time AS gap_start,
+                     LEAD(event_time, 1, TIMESTAMP '2024-02-01 00:00:00')
+                         OVER (PARTITION BY ticker ORDER BY event_time) AS gap_end
+              FROM {TICKS})
+        WHERE gap_end - gap_start > INTERVAL '10 minutes'
+        UNION ALL SELECT 'refund', NULL, TIMESTAMP '2024-02-01 00:00:00', NULL"""
+)
+def gaps_as_of(spark, sf):
+    """Outages that still go on, and a ticker that never came."""
+    expected = ["click", "refund"]
+    return quality.gaps(ticks(spark, sf), "10 minutes", as_of="2024-02-01 00:00:00", expected=expected)
 
 
 # --- tables, sinks and maintenance ----------------------------------------------------------
@@ -446,58 +536,86 @@ def upsert_vwap(spark, sf):
     return tables.read_upserted(spark, root).drop("date_partition")
 
 
+EVER = dt.date(2100, 1, 1)
+
+
 @query(TICK_ROWS)
 def compaction(spark, sf):
+    """All dates, each from several batches."""
     root = written_ticks(spark, sf)
-    maintenance.compact(spark, root, DAY)
+    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact)
     return tables.read_table(spark, root).select(*ROW_COLUMNS)
 
 
+KEYS = ["window_start", "ticker"]
+
+
 @query(vwap_sql("1 hour", "1h"))
 def compaction_upserted(spark, sf):
     """Compacting a keyed table folds the versions of each window."""
     root = new_dir(spark, "vwap")
     found = ticks(spark, sf)
     known = found.filter(F.col("event_time") < F.lit(MIDDLE).cast("timestamp_ntz"))
-    for batch_id, batch in enumerate((known, found)):
-        made = windows.with_date(windows.vwap(batch, "1 hour", decimals=2))
-        tables.write_batch(made, root, batch_id)
-    maintenance.compact(spark, root, DAY, keys=["window_start", "ticker"])
+    for batch in (known, found):
+        tables.write_batch(dated_vwap(batch, "1 hour"), root)
+    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact, keys=KEYS)
     return tables.read_upserted(spark, root).drop("date_partition")
 
 
+def clustered_ticks(spark, sf, columns: list[str]) -> str:
+    """All dates clustered into several files each."""
+    root = written_ticks(spark, sf)
+    maintenance.rewrite_dates(spark, root, EVER, maintenance.zorder, columns, target_bytes=700)
+    return root
+
+
 @query(TICK_ROWS)
 def zorder_rows(spark, sf):
-    root = written_ticks(spark, sf)
-    maintenance.zorder(spark, root, DAY, ["ticker", "event_time"])
+    root = clustered_ticks(spark, sf, ["ticker", "event_time"])
     return tables.read_table(spark, root).select(*ROW_COLUMNS)
 
 
 @query(
-    f"""SELECT CAST(version AS BIGINT) AS version, operation, n AS rows_written
-        FROM (VALUES (1, 'ZORDER BY (ticker)'), (0, 'COMPACT')) AS ops(version, operation),
-             (SELECT COUNT(*) AS n FROM events WHERE CAST(ts AS DATE) = DATE '{DAY}')"""
+    """SELECT CAST(ts AS DATE) AS date_partition, COUNT(*) AS rows_found, TRUE AS skips_files
+       FROM events WHERE event_type = 'click' GROUP BY ALL"""
+)
+def zorder_files(spark, sf):
+    """A ticker's rows lie in some of a date's files only."""
+    found = tables.read_table(spark, clustered_ticks(spark, sf, ["ticker"])).select(
+        "date_partition", "ticker", F.col("_metadata.file_path").alias("file")
+    )
+    is_click = F.col("ticker") == "click"
+    return found.groupBy("date_partition").agg(
+        F.count_if(is_click).alias("rows_found"),
+        (F.count_distinct(F.when(is_click, F.col("file"))) < F.count_distinct("file")).alias("skips_files"),
+    )
+
+
+@query(
+    """SELECT CAST(ts AS DATE) AS date_partition, operation, COUNT(*) AS rows_written
+       FROM events, (VALUES ('COMPACT'), ('ZORDER BY (ticker)')) AS ops(operation) GROUP BY ALL"""
 )
 def table_history(spark, sf):
+    """What was done to every date; rows of one version twice would be missed here."""
     root = written_ticks(spark, sf)
-    maintenance.compact(spark, root, DAY)
-    maintenance.zorder(spark, root, DAY)
-    return maintenance.history(spark, root, 5).select(
-        "version",
-        "operation",
-        F.col("operationMetrics")["numOutputRows"].cast("long").alias("rows_written"),
+    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact)
+    for day in [r[0] for r in tables.read_history(spark, root).select("date_partition").collect()]:
+        maintenance.zorder(spark, root, day)
+    told = tables.read_history(spark, root)
+    return told.dropDuplicates(["version"]).select(
+        "date_partition", "operation", F.col("operationMetrics")["numOutputRows"].cast("long").alias("rows_written")
     )
 
 
 @query(
     f"""SELECT DISTINCT CAST(ts AS DATE) AS date_partition,
                CAST(CASE WHEN ts < TIMESTAMP '{MIDDLE}' THEN 0 ELSE 1 END AS BIGINT) AS batch_id
-        FROM events WHERE CAST(ts AS DATE) = DATE '{DAY}'"""
+        FROM events"""
 )
 def vacuum_candidates(spark, sf):
     """What a compaction leaves behind: the folders of the batches it replaced."""
     root = written_ticks(spark, sf)
-    maintenance.compact(spark, root, DAY)
+    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact)
     removable = maintenance.vacuum_candidates(spark, root, as_of="2100-01-01 00:00:00")
     return removable.select(
         F.regexp_extract("path", r"date_partition=([0-9-]+)", 1).cast("date").alias("date_partition"),
@@ -506,11 +624,73 @@ def vacuum_candidates(spark, sf):
 
 
 @query(
-    "SELECT DISTINCT CAST(ts AS DATE) AS date_partition, TRUE AS is_live FROM events"
+    f"""SELECT CAST(ts AS DATE) AS date_partition, ts < TIMESTAMP '{MIDDLE}' AS early,
+               CAST(ts AS DATE) <> DATE '{DAY}' AS is_live, TRUE AS has_bytes
+        FROM events GROUP BY ALL"""
 )
 def file_listing(spark, sf):
-    listed = maintenance.table_files(spark, written_ticks(spark, sf))
-    return listed.select("date_partition", "is_live").distinct()
+    """Batches of a compacted date are no longer live, those of other dates are."""
+    root = written_ticks(spark, sf)
+    maintenance.compact(spark, root, DAY)
+    listed = maintenance.table_files(spark, root).filter("batch_id >= 0")
+    return listed.groupBy("date_partition", (F.col("batch_id") == 0).alias("early"), "is_live").agg(
+        (F.sum("length") > 0).alias("has_bytes")
+    )
+
+
+@query(
+    f"SELECT ticker, price, volume, event_time, event_id, "
+    f"CASE WHEN event_time >= TIMESTAMP '{MIDDLE}' THEN 'USD' END AS currency FROM {TICKS}"
+)
+def schema_evolution(spark, sf):
+    """A column that only later batches have outlives compaction and clustering."""
+    root = new_dir(spark, "ticks")
+    found = dated_ticks(spark, sf)
+    middle = F.lit(MIDDLE).cast("timestamp_ntz")
+    tables.write_batch(found.filter(F.col("event_time") < middle), root)
+    tables.write_batch(found.filter(F.col("event_time") >= middle).withColumn("currency", F.lit("USD")), root)
+    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact)
+    maintenance.zorder(spark, root, DAY)
+    return tables.read_table(spark, root).select(*ROW_COLUMNS, "currency")
+
+
+@query(
+    f"""SELECT *, CASE WHEN window_start >= TIMESTAMP '{MIDDLE}' THEN 'replay' END AS made_by
+        FROM ({vwap_sql('1 hour', '1h')})"""
+)
+def schema_evolution_keyed(spark, sf):
+    """The same for a keyed table: all windows, then those from noon of a day on again."""
+    root = new_dir(spark, "vwap")
+    made = dated_vwap(ticks(spark, sf), "1 hour")
+    tables.write_batch(made, root)
+    later = made.filter(F.col("window_start") >= F.lit(MIDDLE).cast("timestamp_ntz"))
+    tables.write_batch(later.withColumn("made_by", F.lit("replay")), root)
+    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact, keys=KEYS)
+    return tables.read_upserted(spark, root).drop("date_partition")
+
+
+@query(
+    """SELECT 'bad' AS "table", CAST(0 AS BIGINT) AS dates_rewritten, TRUE AS failed
+       UNION ALL SELECT 'good', COUNT(DISTINCT CAST(ts AS DATE)), FALSE FROM events"""
+)
+def run_all_isolated(spark, sf):
+    """A table with a broken file does not keep the next one from being maintained."""
+    good, bad = written_ticks(spark, sf), new_dir(spark, "bad")
+    broken = table(spark, sf, "events").select(F.col("props").alias("value")).coalesce(1)
+    broken.write.text(f"{bad}/data/date_partition={DAY}/batch_id=0")
+    done = maintenance.run_all(spark, {"bad": bad, "good": good}, before=EVER, raise_on_error=False)
+    return done.select("table", "dates_rewritten", F.col("error").isNotNull().alias("failed"))
+
+
+@query(
+    f"SELECT ticker, price, volume, event_time, event_id FROM {TICKS} "
+    "WHERE event_time >= TIMESTAMP '2024-01-20 00:00:00' - INTERVAL '2 days' "
+    "AND event_time <= TIMESTAMP '2024-01-20 00:00:00'"
+)
+def recent_dated(spark, sf):
+    """From a dated table: only the partitions in question are read."""
+    found = tables.read_table(spark, written_ticks(spark, sf))
+    return analytics.recent(found, "2024-01-20 00:00:00", "2 days", until_as_of=True).select(*ROW_COLUMNS)
 
 
 @query(
@@ -587,6 +767,141 @@ def stream_alerts(spark, sf):
     return ntz(tables.read_table(spark, root).drop("date_partition"))
 
 
+def ten_files(spark, sf) -> DataFrame:
+    """Ticks as a stream of ten files in the order of time, one a batch.
+
+    The very first tick comes with the last file, long after its window closed.
+    """
+    folder = new_dir(spark, "events")
+    events = table(spark, sf, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, *edges = events.select(
+        F.min(micros), *[F.percentile_approx(micros, i / 10) for i in range(1, 10)]
+    ).first()
+    for low, high in zip([first, *edges], [*edges, 1 << 62]):
+        part = events.filter((micros > low) & (micros <= high))
+        if high == 1 << 62:
+            part = part.unionByName(events.filter(micros == first))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return ticks_from_events(
+        read_tick_stream(spark, folder, "parquet", events.schema, maxFilesPerTrigger="1")
+    )
+
+
+ON_TIME = f"(SELECT * FROM {TICKS} WHERE event_time > (SELECT MIN(ts) FROM events))"
+
+
+@query(f"SELECT * FROM ({vwap_sql('1 day', '1d', ON_TIME)}) WHERE {CLOSED}")
+def stream_vwap_batches(spark, sf):
+    """Days that reach over batches; the late tick is left out."""
+    root, checkpoint = new_dir(spark, "stream"), new_dir(spark, "checkpoint")
+    made = dated_vwap(ten_files(spark, sf), "1 day")
+    drained(sinks.append_stream(made, root, checkpoint, every=None))
+    return ntz(tables.read_table(spark, root).drop("date_partition"))
+
+
+@query(vwap_sql("1 day", "1d", ON_TIME))
+def stream_upsert_batches(spark, sf):
+    """The same in update mode: days are written again as they grow."""
+    root, checkpoint = new_dir(spark, "stream"), new_dir(spark, "checkpoint")
+    made = dated_vwap(ten_files(spark, sf), "1 day")
+    drained(sinks.upsert_stream(made, root, checkpoint, every=None))
+    return ntz(tables.read_upserted(spark, root).drop("date_partition"))
+
+
+@query(deviation_sql("1 day", "1d", "<", CLOSED, ON_TIME))
+def stream_alerts_batches(spark, sf):
+    """Ticks wait over several batches until their day closes."""
+    root, checkpoint = new_dir(spark, "stream"), new_dir(spark, "checkpoint")
+    alerts = jobs.deviation_alerts(ten_files(spark, sf), "1 day", decimals=2)
+    dated = alerts.withColumn("date_partition", F.to_date("event_time"))
+    drained(sinks.append_stream(dated, root, checkpoint, every=None))
+    return ntz(tables.read_table(spark, root).drop("date_partition"))
+
+
+@query(
+    "SELECT 'late' AS name, COUNT(*) AS late_rows FROM events WHERE ts = (SELECT MIN(ts) FROM events)"
+)
+def stream_late_rows(spark, sf):
+    """Rows dropped as late, counted over all batches."""
+    log = jobs.LateRows()
+    spark.streams.addListener(log)
+    try:
+        made = dated_vwap(ten_files(spark, sf), "1 day")
+        out = new_dir(spark, "stream"), new_dir(spark, "checkpoint")
+        drained(sinks.append_stream(made, *out, every=None, name="late"))
+        for _ in range(100):  # reports come after the query has ended
+            if log.dropped.get("late"):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    return spark.createDataFrame(list(log.dropped.items()), "name string, late_rows long")
+
+
+def halves(spark, sf) -> list[DataFrame]:
+    """The events before and from noon of a day on, as two folders of files."""
+    events = table(spark, sf, "events")
+    early = F.col("ts") < F.lit(MIDDLE).cast("timestamp_ntz")
+    made = []
+    for part in (events.filter(early), events.filter(~early)):
+        folder = new_dir(spark, "events")
+        part.write.parquet(folder)
+        made.append(ticks_from_events(read_tick_stream(spark, folder, "parquet", events.schema)))
+    return made
+
+
+@query(TICK_ROWS)
+def stream_restart(spark, sf):
+    """Two checkpoints one after the other, a compaction between them."""
+    root = new_dir(spark, "stream")
+    for part in halves(spark, sf):
+        dated = part.withColumn("date_partition", F.to_date("event_time"))
+        drained(sinks.append_stream(dated, root, new_dir(spark, "checkpoint"), every=None))
+        maintenance.compact(spark, root, DAY)
+    return ntz(tables.read_table(spark, root).select(*ROW_COLUMNS))
+
+
+@query(vwap_sql("1 hour", "1h"))
+def replay_beside_stream(spark, sf):
+    """A replay of closed days and a compaction between two batches of a stream."""
+    raw, root, checkpoint = new_dir(spark, "raw"), new_dir(spark, "vwap"), new_dir(spark, "checkpoint")
+    tables.write_batch(dated_ticks(spark, sf).withColumn("event_time", F.col("event_time").cast("timestamp")), raw)
+    folder = new_dir(spark, "events")
+    events = table(spark, sf, "events")
+    early = F.col("ts") < F.lit(MIDDLE).cast("timestamp_ntz")
+    for number, part in enumerate((events.filter(early), events.filter(~early))):
+        part.write.mode("append").parquet(folder)
+        source = ticks_from_events(read_tick_stream(spark, folder, "parquet", events.schema))
+        drained(sinks.upsert_stream(dated_vwap(source, "1 hour"), root, checkpoint, every=None))
+        if number == 0:
+            replay.replay_into(spark, raw, root, "2024-01-01", "2024-01-08", "1 hour", decimals=2)
+            maintenance.compact(spark, root, "2024-01-05", keys=KEYS)
+    return ntz(tables.read_upserted(spark, root).drop("date_partition"))
+
+
+def message_text() -> str:
+    """A message of whole numbers, with a key that the schema does not know; in SQL of both."""
+    return (
+        "'{\"ticker\":\"' || event_type || '\",\"bid\":' || CAST(event_id AS STRING) || "
+        "',\"price\":1,\"timestamp\":\"' || CAST(CAST(ts AS DATE) AS STRING) || 'T00:00:00\"}'"
+    )
+
+
+@query(
+    f"""SELECT CASE WHEN event_type = 'error' THEN props ELSE {message_text()} END AS "value",
+               CASE WHEN event_type <> 'error' THEN event_type END AS _ticker FROM events"""
+)
+def backfill(spark, sf):
+    """Messages as they were sent: unknown keys stay, unreadable messages too."""
+    folder, out = new_dir(spark, "messages"), new_dir(spark, "dump")
+    events = table(spark, sf, "events")
+    text = f"CASE WHEN event_type = 'error' THEN props ELSE {message_text()} END"
+    events.select(F.expr(text).alias("value")).write.text(folder)
+    jobs.await_all([jobs.backfill(spark, folder, out, new_dir(spark, "checkpoint"))])
+    return spark.read.schema("value string, _date date, _ticker string").text(out).select("value", "_ticker")
+
+
 def run_tick_job(spark, sf) -> str:
     """The whole tick job over messages in files; returns the folder of its tables."""
     folder, out = new_dir(spark, "messages"), new_dir(spark, "job")
@@ -626,3 +941,66 @@ def stream_job_quarantine(spark, sf):
     return rejected.select(
         "raw_value", F.concat_ws(",", "missing_fields").alias("missing_fields")
     )
+
+
+GOOD = f"(SELECT * FROM {TICKS} WHERE ticker <> 'error')"
+
+
+def streamed_catalog(spark, sf, sql: str) -> DataFrame:
+    """The answer to SQL text over the tables that a run of the tick job wrote, by name.
+
+    The catalog entries go again, so the answer is written first.
+    """
+    lake, tag, out = run_tick_job(spark, sf), uuid.uuid4().hex, new_dir(spark, "answer")
+    raw, made = f"stock_ticks_raw_{tag}", f"stock_vwap_5m_{tag}"
+    tables.create_raw(spark, raw, f"{lake}/raw", streamed=True)
+    tables.create_vwap(spark, made, f"{lake}/vwap_5m", suffix="5m", streamed=True)
+    for name, root in ((raw, f"{lake}/raw"), (made, f"{lake}/vwap_5m")):
+        tables.sync_catalog(spark, name, root)
+    try:
+        spark.sql(sql.format(raw=raw, vwap=made)).write.parquet(out)
+    finally:
+        for name in (raw, made):
+            spark.sql(f"DROP TABLE {name}")
+    return ntz(spark.read.parquet(out))
+
+
+@query(
+    f"""SELECT ticker, open_price, close_price,
+               ROUND((close_price - open_price) / NULLIF(open_price, 0) * 100, 2) AS pct_change, total_volume
+        FROM (SELECT ticker, arg_min(price, event_time) AS open_price, arg_max(price, event_time) AS close_price,
+                     CAST(SUM(volume) AS BIGINT) AS total_volume
+              FROM {GOOD} WHERE event_time >= (SELECT MAX(event_time) FROM {GOOD}) - INTERVAL '1 day'
+              GROUP BY ticker)
+        ORDER BY ABS(pct_change) DESC, ticker LIMIT 3"""
+)
+def sql_top_movers(spark, sf):
+    return streamed_catalog(
+        spark,
+        sf,
+        """SELECT ticker, open_price, close_price,
+                  ROUND((close_price - open_price) / NULLIF(open_price, 0) * 100, 2) AS pct_change, total_volume
+           FROM (SELECT ticker, min_by(price, event_time) AS open_price,
+                        max_by(price, event_time) AS close_price, SUM(volume) AS total_volume
+                 FROM {raw}
+                 WHERE event_time >= (SELECT MAX(event_time) FROM {raw}) - INTERVAL 1 DAY
+                 GROUP BY ticker)
+           ORDER BY ABS(pct_change) DESC, ticker LIMIT 3""",
+    )
+
+
+@query(
+    deviation_sql("5 minutes", "5m", "<", f"window_end <= (SELECT MAX(event_time) FROM {GOOD}) - INTERVAL '2 minutes'", GOOD)
+)
+def sql_vwap_deviation(spark, sf):
+    """The window's start is computed per tick, so the join is on equal keys."""
+    return streamed_catalog(
+        spark,
+        sf,
+        """SELECT r.ticker, r.event_time, r.price, v.vwap_5m,
+                  ROUND(ABS(r.price - v.vwap_5m) / NULLIF(v.vwap_5m, 0) * 100, 2) AS deviation_pct
+           FROM (SELECT *, window(event_time, '5 minutes').start AS window_start FROM {raw}) r
+           JOIN {vwap} v ON r.ticker = v.ticker AND r.window_start = v.window_start
+           WHERE ABS(r.price - v.vwap_5m) / NULLIF(v.vwap_5m, 0) > 0.01
+           ORDER BY deviation_pct DESC""",
+    )

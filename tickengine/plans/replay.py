@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tickengine.operators.windows import vwap, with_date
 from tickengine.sources.tables import read_table, write_batch
@@ -20,16 +20,17 @@ def replay_vwap(
 
     Window lengths that divide a day never reach over the end of one.
     """
-    days = F.col("date_partition").between(
-        F.lit(first_date).cast("date"), F.lit(last_date).cast("date")
-    )
-    return with_date(vwap(read_table(spark, raw_root).filter(days), duration, **options))
+    raw = read_table(spark, raw_root, first=first_date, last=last_date)
+    return with_date(vwap(raw, duration, **options))
 
 
 def replay_into(
-    spark: SparkSession, raw_root: str, vwap_root: str, batch_id: int, first_date, last_date,
-    duration: str = "1 minute", **options,
-) -> None:
-    """Write a replay as a newer version of its windows; ``read_upserted`` sees it."""
+    spark: SparkSession, raw_root: str, vwap_root: str, first_date, last_date,
+    duration: str = "1 minute", *, batch_id: int | None = None, **options,
+) -> int:
+    """Write a replay as a newer version of its windows; ``read_upserted`` sees it.
+
+    It gets a number of its own, so it may run beside the stream that writes the table.
+    """
     windows = replay_vwap(spark, raw_root, first_date, last_date, duration, **options)
-    write_batch(windows, vwap_root, batch_id)
+    return write_batch(windows, vwap_root, batch_id)

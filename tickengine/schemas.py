@@ -95,8 +95,7 @@ def vwap_schema(suffix: str = "1m") -> T.StructType:
     )
 
 
-# One row per maintenance operation. The last three columns say which folder holds
-# the rewritten rows of a date, and the last appended batch that folder replaces.
+# One row per maintenance operation.
 HISTORY_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType()),
@@ -104,7 +103,5 @@ HISTORY_SCHEMA = T.StructType(
         T.StructField("operation", T.StringType()),
         T.StructField("operationMetrics", T.MapType(T.StringType(), T.StringType())),
         T.StructField("date_partition", T.DateType()),
-        T.StructField("rewrite_batch", T.LongType()),
-        T.StructField("through_batch", T.LongType()),
     ]
 )

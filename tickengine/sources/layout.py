@@ -1,0 +1,164 @@
+"""Which folders of a date-partitioned table are live.
+
+::
+
+    <root>/data/date_partition=D/batch_id=B/    B >= 0: rows appended by batch B
+    <root>/data/date_partition=D/batch_id=-N/   all rows of D after a rewrite
+    <root>/history/                             what maintenance did, for people
+
+A rewrite's folder holds a file ``_covers``, written last, that lists the batches whose
+rows it holds; from then on readers take it instead of them. A batch that no list names
+is live, whenever it arrives and whoever wrote it. So nothing depends on the order in
+which writers get their numbers, and nothing but folders has to be read to know what is
+live: one listing per table, one per date in question, one small file per rewritten date.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import random
+import re
+import time
+import uuid
+from typing import NamedTuple
+
+from pyspark.sql import SparkSession
+
+COVERS = "_covers"
+
+
+def _path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    fs, folder = _path(spark, path)
+    if not fs.exists(folder):
+        return []
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(folder))
+    return [path.getName() for path in paths]
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, file = _path(spark, path)
+    if not fs.exists(file):
+        return None
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """The file appears whole: it is written under another name and renamed."""
+    fs, file = _path(spark, path)
+    _, draft = _path(spark, f"{file.getParent()}/.{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not fs.rename(draft, file):
+        raise OSError(f"cannot write {path}")
+
+
+def written_at(spark: SparkSession, path: str) -> int:
+    """Milliseconds since 1970."""
+    fs, file = _path(spark, path)
+    return fs.getFileStatus(file).getModificationTime()
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, found = _path(spark, path)
+    return fs.delete(found, True) or not fs.exists(found)
+
+
+# --- numbers ------------------------------------------------------------------------
+
+
+def new_number() -> int:
+    """A number of its own for a batch or a rewrite: the time, then random bits.
+
+    Later numbers are larger, by the clocks of the writers.
+    """
+    return (time.time_ns() // 1_000_000 << 20) | random.getrandbits(20)
+
+
+def batch_number(spark: SparkSession, root: str, checkpoint: str, batch_id: int) -> int:
+    """The number under which a stream writes a micro-batch: the same if it runs again.
+
+    It is kept beside the checkpoint, so another checkpoint, or a job that writes into
+    the same table meanwhile, gets other numbers. Spark repeats only the last batch;
+    older notes are removed.
+    """
+    folder = f"{checkpoint}/numbers/{hashlib.md5(root.encode()).hexdigest()[:12]}"
+    known = read_text(spark, f"{folder}/{batch_id}")
+    if known is None:
+        known = str(new_number())
+        write_text(spark, f"{folder}/{batch_id}", known)
+        delete(spark, f"{folder}/{batch_id - 10}")
+    return int(known)
+
+
+# --- what is live -------------------------------------------------------------------
+
+
+class LiveDate(NamedTuple):
+    """The folders of a date: the newest rewrite, the batches it does not cover, the rest."""
+
+    date: str
+    rewrite: int | None
+    batches: list[int]
+    dead: list[int]
+    covers: list[int]
+    keys: str | None
+
+    def numbers(self) -> list[int]:
+        return ([] if self.rewrite is None else [self.rewrite]) + self.batches
+
+    def paths(self, root: str) -> list[str]:
+        return [folder(root, self.date, n) for n in self.numbers()]
+
+
+def folder(root: str, date, number: int) -> str:
+    return f"{root}/data/date_partition={date}/batch_id={number}"
+
+
+def live_date(spark: SparkSession, root: str, date: str) -> LiveDate:
+    names = children(spark, f"{root}/data/date_partition={date}")
+    found = sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+    rewrite, told = None, {"covers": [], "keys": None}
+    for number in found:  # the newest rewrite is the smallest number
+        if number >= 0:
+            break
+        text = read_text(spark, f"{folder(root, date, number)}/{COVERS}")
+        if text is not None:
+            rewrite, told = number, json.loads(text)
+            break
+    covered = set(told["covers"])
+    batches = [n for n in found if n >= 0 and n not in covered]
+    live = {rewrite, *batches}
+    return LiveDate(date, rewrite, batches, [n for n in found if n not in live], told["covers"], told["keys"])
+
+
+def live_dates(spark: SparkSession, root: str, first=None, last=None) -> list[LiveDate]:
+    """The dates of a table, or those from ``first`` to ``last``; only these are listed."""
+    names = [n.removeprefix("date_partition=") for n in children(spark, f"{root}/data")
+             if n.startswith("date_partition=")]
+    low, high = (None if d is None else str(d) for d in (first, last))
+
+    def asked(name: str) -> bool:
+        dated = re.fullmatch(r"\d{4}-\d{2}-\d{2}", name) is not None
+        if low is None and high is None:
+            return True
+        return dated and (low is None or name >= low) and (high is None or name <= high)
+
+    return [live_date(spark, root, name) for name in sorted(names) if asked(name)]
+
+
+def publish(spark: SparkSession, root: str, date, number: int, covers: list[int], keys: str | None) -> None:
+    """From now on the rewrite ``number`` stands for the batches it covers."""
+    told = json.dumps({"covers": sorted(covers), "keys": keys})
+    write_text(spark, f"{folder(root, date, number)}/{COVERS}", told)

@@ -1,27 +1,19 @@
-"""Date-partitioned tables: layout, writing, reading and DDL.
-
-A table is a folder::
-
-    <root>/data/date_partition=D/batch_id=B/   B >= 0: rows appended by batch B
-    <root>/data/date_partition=D/batch_id=-N/  N >= 1: rows of D after a rewrite
-    <root>/history/                            one row per maintenance operation
+"""Date-partitioned tables: writing, reading and DDL; ``layout`` tells the folders.
 
 Writing a batch again replaces only that batch's folders, so replays are harmless.
-Maintenance never touches a file somebody may be reading: it writes a new folder and
-then adds a history row that names it, together with the last batch it replaces.
-Readers take the newest rewrite of a date plus the batches after it.
+Maintenance never touches a file somebody may be reading: it writes a new folder, and
+then a list of the batches that folder stands for.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickengine.schemas import HISTORY_SCHEMA, RAW_SCHEMA, vwap_schema
-
-
-# Entry of a rewrite's metrics that names the keys its rows were merged by.
-MERGE_KEYS = "mergeKeys"
+from tickengine.sources import layout
 
 # --- writing -----------------------------------------------------------------------
 
@@ -38,26 +30,44 @@ def align_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 def write_batch(
     df: DataFrame,
     root: str,
-    batch_id: int = 0,
+    batch_id: int | None = None,
     *,
     rebalance: bool = True,
     fmt: str = "parquet",
-) -> None:
-    """Write a batch; writing the same ``batch_id`` again replaces it.
+) -> int:
+    """Write a batch and return its number; writing the same number again replaces it.
+
+    Without a number the batch gets a new one, larger than all before.
 
     ``rebalance`` gathers the rows of a date into files of the advisory partition
     size, and AQE splits a date that is too large for one.
     """
+    number = layout.new_number() if batch_id is None else batch_id
     if rebalance:
         df = df.hint("rebalance", "date_partition")
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        df.withColumn("batch_id", F.lit(number).cast("long"))
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date_partition", "batch_id")
         .save(f"{root}/data")
     )
+    return number
+
+
+def dump_messages(messages: DataFrame, path: str, *, rebalance: bool = True) -> None:
+    """Append messages (``raw_value``) as they were sent, one folder per date and ticker.
+
+    Ticker and time only choose the folder. A message without a readable time is filed
+    under today, one without a ticker under the default folder; none is left out.
+    """
+    day = F.to_date(F.coalesce("event_time", F.current_timestamp()))
+    filed = messages.select(F.col("raw_value").alias("value"), day.alias("_date"), F.col("ticker").alias("_ticker"))
+    filed = filed.filter(F.col("value").isNotNull())
+    if rebalance:
+        filed = filed.hint("rebalance", "_date", "_ticker")
+    filed.write.mode("append").partitionBy("_date", "_ticker").text(path)
 
 
 def dump_jsonl(
@@ -81,76 +91,53 @@ def dump_jsonl(
     )
 
 
-# --- history and published rewrites -------------------------------------------------
+# --- history -------------------------------------------------------------------------
 
 
-def _history_files(spark: SparkSession, root: str) -> DataFrame | None:
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """All maintenance operations on a table; empty if there were none."""
     try:
         return spark.read.schema(HISTORY_SCHEMA).parquet(f"{root}/history")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
+        return spark.createDataFrame([], HISTORY_SCHEMA)
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """All maintenance operations on a table; empty if there were none."""
-    found = _history_files(spark, root)
-    return spark.createDataFrame([], HISTORY_SCHEMA) if found is None else found
+# Jobs that run at once in this process take turns here.
+_telling = threading.Lock()
 
 
-def append_history(
-    spark: SparkSession,
-    root: str,
-    operation: str,
-    metrics: dict,
-    *,
-    date=None,
-    rewrite_batch: int | None = None,
-    through_batch: int | None = None,
-    version: int | None = None,
-) -> int:
-    """Add a row; for a rewrite this is the moment readers switch to its folder."""
-    if version is None:
-        version = next_version(spark, root)
+def append_history(spark: SparkSession, root: str, operation: str, metrics: dict, *, date=None) -> int:
+    """Add a row about an operation and return its version. Readers do not need it."""
     told = {k: str(v) for k, v in metrics.items()}
-    row = (version, None, operation, told, date, rewrite_batch, through_batch)
-    (
-        spark.createDataFrame([row], HISTORY_SCHEMA)
-        .withColumn("timestamp", F.current_timestamp())
-        .coalesce(1)
-        .write.mode("append")
-        .parquet(f"{root}/history")
-    )
+    with _telling:
+        newest = read_history(spark, root).agg(F.max("version")).first()[0]
+        version = 0 if newest is None else newest + 1
+        (
+            spark.createDataFrame([(version, None, operation, told, date)], HISTORY_SCHEMA)
+            .withColumn("timestamp", F.current_timestamp())
+            .coalesce(1)
+            .write.mode("append")
+            .parquet(f"{root}/history")
+        )
     return version
 
 
-def next_version(spark: SparkSession, root: str) -> int:
-    newest = read_history(spark, root).agg(F.max("version")).first()[0]
-    return 0 if newest is None else newest + 1
-
-
-def published_rewrites(spark: SparkSession, root: str) -> DataFrame:
-    """The newest rewrite of each date: at most one row per date."""
-    newest_first = Window.partitionBy("date_partition").orderBy(F.col("version").desc())
-    return (
-        read_history(spark, root)
-        .filter(F.col("rewrite_batch").isNotNull())
-        .withColumn("_rank", F.row_number().over(newest_first))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
-    )
-
-
 # --- reading -----------------------------------------------------------------------
 
 
-def _by_date(rewrites: list, field: str) -> Column:
-    """A field of the newest rewrite of a row's date, as a lookup in a literal map."""
-    if not rewrites:
-        return F.lit(None).cast("long")
-    pairs = [F.lit(v) for r in rewrites for v in (r["date_partition"], r[field])]
-    return F.try_element_at(F.create_map(*pairs), F.col("date_partition")).cast("long")
+def read_folders(
+    spark: SparkSession, root: str, dates: list[layout.LiveDate], merge_schema: bool = True, fmt: str = "parquet"
+) -> DataFrame:
+    """The rows of the live folders of some dates, with ``batch_id``."""
+    reader = spark.read.format(fmt).option("basePath", f"{root}/data")
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    paths = [p for d in dates for p in d.paths(root)]
+    if not paths:  # nothing there, or nothing in these dates
+        return reader.load(f"{root}/data").filter(F.lit(False))
+    return reader.load(paths)
 
 
 def read_table(
@@ -158,48 +145,23 @@ def read_table(
     root: str,
     *,
     date=None,
+    first=None,
+    last=None,
     with_batch: bool = False,
-    merge_schema: bool = False,
+    merge_schema: bool = True,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """The live rows of a table.
+    """The live rows of a table, of one ``date`` or of the dates ``first`` to ``last``.
 
-    Which folders are live is told by a predicate on partition columns alone, so the
-    others are pruned before the scan. The driver holds one row per rewritten date.
-    ``with_batch`` keeps ``batch_id``; rewritten rows carry the last batch they cover.
-    With a ``date`` only its folder is listed.
+    Only live folders are given to the scan, and with dates only theirs are listed.
+    Columns that only some files have are NULL in the others; ``merge_schema=False``
+    saves the look into all file footers where no column was added. ``with_batch`` keeps
+    ``batch_id``, which is negative for rewritten rows.
     """
-    rows, rewrites = _live_rows(spark, root, date, merge_schema, fmt)
-    if not with_batch:
-        return rows.drop("batch_id")
-    covered = _by_date(rewrites, "through_batch")
-    batch = F.col("batch_id")
-    return rows.withColumn("batch_id", F.when(batch < 0, covered).otherwise(batch))
-
-
-def _live_rows(
-    spark: SparkSession, root: str, date, merge_schema: bool, fmt: str
-) -> tuple[DataFrame, list]:
-    """Live rows with the batch number of their folder, and the newest rewrites."""
-    reader = spark.read.format(fmt).option("basePath", f"{root}/data")
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
-    stored = reader.load(f"{root}/data" if date is None else f"{root}/data/date_partition={date}")
-    if _history_files(spark, root) is None:
-        return stored.filter(F.col("batch_id") >= 0), []
-    published = published_rewrites(spark, root)
     if date is not None:
-        published = published.filter(F.col("date_partition") == F.lit(date).cast("date"))
-    rewrites = published.select(
-        "date_partition",
-        "rewrite_batch",
-        "through_batch",
-        F.try_element_at("operationMetrics", F.lit(MERGE_KEYS)).alias("merge_keys"),
-    ).collect()
-    live = (F.col("batch_id") > F.coalesce(_by_date(rewrites, "through_batch"), F.lit(-1))) | (
-        F.col("batch_id") == _by_date(rewrites, "rewrite_batch")
-    )
-    return stored.filter(live), rewrites
+        first = last = date
+    rows = read_folders(spark, root, layout.live_dates(spark, root, first, last), merge_schema, fmt)
+    return rows if with_batch else rows.drop("batch_id")
 
 
 def latest_rows(rows: DataFrame, keys: list[str], version: str = "batch_id") -> DataFrame:
@@ -218,6 +180,9 @@ def read_upserted(
     keys: tuple[str, ...] = ("window_start", "ticker"),
     *,
     date=None,
+    first=None,
+    last=None,
+    merge_schema: bool = True,
     fmt: str = "parquet",
 ) -> DataFrame:
     """A table written by keyed batches, with the newest row of each key.
@@ -226,45 +191,27 @@ def read_upserted(
     filter on it still prunes partitions. Dates that were compacted by these keys and
     got no batch since are read as they are, without an aggregation.
     """
-    rows, rewrites = _live_rows(spark, root, date, False, fmt)
+    if date is not None:
+        first = last = date
+    dates = layout.live_dates(spark, root, first, last)
     told = ",".join(keys)
-    for rewrite in rewrites:
-        if rewrite["merge_keys"] != told:
-            raise ValueError(
-                f"{rewrite['date_partition']} of {root} was rewritten without the keys {told}"
-            )
-    columns = [c for c in rows.columns if c != "batch_id"]
-    day, batch = F.col("date_partition"), F.col("batch_id")
-    dates = [r["date_partition"] for r in rewrites]
-    later = rows.filter(day.isin(dates) & (batch >= 0)).select(day).distinct() if dates else None
-    # Bounded by the number of dates, like the rewrites themselves.
-    reopened = {r[0] for r in later.collect()} if dates else set()
-    settled = [d for d in dates if d not in reopened]
-    is_settled = F.coalesce(day.isin(settled), F.lit(False))
-    as_stored = rows.filter(is_settled).select(*columns)
-    if settled and date is not None:
+    for found in dates:
+        if found.rewrite is not None and found.keys != told:
+            raise ValueError(f"{found.date} of {root} was rewritten without the keys {told}")
+    settled = [d for d in dates if d.rewrite is not None and not d.batches]
+    others = [d for d in dates if d.rewrite is None or d.batches]
+    as_stored = read_folders(spark, root, settled, merge_schema, fmt).drop("batch_id") if settled else None
+    if settled and not others:
         return as_stored
-    # A rewrite has a negative number, hence loses against any batch after it.
-    versions = rows.filter(~is_settled) if settled else rows
+    # A rewrite has a negative number, hence loses against any batch it does not cover.
+    versions = read_folders(spark, root, others, merge_schema, fmt)
+    columns = [c for c in versions.columns if c != "batch_id"]
     merged = latest_rows(versions, ["date_partition", *keys]).select(*columns)
-    return as_stored.unionByName(merged) if settled else merged
+    return as_stored.unionByName(merged, allowMissingColumns=True) if settled else merged
 
 
 # --- DDL ---------------------------------------------------------------------------
 
-# Column comments of the two tables.
-RAW_COMMENTS = {
-    "ticker": "Stock ticker symbol",
-    "price": "Last traded price",
-    "volume": "Volume at this tick",
-    "market_cap": "Market capitalisation",
-    "event_time": "Event time from producer",
-    "ingest_time": "Time of arrival in the table",
-    "exchange": "Exchange (NASDAQ / NYSE)",
-    "date_partition": "Partition column",
-}
-
-
 # Table properties where the format is ``delta``.
 RAW_DELTA = {
     "delta.autoOptimize.optimizeWrite": "true",
@@ -280,18 +227,18 @@ def _create(
     schema: T.StructType,
     location: str,
     fmt: str,
-    comments: dict[str, str],
     properties: dict[str, str],
+    streamed: bool,
 ) -> None:
-    columns = ", ".join(
-        f"{f.name} {f.dataType.simpleString()}"
-        + (f" COMMENT '{comments[f.name]}'" if f.name in comments else "")
-        for f in schema
-    )
+    parts = ["date_partition"]
+    if streamed:
+        schema = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
+        parts, location = [*parts, "batch_id"], f"{location}/data"
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
     told = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} "
-        f"PARTITIONED BY (date_partition) LOCATION '{location}'"
+        f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{location}'"
         + (f" TBLPROPERTIES ({told})" if told else "")
     )
 
@@ -303,11 +250,16 @@ def create_raw(
     *,
     fmt: str = "parquet",
     properties: dict[str, str] | None = None,
+    streamed: bool = False,
 ) -> None:
-    """The raw tick table in the catalog, partitioned by date."""
+    """The raw tick table in the catalog, partitioned by date.
+
+    ``streamed`` names a table that streams and maintenance write (``location`` is its
+    root); ``sync_catalog`` shows their folders to it.
+    """
     if properties is None:
         properties = RAW_DELTA if fmt == "delta" else {}
-    _create(spark, name, RAW_SCHEMA, location, fmt, RAW_COMMENTS, properties)
+    _create(spark, name, RAW_SCHEMA, location, fmt, properties, streamed)
 
 
 def create_vwap(
@@ -318,16 +270,37 @@ def create_vwap(
     suffix: str = "1m",
     fmt: str = "parquet",
     properties: dict[str, str] | None = None,
+    streamed: bool = False,
 ) -> None:
     """The VWAP table of one window length, partitioned by the date of its start."""
-    comments = {
-        "window_start": f"{suffix} window start",
-        "window_end": f"{suffix} window end",
-        f"vwap_{suffix}": "Volume-Weighted Average Price",
-    }
     if properties is None:
         properties = VWAP_DELTA if fmt == "delta" else {}
-    _create(spark, name, vwap_schema(suffix), location, fmt, comments, properties)
+    _create(spark, name, vwap_schema(suffix), location, fmt, properties, streamed)
+
+
+def sync_catalog(spark: SparkSession, name: str, root: str, *, first=None, last=None) -> None:
+    """Make the live folders of a table, and no others, the partitions of its catalog entry.
+
+    Run it after batches or maintenance; with dates only theirs are compared. Queries by
+    name read exactly these folders. Keyed tables show all versions until compacted.
+    """
+
+    def spec(date: str, number: int) -> str:
+        return f"PARTITION (date_partition = '{date}', batch_id = {number})"
+
+    low, high = (None if d is None else str(d) for d in (first, last))
+    known = set()
+    for (row,) in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        date, number = (part.split("=", 1)[1] for part in row.split("/"))
+        if (low is None or date >= low) and (high is None or date <= high):
+            known.add((date, int(number)))
+    live = {(d.date, n) for d in layout.live_dates(spark, root, first, last) for n in d.numbers()}
+    for verb, some in (("ADD IF NOT EXISTS", sorted(live - known)), ("DROP IF EXISTS", sorted(known - live))):
+        between = " " if verb.startswith("ADD") else ", "
+        for at in range(0, len(some), 500):
+            parts = between.join(spec(*p) for p in some[at : at + 500])
+            spark.sql(f"ALTER TABLE {name} {verb} {parts}")
+    spark.catalog.refreshTable(name)
 
 
 def insert_into(df: DataFrame, name: str, *, overwrite_dates: bool = False) -> None:

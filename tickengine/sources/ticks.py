@@ -51,8 +51,8 @@ def ticks_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, path: str, *, pattern: str = "*") -> DataFrame:
-    """Path, modification time and length of the files below a folder.
+def list_files(spark: SparkSession, path: str | list[str], *, pattern: str = "*") -> DataFrame:
+    """Path, modification time and length of the files below a folder, or several.
 
     The contents are not read. The listing stays a DataFrame; a separate session
     packs many files into one task, since a task only asks for their status.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark import StorageLevel
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -12,6 +13,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tickengine.functions import prices, times
 from tickengine.operators.parse import parse_events, raw_columns, split_valid
 from tickengine.operators.windows import vwap, with_date
+from tickengine.sources.layout import batch_number
 from tickengine.sources.tables import write_batch
 from tickengine.streaming.sinks import append_stream, dump_stream, each_batch, upsert_stream
 from tickengine.streaming.source import read_backlog
@@ -30,17 +32,18 @@ def run_streams(
     decimals: int | None = None,
     every: str | None = "30 seconds",
     upsert: bool = False,
-    first_batch: int = 0,
+    max_ahead: str | None = None,
 ) -> list[StreamingQuery]:
     """Start the raw query and one VWAP query per window length.
 
     Tables are ``<tables>/raw``, ``<tables>/vwap_1m`` and so on; each query has its own
-    checkpoint. Rows that break the contract go to ``<tables>/quarantine``, under the
-    date of their arrival, and into no other table. ``upsert`` publishes open windows
-    too. ``first_batch`` as in ``append_stream``.
+    checkpoint. Rows that break the contract, or whose time lies more than ``max_ahead``
+    after their arrival, go to ``<tables>/quarantine``, under the date of their arrival,
+    and into no other table. ``upsert`` publishes open windows too.
 
-    The raw query reads each batch twice, for ticks and for rejects, so its progress
-    reports twice the input rows.
+    The raw query reads and parses each message once: the parsed batch is kept, on disk
+    where memory is short, until ticks and rejects are written. Each window length reads
+    the source once, as queries of their own do.
     """
     parsed = parse_events(messages, keep_raw=True)
 
@@ -48,23 +51,28 @@ def run_streams(
         return f"{tables}/{name}", f"{checkpoints}/{name}"
 
     def write_parsed(batch: DataFrame, batch_id: int) -> None:
-        # Reading and parsing a batch twice costs less than caching it.
-        valid, rejected = split_valid(batch)
-        write_batch(raw_columns(valid.drop("raw_value")), places("raw")[0], first_batch + batch_id)
-        dated = rejected.withColumn("date_partition", F.to_date("ingest_time"))
-        write_batch(dated, places("quarantine")[0], first_batch + batch_id)
+        def put(rows: DataFrame, name: str) -> None:
+            root = places(name)[0]
+            write_batch(rows, root, batch_number(spark, root, places("raw")[1], batch_id))
+
+        spark = batch.sparkSession
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            valid, rejected = split_valid(batch, max_ahead=max_ahead)
+            put(raw_columns(valid.drop("raw_value")), "raw")
+            put(rejected.withColumn("date_partition", F.to_date("ingest_time")), "quarantine")
+        finally:
+            batch.unpersist()
 
     queries = [each_batch(parsed, write_parsed, places("raw")[1], every=every, name="raw")]
-    ticks, _ = split_valid(parsed.drop("raw_value"))
+    ticks, _ = split_valid(parsed.drop("raw_value"), max_ahead=max_ahead)
     start = upsert_stream if upsert else append_stream
     for duration in durations:
         name = f"vwap_{times.label(duration)}"
         windows = with_date(
             vwap(ticks, duration, watermark=watermark, high_low=high_low, decimals=decimals)
         )
-        queries.append(
-            start(windows, *places(name), every=every, name=name, first_batch=first_batch)
-        )
+        queries.append(start(windows, *places(name), every=every, name=name))
     return queries
 
 
@@ -95,10 +103,11 @@ def backfill(
     fmt: str = "text",
     **options: str,
 ) -> StreamingQuery:
-    """Dump a source from its beginning as JSON lines, resuming where it last ended."""
-    ticks = parse_events(read_backlog(spark, location, fmt, **options))
-    dump = ticks.filter(F.col("ticker").isNotNull()).drop("event_time", "ingest_time", "date_partition")
-    return dump_stream(dump, path, checkpoint)
+    """Dump a source from its beginning as it was sent, resuming where it last ended.
+
+    Every message is kept, unreadable ones too; see ``dump_messages`` for the folders.
+    """
+    return dump_stream(parse_events(read_backlog(spark, location, fmt, **options), keep_raw=True), path, checkpoint)
 
 
 def deviation_alerts(
@@ -177,6 +186,31 @@ def progress_rows(query: StreamingQuery) -> DataFrame:
     )
 
 
+class LateRows(StreamingQueryListener):
+    """Counts rows dropped as late, per query name, for as long as the session lives.
+
+    ``progress_rows`` knows the last reports only; this adds each report as it comes.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        report = event.progress
+        name = report.name or str(report.id)
+        late = sum(state.numRowsDroppedByWatermark for state in report.stateOperators)
+        self.dropped[name] = self.dropped.get(name, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 class DeliveryLog(StreamingQueryListener):
     """Logs each delivered micro-batch with its offsets, and failures as errors."""
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tickengine.sources.tables import dump_jsonl, write_batch
+from tickengine.sources.layout import batch_number
+from tickengine.sources.tables import dump_messages, write_batch
 from tickengine.streaming.source import trigger
 
 
@@ -38,18 +39,17 @@ def append_stream(
     every: str | None = "30 seconds",
     name: str | None = None,
     rebalance: bool = True,
-    first_batch: int = 0,
 ) -> StreamingQuery:
     """Append each micro-batch to a table; a replayed batch replaces itself.
 
     Batch writes instead of the file sink: the sink's own metadata log would break
-    readers once maintenance rewrites files. A new checkpoint counts from 0 again; for
-    a table that has batches already pass ``first_batch=next_batch(spark, root)``, and
-    the same number whenever that checkpoint is used again.
+    readers once maintenance rewrites files. Batches are numbered by ``batch_number``,
+    so a new checkpoint, or another writer, adds to what is there.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, root, first_batch + batch_id, rebalance=rebalance)
+        number = batch_number(batch.sparkSession, root, checkpoint, batch_id)
+        write_batch(batch, root, number, rebalance=rebalance)
 
     return each_batch(df, write, checkpoint, every=every, name=name)
 
@@ -61,26 +61,25 @@ def upsert_stream(
     *,
     every: str | None = "30 seconds",
     name: str | None = None,
-    first_batch: int = 0,
 ) -> StreamingQuery:
     """Write the windows each micro-batch changed; ``read_upserted`` merges by key.
 
     Update mode makes windows visible before they close. A batch costs what it
     changed, not the size of the dates it touches; compaction folds versions later.
-    ``first_batch`` as in ``append_stream``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, root, first_batch + batch_id)
+        number = batch_number(batch.sparkSession, root, checkpoint, batch_id)
+        write_batch(batch, root, number)
 
     return each_batch(df, write, checkpoint, mode="update", every=every, name=name)
 
 
 def dump_stream(
-    df: DataFrame, path: str, checkpoint: str, *, every: str | None = None
+    messages: DataFrame, path: str, checkpoint: str, *, every: str | None = None
 ) -> StreamingQuery:
-    """Debug dump of ticks as JSON lines per date and ticker (at least once)."""
-    return each_batch(df, lambda batch, _: dump_jsonl(batch, path), checkpoint, every=every)
+    """Debug dump of parsed messages as they were sent, per date and ticker (at least once)."""
+    return each_batch(messages, lambda batch, _: dump_messages(batch, path), checkpoint, every=every)
 
 
 def publish_stream(

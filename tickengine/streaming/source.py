@@ -19,8 +19,8 @@ def read_tick_stream(
 ) -> DataFrame:
     """Messages as they arrive, with the body in ``value``.
 
-    ``text`` watches a folder of JSON lines; ``maxFilesPerTrigger`` bounds a batch and
-    files that vanish are skipped. ``kafka`` subscribes to the topic ``location`` and
+    ``text`` watches a folder of JSON lines; ``maxFilesPerTrigger`` bounds a batch, and
+    ``ignoreMissingFiles="true"`` skips files that vanish, which is an error otherwise. ``kafka`` subscribes to the topic ``location`` and
     needs ``kafka.bootstrap.servers`` (and the connector); ``maxOffsetsPerTrigger``
     bounds a batch there.
     """
@@ -29,7 +29,7 @@ def read_tick_stream(
         reader = reader.schema(schema)
     if fmt == "kafka":
         return reader.options(**{**BUS_OPTIONS, "subscribe": location, **options}).load()
-    return reader.options(**{"ignoreMissingFiles": "true", **options}).load(location)
+    return reader.options(**options).load(location)
 
 
 def read_backlog(spark: SparkSession, location: str, fmt: str = "text", **options: str) -> DataFrame:
