@@ -23,8 +23,6 @@ import hashlib
 import json
 import unicodedata
 from array import array
-from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +33,8 @@ from pyspark.sql import functions as F
 from .common import mapped, table
 
 WORD_END = "</w>"
-CACHE = 200_000
+# Pieces and fragments that a worker remembers, about 25 MB each time.
+CACHE = 100_000
 # White space as the vocabulary's pattern means it.
 _SPACE = r"\x09-\x0d\x20\x85\xa0  -     　"
 # The vocabulary's own pattern for pieces: a fixed value, with white space written out.
@@ -77,6 +76,7 @@ class Codec:
         self.strings = {i: s for s, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in described["added_tokens"]}
         self.strings |= {i: s for s, i in self.special.items()}
+        del described
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         # Symbols are ids from here on.
         self.ranks = {(vocab[a], vocab[b]): rank for rank, (a, b) in enumerate(merges)}
@@ -89,7 +89,8 @@ class Codec:
         self.path = path
         self.rules = None
         self.stops = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
-        self.fragments = Cache(lambda key: tuple(self.merge(*key)), CACHE)
+        # Ids are kept as the bytes that they have in the result, four each.
+        self.fragments = Cache(lambda key: array("I", self.merge(*key)).tobytes(), CACHE // 2)
         self.pieces = Cache(self.encode_piece, CACHE)
 
     def find_pairs(self, vocab: dict[str, int]) -> tuple[set[bytes], set[bytes]]:
@@ -138,8 +139,8 @@ class Codec:
                 ranks[i - 1] = rank((ids[i - 1], ids[i]), none)
         return ids
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.fragments.__getitem__, self.cut(piece.encode()))))
+    def encode_piece(self, piece: str) -> bytes:
+        return b"".join(map(self.fragments.__getitem__, self.cut(piece.encode())))
 
     def split(self, text: str) -> list[str]:
         """The pieces of a text without special tokens."""
@@ -161,21 +162,21 @@ class Codec:
         found = self.rules.pre_tokenizer.pre_tokenize_str(plain)
         return [bytes(of[c] for c in piece).decode() for piece, _ in found]
 
-    def ordinary(self, text: str) -> Iterator[int]:
-        return chain.from_iterable(map(self.pieces.__getitem__, self.split(text)))
+    def ordinary(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
-    def encode(self, text: str) -> array:
-        ids, at = array("I"), 0
+    def encode(self, text: str) -> np.ndarray:
+        made, at = [], 0
         for stop in self.stops.finditer(text):
-            ids.extend(self.ordinary(text[at : stop.start()]))
-            ids.append(self.special[stop.group()])
+            made.append(self.ordinary(text[at : stop.start()]))
+            made.append(array("I", [self.special[stop.group()]]).tobytes())
             at = stop.end()
-        ids.extend(self.ordinary(text[at:] if at else text))
-        return ids
+        made.append(self.ordinary(text[at:] if at else text))
+        return np.frombuffer(b"".join(made), dtype=np.uint32)
 
-    def decode(self, ids: array) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Token strings with a blank between, as the file names no decoder."""
-        return " ".join(map(self.strings.__getitem__, ids))
+        return " ".join(map(self.strings.__getitem__, ids.tolist()))
 
 
 _codecs: dict[str, Codec] = {}
@@ -202,12 +203,11 @@ def encode_texts(
             count, of_ids, of_text, kept = [], [], [], []
             for value in texts:
                 ids = own.encode(value.as_py() or "")
-                raw = np.frombuffer(ids, dtype=np.uint32).astype("<u4").tobytes()
                 count.append(len(ids))
-                of_ids.append(hashlib.sha256(raw).hexdigest())
+                of_ids.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 of_text.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
                 if with_ids:
-                    kept.append(pa.array(np.frombuffer(ids, dtype=np.uint32).astype(np.int32)))
+                    kept.append(pa.array(ids.astype(np.int32)))
             columns = [
                 batch.column(0), pa.array(count, pa.int64()),
                 pa.array(of_ids, pa.string()), pa.array(of_text, pa.string()),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,17 +57,39 @@ class Scratch:
         self.drop()
 
 
+# Bytes in one batch for Python: a worker's memory does not follow the length of texts.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _tidy(run: Callable) -> Callable:
+    """``run``, giving freed memory back at the end of a partition, as workers are used again."""
+
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # a C library of another kind
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow``, with this package on the path of Python workers that lack it.
+    """``df.mapInArrow`` in batches of bounded size.
 
-    Where executors have other folders, ship the package with ``--py-files`` as usual.
+    The package is put on the path of Python workers that lack it. Where executors have
+    other folders, ship it with ``--py-files`` as usual. The session's limit of bytes in a
+    batch is lowered where it is Spark's default.
     """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH) == "67108864b":
+        conf.set(_BATCH, str(BATCH_BYTES))
     home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = df.sparkSession.sparkContext.environment
     paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
     if home not in paths:
         known["PYTHONPATH"] = os.pathsep.join([*paths, home])
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(_tidy(run), schema)
 
 
 def free_name(df: DataFrame, base: str) -> str:

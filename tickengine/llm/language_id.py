@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import mapped, table
 
 BUCKETS = 1 << 17
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 # Code point ranges of scripts; other letters share the last number.
 SCRIPTS = (
     ("latin", ((0x41, 0x24F), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFF21, 0xFF5A))),

@@ -97,7 +97,7 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return made
 
 
-def chunks(values: list[str | None], most: int = 4_000_000):
+def chunks(values: list[str | None], most: int = 1_000_000):
     """Texts as bytes, in runs of at most ``most`` bytes, or one longer text."""
     run, size = [], 0
     for value in values:
