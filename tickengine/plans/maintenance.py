@@ -79,20 +79,17 @@ def _rewrite(
     keys: list[str] | None,
     target_bytes: int,
     pack: bool,
-) -> int:
+    journal: list | None,
+) -> int | None:
     """Write the live rows of a date anew and publish the folder.
 
-    What is live is looked up once; a batch that arrives later is not covered, hence
+    Returns the history version, or leaves the row to the owner of ``journal``. What is live is looked up once; a batch that arrives later is not covered, hence
     stays as it is.
     """
     live = layout.live_date(spark, root, str(date))
     if not live.numbers():
         raise ValueError(f"no live files for {date} in {root}")
-    before = (
-        list_files(spark, live.paths(root))
-        .agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-        .first()
-    )
+    files_before, bytes_before = map(sum, zip(*(layout.size(spark, p) for p in live.paths(root))))
 
     # A session of its own, because how files are packed into tasks is a setting.
     session = spark.newSession()
@@ -110,7 +107,7 @@ def _rewrite(
     if keys:
         rows = latest_rows(rows, ["date_partition", *keys])
     rows = rows.select(*columns)
-    files = max(1, math.ceil(before["bytes"] / target_bytes))
+    files = max(1, math.ceil(bytes_before / target_bytes))
     number = -layout.new_number()
     folder = layout.folder(root, date, number)
     arrange(rows, files).drop("date_partition").write.mode("overwrite").parquet(folder)
@@ -122,21 +119,21 @@ def _rewrite(
         )
     if set(written.columns) != set(columns) - {"date_partition"}:
         raise MaintenanceError(f"{operation} of {date} in {root} lost columns; not published")
-    after = (
-        list_files(spark, folder)
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-        .first()
-    )
+    files_after, bytes_after = layout.size(spark, folder)
     covers = [*live.covers, *live.batches]
     layout.publish(spark, root, date, number, covers, ",".join(keys) if keys else None)
     metrics = {
-        "numRemovedFiles": before["files"],
-        "numRemovedBytes": before["bytes"],
-        "numAddedFiles": after["files"],
-        "numAddedBytes": after["bytes"],
+        "numRemovedFiles": files_before,
+        "numRemovedBytes": bytes_before,
+        "numAddedFiles": files_after,
+        "numAddedBytes": bytes_after,
         "numOutputRows": rows_after,
     }
-    return append_history(spark, root, operation, metrics, date=dt.date.fromisoformat(str(date)))
+    told = (operation, metrics, dt.date.fromisoformat(str(date)))
+    if journal is None:
+        return append_history(spark, root, [told])
+    journal.append(told)
+    return None
 
 
 def compact(
@@ -146,7 +143,8 @@ def compact(
     *,
     keys: list[str] | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
-) -> int:
+    journal: list | None = None,
+) -> int | None:
     """Merge the small files of a date; returns the history version.
 
     Without ``keys`` there is no shuffle: the scan packs files up to the target size
@@ -158,7 +156,8 @@ def compact(
         return rows.hint("rebalance") if keys else rows
 
     return _rewrite(
-        spark, root, date, "COMPACT", arrange, keys=keys, target_bytes=target_bytes, pack=not keys
+        spark, root, date, "COMPACT", arrange, keys=keys, target_bytes=target_bytes, pack=not keys,
+        journal=journal,
     )
 
 
@@ -201,13 +200,14 @@ def zorder(
     keys: list[str] | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
     bits: int = 8,
-) -> int:
+    journal: list | None = None,
+) -> int | None:
     """Rewrite a date clustered by ``columns`` (default: ticker)."""
     by = columns or ["ticker"]
     return _rewrite(
         spark, root, date, f"ZORDER BY ({', '.join(by)})",
         lambda rows, files: clustered(rows, by, files, keys=keys, bits=bits),
-        keys=keys, target_bytes=target_bytes, pack=False,
+        keys=keys, target_bytes=target_bytes, pack=False, journal=journal,
     )
 
 
@@ -270,7 +270,7 @@ def vacuum(
                     folders, files, total = folders + 1, files + row["files"], total + row["bytes"]
                 else:
                     failed.append(row["folder"])
-    append_history(spark, root, "VACUUM", {"numDeletedFiles": files, "numDeletedBytes": total})
+    append_history(spark, root, [("VACUUM", {"numDeletedFiles": files, "numDeletedBytes": total}, None)])
     if failed:
         raise MaintenanceError(f"{len(failed)} folders of {root} could not be deleted, as {failed[0]}")
     return spark.createDataFrame([(folders, files, total)], "folders long, files long, bytes long")
@@ -295,20 +295,24 @@ def rewrite_dates(
     spark: SparkSession,
     root: str,
     before: dt.date | None,
-    rewrite: Callable[..., int],
+    rewrite: Callable[..., int | None],
     *args,
-    at_once: int = 4,
+    at_once: int = 8,
     **options,
 ) -> int:
     """Rewrite all closed dates with new batches, some at once; how many there were.
 
-    ``rewrite`` is ``compact`` or ``zorder``; further arguments go to it.
+    The history gets its rows in the end, also when a date fails. ``rewrite`` is ``compact`` or ``zorder``; further arguments go to it.
     """
-    days = dates_to_rewrite(spark, root, before)
-    with ThreadPoolExecutor(at_once) as pool:
-        done = [pool.submit(rewrite, spark, root, day, *args, **options) for day in days]
-        for job in done:
-            job.result()
+    days, journal = dates_to_rewrite(spark, root, before), []
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            done = [pool.submit(rewrite, spark, root, day, *args, journal=journal, **options) for day in days]
+            for job in done:
+                job.result()
+    finally:
+        if journal:
+            append_history(spark, root, sorted(journal, key=lambda told: told[2]))
     return len(days)
 
 

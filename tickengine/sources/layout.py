@@ -70,6 +70,16 @@ def written_at(spark: SparkSession, path: str) -> int:
     return fs.getFileStatus(file).getModificationTime()
 
 
+def size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of the data files in a folder; hidden files are not counted."""
+    fs, found = _path(spark, path)
+    files = total = 0
+    for status in fs.listStatus(found):
+        if not status.getPath().getName().startswith(("_", ".")):
+            files, total = files + 1, total + status.getLen()
+    return files, total
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, found = _path(spark, path)
     return fs.delete(found, True) or not fs.exists(found)

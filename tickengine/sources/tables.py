@@ -108,14 +108,20 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
 _telling = threading.Lock()
 
 
-def append_history(spark: SparkSession, root: str, operation: str, metrics: dict, *, date=None) -> int:
-    """Add a row about an operation and return its version. Readers do not need it."""
-    told = {k: str(v) for k, v in metrics.items()}
+def append_history(spark: SparkSession, root: str, told: list[tuple[str, dict, object]]) -> int:
+    """Add a row per ``(operation, metrics, date)`` and return the first one's version.
+
+    Readers do not need the history.
+    """
     with _telling:
         newest = read_history(spark, root).agg(F.max("version")).first()[0]
         version = 0 if newest is None else newest + 1
+        rows = [
+            (version + i, None, operation, {k: str(v) for k, v in metrics.items()}, date)
+            for i, (operation, metrics, date) in enumerate(told)
+        ]
         (
-            spark.createDataFrame([(version, None, operation, told, date)], HISTORY_SCHEMA)
+            spark.createDataFrame(rows, HISTORY_SCHEMA)
             .withColumn("timestamp", F.current_timestamp())
             .coalesce(1)
             .write.mode("append")
