@@ -133,6 +133,27 @@ def cut(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, piece: int = PI
                   "k1 long, k2 long, start long, end long, anchor long, string long")
 
 
+def direct_sort(text: bytes, starts: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes by their first ``depth`` bytes: eight as a number, the rest where these are equal."""
+    if not len(starts):
+        return starts
+    near = min(8, depth)
+    padded = np.concatenate([np.frombuffer(text, dtype=np.uint8), np.zeros(8, dtype=np.uint8)])
+    head = np.zeros(len(starts), dtype=_U)
+    for i in range(near):
+        head = (head << _U(8)) | padded[starts + i].astype(_U)
+    # Past its end a text is less than any byte, zero included.
+    inside = np.minimum(len(text) - starts, near)
+    order = np.lexsort((inside, head))
+    starts, head, inside = starts[order], head[order], inside[order]
+    same = (head[1:] == head[:-1]) & (inside[1:] == inside[:-1])
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], same.view(np.int8), [0]])))
+    made = starts.tolist()
+    for a, b in zip(edges[::2].tolist(), (edges[1::2] + 1).tolist()):
+        made[a:b] = sorted(made[a:b], key=lambda i: text[i + near : i + depth])
+    return np.array(made, dtype=np.int64)
+
+
 def suffix_order(text: bytes, depth: int) -> np.ndarray:
     """Suffix array in two stages; suffixes equal in their first ``depth`` bytes in any order."""
     t = np.frombuffer(text, dtype=np.uint8)
@@ -149,7 +170,7 @@ def suffix_order(text: bytes, depth: int) -> np.ndarray:
     small[inner] = t[at] < t[at + 1]
 
     # Stage one: direct sort of the small suffixes; they end their buckets.
-    direct = np.array(sorted(np.flatnonzero(small).tolist(), key=lambda i: text[i : i + depth]), dtype=np.int64)
+    direct = direct_sort(text, np.flatnonzero(small), depth)
     ends = np.cumsum(np.bincount(t, minlength=256))
     heads = ends - np.bincount(t, minlength=256)
     n_small = np.bincount(t[direct], minlength=256) if len(direct) else np.zeros(256, dtype=np.int64)
