@@ -58,6 +58,44 @@ def test_whole_and_edited_passages(docs_of, items_of, prose):
     assert left == {i for i, _ in docs} - {i for i, _ in wanted}
 
 
+def edited(words, kind, share, pick):
+    """``words`` with a share of them replaced, inserted or deleted in one run or replaced one by one."""
+    n = max(1, int(len(words) * share))
+    at = pick.randrange(len(words) - n + 1)
+    other = [f"zz{pick.randrange(10**6)}" for _ in range(n)]
+    if kind == "scattered":
+        made = list(words)
+        for i, word in zip(pick.sample(range(len(words)), max(1, n // 5)), other):
+            made[i] = word
+        return made
+    return words[:at] + ([] if kind == "deleted" else other) + words[at + (0 if kind == "inserted" else n) :]
+
+
+KINDS = ["replaced", "inserted", "deleted", "scattered"]
+
+
+def best_of(words, item):
+    """The similarity of the best passage, by comparing all of them."""
+    own = d.weighted(item, d.SIZE)
+    return max(d.similarity(d.weighted(words[i : i + len(item)], d.SIZE), own) for i in range(len(words)))
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("n", [12, 25, 60, 200])
+def test_every_passage_at_the_threshold_is_found(prose, kind, n):
+    pick = random.Random(n)
+    item = prose(n, n).split()
+    index = d.Index([" ".join(item)])
+    leaks = 0
+    for i in range(30):
+        words = prose(37 + i, i).split() + edited(item, kind, 0.02 + 0.01 * (i % 18), pick) + prose(70, i + 50).split()
+        best = best_of(words, item)
+        found = d.search([" ".join(words).encode()], index, d.SIMILARITY)
+        assert max((f[4] for f in found), default=0.0) == (best if best >= d.SIMILARITY else 0.0)
+        leaks += best >= d.SIMILARITY
+    assert leaks >= 3 or n < 25  # of twelve words hardly one can be edited
+
+
 def test_edge_rows(docs_of, items_of, prose):
     item = prose(20, 1)
     docs = [(1, None), (2, ""), (None, item), (3, item), (3, item), (4, prose(60_000, 2) + " " + item), (5, item[: len(item) // 4])]

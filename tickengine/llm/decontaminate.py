@@ -1,20 +1,22 @@
-"""Benchmark decontamination by SimHash of item-sized windows.
+"""Benchmark decontamination by SimHash of short windows, then exact comparison of passages.
 
 Words are runs without blanks, control spaces and ASCII signs; A-Z count as a-z. A window's
 fingerprint has 64 bits: each word votes with its length on every bit, by its hash.
 
-A text cannot be asked at every size and place. Sizes are 6, 8 or 10 steps of a power of
-two, and a size is asked at every step. An item of n words is asked with the largest size
-up to 85 % of n, from each of its own places. So a passage that holds the item, or most of
-it, has a window that starts at an asked place and lies inside the item, and that window's
-fingerprint is the item's own, but for edited words. Windows share their sums.
+A passage starts at any word of a text and has as many words as the item, or those left. It
+is a leak from ``similarity`` on: the weight of the five-word shingles in both, as a share of
+those in either, where a shingle weighs as many bytes as its words have.
+
+Such a passage lacks at most a share of 1 - ``similarity`` of the item's weight. So of any
+shingles of the item that weigh more than that, it holds one unedited. The index has the
+fingerprints of these, chosen among those in the fewest items, and a text is asked at each of
+its words: no leak is without a hit, whatever was replaced, inserted or deleted, and
+what other texts stand beside it changes nothing. All passages around a hit are compared.
 
 The index holds the 64 bits in four blocks of 16. Of two fingerprints within ``radius``,
 one block differs in at most radius / 4 bits, so every block is entered under all values
-that near to it: no fingerprint within the radius is missed. What is found is compared
-in all 64 bits, then the passage of the item's size around the window is compared exactly:
-the weight of the five-word shingles in both, as a share of those in either, where a
-shingle weighs as many bytes as its words have. From ``similarity`` on it is a leak.
+that near to it: no fingerprint within the radius is missed. An unedited window needs no
+radius; a larger one gives more to compare and the same leaks.
 
 Defined results: NULL and empty texts hold nothing. Items with NULL or empty text or fewer
 than ``size`` words have no shingle and are found nowhere. Rows are searched one by one:
@@ -29,6 +31,7 @@ slice by slice, each in a pass of its own, so nothing depends on its size but ti
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 from itertools import combinations
 from typing import NamedTuple
@@ -39,11 +42,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mapped, table
-from .shingles import chunks, read_words
+from .shingles import Words, chunks, read_words, shingle_hashes
 
 SIZE = 5
 SIMILARITY = 0.8
-RADIUS = 7
+RADIUS = 0
 BLOCKS = 4
 SLICE = 4_000_000
 CHUNK = 500_000
@@ -61,7 +64,7 @@ def step(size: int) -> int:
 
 
 def window_size(words: int) -> int:
-    """The largest asked size up to 85 % of an item's words."""
+    """The largest size of 6, 8 or 10 steps up to 85 % of an item's words; not asked by ``search``."""
     most = max(1, int(words * 0.85))
     if most <= 6:
         return most
@@ -107,9 +110,9 @@ class Votes:
             self.runs[every, n] = half[: max(0, len(half) - n // 2)] + half[n // 2 :]
         return self.runs[every, n]
 
-    def fingerprints(self, size: int) -> np.ndarray:
-        """Fingerprints of the windows of ``size`` words at every ``step(size)``-th word."""
-        every = step(size)
+    def fingerprints(self, size: int, every: int = 0) -> np.ndarray:
+        """Fingerprints of the windows of ``size`` words at every ``every``-th or ``step(size)``-th word."""
+        every = every or step(size)
         n = size // every
         windows = len(self.step(every)) - n + 1
         if windows < 1:
@@ -123,8 +126,11 @@ class Votes:
 
 
 class Item(NamedTuple):
-    number: int
     words: list[bytes]
+    shingles: dict[tuple[bytes, ...], int]
+    weight: int
+    hashes: np.ndarray  # of the shingles, sorted
+    weights: np.ndarray
 
 
 class SizeIndex(NamedTuple):
@@ -167,27 +173,53 @@ def lower_words(text: str | None) -> tuple[list[bytes], np.ndarray]:
 
 
 class Index:
-    """All items of a slice of the benchmark, by window size."""
-
-    def __init__(self, texts: list[str | None], size: int = SIZE, radius: int = RADIUS):
+    """All items of a slice of the benchmark, for leaks of at least ``least``."""
+
+    def __init__(
+        self,
+        texts: list[str | None],
+        size: int = SIZE,
+        radius: int = RADIUS,
+        least: float = SIMILARITY,
+    ):
         self.size, self.radius = size, radius
-        self.items: dict[int, list[bytes]] = {}
-        found: dict[int, list[tuple]] = {}
+        self.items: dict[int, Item] = {}
+        read = {}
         for number, text in enumerate(texts):
             words, hashes = lower_words(text)
             if len(words) < size:
                 continue
-            self.items[number] = words
-            bits = voted(hashes, _weights(np.array([len(w) for w in words])))
-            own = window_size(len(words))
-            at = np.arange(len(words) - own + 1)
-            prints = _prints(np.stack([bits[i : i + own].sum(axis=0, dtype=np.int32) for i in at]))
-            found.setdefault(own, []).append((prints, np.full(len(at), number), at))
-        self.shingles = {n: weighted(words, size) for n, words in self.items.items()}
-        self.by_size = {
-            own: index_size(*(np.concatenate(x) for x in zip(*parts)), radius)
-            for own, parts in found.items()
-        }
+            shingles = weighted(words, size)
+            own, first = np.unique(shingle_hashes(hashes, size), return_index=True)
+            weights = np.array([sum(map(len, words[i : i + size])) for i in first.tolist()])
+            self.items[number] = Item(words, shingles, sum(shingles.values()), own, weights)
+            votes = Votes(hashes, _weights(np.array([len(w) for w in words])))
+            read[number] = votes.fingerprints(size, 1)
+        holders = Counter(s for item in self.items.values() for s in item.shingles)
+        found = []
+        for number, item in self.items.items():
+            at = np.array(chosen(item, size, holders, least))
+            found.append((read[number][at], np.full(len(at), number), at))
+        self.by_size = (
+            {size: index_size(*(np.concatenate(x) for x in zip(*found)), radius)} if found else {}
+        )
+
+
+def chosen(item: Item, size: int, holders: Counter, least: float) -> list[int]:
+    """Where the shingles start of which a passage of ``least`` must hold one.
+
+    They weigh more than such a passage may lack; those in few items and heavy ones first.
+    """
+    place: dict[tuple, int] = {}
+    for i, shingle in enumerate(zip(*(item.words[i:] for i in range(size)))):
+        place.setdefault(shingle, i)
+    lacks, taken = (1 - least) * item.weight + 1e-6, []
+    for shingle in sorted(place, key=lambda s: (holders[s], -item.shingles[s], place[s])):
+        taken.append(place[shingle])
+        lacks -= item.shingles[shingle]
+        if lacks < 0:
+            break
+    return taken
 
 
 def _weights(lengths: np.ndarray) -> np.ndarray:
@@ -223,45 +255,104 @@ def near_windows(own: SizeIndex, asked: np.ndarray, radius: int) -> tuple[np.nda
         prints.append(found[near])
     if not windows:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    pairs = np.unique(np.stack([np.concatenate(windows), np.concatenate(prints)]), axis=1)
-    return pairs[0], pairs[1]
+    pairs = np.unique(np.concatenate(windows) * len(own.prints) + np.concatenate(prints))
+    return np.divmod(pairs, len(own.prints))
 
 
 def search(texts: list[bytes], index: Index, least: float) -> list[tuple[int, int, int, int, float]]:
-    """Leaks of a run of texts: text, item, first word, end word, similarity."""
+    """Leaks of a run of texts: text, item, first word, end word, similarity.
+
+    All passages from ``least`` on, which is not below that of the index.
+    """
     words = read_words(texts, punctuation=False)
     if not len(words.hash):
         return []
     votes = Votes(words.hash, _weights(words.end - words.start))
     text_of = np.repeat(np.arange(len(texts)), np.diff(words.first))
-    asked_pairs: dict[tuple[int, int, int], None] = {}
+    hits: dict[tuple[int, int], list[int]] = {}
     for size, own in index.by_size.items():
-        every = step(size)
-        window, found = near_windows(own, votes.fingerprints(size), index.radius)
-        for w, f in zip((window * every).tolist(), found.tolist()):
-            text = int(text_of[w])
-            if text != text_of[w + size - 1]:  # not a window of one text
-                continue
-            start = max(int(words.first[text]), w - int(own.offset[f]))
-            asked_pairs[text, int(own.item[f]), start] = None
+        window, found = near_windows(own, votes.fingerprints(size, 1), index.radius)
+        inside = text_of[window] == text_of[window + size - 1]  # a window of one text
+        window, item = window[inside], own.item[found[inside]]
+        for t, i, w in zip(text_of[window].tolist(), item.tolist(), window.tolist()):
+            hits.setdefault((t, i), []).append(w)
+    raw = words.raw.tobytes() if hits else b""
     made = []
-    raw = words.raw.tobytes() if asked_pairs else b""
-    for text, item, start in asked_pairs:
-        end = min(int(words.first[text + 1]), start + len(index.items[item]))
-        passage = [raw[a:b] for a, b in zip(words.start[start:end], words.end[start:end])]
-        score = similarity(weighted(passage, index.size), index.shingles[item])
-        if score >= least:
-            base = int(words.first[text])
-            made.append((text, item, start - base, end - base, score))
+    for (text, item), at in hits.items():
+        base, end = int(words.first[text]), int(words.first[text + 1])
+        for first, last, score in passages(words, raw, base, end, at, index.items[item], index.size, least):
+            made.append((text, item, first - base, last - base, score))
+    return made
+
+
+def passages(
+    words: Words, raw: bytes, first: int, end: int, hits: list[int], item: Item, size: int, least: float
+) -> list[tuple[int, int, float]]:
+    """The passages of the text ``words[first:end]`` that hold a hit and are similar enough.
+
+    ``hits`` ascend. Where the shingles of the item in a passage, repeated ones included,
+    weigh too little, the passage is not compared.
+    """
+    n = len(item.words)
+    ranges: list[list[int]] = []  # starts of passages
+    for hit in hits:
+        low = max(first, hit - n + size)
+        if ranges and low <= ranges[-1][1] + 1:
+            ranges[-1][1] = hit
+        else:
+            ranges.append([low, hit])
+    made = []
+    for low, high in ranges:
+        hashes = shingle_hashes(words.hash[low : min(end, high + n)], size)
+        at = np.minimum(np.searchsorted(item.hashes, hashes), len(item.hashes) - 1)
+        shared = np.where(item.hashes[at] == hashes, item.weights[at], 0)
+        upto = np.concatenate([[0], np.cumsum(shared)])
+        start = np.arange(high - low + 1)
+        most = upto[np.minimum(start + n - size + 1, len(hashes))] - upto[start]
+        likely = np.flatnonzero(most >= least * item.weight - 1e-6)
+        if len(likely):
+            made += slid(words, raw, low + int(likely[0]), low + int(likely[-1]), end, item, size, least)
+    return made
+
+
+def slid(
+    words: Words, raw: bytes, low: int, high: int, end: int, item: Item, size: int, least: float
+) -> list[tuple[int, int, float]]:
+    """Similar passages that start from ``low`` to ``high``, by adding and dropping shingles."""
+    n = len(item.words)
+    to = min(end, high + n)
+    own = [raw[a:b] for a, b in zip(words.start[low:to].tolist(), words.end[low:to].tolist())]
+    shingles = list(zip(*(own[i:] for i in range(size))))
+    made, held = [], Counter()
+    both, either, right = 0, item.weight, 0
+    for left in range(high - low + 1):
+        while right < min(left + n - size + 1, len(shingles)):
+            shingle = shingles[right]
+            if not held[shingle]:
+                if shingle in item.shingles:
+                    both += item.shingles[shingle]
+                else:
+                    either += sum(map(len, shingle))
+            held[shingle] += 1
+            right += 1
+        if both / either >= least:
+            made.append((low + left, min(end, low + left + n), both / either))
+        shingle = shingles[left]
+        held[shingle] -= 1
+        if not held[shingle]:
+            if shingle in item.shingles:
+                both -= item.shingles[shingle]
+            else:
+                either -= sum(map(len, shingle))
     return made
 
 
 def apart(spans: list[tuple[int, int]]) -> int:
-    """How many passages there are, overlapping ones counted once."""
+    """The most passages, all of one length or up to the end, that do not overlap."""
     n, reach = 0, -1
     for first, end in sorted(spans):
-        n += first >= reach
-        reach = max(reach, end)
+        if first >= reach:
+            n, reach = n + 1, end
     return n
 
 
@@ -306,7 +397,7 @@ def find_leaks(
 
         def run(batches):
             if not made:
-                made.append(Index(texts, size, radius))
+                made.append(Index(texts, size, radius, least))
             for batch in batches:
                 best: dict[tuple, list] = {}
                 before = 0
@@ -353,7 +444,7 @@ def keep_clean(
 
         def run(batches):
             if not made:
-                made.append(Index(texts, size, radius))
+                made.append(Index(texts, size, radius, least))
             for batch in batches:
                 stays = np.ones(batch.num_rows, dtype=bool)
                 before = 0
