@@ -96,6 +96,30 @@ def test_every_passage_at_the_threshold_is_found(prose, kind, n):
     assert leaks >= 3 or n < 25  # of twelve words hardly one can be edited
 
 
+def test_a_verdict_depends_on_the_text_alone(docs_of, items_of, prose):
+    pick = random.Random(3)
+    item = prose(120, 7)
+    index = d.Index([item])
+    texts = [
+        f"{prose(11 + i, i)} {' '.join(edited(item.split(), kind, 0.02 + 0.01 * i, pick))} {prose(60, i + 40)}"
+        for i in range(12) for kind in KINDS
+    ]
+    alone = [[f[1:] for f in d.search([t.encode()], index, d.SIMILARITY)] for t in texts]
+    assert any(alone) and not all(alone)
+    for n in range(1, 33):
+        beside = prose(n, n).encode()
+        joined = [part for t in texts for part in (beside, t.encode())]
+        found = [[] for _ in joined]
+        for text, *leak in d.search(joined, index, d.SIMILARITY):
+            found[text].append(tuple(leak))
+        assert found[1::2] == alone and not any(found[::2])
+    rows = [(i, t) for i, t in enumerate(texts)]
+    wanted = {(i, 1) for i, leaks in enumerate(alone) if leaks}
+    shifted = [row for i, t in rows for row in ((1_000 + i, prose(1 + i % 9, i)), (i, t), (i, t))]
+    for docs in (docs_of(rows).repartition(7), docs_of(shifted).coalesce(1)):
+        assert got(d.find_leaks(docs, items_of([(1, item)]))) == wanted
+
+
 def test_edge_rows(docs_of, items_of, prose):
     item = prose(20, 1)
     docs = [(1, None), (2, ""), (None, item), (3, item), (3, item), (4, prose(60_000, 2) + " " + item), (5, item[: len(item) // 4])]
