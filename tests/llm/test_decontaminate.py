@@ -134,6 +134,20 @@ def test_edge_rows(docs_of, items_of, prose):
     assert {r["doc_id"] for r in clean.collect()} == {1, 2, 5}
 
 
+def test_short_items_are_one_shingle(docs_of, items_of, prose):
+    items = [(1, "Blue Whale"), (2, "zebra"), (3, "one two three four"), (4, "。今天天气很好。"), (5, "?!"), (6, prose(9, 9))]
+    docs = [
+        (1, f"{prose(8, 1)} blue whale, {prose(8, 2)} the BLUE-whale"), (2, "whale blue"), (3, "zebra"), (4, "zebras"),
+        (5, "one two three"), (6, "zero one two: three four five"), (7, "x 。今天天气很好。 y"), (8, "今天天气很好。明天也是"),
+        (9, "blue"), (10, prose(9, 9)),
+    ]
+    rows = d.find_leaks(docs_of(docs), items_of(items)).collect()
+    found = {(r["id"], r["item_id"], r["similarity"], r["n_passages"]) for r in rows}
+    assert found == {(1, 1, 1.0, 2), (3, 2, 1.0, 1), (6, 3, 1.0, 1), (7, 4, 1.0, 1), (10, 6, 1.0, 1)}
+    left = {r["doc_id"] for r in d.keep_clean(docs_of(docs), items_of(items)).collect()}
+    assert left == {2, 4, 5, 8, 9}
+
+
 def test_passages_are_counted_once(docs_of, items_of, prose):
     item = prose(40, 1)
     row = d.find_leaks(docs_of([(1, f"{item} {prose(9, 4)} {item}")]), items_of([(1, item)])).first()

@@ -18,8 +18,11 @@ one block differs in at most radius / 4 bits, so every block is entered under al
 that near to it: no fingerprint within the radius is missed. An unedited window needs no
 radius; a larger one gives more to compare and the same leaks.
 
-Defined results: NULL and empty texts hold nothing. Items with NULL or empty text or fewer
-than ``size`` words have no shingle and are found nowhere. Rows are searched one by one:
+Defined results: NULL and empty texts hold nothing. An item of fewer than ``size`` words is
+one shingle, its whole run of words, and is found where a text has these words in a row.
+Items without words (NULL, empty, only signs) are found nowhere. In scripts without blanks
+a word is what stands between blanks or ASCII signs, a sentence or more: an item is found
+where such pieces are equal as wholes, not inside longer ones. Rows are searched one by one:
 repeated rows and NULL ids give rows of their own. Repeated items count once; of different
 items with one id the best counts, in each slice. An empty table on either side gives no rows. Columns besides ids and texts
 are not read, whatever their names. Texts are searched whole.
@@ -127,6 +130,7 @@ class Votes:
 
 class Item(NamedTuple):
     words: list[bytes]
+    size: int  # of its shingles
     shingles: dict[tuple[bytes, ...], int]
     weight: int
     hashes: np.ndarray  # of the shingles, sorted
@@ -187,31 +191,34 @@ class Index:
         read = {}
         for number, text in enumerate(texts):
             words, hashes = lower_words(text)
-            if len(words) < size:
+            if not words:
                 continue
-            shingles = weighted(words, size)
-            own, first = np.unique(shingle_hashes(hashes, size), return_index=True)
-            weights = np.array([sum(map(len, words[i : i + size])) for i in first.tolist()])
-            self.items[number] = Item(words, shingles, sum(shingles.values()), own, weights)
+            short = min(size, len(words))
+            shingles = weighted(words, short)
+            own, first = np.unique(shingle_hashes(hashes, short), return_index=True)
+            weights = np.array([sum(map(len, words[i : i + short])) for i in first.tolist()])
+            self.items[number] = Item(words, short, shingles, sum(shingles.values()), own, weights)
             votes = Votes(hashes, _weights(np.array([len(w) for w in words])))
-            read[number] = votes.fingerprints(size, 1)
+            read[number] = votes.fingerprints(short, 1)
         holders = Counter(s for item in self.items.values() for s in item.shingles)
-        found = []
+        found: dict[int, list[tuple]] = {}
         for number, item in self.items.items():
-            at = np.array(chosen(item, size, holders, least))
-            found.append((read[number][at], np.full(len(at), number), at))
-        self.by_size = (
-            {size: index_size(*(np.concatenate(x) for x in zip(*found)), radius)} if found else {}
-        )
+            at = np.array(chosen(item, holders, least))
+            part = (read[number][at], np.full(len(at), number), at)
+            found.setdefault(item.size, []).append(part)
+        self.by_size = {
+            own: index_size(*(np.concatenate(x) for x in zip(*parts)), radius)
+            for own, parts in found.items()
+        }
 
 
-def chosen(item: Item, size: int, holders: Counter, least: float) -> list[int]:
+def chosen(item: Item, holders: Counter, least: float) -> list[int]:
     """Where the shingles start of which a passage of ``least`` must hold one.
 
     They weigh more than such a passage may lack; those in few items and heavy ones first.
     """
     place: dict[tuple, int] = {}
-    for i, shingle in enumerate(zip(*(item.words[i:] for i in range(size)))):
+    for i, shingle in enumerate(zip(*(item.words[i:] for i in range(item.size)))):
         place.setdefault(shingle, i)
     lacks, taken = (1 - least) * item.weight + 1e-6, []
     for shingle in sorted(place, key=lambda s: (holders[s], -item.shingles[s], place[s])):
@@ -280,20 +287,23 @@ def search(texts: list[bytes], index: Index, least: float) -> list[tuple[int, in
     made = []
     for (text, item), at in hits.items():
         base, end = int(words.first[text]), int(words.first[text + 1])
-        for first, last, score in passages(words, raw, base, end, at, index.items[item], index.size, least):
+        for first, last, score in passages(words, raw, base, end, at, index.items[item], least):
             made.append((text, item, first - base, last - base, score))
     return made
 
 
 def passages(
-    words: Words, raw: bytes, first: int, end: int, hits: list[int], item: Item, size: int, least: float
+    words: Words, raw: bytes, first: int, end: int, hits: list[int], item: Item, least: float
 ) -> list[tuple[int, int, float]]:
     """The passages of the text ``words[first:end]`` that hold a hit and are similar enough.
 
     ``hits`` ascend. Where the shingles of the item in a passage, repeated ones included,
     weigh too little, the passage is not compared.
     """
-    n = len(item.words)
+    n, size = len(item.words), item.size
+    if n == size:  # one shingle, in a passage as well
+        own = ((w, [raw[a:b] for a, b in zip(words.start[w : w + n], words.end[w : w + n])]) for w in hits)
+        return [(w, w + n, 1.0) for w, passage in own if passage == item.words]
     ranges: list[list[int]] = []  # starts of passages
     for hit in hits:
         low = max(first, hit - n + size)
@@ -311,15 +321,15 @@ def passages(
         most = upto[np.minimum(start + n - size + 1, len(hashes))] - upto[start]
         likely = np.flatnonzero(most >= least * item.weight - 1e-6)
         if len(likely):
-            made += slid(words, raw, low + int(likely[0]), low + int(likely[-1]), end, item, size, least)
+            made += slid(words, raw, low + int(likely[0]), low + int(likely[-1]), end, item, least)
     return made
 
 
 def slid(
-    words: Words, raw: bytes, low: int, high: int, end: int, item: Item, size: int, least: float
+    words: Words, raw: bytes, low: int, high: int, end: int, item: Item, least: float
 ) -> list[tuple[int, int, float]]:
     """Similar passages that start from ``low`` to ``high``, by adding and dropping shingles."""
-    n = len(item.words)
+    n, size = len(item.words), item.size
     to = min(end, high + n)
     own = [raw[a:b] for a, b in zip(words.start[low:to].tolist(), words.end[low:to].tolist())]
     shingles = list(zip(*(own[i:] for i in range(size))))
