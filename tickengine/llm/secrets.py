@@ -4,7 +4,8 @@ r"""Secret scans: fixed patterns plus two character Markov models.
 find are random strings, all other runs are ordinary identifiers - and counts character
 transitions of both classes. ``scan`` returns the spans of the fixed patterns and, as kind
 ``markov``, further runs of 20 characters or more whose log-likelihood ratio between the
-two models is at least ``threshold`` per character. ``redact`` replaces spans.
+two models is at least ``threshold`` per character. Of a run that fixed patterns cover in
+part, each piece they leave is such a run. ``redact`` replaces spans.
 
 Fixed patterns, leftmost and without overlap per kind: ``assign`` (a key word, a sign and
 a value of 6 or more characters), ``access`` (AKIA, 20 or more in all) and ``hex`` (24 or
@@ -44,7 +45,8 @@ KINDS = ("assign", "access", "hex", "markov")
 # All hex and access matches that count lie inside such a run.
 LONG_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
 IDENTIFIER = re.compile(r"[A-Za-z0-9+/_-]{4,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}")
+LEAST_RUN = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_RUN},}}")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=."
 _N = len(ALPHABET)
@@ -69,6 +71,27 @@ def _overlaps(start: int, end: int, spans: list[tuple[int, int, int]]) -> bool:
     return any(s < end and start < e for s, _, e in spans)
 
 
+def _left(start: int, end: int, covered: list[list[int]], at: int) -> list[tuple[int, int]]:
+    """The pieces of ``LEAST_RUN`` characters or more that ``covered`` from ``at`` on leaves of a run."""
+    made = []
+    while at < len(covered) and covered[at][0] < end:
+        made.append((start, covered[at][0]))
+        start = covered[at][1]
+        at += 1
+    return [(a, b) for a, b in [*made, (start, end)] if b - a >= LEAST_RUN]
+
+
+def _covered(spans: list[tuple[int, int, int]]) -> list[list[int]]:
+    """What the spans, in order of their starts, cover: places that do not overlap."""
+    made: list[list[int]] = []
+    for start, _, end in spans:
+        if made and start <= made[-1][1]:
+            made[-1][1] = max(made[-1][1], end)
+        else:
+            made.append([start, end])
+    return made
+
+
 def _steps(run: str) -> np.ndarray:
     """Transitions of a run as numbers; row ``_N`` stands for the start."""
     at = _INDEX[np.frombuffer(run.encode(), dtype=np.uint8)]
@@ -127,11 +150,14 @@ def text_spans(text: str, model: np.ndarray, threshold: float) -> list[tuple[int
     """``(start, kind, end, score)`` of all spans, by start and kind."""
     base = base_spans(text)
     found = [(s, k, e, 1.0) for s, k, e in base]
+    covered, at = _covered(base), 0
     for m in CANDIDATE.finditer(text):
-        if not _overlaps(*m.span(), base):
-            score = float(model[_steps(m[0])].mean())
+        while at < len(covered) and covered[at][1] <= m.start():
+            at += 1
+        for start, end in _left(*m.span(), covered, at):
+            score = float(model[_steps(text[start:end])].mean())
             if score >= threshold:
-                found.append((m.start(), 3, m.end(), score))
+                found.append((start, 3, end, score))
     return sorted(found)
 
 
