@@ -84,6 +84,22 @@ def test_rules_are_mined_and_matched(spark):
     assert says == {1: "block", 2: "allow", 3: "allow", 4: "block"}
 
 
+def test_rules_of_five_tokens_are_kept(spark):
+    own = ["a", "b", "c", "d", "e"]
+    rows = [("http://h/" + "/".join(own), True)] * 30
+    rows += [("http://h/" + "/".join(t for t in own if t != gone), False) for gone in own for _ in range(30)]
+    found = u.learn(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    assert [(r["antecedent"], r["confidence"]) for r in found] == [([f"path:{t}" for t in own], 1.0)]
+
+
+@pytest.mark.parametrize("others", [100, 30_000])
+def test_support_is_alike_at_every_size(spark, others):
+    bad = [("http://worse.biz/x", True)] * 20 + [("http://few.org/y", True)] * 19
+    good = spark.range(others).selectExpr("concat('http://fine.net/p', id % 50) url", "false bad")
+    found = u.learn(spark.createDataFrame(bad, "url string, bad boolean").union(good)).collect()
+    assert {tuple(r["antecedent"]) for r in found} == {("host:biz",), ("host:worse",), ("path:x",)}
+
+
 def test_empty_tables(spark):
     labelled = spark.createDataFrame([], "url string, bad boolean")
     pages = spark.createDataFrame([], "page_id long, url string")

@@ -79,15 +79,15 @@ def learn(
     urls: DataFrame,
     url_col: str = "url",
     bad_col: str = "bad",
-    min_support: float = 0.002,
+    min_support: float = 0.0,
     min_count: int = 20,
     min_confidence: float = 0.7,
-    max_tokens: int = 4,
+    max_tokens: int | None = None,
 ) -> DataFrame:
     """Rules ``antecedent -> bad`` from labelled urls, one row each.
 
-    ``min_support`` is a share of the labelled urls, ``min_count`` its least number of
-    urls; ``max_tokens`` bounds the antecedent, as longer ones only repeat shorter ones.
+    A rule needs ``min_count`` bad urls, however many are labelled, and where given a share
+    of ``min_support`` of them. Antecedents are of any length, unless ``max_tokens`` is given.
     """
     spark = urls.sparkSession
     known = urls.filter(F.col(bad_col).isNotNull() & F.col(url_col).isNotNull())
@@ -99,11 +99,15 @@ def learn(
     n = known.count()
     if not n:
         return spark.createDataFrame([], RULE_SCHEMA)
-    support = min(1.0, max(min_support, min_count / n))
+    # Half a url less: the product with n, rounded up, is min_count whatever the rounding.
+    support = min(1.0, max(min_support, (min_count - 0.5) / n))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.filter(
-        (F.element_at("consequent", 1) == BAD) & (F.size("antecedent") <= max_tokens)
-    ).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
+    rules = model.associationRules.filter(F.element_at("consequent", 1) == BAD).select(
+        F.array_sort("antecedent").alias("antecedent"), "confidence", "support"
+    )
+    if max_tokens is not None:
+        rules = rules.filter(F.size("antecedent") <= max_tokens)
+    rules = _not_repeating(rules)
     rarity = model.freqItemsets.filter(F.size("items") == 1).select(
         F.element_at("items", 1).alias("token"), "freq"
     )
@@ -116,6 +120,25 @@ def learn(
     return _not_implied(posted)
 
 
+def _not_repeating(rules: DataFrame) -> DataFrame:
+    """Drops a rule if it is no more confident than with one token less.
+
+    What such a rule implies is implied by the shorter one too, so ``_not_implied`` gives the
+    same rules, from far fewer where urls have many tokens in common.
+    """
+    less = rules.select(
+        F.col("antecedent").alias("long"), F.col("confidence").alias("long_confidence"),
+        F.explode("antecedent").alias("token"),
+    ).withColumn("antecedent", F.array_remove("long", F.col("token")))
+    repeating = (
+        less.join(rules.select("antecedent", "confidence"), "antecedent")
+        .filter(F.col("confidence") >= F.col("long_confidence"))
+        .select(F.col("long").alias("antecedent"))
+        .distinct()
+    )
+    return rules.join(repeating, "antecedent", "left_anti").select("antecedent", "confidence", "support")
+
+
 def _not_implied(rules: DataFrame) -> DataFrame:
     """Drops a rule if a shorter one, out of its tokens, is at least as confident."""
     longer = rules.select(F.explode("antecedent").alias("posted"), F.col("antecedent").alias("long"),
