@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import (
+    alignment,
     bpe,
     chat_format,
     decontaminate,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_near_duplicates": minhash.query,
     "op9_decontamination": decontaminate.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op12_alignment": alignment.query,
 }
 ORACLES = {
     "op4_quality_rules": quality_rules.SQL,
