@@ -7,8 +7,10 @@ from . import (
     bpe,
     chat_format,
     decontaminate,
+    hard_negatives,
     language_id,
     minhash,
+    quality_classifier,
     quality_rules,
     secrets,
     suffix_dedup,
@@ -27,9 +29,12 @@ QUERIES = {
     "op8_near_duplicates": minhash.query,
     "op9_decontamination": decontaminate.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op11_hard_negatives": hard_negatives.query,
     "op12_alignment": alignment.query,
+    "op13_quality_classifier": quality_classifier.query,
 }
 ORACLES = {
     "op4_quality_rules": quality_rules.SQL,
     "op6_chat_format": chat_format.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
 }
