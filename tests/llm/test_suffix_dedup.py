@@ -46,6 +46,18 @@ def test_suffix_order():
             assert order == sorted(range(n), key=lambda i: text[i:])
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab", max_size=120).map(str.encode), st.integers(1, 60))
+def test_common_prefixes(text, depth):
+    order = s.suffix_order(text, depth)
+    made = s.common_prefixes(text, order, depth).tolist()
+    for a, b, n in zip(order.tolist(), order[1:].tolist(), made):
+        same = 0
+        while same < depth and a + same < len(text) and b + same < len(text) and text[a + same] == text[b + same]:
+            same += 1
+        assert n == same
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.binary(max_size=200))
 def test_suffix_order_of_any_bytes(text):
@@ -84,9 +96,9 @@ def corpus(prose):
     return rows + [(100 + i, rows[3][1]) for i in range(5)]
 
 
-@pytest.mark.parametrize("hot, large", [(512, 16_384), (2, 16_384), (2, 4), (2, 2)])
-def test_passages(docs_of, corpus, hot, large):
-    found = s.remove_repeats(docs_of(corpus), hot=hot, large=large, **SIZES)
+@pytest.mark.parametrize("block", [1 << 19, 2_000, 300, 1])
+def test_passages(docs_of, corpus, block):
+    found = s.remove_repeats(docs_of(corpus), **SIZES | {"block": block})
     wanted = plain(corpus, 40)
     assert got(found) == wanted
     assert any(spans for _, _, spans, _ in wanted)
@@ -99,8 +111,8 @@ def test_edge_rows(docs_of, prose):
         (6, text[:39]), (7, text[:40]), (8, long_), (9, "x" + long_[500:9_000] + "y"), (10, "é" * 60 + text),
         (11, text[10:] + " " + text[5:]), (12, "abc" + "a" * 45),
     ]
-    for hot, large in ((512, 512), (1, 512), (1, 1)):
-        assert got(s.remove_repeats(docs_of(rows), hot=hot, large=large, **SIZES)) == plain(rows, 40)
+    for block in (2_000, 1):
+        assert got(s.remove_repeats(docs_of(rows), **SIZES | {"block": block})) == plain(rows, 40)
 
 
 def test_production_sizes(docs_of, prose):
@@ -109,6 +121,21 @@ def test_production_sizes(docs_of, prose):
     assert got(s.remove_repeats(docs_of(rows))) == plain(rows, 400)
 
 
+def test_core_of_many_strings_is_split(docs_of, prose):
+    """A passage shorter than a window in many surroundings, some of which repeat: one hot bucket."""
+    passage = prose(200, 5)[:390]
+    rows = [(i, prose(60, i) + passage + prose(60, 100 + i % 35)) for i in range(40)]
+    assert got(s.remove_repeats(docs_of(rows), block=4_000)) == plain(rows, 400)
+
+
+def test_text_beyond_a_piece(docs_of, prose):
+    long_ = prose(250_000, 3)
+    assert len(long_) > s.PIECE
+    cut_ = long_[s.PIECE - 700 : s.PIECE + 300]  # over the border of two pieces
+    rows = [(1, long_), (2, prose(50, 4) + cut_ + prose(50, 5)), (3, "é" * 400), (4, "aé" * 300 + "b" + "é" * 399)]
+    assert got(s.remove_repeats(docs_of(rows))) == plain(rows, 400)
+
+
 def test_empty_table(docs_of):
     assert s.remove_repeats(docs_of([])).count() == 0
 
@@ -120,3 +147,5 @@ def test_query(spark, sf_dir, rows_of):
     found = s.query(spark, sf_dir).collect()
     names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert {r["doc_id"]: tuple(r[n] for n in names) for r in found} == wanted
+    left = {i: kept.decode(errors="replace") for i, _, _, kept in plain(rows, 400)}
+    assert {r["doc_id"]: r["text"] for r in found} == left

@@ -4,17 +4,20 @@
    least hash (the leftmost of equals), which depends on the window's bytes alone. Runs of
    windows with one anchor in one place form a string; equal windows have equal anchors, so
    they lie in strings of one anchor, wherever they stand.
-2. Anchors seen once are dropped. Equal strings are counted before anything is fetched, so
-   a passage in a million texts is one string here; a string that occurs twice is repeated
-   as a whole.
-3. Anchors with different strings need a closer look. Their strings are fetched once each
-   and dealt by anchor into tasks of about ``BLOCK`` bytes. A task builds the suffix array
-   in two stages: suffixes smaller than their successors are sorted directly, to the depth
-   of a window; all others are induced by one scan over the 256 buckets. Neighbours in it
-   whose common prefix reaches a window's length are repeated.
-4. Anchors with more than ``HOT`` strings would make sorting slow: a task of their own counts
-   their windows by 128-bit hashes, which finds the same windows. From ``LARGE`` strings on
-   the windows are rows of a grouping, so that no task holds all of an anchor.
+2. Equal strings are counted by 128 bits of hash before anything is fetched, so a passage in
+   a million texts is one string from here on; a string that occurs twice is repeated as a whole.
+3. Windows of a string are told apart by how many bytes they have before the anchor: class
+   ``[low, high]``. All windows of a class hold the same piece around the anchor, the core,
+   and strings with equal cores form a bucket. The first two classes have cores of 232 bytes.
+   Buckets of a single string hold no repeats. A bucket of more than ``BLOCK`` bytes is split
+   by the content of longer cores: each of its classes is cut in two, until its buckets fit or
+   a class is a single window, which is the core itself. So common anchors, and passages in many
+   surroundings, never come together in one task, and no string is left out.
+4. Strings of the buckets are fetched once each and dealt by bucket into tasks of about
+   ``BLOCK`` bytes. A task builds the suffix array in two stages: suffixes smaller than their
+   successors are sorted directly, to the depth of a window; all others are induced by one scan
+   over the 256 buckets of first bytes. Adjacent common prefixes are computed on the bytes, and
+   neighbours whose prefix reaches a window's length are repeated.
 5. Spans go back to the texts, where overlapping ones unite.
 
 Defined results: NULL and empty texts have no bytes; texts shorter than a window lose
@@ -22,12 +25,11 @@ nothing; rows of equal text, repeated rows included, repeat each other and are c
 they have a window's length. Ids are only carried, so NULL ids and ties need no care. An
 empty table gives no rows. Columns besides id and text are not read. Texts of any length
 are read in pieces of at most ``PIECE`` bytes that overlap by a window.
-
-Texts are named by two 64-bit hashes, strings by the hash of their anchor and their own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -36,17 +38,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, mapped, table, written
-from .shingles import Rolling
+from .shingles import Rolling, mix
 
 WINDOW = 400
 GRAM = 64
 PIECE = 1 << 20
 BLOCK = 1 << 19
-HOT = 512
-LARGE = 16_384
 _U = np.uint64
 _POS = _U((1 << 26) - 1)
 _grams, _strings, _third = Rolling(0xD1B54A32D192ED03), Rolling(0xA0761D6478BD642F), Rolling(0xE7037ED1A0B428DB)
+_cores = Rolling(0x8CB92BA72F3D8DD7)
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -60,8 +61,15 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(tails[: n - width + 1], heads[width - 1 : n])
 
 
+def classes(window: int, gram: int) -> list[tuple[int, int]]:
+    """The first classes: fewest and most bytes before the anchor of their windows."""
+    most = window - gram
+    return [(0, most // 2), (most // 2 + 1, most)] if most else [(0, 0)]
+
+
 def anchored(raw: np.ndarray, valid: np.ndarray, window: int, gram: int):
-    """Start, end, anchor and hash of the strings of a byte array; ``valid`` marks windows."""
+    """Start, end and anchor's place of the strings of a byte array, their hashes, and the hash
+    of each class's core with whether the string has it; ``valid`` marks windows."""
     width = window - gram + 1
     sums = _grams.sums(raw)
     at = np.arange(len(raw) - gram + 1)
@@ -69,16 +77,20 @@ def anchored(raw: np.ndarray, valid: np.ndarray, window: int, gram: int):
     least = sliding_least((hashed & ~_POS) | at.astype(_U), width)
     starts = np.flatnonzero(valid[: len(least)])
     if not len(starts):
-        none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none
+        return None
     place = (least[starts] & _POS).astype(np.int64)
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
-    begin, end = starts[first], starts[last] + window
-    own = _strings.pieces(_strings.sums(raw), begin, end)
-    return begin, end, hashed[place[first]].view(np.int64), own.view(np.int64)
+    begin, end, place = starts[first], starts[last] + window, place[first]
+    own = [h.pieces(h.sums(raw), begin, end).view(np.int64) for h in (_strings, _third)]
+    sums, cores = _cores.sums(raw), []
+    for low, high in classes(window, gram):
+        has = (place - low >= begin) & (place + window - high <= end)
+        core = _cores.pieces(sums, np.where(has, place - low, 0), np.where(has, place + window - high, 0))
+        cores.append((mix(core + _U(low)).view(np.int64), has))
+    return begin, end, place, own, cores
 
 
 def _joined(values: Iterable[tuple[int, bytes]], window: int, piece: int):
@@ -112,25 +124,31 @@ def _joined(values: Iterable[tuple[int, bytes]], window: int, piece: int):
 
 
 def cut(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
-    """All strings of all texts (k1, k2, text): where they are, their anchor and hash."""
+    """All strings of all texts (k1, k2, text): where they are and their anchor (from the string's
+    start), their two hashes, and the cores of their classes, NULL where a string lacks one."""
 
     def run(batches):
         for batch in batches:
             k1, k2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             data = enumerate((v.as_py() or "").encode() for v in batch.column(2))
             for texts, offsets, parts, raw, valid in _joined(data, window, piece):
-                begin, end, anchor, own = anchored(raw, valid, window, gram)
+                found = anchored(raw, valid, window, gram)
+                if found is None:
+                    continue
+                begin, end, place, own, cores = found
                 edges = np.cumsum([0, *map(len, parts)])
                 part = np.searchsorted(edges, begin, side="right") - 1
                 number = np.array(texts)[part]
                 shift = np.array(offsets)[part] - edges[part]
+                plain = (k1[number], k2[number], begin + shift, end + shift, place - begin, *own)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (k1[number], k2[number], begin + shift, end + shift, anchor, own)],
-                    ["k1", "k2", "start", "end", "anchor", "string"],
+                    [*map(pa.array, plain), *(pa.array(x, mask=~has) for x, has in cores)],
+                    ["k1", "k2", "start", "end", "anchor", "s1", "s2", *(f"c{i}" for i in range(len(cores)))],
                 )
 
+    cores = "".join(f", c{i} long" for i in range(len(classes(window, gram))))
     return mapped(docs.select("k1", "k2", "text"), run,
-                  "k1 long, k2 long, start long, end long, anchor long, string long")
+                  "k1 long, k2 long, start long, end long, anchor long, s1 long, s2 long" + cores)
 
 
 def direct_sort(text: bytes, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -205,6 +223,25 @@ def suffix_order(text: bytes, depth: int) -> np.ndarray:
     return order
 
 
+def common_prefixes(text: bytes, order: np.ndarray, depth: int) -> np.ndarray:
+    """Length, up to ``depth``, of what each suffix but the last has in common with the next."""
+    padded = text + bytes(depth + 8)
+    eight = np.ndarray(len(padded) - 7, dtype="<u8", buffer=padded, strides=(1,))
+    a, b = order[:-1], order[1:]
+    length = np.full(len(a), depth, dtype=np.int64)
+    alive = np.arange(len(a))
+    for k in range(0, depth, 8):
+        differs = eight[a[alive] + k] ^ eight[b[alive] + k]
+        ends = np.flatnonzero(differs)
+        x = differs[ends]
+        same = sum(((x & _U((1 << 8 * i) - 1)) == 0).astype(np.int64) for i in range(1, 8))
+        length[alive[ends]] = k + same
+        alive = alive[differs == 0]
+        if not len(alive):
+            break
+    return np.minimum(length, np.minimum(depth, len(text) - np.maximum(a, b)))
+
+
 def repeated_windows(strings: list[bytes], window: int) -> list[np.ndarray]:
     """Per string: starts of windows that occur again in these strings."""
     text = b"".join(strings)
@@ -213,11 +250,10 @@ def repeated_windows(strings: list[bytes], window: int) -> list[np.ndarray]:
     for a, b in zip(edges, edges[1:]):
         valid[a : max(a, b - window + 1)] = True
     order = suffix_order(text, window)
-    order = order[valid[order]].tolist()
+    order = order[valid[order]]
+    same = common_prefixes(text, order, window) >= window
     again = np.zeros(len(text), dtype=bool)
-    for a, b in zip(order, order[1:]):
-        if text[a : a + window] == text[b : b + window]:
-            again[a] = again[b] = True
+    again[order[:-1][same]] = again[order[1:][same]] = True
     return [np.flatnonzero(again[a:b]) for a, b in zip(edges, edges[1:])]
 
 
@@ -232,92 +268,79 @@ def covered(starts: np.ndarray, window: int) -> list[dict]:
 
 
 _SPANS = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-_FOUND = "anchor long, string long, spans array<struct<s:long,e:long>>"
-
+_STRING = ["s1", "s2"]
 
-def _found(anchor, string, spans) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(anchor, pa.int64()), pa.array(string, pa.int64()), pa.array(spans, _SPANS)],
-        ["anchor", "string", "spans"],
-    )
 
-
-def sorted_spans(strings: DataFrame, tasks: int, window: int) -> DataFrame:
-    """Spans of strings (anchor, string, n, bytes) that lie in others of their anchor."""
+def sorted_spans(pieces: DataFrame, tasks: int, window: int) -> DataFrame:
+    """Repeated spans of strings that occur once, from their pieces (bucket, s1, s2, n, at, bytes)."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         found = repeated_windows([bytes(x) for x in frame["bytes"]], window)
-        spans = [covered(x, window) if n == 1 else [] for x, n in zip(found, frame["n"])]
-        made = frame[["anchor", "string"]].assign(spans=spans)
+        spans = [covered(x + at, window) if n == 1 else [] for x, n, at in zip(found, frame["n"], frame["at"])]
+        made = frame[_STRING].assign(spans=spans)
         return made[[len(x) > 0 for x in spans]]
 
-    dealt = strings.withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(tasks)))
-    return dealt.groupBy("task").applyInPandas(run, _FOUND)
-
+    dealt = pieces.withColumn("task", F.pmod(F.xxhash64("bucket"), F.lit(tasks)))
+    found = dealt.groupBy("task").applyInPandas(run, "s1 long, s2 long, spans array<struct<s:long,e:long>>")
+    return found.select(*_STRING, F.explode("spans").alias("span")).select(*_STRING, "span.s", "span.e")
 
-def window_hashes(strings: list[bytes], window: int) -> tuple[np.ndarray, ...]:
-    """String, start and two hashes of every window."""
-    made = []
-    for texts, offsets, parts, raw, valid in _joined(enumerate(strings), window, PIECE):
-        at = np.flatnonzero(valid)
-        edges = np.cumsum([0, *map(len, parts)])
-        part = np.searchsorted(edges, at, side="right") - 1
-        made.append((np.array(texts)[part], np.array(offsets)[part] + at - edges[part],
-                     *(h.pieces(h.sums(raw), at, at + window) for h in (_strings, _third))))
-    return tuple(np.concatenate(x) for x in zip(*made))
 
+def trimmed(low: Column, high: Column, anchor: Column, size: Column, window: int) -> tuple[Column, Column]:
+    """Start and end of the windows of a class in a string of ``size`` bytes."""
+    return F.greatest(F.lit(0), anchor - high), F.least(size, anchor - low + window)
 
-def hashed_spans(strings: DataFrame, window: int) -> DataFrame:
-    """The same as ``sorted_spans`` for common anchors, each in a task of its own."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        number, start, h1, h2 = window_hashes([bytes(x) for x in frame["bytes"]], window)
-        order = np.lexsort((h2, h1))
-        same = (h1[order[1:]] == h1[order[:-1]]) & (h2[order[1:]] == h2[order[:-1]])
-        again = np.zeros(len(order), dtype=bool)
-        again[order[1:][same]] = again[order[:-1][same]] = True
-        number, start = number[again], start[again]
-        edges = np.searchsorted(number, np.arange(len(frame) + 1))
-        spans = [
-            covered(start[a:b], window) if n == 1 else [] for a, b, n in zip(edges, edges[1:], frame["n"])
-        ]
-        made = frame[["anchor", "string"]].assign(spans=spans)
-        return made[[len(x) > 0 for x in spans]]
+def part(data: Column, start: Column, end: Column) -> Column:
+    return F.substring(data, (start + 1).cast("int"), (end - start).cast("int"))
 
-    return strings.groupBy("anchor").applyInPandas(run, _FOUND)
 
+def shared_buckets(pieces: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The buckets of several strings, with their ``bytes`` in all; and the pieces."""
+    pieces = scratch.keep(pieces)
+    size = F.sum(F.octet_length("bytes")).alias("total")
+    buckets = pieces.groupBy("bucket").agg(F.count("*").alias("m"), size).filter(F.col("m") > 1)
+    return scratch.keep(buckets.select("bucket", "total")), pieces
 
-def counted_spans(strings: DataFrame, window: int, scratch: Scratch) -> DataFrame:
-    """The same for anchors of any size: windows are rows, counted by two hashes."""
 
-    def explode(batches):
-        for batch in batches:
-            for anchor, own, n, data in zip(*(c.to_pylist() for c in batch.columns)):
-                raw = np.frombuffer(data, dtype=np.uint8)
-                at = np.arange(len(raw) - window + 1)
-                h1 = _strings.pieces(_strings.sums(raw), at, at + window).view(np.int64)
-                h2 = _third.pieces(_third.sums(raw), at, at + window).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), anchor)), pa.array(np.full(len(at), own)),
-                     pa.array(np.full(len(at), n)), pa.array(at), pa.array(h1), pa.array(h2)],
-                    ["anchor", "string", "n", "at", "h1", "h2"],
-                )
-
-    rows = scratch.keep(
-        mapped(strings.select("anchor", "string", "n", "bytes"), explode,
-               "anchor long, string long, n long, at long, h1 long, h2 long")
-    )
-    again = rows.groupBy("h1", "h2").agg(F.count("*").alias("c")).filter(F.col("c") > 1)
-    hits = rows.filter(F.col("n") == 1).join(again, ["h1", "h2"]).groupBy("anchor", "string").agg(
-        F.sort_array(F.collect_set("at")).alias("at")
+def halved(pieces: DataFrame, window: int) -> DataFrame:
+    """Pieces of the two halves of each class, in the buckets of their longer cores."""
+    middle = F.floor((F.col("low") + F.col("high")) / 2)
+    halves = F.array(
+        F.struct(F.col("low").alias("l"), middle.alias("h")), F.struct((middle + 1).alias("l"), F.col("high").alias("h"))
     )
+    rows = pieces.withColumn("half", F.explode(halves))
+    size, anchor, low, high = F.octet_length("bytes").cast("long"), F.col("anchor"), F.col("half.l"), F.col("half.h")
+    has = (anchor - low >= 0) & (anchor + window - high <= size)
+    core = part(F.col("bytes"), anchor - low, anchor + window - high)
+    start, end = trimmed(low, high, anchor, size, window)
+    return rows.filter(has).select(
+        # A core that is a window of its own stands for itself; any two hashes may meet otherwise.
+        F.xxhash64(core, low).alias("bucket"), low.alias("low"), high.alias("high"), *_STRING, "n",
+        (F.col("at") + start).alias("at"), (anchor - start).alias("anchor"),
+        part(F.col("bytes"), start, end).alias("bytes"),
+    )
 
-    def spans(batches):
-        for batch in batches:
-            made = [covered(np.array(x), window) for x in batch.column(2).to_pylist()]
-            yield _found(batch.column(0), batch.column(1), made)
 
-    return mapped(hits, spans, _FOUND)
+def bucket_spans(pieces: DataFrame, window: int, block: int, scratch: Scratch) -> list[DataFrame]:
+    """Repeated spans (s1, s2, s, e) of the strings of all buckets."""
+    found = []
+    while True:
+        buckets, pieces = shared_buckets(pieces, scratch)
+        (total,) = buckets.filter(F.col("total") <= block).agg(F.sum("total")).first()
+        if total:
+            small = pieces.join(buckets.filter(F.col("total") <= block), "bucket")
+            found.append(scratch.keep(sorted_spans(small, -(-total // block), window)))
+        large = buckets.filter(F.col("total") > block)
+        if large.isEmpty():
+            return found
+        pieces = scratch.keep(pieces.join(large.select("bucket"), "bucket"))
+        single = pieces.filter(F.col("low") == F.col("high"))
+        again = single.groupBy("bytes").agg(F.count("*").alias("m")).filter(F.col("m") > 1).select("bytes")
+        window_span = F.col("at").alias("s"), (F.col("at") + window).alias("e")
+        found.append(
+            scratch.keep(single.filter(F.col("n") == 1).join(again, "bytes", "left_semi").select(*_STRING, *window_span))
+        )
+        pieces = halved(pieces.filter(F.col("low") < F.col("high")), window)
 
 
 def _keys(text: Column) -> list[Column]:
@@ -325,49 +348,49 @@ def _keys(text: Column) -> list[Column]:
 
 
 def find_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: int = GRAM,
-               block: int = BLOCK, hot: int = HOT, large: int = LARGE, piece: int = PIECE) -> DataFrame:
+               block: int = BLOCK, piece: int = PIECE) -> DataFrame:
     """Per text (k1, k2) with repeated windows: all its repeated spans, unmerged."""
     long_ = docs.filter(F.octet_length("text") >= window).select("k1", "k2", "text")
     cuts = scratch.keep(cut(long_, window, gram, piece))
-    # Written first, so that Spark can split the rows of a common anchor in the join.
-    shared = scratch.keep(
-        cuts.groupBy("anchor").agg(F.count("*").alias("c")).filter(F.col("c") > 1).select("anchor")
-    )
-    hits = scratch.keep(cuts.join(shared, "anchor"))
-    place = [F.first(c).alias(c) for c in ("k1", "k2", "start", "end")]
-    strings = scratch.keep(hits.groupBy("anchor", "string").agg(F.count("*").alias("n"), *place))
-    size = F.col("end") - F.col("start")
-    mixed = (
-        strings.groupBy("anchor").agg(F.count("*").alias("m"))
-        .filter(F.col("m") > 1).join(strings, "anchor")
-    )
+    kinds = classes(window, gram)
+    place = [F.first(c).alias(c) for c in ("k1", "k2", "start", "end", "anchor", *(f"c{i}" for i in range(len(kinds))))]
+    strings = scratch.keep(cuts.groupBy(*_STRING).agg(F.count("*").alias("n"), *place))
+    posts = strings.select(
+        *_STRING,
+        F.explode(F.array(*(F.struct(F.lit(a).cast("long").alias("low"), F.lit(b).cast("long").alias("high"),
+                                     F.col(f"c{i}").alias("bucket")) for i, (a, b) in enumerate(kinds)))).alias("post"),
+    ).select(*_STRING, "post.*").filter(F.col("bucket").isNotNull())
+    # Written first, so that Spark can split the rows of a common core in the join.
+    shared = scratch.keep(posts.groupBy("bucket").agg(F.count("*").alias("m")).filter(F.col("m") > 1).select("bucket"))
+    members = scratch.keep(posts.join(shared, "bucket"))
+    asked = scratch.keep(strings.join(members.select(*_STRING).distinct(), _STRING).select(
+        *_STRING, "n", "k1", "k2", "start", "end", "anchor"
+    ))
     texts = (
-        long_.join(mixed.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
+        long_.join(asked.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
         .dropDuplicates(["k1", "k2"])
     )
-    fetched = scratch.keep(
-        mixed.join(texts, ["k1", "k2"]).select(
-            "anchor", "string", "n", "m",
-            F.substring(F.col("text").cast("binary"), (F.col("start") + 1).cast("int"), size.cast("int"))
-            .alias("bytes"),
-        )
-    )
-    total, most = fetched.agg(F.sum(F.octet_length("bytes")), F.max("m")).first()
-    found = strings.filter(F.col("n") > 1).select(
-        "anchor", "string", F.array(F.struct(F.lit(0).cast("long").alias("s"), size.alias("e"))).alias("spans")
+    size = F.col("end") - F.col("start")
+    fetched = asked.join(texts, ["k1", "k2"]).select(
+        *_STRING, "n", "anchor", part(F.col("text").cast("binary"), F.col("start"), F.col("end")).alias("bytes")
+    )
+    low, high = F.col("low"), F.col("high")
+    start, end = trimmed(low, high, F.col("anchor"), F.octet_length("bytes").cast("long"), window)
+    pieces = members.join(fetched, _STRING).select(
+        "bucket", "low", "high", *_STRING, "n", start.alias("at"), (F.col("anchor") - start).alias("anchor"),
+        part(F.col("bytes"), start, end).alias("bytes"),
     )
-    if total:
-        tasks = max(1, -(-total // block))
-        found = found.unionByName(sorted_spans(fetched.filter(F.col("m") <= hot), tasks, window))
-    if most and most > hot:
-        some = fetched.filter((F.col("m") > hot) & (F.col("m") <= large))
-        found = found.unionByName(hashed_spans(some, window))
-    if most and most > large:
-        found = found.unionByName(counted_spans(fetched.filter(F.col("m") > large), window, scratch))
-    back = hits.join(found, ["anchor", "string"]).select("k1", "k2", "start", F.explode("spans").alias("span"))
-    placed = back.select(
-        "k1", "k2", (F.col("start") + F.col("span.s")).alias("s"), (F.col("start") + F.col("span.e")).alias("e")
+    found = bucket_spans(pieces, window, block, scratch)
+    # A string that occurs once has one place; one that occurs more often is repeated whole.
+    placed = cuts.join(strings.filter(F.col("n") > 1).select(*_STRING), _STRING).select(
+        "k1", "k2", F.col("start").alias("s"), F.col("end").alias("e")
     )
+    for spans in found:
+        at = F.col("start")
+        placed = placed.unionByName(
+            spans.join(strings.select(*_STRING, "k1", "k2", "start"), _STRING)
+            .select("k1", "k2", (at + F.col("s")).alias("s"), (at + F.col("e")).alias("e"))
+        )
     return (
         placed.distinct().groupBy("k1", "k2")
         .agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("spans"))
@@ -423,5 +446,5 @@ def query(spark, sf_dir) -> DataFrame:
     made = remove_repeats(table(spark, sf_dir, "documents"))
     return made.select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
