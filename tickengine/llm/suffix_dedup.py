@@ -42,12 +42,11 @@ from .shingles import Rolling, mix
 
 WINDOW = 400
 GRAM = 64
-PIECE = 1 << 20
+PIECE = 1 << 18
 BLOCK = 1 << 19
 _U = np.uint64
 _POS = _U((1 << 26) - 1)
-_grams, _strings, _third = Rolling(0xD1B54A32D192ED03), Rolling(0xA0761D6478BD642F), Rolling(0xE7037ED1A0B428DB)
-_cores = Rolling(0x8CB92BA72F3D8DD7)
+_one, _two = Rolling(0xD1B54A32D192ED03), Rolling(0xE7037ED1A0B428DB)
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -71,9 +70,9 @@ def anchored(raw: np.ndarray, valid: np.ndarray, window: int, gram: int):
     """Start, end and anchor's place of the strings of a byte array, their hashes, and the hash
     of each class's core with whether the string has it; ``valid`` marks windows."""
     width = window - gram + 1
-    sums = _grams.sums(raw)
+    sums = _one.sums(raw)
     at = np.arange(len(raw) - gram + 1)
-    hashed = _grams.pieces(sums, at, at + gram)
+    hashed = _one.pieces(sums, at, at + gram)
     least = sliding_least((hashed & ~_POS) | at.astype(_U), width)
     starts = np.flatnonzero(valid[: len(least)])
     if not len(starts):
@@ -84,11 +83,11 @@ def anchored(raw: np.ndarray, valid: np.ndarray, window: int, gram: int):
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
     begin, end, place = starts[first], starts[last] + window, place[first]
-    own = [h.pieces(h.sums(raw), begin, end).view(np.int64) for h in (_strings, _third)]
-    sums, cores = _cores.sums(raw), []
+    more, cores = _two.sums(raw), []
+    own = [_one.pieces(sums, begin, end).view(np.int64), _two.pieces(more, begin, end).view(np.int64)]
     for low, high in classes(window, gram):
         has = (place - low >= begin) & (place + window - high <= end)
-        core = _cores.pieces(sums, np.where(has, place - low, 0), np.where(has, place + window - high, 0))
+        core = _two.pieces(more, np.where(has, place - low, 0), np.where(has, place + window - high, 0))
         cores.append((mix(core + _U(low)).view(np.int64), has))
     return begin, end, place, own, cores
 
