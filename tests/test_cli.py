@@ -54,9 +54,12 @@ def test_check(spark, lake):
 
 def test_maintain(spark, lake, capfd):
     _, root = lake
-    before = tables.read_upserted(spark, f"{root}/vwap_5m").count()
+    before = tables.read_table(spark, f"{root}/vwap_5m").count()
     cli.main(["maintain", "--tables", root, "--window", "5 minutes"])
     assert "raw" in capfd.readouterr().out
     assert tables.read_table(spark, f"{root}/raw").count() == 40
-    assert tables.read_upserted(spark, f"{root}/vwap_5m").count() == before
-    assert tables.read_history(spark, f"{root}/raw").count() == 1
+    assert tables.read_table(spark, f"{root}/vwap_5m").count() == before
+    cli.main(["maintain", "--tables", root, "--window", "5 minutes", "--keep-hours", "168"])
+    assert tables.read_table(spark, f"{root}/raw").count() == 40  # listed only
+    cli.main(["maintain", "--tables", root, "--window", "5 minutes", "--keep-hours", "168", "--delete"])
+    assert tables.stored_rows(spark, f"{root}/raw") is None

@@ -1,5 +1,4 @@
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,10 +7,9 @@ from tickengine.functions.clustering import text_boundaries, text_rank
 from tickengine.operators import windows
 from tickengine.plans import maintenance, replay
 from tickengine.session import new_dir
-from tickengine.sources import layout, tables
+from tickengine.sources import tables
 
 DAY, OTHER = "2024-06-03", "2024-06-04"
-FAR = "2100-01-01 00:00:00"
 
 
 def bag(df):
@@ -41,10 +39,8 @@ def root(spark, batch):
     return path
 
 
-def live_files(spark, root, day=DAY):
-    return maintenance.table_files(spark, root).filter(
-        F.col("is_live") & (F.col("date_partition") == day)
-    )
+def files(spark, root, day=DAY):
+    return maintenance.table_files(spark, root, day).count()
 
 
 @pytest.mark.parametrize(
@@ -56,21 +52,23 @@ def live_files(spark, root, day=DAY):
     ],
 )
 def test_rewrite_keeps_rows_and_merges_files(spark, root, rewrite):
-    before, files = bag(tables.read_table(spark, root)), live_files(spark, root).count()
-    other = live_files(spark, root, OTHER).count()
-    assert rewrite(spark, root, DAY) == 0
-    assert bag(tables.read_table(spark, root)) == before
-    assert live_files(spark, root).count() == 1 < files
-    assert live_files(spark, root, OTHER).count() == other
+    before, many = bag(tables.read_table(spark, root, with_batch=True)), files(spark, root)
+    other = files(spark, root, OTHER)
+    assert rewrite(spark, root, DAY) == [dt.date.fromisoformat(DAY)]
+    assert bag(tables.read_table(spark, root, with_batch=True)) == before
+    assert files(spark, root) == 1 < many
+    assert files(spark, root, OTHER) == other
 
 
-def test_a_rewrite_that_loses_rows_is_not_published(spark, root, monkeypatch):
+def test_a_rewrite_that_fails_changes_nothing(spark, root, monkeypatch):
     before = bag(tables.read_table(spark, root))
-    monkeypatch.setattr(maintenance, "clustered", lambda rows, *a, **k: rows.limit(10))
-    with pytest.raises(maintenance.MaintenanceError, match="10 of 900"):
-        maintenance.zorder(spark, root, DAY)
+    broken = F.raise_error(F.lit("broken row")).cast("long")
+    monkeypatch.setattr(
+        maintenance, "clustered", lambda rows, *a, **k: rows.withColumn("volume", F.when(F.col("price") > 2200, broken))
+    )
+    with pytest.raises(Exception, match="broken row"):
+        maintenance.zorder(spark, root, DAY, target_bytes=1_000)
     assert bag(tables.read_table(spark, root)) == before
-    assert maintenance.history(spark, root).count() == 0
 
 
 def test_reading_a_rewritten_table_is_one_scan(spark, root):
@@ -79,35 +77,30 @@ def test_reading_a_rewritten_table_is_one_scan(spark, root):
     assert "Exchange" not in plan and plan.count("FileScan") == 1
 
 
+def test_dates_prune_partitions(spark, root):
+    assert tables.read_table(spark, root, first=OTHER, last="2024-07-01").count() == 900
+    one = tables.read_table(spark, root, last=DAY)
+    assert one.count() == 900
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_partition" in plan
+
+
 def test_batches_after_a_rewrite_stay_visible(spark, root, batch):
     maintenance.compact(spark, root, DAY)
     tables.write_batch(batch(7), root, 3)
     assert tables.read_table(spark, root, date=DAY).count() == 1200
     maintenance.zorder(spark, root, DAY)
     assert tables.read_table(spark, root, date=DAY).count() == 1200
-    assert live_files(spark, root).count() == 1
-
-
-def test_batch_that_arrives_during_a_rewrite_is_counted_once(spark, root, batch, monkeypatch):
-    """The batch lands between the look at what is live and the reading of rows."""
-    reading = maintenance.read_folders
-
-    def read(session, where, dates):
-        tables.write_batch(batch(7), root, 3)
-        return reading(session, where, dates)
-
-    monkeypatch.setattr(maintenance, "read_folders", read)
-    maintenance.compact(spark, root, DAY)
-    assert tables.read_table(spark, root, date=DAY).count() == 1200
-    assert tables.read_table(spark, root, date=DAY).distinct().count() == 1200
+    assert files(spark, root) == 1
 
 
-def test_a_smaller_number_may_arrive_after_a_rewrite(spark, root, batch):
-    """Numbers are no order of arrival: what no rewrite covers is live."""
-    tables.write_batch(batch(7), root)  # a large number, the time
-    maintenance.compact(spark, root, DAY)
-    tables.write_batch(batch(8), root, 3)
-    assert tables.read_table(spark, root, date=DAY).count() == 1500
+def test_a_batch_written_again_after_a_rewrite_replaces_itself(spark, root, batch):
+    """Its rows keep their batch through a rewrite."""
+    maintenance.zorder(spark, root)
+    both = batch(1).unionByName(batch(1, OTHER))
+    before = bag(tables.read_table(spark, root))
+    tables.write_batch(both, root, 1)
+    assert bag(tables.read_table(spark, root)) == before
 
 
 def test_a_new_column_outlives_rewrites(spark, root, batch):
@@ -119,21 +112,6 @@ def test_a_new_column_outlives_rewrites(spark, root, batch):
         assert found.filter("currency IS NULL").count() == 1800
 
 
-def test_a_rewrite_that_loses_columns_is_not_published(spark, root, monkeypatch):
-    monkeypatch.setattr(maintenance, "clustered", lambda rows, *a, **k: rows.drop("volume"))
-    with pytest.raises(maintenance.MaintenanceError, match="columns"):
-        maintenance.zorder(spark, root, DAY)
-    assert "volume" in tables.read_table(spark, root).columns
-
-
-def test_only_asked_dates_are_listed(spark, root, monkeypatch):
-    seen, listing = [], layout.live_date
-    monkeypatch.setattr(layout, "live_date", lambda s, r, d: seen.append(d) or listing(s, r, d))
-    assert tables.read_table(spark, root, first=OTHER, last="2024-07-01").count() == 900
-    assert tables.read_table(spark, root, last=DAY).count() == 900
-    assert seen == [OTHER, DAY]
-
-
 def test_long_texts_with_a_common_start_are_clustered(spark, ticks_of):
     rows = ticks_of([(f"SAME_BEGINNING_{i % 50:02d}", 1.0, i, "10:00:00") for i in range(5000)])
     by = ["ticker", "volume"]
@@ -152,10 +130,10 @@ def test_clustering_narrows_what_a_filter_reads(spark, root):
         return rows.filter(condition).select("_metadata.file_path").distinct().count()
 
     maintenance.zorder(spark, root, DAY, ["ticker", "event_time"], target_bytes=1500)
-    files = live_files(spark, root).count()
-    assert files >= 4
-    assert touched("ticker = 'T1'") < files
-    assert touched("event_time < '2024-06-03 10:00:30'") < files
+    many = files(spark, root)
+    assert many >= 4
+    assert touched("ticker = 'T1'") < many
+    assert touched("event_time < '2024-06-03 10:00:30'") < many
 
 
 def test_one_ticker_fills_several_files(spark, ticks_of):
@@ -168,90 +146,35 @@ def test_one_ticker_fills_several_files(spark, ticks_of):
 
 def test_compacting_an_upserted_table(spark, batch):
     root = new_dir(spark, "m")
-    keys = ["window_start", "ticker"]
     for number in (0, 1):
-        tables.write_batch(windows.with_date(windows.vwap(batch(number))), root, number)
-    before = bag(tables.read_upserted(spark, root))
-    maintenance.compact(spark, root, DAY, keys=keys)
-    assert bag(tables.read_upserted(spark, root)) == before
-    assert tables.read_table(spark, root).count() == len(before)
-    tables.write_batch(windows.with_date(windows.vwap(batch(2))), root, 2)
-    newest = tables.read_upserted(spark, root)
-    assert bag(newest.drop("date_partition")) == bag(windows.vwap(batch(2)))
-
-
-def test_settled_dates_are_not_merged_again(spark, batch):
-    root = new_dir(spark, "m")
-    keys = ["window_start", "ticker"]
-    both = lambda n: windows.with_date(windows.vwap(batch(n).unionByName(batch(n, OTHER))))
-    for number in (0, 1):
-        tables.write_batch(both(number), root, number)
-    expected = bag(tables.read_upserted(spark, root))
-
-    def exchanges(date=None):
-        assert date or bag(tables.read_upserted(spark, root)) == expected
-        found = tables.read_upserted(spark, root, date=date)
-        return found._jdf.queryExecution().executedPlan().toString().count("Exchange")
-
-    assert exchanges() == 1
-    maintenance.compact(spark, root, DAY, keys=keys)
-    assert exchanges() == 1 and exchanges(DAY) == 0 and exchanges(OTHER) == 1
-    tables.write_batch(both(1), root, 2)  # the compacted date is open again
-    assert exchanges(DAY) == 1 and exchanges() == 1
-
-
-def test_keyed_table_rewritten_without_keys_is_refused(spark, batch):
-    root = new_dir(spark, "m")
-    tables.write_batch(windows.with_date(windows.vwap(batch(0))), root)
-    maintenance.compact(spark, root, DAY)
-    with pytest.raises(ValueError, match="without the keys"):
-        tables.read_upserted(spark, root)
-
-
-def test_vacuum_lists_only_what_nobody_reads(spark, root):
-    assert maintenance.vacuum_candidates(spark, root, as_of=FAR).count() == 0
-    maintenance.compact(spark, root, DAY)
-    maintenance.zorder(spark, root, DAY)
-    doomed = {r["path"] for r in maintenance.vacuum_candidates(spark, root, as_of=FAR).collect()}
-    live = {
-        r[0]
-        for r in tables.read_table(spark, root).select("_metadata.file_path").distinct().collect()
-    }
-    assert doomed and not {d.split("/data/")[1] for d in doomed} & {f.split("/data/")[1] for f in live}
-    assert all(DAY in d for d in doomed)
-
-
-def test_vacuum_waits_for_the_retention(spark, root):
+        tables.upsert(windows.with_date(windows.vwap(batch(number))), root)
+    before = bag(tables.read_table(spark, root))
     maintenance.compact(spark, root, DAY)
-    assert maintenance.vacuum_candidates(spark, root).count() == 0
-    with pytest.raises(ValueError, match="force"):
-        maintenance.vacuum_candidates(spark, root, retention_hours=1)
-    assert maintenance.vacuum_candidates(spark, root, retention_hours=0, force=True).count() > 0
+    assert bag(tables.read_table(spark, root)) == before
+    assert len(before) == windows.vwap(batch(1)).count()
+    tables.upsert(windows.with_date(windows.vwap(batch(2))), root)
+    assert bag(tables.read_table(spark, root).drop("date_partition")) == bag(windows.vwap(batch(2)))
 
 
-def test_vacuum_deletes_and_rows_stay(spark, root):
-    before = bag(tables.read_table(spark, root))
+def test_loads_and_history(spark, root):
     maintenance.compact(spark, root, DAY)
-    maintenance.vacuum(spark, root, as_of=FAR)
-    folder = f"{root}/data/date_partition={DAY}"
-    assert os.path.exists(f"{folder}/batch_id=0")  # dry run
-    told = maintenance.vacuum(spark, root, as_of=FAR, dry_run=False).first()
-    assert told["folders"] == 3 and told["files"] >= 3 and told["bytes"] > 0
-    left = [d for d in os.listdir(folder) if d.startswith("batch_id")]
-    assert len(left) == 1 and left[0].startswith("batch_id=-")
-    assert bag(tables.read_table(spark, root)) == before
-    last = maintenance.history(spark, root, 1).first()
-    assert last["operation"] == "VACUUM" and int(last["operationMetrics"]["numDeletedFiles"]) > 0
+    told = {r["batch_id"]: (r["rows"], str(r["first_date"]), str(r["last_date"])) for r in maintenance.loads(spark, root).collect()}
+    assert told == {str(n): (600, DAY, OTHER) for n in range(3)}
+    arrived = new_dir(spark, "m")
+    for number in range(3):
+        at = F.lit(f"2024-06-05 0{number}:00:00").cast("timestamp")
+        tables.write_batch(tables.read_table(spark, root, date=DAY).withColumn("ingest_time", at), arrived, number)
+    assert [r["batch_id"] for r in maintenance.history(spark, arrived, 2).collect()] == ["2", "1"]
 
 
-def test_history(spark, root):
-    assert maintenance.history(spark, root).count() == 0
-    for _ in range(3):
-        maintenance.compact(spark, root, DAY)
-    rows = maintenance.history(spark, root, 2).collect()
-    assert [r["version"] for r in rows] == [2, 1]
-    assert rows[0].asDict().keys() == {"version", "timestamp", "operation", "operationMetrics"}
-    assert rows[0]["operationMetrics"]["numOutputRows"] == "900"
+def test_dates_behind_the_retention(spark, root):
+    assert maintenance.expire(spark, root, as_of="2024-06-10 12:00:00") == []
+    found = maintenance.expired_dates(spark, root, as_of="2024-06-11 12:00:00").first()
+    assert str(found["date_partition"]) == DAY and found["files"] == files(spark, root) and found["bytes"] > 0
+    assert maintenance.expire(spark, root, as_of="2024-06-11 12:00:00") == [dt.date.fromisoformat(DAY)]
+    assert tables.read_table(spark, root).count() == 1800  # listed only
+    maintenance.expire(spark, root, as_of="2024-06-11 12:00:00", dry_run=False)
+    assert {str(r[0]) for r in tables.read_table(spark, root).select("date_partition").distinct().collect()} == {OTHER}
 
 
 def test_a_failing_table_is_reported_and_does_not_stop_the_others(spark, root):
@@ -267,14 +190,14 @@ def test_a_corrupt_table_does_not_stop_the_others(spark, root, batch):
     bad = new_dir(spark, "bad")
     tables.write_batch(batch(1), bad, 0)
     spark.range(9).selectExpr("'no parquet' AS value").coalesce(1).write.mode("append").text(
-        f"{bad}/data/date_partition={DAY}/batch_id=0"
+        f"{bad}/date_partition={DAY}"
     )
     result = maintenance.run_all(spark, {"bad": bad, "raw": root}, raise_on_error=False)
     told = {r["table"]: (r["dates_rewritten"], r["error"] is None) for r in result.collect()}
     assert told == {"bad": (0, False), "raw": (2, True)}
 
 
-def test_all_closed_dates_with_new_batches(spark, root, batch):
+def test_all_closed_dates_of_several_files(spark, root, batch):
     before = bag(tables.read_table(spark, root))
     closed = dt.date(2024, 6, 4)
     assert maintenance.dates_to_rewrite(spark, root, closed) == [dt.date(2024, 6, 3)]
@@ -287,12 +210,12 @@ def test_all_closed_dates_with_new_batches(spark, root, batch):
 
 
 def test_replay(spark, root):
-    expected = windows.with_date(windows.vwap(tables.read_table(spark, root, date=DAY)))
     maintenance.compact(spark, root, DAY)
+    expected = windows.with_date(windows.vwap(tables.read_table(spark, root, date=DAY)))
     again = replay.replay_vwap(spark, root, DAY, DAY)
     assert bag(again) == bag(expected)
     vwap_root = new_dir(spark, "v")
     wrong = expected.withColumn("vwap_1m", F.lit(0.0))
-    tables.write_batch(wrong, vwap_root, 0)
+    tables.upsert(wrong, vwap_root)
     replay.replay_into(spark, root, vwap_root, DAY, DAY)
-    assert bag(tables.read_upserted(spark, vwap_root).select(*expected.columns)) == bag(expected)
+    assert bag(tables.read_table(spark, vwap_root).select(*expected.columns)) == bag(expected)

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import Observation, functions as F
 
-from conftest import SAMPLE
+from sample_ticks import SAMPLE
 from tickengine.operators import parse, quality
 from tickengine.schemas import CONTRACT, REQUIRED, TICK_SCHEMA, struct_from_record
 from tickengine.sources import messages

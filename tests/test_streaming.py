@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tickengine.operators import analytics, parse, windows
 from tickengine.plans import maintenance
 from tickengine.session import new_dir
-from tickengine.sources import layout, messages, tables
+from tickengine.sources import messages, tables
 from tickengine.streaming import jobs, sinks
 from tickengine.streaming.source import read_backlog, read_tick_stream, trigger
 
@@ -90,8 +90,7 @@ def test_update_mode_shows_open_windows(spark, feed):
     made = windows.with_date(windows.vwap(parsed(spark, feed), "5 minutes"))
     run(made, root, checkpoint, sinks.upsert_stream)
     batch = windows.with_date(windows.vwap(parse.parse_events(feed.batch(spark)), "5 minutes"))
-    assert bag(tables.read_upserted(spark, root).select(*batch.columns)) == bag(batch)
-    assert tables.read_table(spark, root).count() > batch.count()  # older versions are there
+    assert bag(tables.read_table(spark, root).select(*batch.columns)) == bag(batch)
 
 
 def late_run(spark, feed):
@@ -142,7 +141,7 @@ def test_a_batch_that_failed_after_writing_is_replayed_once(spark, feed):
     ticks = parse.raw_columns(parsed(spark, feed))
 
     def write_then_fail(batch, batch_id):
-        tables.write_batch(batch, root, layout.batch_number(spark, root, checkpoint, batch_id))
+        sinks.BatchWriter().append(batch, root, batch_id)
         raise RuntimeError("driver lost")
 
     with pytest.raises(StreamingQueryException, match="driver lost"):
@@ -162,18 +161,6 @@ def test_a_new_checkpoint_continues_the_table(spark, feed):
     assert tables.read_table(spark, root).count() == 3
 
 
-def test_numbers_of_batches(spark):
-    root, one, two = (new_dir(spark, n) for n in ("s", "c", "c"))
-    first = layout.batch_number(spark, root, one, 0)
-    assert layout.batch_number(spark, root, one, 0) == first
-    others = {layout.batch_number(spark, root, one, 1), layout.batch_number(spark, root, two, 0),
-              layout.batch_number(spark, root + "x", one, 0)}
-    assert len(others) == 3 and first not in others
-    for n in range(2, 30):
-        layout.batch_number(spark, root, one, n)
-    assert len(layout.children(spark, f"{one}/numbers/" + layout.children(spark, f"{one}/numbers")[0])) <= 30
-
-
 def test_times_far_ahead_do_not_stop_the_others(spark, feed):
     feed.add(body("A", 1.0, 1, "10:00:00"))
     feed.add('{"ticker":"A","price":1.0,"volume":1,"timestamp":"9000-01-01T00:00:00"}')
@@ -182,7 +169,7 @@ def test_times_far_ahead_do_not_stop_the_others(spark, feed):
     out = new_dir(spark, "job")
     jobs.await_all(jobs.run_streams(feed.stream(spark), f"{out}/t", f"{out}/c", every=None,
                                     durations=("1 minute",), upsert=True, max_ahead="1 day"))
-    assert tables.read_upserted(spark, f"{out}/t/vwap_1m").count() == 4
+    assert tables.read_table(spark, f"{out}/t/vwap_1m").count() == 4
     reject = tables.read_table(spark, f"{out}/t/quarantine").first()
     assert reject["missing_fields"] == ["event_time_ahead"]
 

@@ -30,7 +30,7 @@ def test_writing_a_batch_again_replaces_it(spark, dated):
     tables.write_batch(dated(), root, 1)
     tables.write_batch(dated(), root, 1)
     assert tables.read_table(spark, root).count() == 6
-    assert tables.read_table(spark, root, with_batch=True).filter("batch_id = 1").count() == 3
+    assert tables.read_table(spark, root, with_batch=True).filter("batch_id = '1'").count() == 3
 
 
 def test_reading_one_date(spark, dated):
@@ -42,11 +42,23 @@ def test_reading_one_date(spark, dated):
     assert "batch_id" not in one.columns
 
 
-def test_unfinished_rewrite_is_not_read(spark, dated):
-    """A rewrite that crashed before its history row leaves a folder nobody reads."""
+def test_a_batch_of_several_dates_is_replaced_in_all(spark, dated):
     root = new_dir(spark, "t")
-    tables.write_batch(dated(), root)
-    dated().drop("date_partition").write.parquet(f"{root}/data/date_partition=2024-06-03/batch_id=-1")
+    both = dated().unionByName(dated(day="2024-06-04"))
+    tables.write_batch(dated(), root, "a")
+    for _ in range(2):
+        tables.write_batch(both, root, "b")
+    tables.write_batch(both, root, "b", written_before=False)  # not looked for: appended
+    assert tables.read_table(spark, root).groupBy("date_partition").count().orderBy("count").collect()[1]["count"] == 9
+
+
+def test_an_empty_batch_and_a_table_without_rows(spark, dated):
+    root = new_dir(spark, "t")
+    assert tables.stored_rows(spark, root) is None
+    tables.write_batch(dated().limit(0), root, 0)
+    tables.write_batch(dated(), root, 1)
+    tables.write_batch(dated().limit(0), root, 2)
+    tables.upsert(windows.with_date(windows.vwap(dated().limit(0))), new_dir(spark, "v"))
     assert tables.read_table(spark, root).count() == 3
 
 
@@ -71,26 +83,43 @@ def test_upserted_rows_newest_wins(spark, dated):
     root = new_dir(spark, "v")
     first = windows.with_date(windows.vwap(dated(TICKS[:1])))
     later = windows.with_date(windows.vwap(dated(TICKS[:1] + [("A", 9.0, 1, "10:00:59")])))
-    for batch_id, batch in ((0, first), (1, later), (2, windows.with_date(windows.vwap(dated(TICKS[1:2]))))):
-        tables.write_batch(batch, root, batch_id)
-    rows = {r["ticker"]: (r["vwap_1m"], r["tick_count_1m"]) for r in tables.read_upserted(spark, root).collect()}
+    for batch in (first, later, later, windows.with_date(windows.vwap(dated(TICKS[1:2])))):
+        tables.upsert(batch, root)
+    rows = {r["ticker"]: (r["vwap_1m"], r["tick_count_1m"]) for r in tables.read_table(spark, root).collect()}
     assert rows == {"A": (5.0, 2), "B": (2.0, 1)}
 
 
-def test_upsert_can_make_a_value_null(spark, dated):
+def test_upsert_touches_its_dates_only(spark, dated):
     root = new_dir(spark, "v")
-    for batch_id, volume in ((0, 1), (1, 0)):
-        tables.write_batch(
-            windows.with_date(windows.vwap(dated([("A", 1.0, volume, "10:00:00")]))), root, batch_id
-        )
-    assert tables.read_upserted(spark, root).first()["vwap_1m"] is None
+    tables.upsert(windows.with_date(windows.vwap(dated(day="2024-06-04"))), root)
+    before = {r["path"] for r in maintenance.table_files(spark, root).collect()}
+    tables.upsert(windows.with_date(windows.vwap(dated())), root)
+    assert before < {r["path"] for r in maintenance.table_files(spark, root).collect()}
 
 
-def test_merging_versions_is_hash_based(spark, dated):
+def test_upsert_can_make_a_value_null(spark, dated):
     root = new_dir(spark, "v")
-    tables.write_batch(windows.with_date(windows.vwap(dated())), root)
-    text = tables.read_upserted(spark, root)._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in text and text.count("Exchange") == 1
+    for volume in (1, 0):
+        tables.upsert(windows.with_date(windows.vwap(dated([("A", 1.0, volume, "10:00:00")]))), root)
+    assert tables.read_table(spark, root).first()["vwap_1m"] is None
+
+
+def test_versions_as_of(spark, dated):
+    """Two versions of a window: each moment sees the one that was known then."""
+    rows = []
+    for at, some in (("11:00:00", TICKS[:1]), ("13:00:00", TICKS[:1] + [("A", 9.0, 1, "10:00:59")] + TICKS[1:2])):
+        known = F.lit(f"2024-06-03 {at}").cast("timestamp")
+        rows.append(windows.with_date(windows.vwap(dated(some))).withColumn("known_at", known))
+    versions = rows[0].unionByName(rows[1])
+
+    def known(at):
+        found = tables.versions_as_of(versions, f"2024-06-03 {at}")
+        assert "known_at" not in found.columns
+        return {r["ticker"]: r["vwap_1m"] for r in found.collect()}
+
+    assert known("10:59:59") == {}
+    assert known("11:00:00") == known("12:59:59") == {"A": 1.0}
+    assert known("13:00:00") == {"A": 5.0, "B": 2.0}
 
 
 def test_jsonl_dump(spark, tmp_path):
@@ -138,28 +167,32 @@ def test_raw_table_ddl(spark, dated, tmp_path):
 def test_streamed_tables_by_name(spark, dated):
     root = new_dir(spark, "t")
     tables.write_batch(dated(), root)
-    tables.create_raw(spark, "streamed", root, streamed=True)
+    tables.create_raw(spark, "streamed", root)
     assert read_named(spark, "streamed").count() == 0
-    tables.sync_catalog(spark, "streamed", root)
+    tables.find_dates(spark, "streamed")
     assert read_named(spark, "streamed").count() == 3
     tables.write_batch(dated().unionByName(dated(day="2024-06-04")), root)
     maintenance.compact(spark, root, "2024-06-03")
-    tables.sync_catalog(spark, "streamed", root, first="2024-06-04")
-    assert read_named(spark, "streamed").count() == 6
-    tables.sync_catalog(spark, "streamed", root)
+    tables.find_dates(spark, "streamed")
     rows = read_named(spark, "streamed")
-    assert rows.count() == 9 and rows.select("date_partition", "batch_id").distinct().count() == 2
-    maintenance.vacuum(spark, root, as_of="2100-01-01 00:00:00", dry_run=False)
-    assert read_named(spark, "streamed").count() == 9
+    assert rows.count() == 9 and rows.columns == RAW_SCHEMA.fieldNames()
     spark.sql("DROP TABLE streamed")
 
 
+def test_comments_of_columns(spark, tmp_path):
+    tables.create_vwap(spark, "vwap_told", str(tmp_path / "v"), suffix="5m")
+    told = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE TABLE vwap_told").collect()}
+    assert told["window_start"] == "5-min window start" and told["vwap_5m"] == "Volume-Weighted Average Price"
+    assert told["ticker"] is None
+    spark.sql("DROP TABLE vwap_told")
+
+
 def test_a_keyed_table_with_a_new_column(spark, dated):
     root = new_dir(spark, "v")
     made = windows.with_date(windows.vwap(dated()))
-    tables.write_batch(made, root)
-    tables.write_batch(made.filter("ticker = 'B'").withColumn("made_by", F.lit("x")), root)
-    rows = {(r["ticker"], r["made_by"]) for r in tables.read_upserted(spark, root).collect()}
+    tables.upsert(made, root)
+    tables.upsert(made.filter("ticker = 'B'").withColumn("made_by", F.lit("x")), root)
+    rows = {(r["ticker"], r["made_by"]) for r in tables.read_table(spark, root).collect()}
     assert rows == {("A", None), ("B", "x")}
 
 

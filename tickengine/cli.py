@@ -71,7 +71,8 @@ def maintain(spark: SparkSession, args: argparse.Namespace) -> None:
         keys[name] = ["window_start", "ticker"]
         cluster_by[name] = ["ticker", "window_start"]
     run_all(
-        spark, roots, args.date, cluster_by=cluster_by, keys=keys, dry_run=not args.delete
+        spark, roots, args.date, cluster_by=cluster_by, keys=keys,
+        retention_hours=args.keep_hours, dry_run=not args.delete,
     ).show(truncate=False)
 
 
@@ -114,7 +115,8 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("maintain", maintain, tables=True, windows=True)
     sub.add_argument("--date", help="one date instead of all closed ones")
-    sub.add_argument("--delete", action="store_true", help="remove what vacuum would list")
+    sub.add_argument("--keep-hours", type=int, help="list dates that ended longer ago; without it all stay")
+    sub.add_argument("--delete", action="store_true", help="remove the dates that --keep-hours lists")
     return root
 
 

@@ -1,164 +1,103 @@
-"""Table maintenance as Spark jobs: compaction, clustering, vacuum, history.
+"""Table maintenance as Spark jobs: compaction, clustering, retention, what was loaded.
 
-Rewrites are meant for closed dates, i.e. dates older than the stream's watermark, and
-for one maintenance job per table at a time. Batches that arrive meanwhile are kept.
+Rewrites are meant for closed dates, i.e. dates older than the stream's watermark: they read
+the dates and write them back, so a batch that arrives in between would be lost.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
-import math
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickengine.functions import times
 from tickengine.functions.clustering import with_z_value
-from tickengine.sources import layout
-from tickengine.sources.tables import append_history, latest_rows, read_folders, read_history
+from tickengine.sources.tables import overwrite_dates, read_table
 from tickengine.sources.ticks import list_files
 
 logger = logging.getLogger(__name__)
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 RETENTION_HOURS = 168  # Fixed value: seven days.
-HISTORY_COLUMNS = ["version", "timestamp", "operation", "operationMetrics"]
-
-_FOLDER = r"/data/date_partition=(\d{4}-\d{2}-\d{2})/batch_id=(-?\d+)/"
 
 
 class MaintenanceError(RuntimeError):
-    """A rewrite or the maintenance of a table failed."""
+    """The maintenance of a table failed."""
 
 
-def table_files(spark: SparkSession, root: str, date: dt.date | None = None) -> DataFrame:
-    """Data files of a table with what their path tells, and whether readers use them.
+def table_files(spark: SparkSession, root: str, date=None) -> DataFrame:
+    """Data files of a table, or of one of its dates, with the date that their path tells."""
+    place = root if date is None else f"{root}/date_partition={date}"
+    day = F.regexp_extract("path", r"/date_partition=(\d{4}-\d{2}-\d{2})/", 1)
+    return list_files(spark, place).select(
+        "path", "modificationTime", "length", F.nullif(day, F.lit("")).cast("date").alias("date_partition")
+    )
 
-    With a date only its folder is listed. ``replaced_at`` is when the newest rewrite of
-    the date was published.
-    """
 
-    def part(group: int, to: str):
-        return F.nullif(F.regexp_extract("path", _FOLDER, group), F.lit("")).cast(to)
+def _closed(spark: SparkSession, before: dt.date | None):
+    """The session's current date, or a given one: dates before it are closed."""
+    return F.current_date() if before is None else F.lit(str(before)).cast("date")
 
-    place = f"{root}/data" if date is None else f"{root}/data/date_partition={date}"
-    found = list_files(spark, place).select(
-        "path",
-        "modificationTime",
-        "length",
-        part(1, "date").alias("date_partition"),
-        part(2, "long").alias("batch_id"),
-    )
-    rows = []
-    for live in layout.live_dates(spark, root, date, date):
-        at = None
-        if live.rewrite is not None:
-            path = f"{layout.folder(root, live.date, live.rewrite)}/{layout.COVERS}"
-            at = layout.written_at(spark, path)
-        rows += [(live.date, n, n not in live.dead, at) for n in (*live.numbers(), *live.dead)]
-    told = spark.createDataFrame(rows, "day string, batch_id long, is_live boolean, millis long")
-    known = told.select(
-        F.try_to_date("day").alias("date_partition"), "batch_id", "is_live",
-        F.timestamp_millis("millis").alias("replaced_at"),
-    )
-    return found.join(known, ["date_partition", "batch_id"], "left").withColumn(
-        "is_live", F.coalesce("is_live", F.lit(True))
+
+def _sizes(spark: SparkSession, root: str, target_bytes: int) -> DataFrame:
+    """Per date its files, bytes and the files it would need."""
+    needed = F.greatest(F.lit(1), F.ceil(F.sum("length") / target_bytes))
+    return table_files(spark, root).groupBy("date_partition").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), needed.alias("needed")
     )
 
 
-def _rewrite(
+def dates_to_rewrite(
     spark: SparkSession,
     root: str,
-    date,
-    operation: str,
-    arrange: Callable[[DataFrame, int], DataFrame],
+    before: dt.date | None = None,
     *,
-    keys: list[str] | None,
-    target_bytes: int,
-    pack: bool,
-    journal: list | None,
-) -> int | None:
-    """Write the live rows of a date anew and publish the folder.
-
-    Returns the history version, or leaves the row to the owner of ``journal``. What is live is looked up once; a batch that arrives later is not covered, hence
-    stays as it is.
-    """
-    live = layout.live_date(spark, root, str(date))
-    if not live.numbers():
-        raise ValueError(f"no live files for {date} in {root}")
-    files_before, bytes_before = map(sum, zip(*(layout.size(spark, p) for p in live.paths(root))))
-
-    # A session of its own, because how files are packed into tasks is a setting.
-    session = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-        session.conf.set(key, spark.conf.get(key))
-    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    if pack:
-        session.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-        session.conf.set("spark.sql.files.openCostInBytes", "0")
-        session.conf.set("spark.sql.files.minPartitionNum", "1")
-
-    rows = read_folders(session, root, [live])
-    rows_before = rows.count()  # from file footers
-    columns = [c for c in rows.columns if c != "batch_id"]
-    if keys:
-        rows = latest_rows(rows, ["date_partition", *keys])
-    rows = rows.select(*columns)
-    files = max(1, math.ceil(bytes_before / target_bytes))
-    number = -layout.new_number()
-    folder = layout.folder(root, date, number)
-    arrange(rows, files).drop("date_partition").write.mode("overwrite").parquet(folder)
-    written = spark.read.parquet(folder)
-    rows_after = written.count()
-    if not keys and rows_after != rows_before:
-        raise MaintenanceError(
-            f"{operation} of {date} in {root} wrote {rows_after} of {rows_before} rows; not published"
-        )
-    if set(written.columns) != set(columns) - {"date_partition"}:
-        raise MaintenanceError(f"{operation} of {date} in {root} lost columns; not published")
-    files_after, bytes_after = layout.size(spark, folder)
-    covers = [*live.covers, *live.batches]
-    layout.publish(spark, root, date, number, covers, ",".join(keys) if keys else None)
-    metrics = {
-        "numRemovedFiles": files_before,
-        "numRemovedBytes": bytes_before,
-        "numAddedFiles": files_after,
-        "numAddedBytes": bytes_after,
-        "numOutputRows": rows_after,
-    }
-    told = (operation, metrics, dt.date.fromisoformat(str(date)))
-    if journal is None:
-        return append_history(spark, root, [told])
-    journal.append(told)
-    return None
+    min_files: int = 2,
+    target_bytes: int = TARGET_FILE_BYTES,
+) -> list[dt.date]:
+    """Closed dates with at least ``min_files`` times the files they need, oldest first; with 1 all."""
+    found = _sizes(spark, root, target_bytes).filter(F.col("date_partition") < _closed(spark, before))
+    if min_files > 1:
+        found = found.filter(F.col("files") >= min_files * F.col("needed"))
+    return [r[0] for r in found.select("date_partition").orderBy("date_partition").collect()]
+
+
+def _rows_of(spark: SparkSession, root: str, dates: list[dt.date]) -> DataFrame:
+    """All rows of some dates, batches included."""
+    return read_table(spark, root, with_batch=True).filter(F.col("date_partition").isin(dates))
+
+
+def _dates(
+    spark: SparkSession, root: str, date, before: dt.date | None, min_files: int, target_bytes: int
+) -> list[dt.date]:
+    if date is None:
+        return dates_to_rewrite(spark, root, before, min_files=min_files, target_bytes=target_bytes)
+    return [dt.date.fromisoformat(str(date))]
 
 
 def compact(
     spark: SparkSession,
     root: str,
-    date,
+    date=None,
     *,
-    keys: list[str] | None = None,
+    before: dt.date | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
-    journal: list | None = None,
-) -> int | None:
-    """Merge the small files of a date; returns the history version.
+    min_files: int = 2,
+) -> list[dt.date]:
+    """Merge the small files of a date, or of all closed dates in one job; returns the dates.
 
-    Without ``keys`` there is no shuffle: the scan packs files up to the target size
-    into a task, and each task writes one file. With the keys of an upserted table only the newest
-    row of each is kept, which takes an aggregation.
+    Rows of a date are gathered into files of about ``target_bytes`` as shuffled.
     """
-
-    def arrange(rows: DataFrame, files: int) -> DataFrame:
-        return rows.hint("rebalance") if keys else rows
-
-    return _rewrite(
-        spark, root, date, "COMPACT", arrange, keys=keys, target_bytes=target_bytes, pack=not keys,
-        journal=journal,
-    )
+    dates = _dates(spark, root, date, before, min_files, target_bytes)
+    if dates:
+        # A session of its own, because the size of what is gathered is a setting.
+        session = spark.newSession()
+        for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+            session.conf.set(key, spark.conf.get(key))
+        session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+        overwrite_dates(_rows_of(session, root, dates), root)
+    return dates
 
 
 def clustered(
@@ -169,7 +108,7 @@ def clustered(
     keys: list[str] | None = None,
     bits: int = 8,
 ) -> DataFrame:
-    """Rows in about ``files`` ranges of the clustering columns, sorted within each.
+    """Rows in about ``files`` ranges of the date and the clustering columns, sorted within each.
 
     One column is a plain range; several are woven into a Z value. A hot value would
     be one range, so finer columns follow: the unique ``keys`` if there are any, else
@@ -182,7 +121,8 @@ def clustered(
         rows = with_z_value(rows, columns, bits=bits)
         helpers.append("_z")
     finer = keys or (["event_time"] if "event_time" in rows.columns else [])
-    order = [*helpers, *columns, *[c for c in finer if c not in columns]]
+    day = ["date_partition"] if "date_partition" in rows.columns else []
+    order = [*day, *helpers, *columns, *[c for c in finer if c not in columns]]
     split = list(order)
     if not keys:
         rows = rows.withColumn("_row", F.monotonically_increasing_id())
@@ -194,126 +134,80 @@ def clustered(
 def zorder(
     spark: SparkSession,
     root: str,
-    date,
+    date=None,
     columns: list[str] | None = None,
     *,
+    before: dt.date | None = None,
     keys: list[str] | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
     bits: int = 8,
-    journal: list | None = None,
-) -> int | None:
-    """Rewrite a date clustered by ``columns`` (default: ticker)."""
-    by = columns or ["ticker"]
-    return _rewrite(
-        spark, root, date, f"ZORDER BY ({', '.join(by)})",
-        lambda rows, files: clustered(rows, by, files, keys=keys, bits=bits),
-        keys=keys, target_bytes=target_bytes, pack=False, journal=journal,
-    )
-
-
-def vacuum_candidates(
-    spark: SparkSession,
-    root: str,
-    *,
-    as_of=None,
-    retention_hours: int = RETENTION_HOURS,
-    force: bool = False,
-) -> DataFrame:
-    """Files no reader uses any more and that are old enough to remove.
+    min_files: int = 1,
+) -> list[dt.date]:
+    """Rewrite a date, or all closed dates in one job, clustered by ``columns`` (default: ticker).
 
-    Both the file and the rewrite that replaced it must be past the retention, so a
-    reader that started before the rewrite keeps its files. A retention below seven
-    days needs ``force``.
+    Dates of one file's size are gathered and sorted; the rows of larger ones are dealt into as many
+    ranges of the date and the clustering columns as they need files.
     """
-    if retention_hours < RETENTION_HOURS and not force:
-        raise ValueError(f"retention below {RETENTION_HOURS} hours needs force=True")
-    files = table_files(spark, root)
-    end = times.moment(as_of, times.time_type(files, "modificationTime"))
-    limit = end - times.interval(f"{retention_hours} hours")
-    old = (F.col("modificationTime") < limit) & (
-        F.coalesce(F.col("replaced_at"), F.col("modificationTime")) < limit
-    )
-    return files.filter(~F.col("is_live") & old).select("path", "modificationTime", "length")
-
-
-def vacuum(
-    spark: SparkSession,
-    root: str,
-    *,
-    as_of=None,
-    retention_hours: int = RETENTION_HOURS,
-    force: bool = False,
-    dry_run: bool = True,
-) -> DataFrame:
-    """List removable files; with ``dry_run=False`` delete their folders and return counts.
-
-    A folder holds one batch or one rewrite of a date and is dead or live as a whole, so
-    whole folders are deleted, several at a time. One that cannot be deleted is an error,
-    once all others are gone.
+    dates = _dates(spark, root, date, before, min_files, target_bytes)
+    if dates:
+        by = columns or ["ticker"]
+        sizes = _sizes(spark, root, target_bytes).filter(F.col("date_partition").isin(dates)).collect()
+        small = [r["date_partition"] for r in sizes if r["needed"] == 1]
+        large = {r["date_partition"]: r["needed"] for r in sizes if r["needed"] > 1}
+        parts = []
+        if small:
+            rows = _rows_of(spark, root, small)
+            finer = [c for c in [*(keys or []), "event_time"] if c in rows.columns and c not in by]
+            parts.append(rows.hint("rebalance", "date_partition").sortWithinPartitions("date_partition", *by, *finer))
+        if large:
+            rows = _rows_of(spark, root, list(large))
+            parts.append(clustered(rows, by, sum(large.values()), keys=keys, bits=bits))
+        made = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        overwrite_dates(made, root, rebalance=False)
+    return dates
+
+
+def loads(spark: SparkSession, root: str) -> DataFrame:
+    """What each batch added: its dates, rows and newest arrival, as the rows themselves tell.
+
+    Compaction and clustering keep the batch of each row, so nothing is lost by them.
     """
-    candidates = vacuum_candidates(
-        spark, root, as_of=as_of, retention_hours=retention_hours, force=force
-    )
-    if dry_run:
-        return candidates
-    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
-    doomed = candidates.groupBy(folder.alias("folder")).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
-    )
-    folders = files = total = 0
-    failed = []
-    with ThreadPoolExecutor(16) as pool:
-        rows = doomed.toLocalIterator()
-        while part := list(islice(rows, 1_000)):
-            for row, gone in zip(part, pool.map(lambda r: layout.delete(spark, r["folder"]), part)):
-                if gone:
-                    folders, files, total = folders + 1, files + row["files"], total + row["bytes"]
-                else:
-                    failed.append(row["folder"])
-    append_history(spark, root, [("VACUUM", {"numDeletedFiles": files, "numDeletedBytes": total}, None)])
-    if failed:
-        raise MaintenanceError(f"{len(failed)} folders of {root} could not be deleted, as {failed[0]}")
-    return spark.createDataFrame([(folders, files, total)], "folders long, files long, bytes long")
+    rows = read_table(spark, root, with_batch=True)
+    newest = [F.max("ingest_time").alias("newest_arrival")] if "ingest_time" in rows.columns else []
+    return rows.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("date_partition").alias("first_date"),
+        F.max("date_partition").alias("last_date"), *newest,
+    )
 
 
 def history(spark: SparkSession, root: str, n: int = 5) -> DataFrame:
-    """The last ``n`` maintenance operations, newest first."""
-    return read_history(spark, root).select(*HISTORY_COLUMNS).orderBy(F.desc("version")).limit(n)
-
+    """The last ``n`` batches by arrival, newest first."""
+    return loads(spark, root).orderBy(F.desc("newest_arrival"), "batch_id").limit(n)
 
-def dates_to_rewrite(spark: SparkSession, root: str, before: dt.date | None = None) -> list:
-    """Closed dates with appended batches that no rewrite covers, oldest first.
 
-    Closed means before ``before``, by default the current date of the session.
-    """
-    end = str(spark.sql("SELECT current_date()").first()[0] if before is None else before)
-    found = layout.live_dates(spark, root, last=end)
-    return [dt.date.fromisoformat(d.date) for d in found if d.batches and d.date < end]
+def expired_dates(spark: SparkSession, root: str, *, as_of=None, retention_hours: int = RETENTION_HOURS) -> DataFrame:
+    """Dates that ended before the retention: their files and bytes."""
+    files = table_files(spark, root)
+    end = times.moment(as_of, times.time_type(files, "modificationTime"))
+    limit = F.to_date(end - times.interval(f"{retention_hours} hours"))
+    return (
+        files.filter(F.col("date_partition") < limit)
+        .groupBy("date_partition").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    )
 
 
-def rewrite_dates(
-    spark: SparkSession,
-    root: str,
-    before: dt.date | None,
-    rewrite: Callable[..., int | None],
-    *args,
-    at_once: int = 8,
-    **options,
-) -> int:
-    """Rewrite all closed dates with new batches, some at once; how many there were.
-
-    The history gets its rows in the end, also when a date fails. ``rewrite`` is ``compact`` or ``zorder``; further arguments go to it.
-    """
-    days, journal = dates_to_rewrite(spark, root, before), []
-    try:
-        with ThreadPoolExecutor(at_once) as pool:
-            done = [pool.submit(rewrite, spark, root, day, *args, journal=journal, **options) for day in days]
-            for job in done:
-                job.result()
-    finally:
-        if journal:
-            append_history(spark, root, sorted(journal, key=lambda told: told[2]))
-    return len(days)
+def expire(
+    spark: SparkSession, root: str, *, as_of=None, retention_hours: int = RETENTION_HOURS, dry_run: bool = True
+) -> list[dt.date]:
+    """List the dates that ended before the retention; with ``dry_run=False`` remove their folders."""
+    found = expired_dates(spark, root, as_of=as_of, retention_hours=retention_hours)
+    dates = [r[0] for r in found.select("date_partition").orderBy("date_partition").collect()]
+    if not dry_run:
+        for date in dates:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/date_partition={date}")
+            if not path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+                raise MaintenanceError(f"{path} could not be deleted")
+    return dates
 
 
 def run_all(
@@ -324,33 +218,30 @@ def run_all(
     before: dt.date | None = None,
     cluster_by: dict[str, list[str]] | None = None,
     keys: dict[str, list[str]] | None = None,
-    retention_hours: int = RETENTION_HOURS,
+    min_files: int = 2,
+    retention_hours: int | None = None,
     dry_run: bool = True,
     raise_on_error: bool = True,
 ) -> DataFrame:
-    """Cluster and vacuum each table; one result row per table.
+    """Cluster each table's closed dates, and list or remove what the retention ended.
 
-    Without a ``date`` all closed dates that have new batches are clustered, each as a
-    job of its own, some at once. A failing table does not keep the others from running, but it is
-    reported, and raised at the end.
+    One result row per table. A failing table does not keep the others from running, but it
+    is reported, and raised at the end. Without ``retention_hours`` all dates are kept.
     """
     results = []
     for name, root in tables.items():
-        done = 0
+        done, gone = 0, 0
         try:
             by, own = (cluster_by or {}).get(name), (keys or {}).get(name)
-            if date is None:
-                done = rewrite_dates(spark, root, before, zorder, by, keys=own)
-            else:
-                zorder(spark, root, date, by, keys=own)
-                done = 1
-            vacuum(spark, root, retention_hours=retention_hours, dry_run=dry_run)
-            results.append((name, done, None))
+            done = len(zorder(spark, root, date, by, before=before, keys=own, min_files=min_files))
+            if retention_hours is not None:
+                gone = len(expire(spark, root, retention_hours=retention_hours, dry_run=dry_run))
+            results.append((name, done, gone, None))
         except Exception as error:  # whatever ends one table's maintenance, the next has its turn
             logger.exception("maintenance of %s failed", name)
-            results.append((name, done, str(error)))
+            results.append((name, done, gone, str(error)))
     if raise_on_error:
-        failed = [f"{name}: {error}" for name, _, error in results if error]
+        failed = [f"{name}: {error}" for name, _, _, error in results if error]
         if failed:
             raise MaintenanceError("; ".join(failed))
-    return spark.createDataFrame(results, "table string, dates_rewritten long, error string")
+    return spark.createDataFrame(results, "table string, dates_rewritten long, dates_expired long, error string")

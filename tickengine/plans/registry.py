@@ -81,7 +81,7 @@ def ntz(df: DataFrame) -> DataFrame:
 def vwap_table(spark: SparkSession, sf: str, duration: str) -> DataFrame:
     """VWAP windows as a written table, the way the alert query meets them."""
     root = new_dir(spark, "vwap")
-    tables.write_batch(dated_vwap(ticks(spark, sf), duration), root)
+    tables.upsert(dated_vwap(ticks(spark, sf), duration), root)
     return tables.read_table(spark, root)
 
 
@@ -530,10 +530,9 @@ def upsert_vwap(spark, sf):
     root = new_dir(spark, "vwap")
     found = ticks(spark, sf)
     known = found.filter(F.col("event_time") < F.lit(MIDDLE).cast("timestamp_ntz"))
-    for batch_id, batch in enumerate((known, found)):
-        made = windows.with_date(windows.vwap(batch, "1 hour", decimals=2))
-        tables.write_batch(made, root, batch_id)
-    return tables.read_upserted(spark, root).drop("date_partition")
+    for batch in (known, found):
+        tables.upsert(dated_vwap(batch, "1 hour"), root)
+    return tables.read_table(spark, root).drop("date_partition")
 
 
 EVER = dt.date(2100, 1, 1)
@@ -543,29 +542,27 @@ EVER = dt.date(2100, 1, 1)
 def compaction(spark, sf):
     """All dates, each from several batches."""
     root = written_ticks(spark, sf)
-    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact)
+    maintenance.compact(spark, root, before=EVER, min_files=1)
     return tables.read_table(spark, root).select(*ROW_COLUMNS)
 
 
-KEYS = ["window_start", "ticker"]
-
-
 @query(vwap_sql("1 hour", "1h"))
 def compaction_upserted(spark, sf):
-    """Compacting a keyed table folds the versions of each window."""
+    """A keyed table after a compaction of all dates."""
     root = new_dir(spark, "vwap")
     found = ticks(spark, sf)
     known = found.filter(F.col("event_time") < F.lit(MIDDLE).cast("timestamp_ntz"))
     for batch in (known, found):
-        tables.write_batch(dated_vwap(batch, "1 hour"), root)
-    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact, keys=KEYS)
-    return tables.read_upserted(spark, root).drop("date_partition")
+        tables.upsert(dated_vwap(batch, "1 hour"), root)
+    maintenance.compact(spark, root, before=EVER, min_files=1)
+    return tables.read_table(spark, root).drop("date_partition")
 
 
 def clustered_ticks(spark, sf, columns: list[str]) -> str:
-    """All dates clustered into several files each."""
+    """All dates clustered, each into a handful of files at any size of the table."""
     root = written_ticks(spark, sf)
-    maintenance.rewrite_dates(spark, root, EVER, maintenance.zorder, columns, target_bytes=700)
+    size, days = maintenance.table_files(spark, root).agg(F.sum("length"), F.count_distinct("date_partition")).first()
+    maintenance.zorder(spark, root, columns=columns, before=EVER, target_bytes=max(1, size // (5 * days)))
     return root
 
 
@@ -592,50 +589,35 @@ def zorder_files(spark, sf):
 
 
 @query(
-    """SELECT CAST(ts AS DATE) AS date_partition, operation, COUNT(*) * MAX(times) AS rows_written
-       FROM events, (VALUES ('COMPACT', 1), ('ZORDER BY (ticker)', 2)) AS ops(operation, times)
-       GROUP BY ALL"""
+    f"""SELECT CAST(CASE WHEN ts < TIMESTAMP '{MIDDLE}' THEN 0 ELSE 1 END AS VARCHAR) AS batch_id,
+               COUNT(*) AS "rows", MIN(CAST(ts AS DATE)) AS first_date, MAX(CAST(ts AS DATE)) AS last_date
+        FROM events GROUP BY ALL"""
 )
 def table_history(spark, sf):
-    """What was done to every date; rows of one version twice would be missed here."""
+    """What each batch added, told after all dates were written anew; one was written twice."""
     root = written_ticks(spark, sf)
-    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact)
-    tables.write_batch(dated_ticks(spark, sf), root)  # opens every date again
-    maintenance.rewrite_dates(spark, root, EVER, maintenance.zorder)
-    told = tables.read_history(spark, root)
-    return told.dropDuplicates(["version"]).select(
-        "date_partition", "operation", F.col("operationMetrics")["numOutputRows"].cast("long").alias("rows_written")
-    )
+    maintenance.compact(spark, root, before=EVER, min_files=1)
+    return maintenance.loads(spark, root)
 
 
-@query(
-    f"""SELECT DISTINCT CAST(ts AS DATE) AS date_partition,
-               CAST(CASE WHEN ts < TIMESTAMP '{MIDDLE}' THEN 0 ELSE 1 END AS BIGINT) AS batch_id
-        FROM events"""
-)
+@query("SELECT DISTINCT CAST(ts AS DATE) AS date_partition FROM events WHERE ts < DATE '2024-01-14'")
 def vacuum_candidates(spark, sf):
-    """What a compaction leaves behind: the folders of the batches it replaced."""
-    root = written_ticks(spark, sf)
-    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact)
-    removable = maintenance.vacuum_candidates(spark, root, as_of="2100-01-01 00:00:00")
-    return removable.select(
-        F.regexp_extract("path", r"date_partition=([0-9-]+)", 1).cast("date").alias("date_partition"),
-        F.regexp_extract("path", r"batch_id=(\d+)", 1).cast("long").alias("batch_id"),
-    ).distinct()
+    """Dates that ended more than seven days before a moment."""
+    found = maintenance.expired_dates(spark, written_ticks(spark, sf), as_of="2024-01-21 12:00:00")
+    return found.filter("files > 0 AND bytes > 0").select("date_partition")
 
 
-@query(
-    f"""SELECT CAST(ts AS DATE) AS date_partition, ts < TIMESTAMP '{MIDDLE}' AS early,
-               CAST(ts AS DATE) <> DATE '{DAY}' AS is_live, TRUE AS has_bytes
-        FROM events GROUP BY ALL"""
-)
+@query("SELECT CAST(ts AS DATE) AS date_partition, COUNT(*) AS \"rows\" FROM events GROUP BY ALL")
 def file_listing(spark, sf):
-    """Batches of a compacted date are no longer live, those of other dates are."""
+    """Rows of the files that the listing has, by the date in their path."""
     root = written_ticks(spark, sf)
-    maintenance.compact(spark, root, DAY)
-    listed = maintenance.table_files(spark, root).filter("batch_id >= 0")
-    return listed.groupBy("date_partition", (F.col("batch_id") == 0).alias("early"), "is_live").agg(
-        (F.sum("length") > 0).alias("has_bytes")
+    listed = maintenance.table_files(spark, root).filter("length > 0")
+    name = F.regexp_extract("path", "[^/]+$", 0).alias("name")
+    # A task names its files alike in all dates.
+    own = "date_partition", F.col("_metadata.file_name").alias("name")
+    rows = tables.read_table(spark, root).groupBy(*own).count()
+    return listed.select("date_partition", name).join(rows, ["date_partition", "name"]).groupBy("date_partition").agg(
+        F.sum("count").alias("rows")
     )
 
 
@@ -650,8 +632,8 @@ def schema_evolution(spark, sf):
     middle = F.lit(MIDDLE).cast("timestamp_ntz")
     tables.write_batch(found.filter(F.col("event_time") < middle), root)
     tables.write_batch(found.filter(F.col("event_time") >= middle).withColumn("currency", F.lit("USD")), root)
-    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact)
-    maintenance.zorder(spark, root, DAY)
+    maintenance.compact(spark, root, before=EVER, min_files=1)
+    maintenance.zorder(spark, root, before=EVER)
     return tables.read_table(spark, root).select(*ROW_COLUMNS, "currency")
 
 
@@ -663,11 +645,11 @@ def schema_evolution_keyed(spark, sf):
     """The same for a keyed table: all windows, then those from noon of a day on again."""
     root = new_dir(spark, "vwap")
     made = dated_vwap(ticks(spark, sf), "1 hour")
-    tables.write_batch(made, root)
+    tables.upsert(made, root)
     later = made.filter(F.col("window_start") >= F.lit(MIDDLE).cast("timestamp_ntz"))
-    tables.write_batch(later.withColumn("made_by", F.lit("replay")), root)
-    maintenance.rewrite_dates(spark, root, EVER, maintenance.compact, keys=KEYS)
-    return tables.read_upserted(spark, root).drop("date_partition")
+    tables.upsert(later.withColumn("made_by", F.lit("replay")), root)
+    maintenance.compact(spark, root, before=EVER, min_files=1)
+    return tables.read_table(spark, root).drop("date_partition")
 
 
 @query(
@@ -678,8 +660,9 @@ def run_all_isolated(spark, sf):
     """A table with a broken file does not keep the next one from being maintained."""
     good, bad = written_ticks(spark, sf), new_dir(spark, "bad")
     broken = table(spark, sf, "events").select(F.col("props").alias("value")).coalesce(1)
-    broken.write.text(f"{bad}/data/date_partition={DAY}/batch_id=0")
-    done = maintenance.run_all(spark, {"bad": bad, "good": good}, before=EVER, raise_on_error=False)
+    broken.write.text(f"{bad}/date_partition={DAY}")
+    both = {"bad": bad, "good": good}
+    done = maintenance.run_all(spark, both, before=EVER, min_files=1, raise_on_error=False)
     return done.select("table", "dates_rewritten", F.col("error").isNotNull().alias("failed"))
 
 
@@ -720,6 +703,34 @@ def catalog_table(spark, sf):
     return ntz(stored.select("ticker", "price", "volume", "event_time", "date_partition"))
 
 
+@query(
+    """SELECT "table", col_name, comment FROM (VALUES
+           ('raw', 'ticker', 'Stock ticker symbol'), ('raw', 'price', 'Last traded price'),
+           ('raw', 'volume', 'Volume at this tick'), ('raw', 'market_cap', 'Market capitalisation'),
+           ('raw', 'event_time', 'Event time from producer'),
+           ('raw', 'ingest_time', 'Ingestion time into Delta Lake'),
+           ('raw', 'exchange', 'Exchange (NASDAQ / NYSE)'), ('raw', 'date_partition', 'Partition column'),
+           ('vwap', 'window_start', '1-min window start'), ('vwap', 'window_end', '1-min window end'),
+           ('vwap', 'vwap_1m', 'Volume-Weighted Average Price')) AS told("table", col_name, comment)
+       WHERE EXISTS (FROM events)"""
+)
+def table_comments(spark, sf):
+    """The comments of both tables' DDL, as DESCRIBE tells them of tables that hold the ticks."""
+    tag, found = uuid.uuid4().hex, dated_ticks(spark, sf)
+    made = {"raw": f"stock_ticks_raw_{tag}", "vwap": f"stock_vwap_1m_{tag}"}
+    tables.create_raw(spark, made["raw"], new_dir(spark, "raw"))
+    tables.create_vwap(spark, made["vwap"], new_dir(spark, "vwap"))
+    tables.insert_into(found, made["raw"])
+    tables.insert_into(dated_vwap(found, "1 minute"), made["vwap"])
+    told = []
+    for kind, name in made.items():
+        assert not spark.table(name).isEmpty()
+        rows = spark.sql(f"DESCRIBE TABLE {name}").collect()
+        told += {(kind, r["col_name"], r["comment"]) for r in rows if r["comment"] not in (None, "", "comment")}
+        spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(sorted(told), "table string, col_name string, comment string")
+
+
 @query(
     f"SELECT * FROM ({vwap_sql('5 minutes', '5m')}) "
     "WHERE CAST(window_start AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-12'"
@@ -754,7 +765,7 @@ def stream_upsert(spark, sf):
     root, checkpoint = new_dir(spark, "stream"), new_dir(spark, "checkpoint")
     made = windows.with_date(windows.vwap(streamed_ticks(spark, sf), "1 hour", decimals=2))
     drained(sinks.upsert_stream(made, root, checkpoint, every=None))
-    return ntz(tables.read_upserted(spark, root).drop("date_partition"))
+    return ntz(tables.read_table(spark, root).drop("date_partition"))
 
 
 @query(deviation_sql("1 hour", "1h", "<", CLOSED))
@@ -807,7 +818,7 @@ def stream_upsert_batches(spark, sf):
     root, checkpoint = new_dir(spark, "stream"), new_dir(spark, "checkpoint")
     made = dated_vwap(ten_files(spark, sf), "1 day")
     drained(sinks.upsert_stream(made, root, checkpoint, every=None))
-    return ntz(tables.read_upserted(spark, root).drop("date_partition"))
+    return ntz(tables.read_table(spark, root).drop("date_partition"))
 
 
 @query(deviation_sql("1 day", "1d", "<", CLOSED, ON_TIME))
@@ -859,7 +870,7 @@ def stream_restart(spark, sf):
     for part in halves(spark, sf):
         dated = part.withColumn("date_partition", F.to_date("event_time"))
         drained(sinks.append_stream(dated, root, new_dir(spark, "checkpoint"), every=None))
-        maintenance.compact(spark, root, DAY)
+        maintenance.compact(spark, root, before=EVER, min_files=1)
     return ntz(tables.read_table(spark, root).select(*ROW_COLUMNS))
 
 
@@ -876,9 +887,9 @@ def replay_beside_stream(spark, sf):
         source = ticks_from_events(read_tick_stream(spark, folder, "parquet", events.schema))
         drained(sinks.upsert_stream(dated_vwap(source, "1 hour"), root, checkpoint, every=None))
         if number == 0:
-            replay.replay_into(spark, raw, root, "2024-01-01", "2024-01-08", "1 hour", decimals=2)
-            maintenance.compact(spark, root, "2024-01-05", keys=KEYS)
-    return ntz(tables.read_upserted(spark, root).drop("date_partition"))
+            replay.replay_into(spark, raw, root, "2024-01-01", "2024-01-09", "1 hour", decimals=2)
+            maintenance.compact(spark, root, before=EVER, min_files=1)
+    return ntz(tables.read_table(spark, root).drop("date_partition"))
 
 
 def message_text() -> str:
@@ -954,10 +965,10 @@ def streamed_catalog(spark, sf, sql: str) -> DataFrame:
     """
     lake, tag, out = run_tick_job(spark, sf), uuid.uuid4().hex, new_dir(spark, "answer")
     raw, made = f"stock_ticks_raw_{tag}", f"stock_vwap_5m_{tag}"
-    tables.create_raw(spark, raw, f"{lake}/raw", streamed=True)
-    tables.create_vwap(spark, made, f"{lake}/vwap_5m", suffix="5m", streamed=True)
-    for name, root in ((raw, f"{lake}/raw"), (made, f"{lake}/vwap_5m")):
-        tables.sync_catalog(spark, name, root)
+    tables.create_raw(spark, raw, f"{lake}/raw")
+    tables.create_vwap(spark, made, f"{lake}/vwap_5m", suffix="5m")
+    for name in (raw, made):
+        tables.find_dates(spark, name)
     try:
         spark.sql(sql.format(raw=raw, vwap=made)).write.parquet(out)
     finally:

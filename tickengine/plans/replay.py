@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tickengine.operators.windows import vwap, with_date
-from tickengine.sources.tables import read_table, write_batch
+from tickengine.sources.tables import read_table, upsert
 
 
 def replay_vwap(
@@ -26,11 +26,10 @@ def replay_vwap(
 
 def replay_into(
     spark: SparkSession, raw_root: str, vwap_root: str, first_date, last_date,
-    duration: str = "1 minute", *, batch_id: int | None = None, **options,
-) -> int:
-    """Write a replay as a newer version of its windows; ``read_upserted`` sees it.
+    duration: str = "1 minute", **options,
+) -> None:
+    """Put replayed windows in the place of those that the table holds.
 
-    It gets a number of its own, so it may run beside the stream that writes the table.
+    For dates that no stream writes any more, as both would write the date back.
     """
-    windows = replay_vwap(spark, raw_root, first_date, last_date, duration, **options)
-    return write_batch(windows, vwap_root, batch_id)
+    upsert(replay_vwap(spark, raw_root, first_date, last_date, duration, **options), vwap_root)

@@ -1,4 +1,4 @@
-"""Declared schemas: payload, contract, tables and maintenance history."""
+"""Declared schemas: payload, contract and tables."""
 
 from __future__ import annotations
 
@@ -95,13 +95,30 @@ def vwap_schema(suffix: str = "1m") -> T.StructType:
     )
 
 
-# One row per maintenance operation.
-HISTORY_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("operationMetrics", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("date_partition", T.DateType()),
-    ]
-)
+# Column comments of the raw table.
+RAW_COMMENTS = {
+    "ticker": "Stock ticker symbol",
+    "price": "Last traded price",
+    "volume": "Volume at this tick",
+    "market_cap": "Market capitalisation",
+    "event_time": "Event time from producer",
+    "ingest_time": "Ingestion time into Delta Lake",
+    "exchange": "Exchange (NASDAQ / NYSE)",
+    "date_partition": "Partition column",
+}
+
+# Column comments of the VWAP table of one-minute windows.
+VWAP_COMMENTS = {
+    "window_start": "1-min window start",
+    "window_end": "1-min window end",
+    "vwap_1m": "Volume-Weighted Average Price",
+}
+_LENGTHS = {"s": "sec", "m": "min", "h": "hour", "d": "day", "w": "week"}
+
+
+def vwap_comments(suffix: str = "1m") -> dict[str, str]:
+    """The comments for another window length."""
+    length = f"{suffix[:-1]}-{_LENGTHS[suffix[-1]]}"
+    return {
+        name.replace("1m", suffix): told.replace("1-min", length) for name, told in VWAP_COMMENTS.items()
+    }

@@ -1,19 +1,21 @@
-"""Date-partitioned tables: writing, reading and DDL; ``layout`` tells the folders.
+"""Date-partitioned tables on Spark's own writers and readers, and their DDL.
 
-Writing a batch again replaces only that batch's folders, so replays are harmless.
-Maintenance never touches a file somebody may be reading: it writes a new folder, and
-then a list of the batches that folder stands for.
+A table is a Parquet folder partitioned by ``date_partition``. Appended rows carry the name of
+their batch in ``batch_id``, so a batch that is written again can replace itself. Everything
+that changes rows already written - a repeated batch, an upsert, a compaction - reads the dates
+it touches and writes them back with Spark's dynamic partition overwrite, which swaps
+the date's folder when all tasks are done.
 """
 
 from __future__ import annotations
 
-import threading
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tickengine.schemas import HISTORY_SCHEMA, RAW_SCHEMA, vwap_schema
-from tickengine.sources import layout
+from tickengine.functions import times
+from tickengine.schemas import RAW_COMMENTS, RAW_SCHEMA, vwap_comments, vwap_schema
 
 # --- writing -----------------------------------------------------------------------
 
@@ -27,33 +29,81 @@ def align_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*known, *[c for c in df.columns if c not in schema.fieldNames()])
 
 
+def overwrite_dates(df: DataFrame, root: str, *, rebalance: bool = True, fmt: str = "parquet") -> None:
+    """Replace the dates that ``df`` has rows of, and no others; ``df`` may read the same table."""
+    if rebalance:
+        df = df.hint("rebalance", "date_partition")
+    (
+        df.write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date_partition")
+        .save(root)
+    )
+
+
 def write_batch(
     df: DataFrame,
     root: str,
-    batch_id: int | None = None,
+    batch_id: str | int | None = None,
     *,
     rebalance: bool = True,
     fmt: str = "parquet",
-) -> int:
-    """Write a batch and return its number; writing the same number again replaces it.
+    written_before: bool = True,
+) -> str:
+    """Append a batch and return its name; writing a batch of the same name again replaces it.
+
+    Without a name the batch gets a new one. A named batch is looked for in the dates it has
+    rows of, which must be the same each time; ``written_before=False`` says that it cannot be
+    there and saves the look. ``rebalance`` gathers the rows of a date into files of the advisory
+    partition size, and AQE splits a date that is too large for one.
+    """
+    name = uuid.uuid4().hex if batch_id is None else str(batch_id)
+    rows = df.withColumn("batch_id", F.lit(name))
+    if batch_id is not None and written_before:
+        stored = stored_rows(df.sparkSession, root, fmt=fmt)
+        if stored is not None and "batch_id" in stored.columns:
+            same = stored.filter(dates_of(rows))
+            if not same.filter(F.col("batch_id") == name).isEmpty():
+                others = same.filter(~F.col("batch_id").eqNullSafe(name))
+                overwrite_dates(others.unionByName(rows, allowMissingColumns=True), root, rebalance=rebalance, fmt=fmt)
+                return name
+    if rebalance:
+        rows = rows.hint("rebalance", "date_partition")
+    rows.write.format(fmt).mode("append").partitionBy("date_partition").save(root)
+    return name
 
-    Without a number the batch gets a new one, larger than all before.
 
-    ``rebalance`` gathers the rows of a date into files of the advisory partition
-    size, and AQE splits a date that is too large for one.
+def dates_of(df: DataFrame) -> F.Column:
+    """A condition on ``date_partition``: the dates of ``df``, as many as there are days in it."""
+    dates = [r[0] for r in df.select("date_partition").distinct().collect()]
+    return F.col("date_partition").isin([d for d in dates if d is not None]) | (
+        F.col("date_partition").isNull() if None in dates else F.lit(False)
+    )
+
+
+def upsert(
+    df: DataFrame,
+    root: str,
+    keys: tuple[str, ...] = ("window_start", "ticker"),
+    *,
+    fmt: str = "parquet",
+) -> None:
+    """Write rows by key: new keys are added, known ones replaced.
+
+    The dates that ``df`` has rows of are read, united with it and written back, so a batch costs
+    the size of these dates. All versions of a key lie in one date. Within ``df`` keys must be
+    unique. Writing the same rows again changes nothing.
     """
-    number = layout.new_number() if batch_id is None else batch_id
-    if rebalance:
-        df = df.hint("rebalance", "date_partition")
-    (
-        df.withColumn("batch_id", F.lit(number).cast("long"))
-        .write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date_partition", "batch_id")
-        .save(f"{root}/data")
+    stored = stored_rows(df.sparkSession, root, fmt=fmt)
+    if stored is None:
+        overwrite_dates(df, root, fmt=fmt)
+        return
+    versions = stored.filter(dates_of(df)).withColumn("_version", F.lit(0)).unionByName(
+        df.withColumn("_version", F.lit(1)), allowMissingColumns=True
     )
-    return number
+    merged = latest_rows(versions, ["date_partition", *keys], "_version")
+    overwrite_dates(merged.select([c for c in versions.columns if c != "_version"]), root, fmt=fmt)
 
 
 def dump_messages(messages: DataFrame, path: str, *, rebalance: bool = True) -> None:
@@ -91,59 +141,20 @@ def dump_jsonl(
     )
 
 
-# --- history -------------------------------------------------------------------------
-
-
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """All maintenance operations on a table; empty if there were none."""
-    try:
-        return spark.read.schema(HISTORY_SCHEMA).parquet(f"{root}/history")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], HISTORY_SCHEMA)
-
-
-# Jobs that run at once in this process take turns here.
-_telling = threading.Lock()
-
-
-def append_history(spark: SparkSession, root: str, told: list[tuple[str, dict, object]]) -> int:
-    """Add a row per ``(operation, metrics, date)`` and return the first one's version.
-
-    Readers do not need the history.
-    """
-    with _telling:
-        newest = read_history(spark, root).agg(F.max("version")).first()[0]
-        version = 0 if newest is None else newest + 1
-        rows = [
-            (version + i, None, operation, {k: str(v) for k, v in metrics.items()}, date)
-            for i, (operation, metrics, date) in enumerate(told)
-        ]
-        (
-            spark.createDataFrame(rows, HISTORY_SCHEMA)
-            .withColumn("timestamp", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{root}/history")
-        )
-    return version
-
-
 # --- reading -----------------------------------------------------------------------
 
 
-def read_folders(
-    spark: SparkSession, root: str, dates: list[layout.LiveDate], merge_schema: bool = True, fmt: str = "parquet"
-) -> DataFrame:
-    """The rows of the live folders of some dates, with ``batch_id``."""
-    reader = spark.read.format(fmt).option("basePath", f"{root}/data")
+def stored_rows(spark: SparkSession, root: str, *, fmt: str = "parquet", merge_schema: bool = True) -> DataFrame | None:
+    """A table as it is, or None where nothing was written yet."""
+    reader = spark.read.format(fmt)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
-    paths = [p for d in dates for p in d.paths(root)]
-    if not paths:  # nothing there, or nothing in these dates
-        return reader.load(f"{root}/data").filter(F.lit(False))
-    return reader.load(paths)
+    try:
+        return reader.load(root)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def read_table(
@@ -157,63 +168,47 @@ def read_table(
     merge_schema: bool = True,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """The live rows of a table, of one ``date`` or of the dates ``first`` to ``last``.
+    """The rows of a table, of one ``date`` or of the dates ``first`` to ``last``.
 
-    Only live folders are given to the scan, and with dates only theirs are listed.
-    Columns that only some files have are NULL in the others; ``merge_schema=False``
-    saves the look into all file footers where no column was added. ``with_batch`` keeps
-    ``batch_id``, which is negative for rewritten rows.
+    Dates prune partitions. Columns that only some files have are NULL in the others;
+    ``merge_schema=False`` saves the look into all file footers where no column was added.
+    ``with_batch`` keeps the names of the batches.
     """
+    reader = spark.read.format(fmt)
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    rows = reader.load(root)
     if date is not None:
         first = last = date
-    rows = read_folders(spark, root, layout.live_dates(spark, root, first, last), merge_schema, fmt)
+    if first is not None:
+        rows = rows.filter(F.col("date_partition") >= F.lit(str(first)).cast("date"))
+    if last is not None:
+        rows = rows.filter(F.col("date_partition") <= F.lit(str(last)).cast("date"))
     return rows if with_batch else rows.drop("batch_id")
 
 
-def latest_rows(rows: DataFrame, keys: list[str], version: str = "batch_id") -> DataFrame:
+def latest_rows(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
     """The newest version of each key.
 
     ``max_by`` per column merges before the shuffle, so a key that was written many
-    times reaches it once per task. Within a batch a key must be unique.
+    times reaches it once per task. Within a version a key must be unique.
     """
     values = [c for c in rows.columns if c not in (*keys, version)]
     return rows.groupBy(*keys).agg(*[F.max_by(c, version).alias(c) for c in values])
 
 
-def read_upserted(
-    spark: SparkSession,
-    root: str,
-    keys: tuple[str, ...] = ("window_start", "ticker"),
-    *,
-    date=None,
-    first=None,
-    last=None,
-    merge_schema: bool = True,
-    fmt: str = "parquet",
+def versions_as_of(
+    versions: DataFrame, as_of, keys: tuple[str, ...] = ("window_start", "ticker"), *, known_at: str = "known_at"
 ) -> DataFrame:
-    """A table written by keyed batches, with the newest row of each key.
+    """A keyed table as it was known at a moment, from a table that keeps every version of a row.
 
-    The date is part of the grouping, because all versions of a key share it; so a
-    filter on it still prunes partitions. Dates that were compacted by these keys and
-    got no batch since are read as they are, without an aggregation.
+    Per key the version that became known last, not after ``as_of``; keys unknown by then have no row.
     """
-    if date is not None:
-        first = last = date
-    dates = layout.live_dates(spark, root, first, last)
-    told = ",".join(keys)
-    for found in dates:
-        if found.rewrite is not None and found.keys != told:
-            raise ValueError(f"{found.date} of {root} was rewritten without the keys {told}")
-    settled = [d for d in dates if d.rewrite is not None and not d.batches]
-    others = [d for d in dates if d.rewrite is None or d.batches]
-    as_stored = read_folders(spark, root, settled, merge_schema, fmt).drop("batch_id") if settled else None
-    if settled and not others:
-        return as_stored
-    # A rewrite has a negative number, hence loses against any batch it does not cover.
-    versions = read_folders(spark, root, others, merge_schema, fmt)
-    columns = [c for c in versions.columns if c != "batch_id"]
-    merged = latest_rows(versions, ["date_partition", *keys]).select(*columns)
-    return as_stored.unionByName(merged, allowMissingColumns=True) if settled else merged
+    moment = times.moment(as_of, times.time_type(versions, known_at))
+    known = versions.filter(F.col(known_at) <= moment)
+    if "date_partition" in versions.columns:
+        keys = ("date_partition", *keys)
+    return latest_rows(known, list(keys), known_at).select([c for c in versions.columns if c != known_at])
 
 
 # --- DDL ---------------------------------------------------------------------------
@@ -231,20 +226,20 @@ def _create(
     spark: SparkSession,
     name: str,
     schema: T.StructType,
+    comments: dict[str, str],
     location: str,
     fmt: str,
     properties: dict[str, str],
-    streamed: bool,
 ) -> None:
-    parts = ["date_partition"]
-    if streamed:
-        schema = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
-        parts, location = [*parts, "batch_id"], f"{location}/data"
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    def column(f: T.StructField) -> str:
+        told = f" COMMENT '{comments[f.name]}'" if f.name in comments else ""
+        return f"{f.name} {f.dataType.simpleString()}{told}"
+
+    columns = ", ".join(map(column, schema))
     told = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} "
-        f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{location}'"
+        f"PARTITIONED BY (date_partition) LOCATION '{location}'"
         + (f" TBLPROPERTIES ({told})" if told else "")
     )
 
@@ -256,16 +251,14 @@ def create_raw(
     *,
     fmt: str = "parquet",
     properties: dict[str, str] | None = None,
-    streamed: bool = False,
 ) -> None:
-    """The raw tick table in the catalog, partitioned by date.
+    """The raw tick table in the catalog, partitioned by date, with a comment for each column.
 
-    ``streamed`` names a table that streams and maintenance write (``location`` is its
-    root); ``sync_catalog`` shows their folders to it.
+    ``location`` may be the root of a table that streams write; ``find_dates`` shows its dates.
     """
     if properties is None:
         properties = RAW_DELTA if fmt == "delta" else {}
-    _create(spark, name, RAW_SCHEMA, location, fmt, properties, streamed)
+    _create(spark, name, RAW_SCHEMA, RAW_COMMENTS, location, fmt, properties)
 
 
 def create_vwap(
@@ -276,36 +269,16 @@ def create_vwap(
     suffix: str = "1m",
     fmt: str = "parquet",
     properties: dict[str, str] | None = None,
-    streamed: bool = False,
 ) -> None:
     """The VWAP table of one window length, partitioned by the date of its start."""
     if properties is None:
         properties = VWAP_DELTA if fmt == "delta" else {}
-    _create(spark, name, vwap_schema(suffix), location, fmt, properties, streamed)
+    _create(spark, name, vwap_schema(suffix), vwap_comments(suffix), location, fmt, properties)
 
 
-def sync_catalog(spark: SparkSession, name: str, root: str, *, first=None, last=None) -> None:
-    """Make the live folders of a table, and no others, the partitions of its catalog entry.
-
-    Run it after batches or maintenance; with dates only theirs are compared. Queries by
-    name read exactly these folders. Keyed tables show all versions until compacted.
-    """
-
-    def spec(date: str, number: int) -> str:
-        return f"PARTITION (date_partition = '{date}', batch_id = {number})"
-
-    low, high = (None if d is None else str(d) for d in (first, last))
-    known = set()
-    for (row,) in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        date, number = (part.split("=", 1)[1] for part in row.split("/"))
-        if (low is None or date >= low) and (high is None or date <= high):
-            known.add((date, int(number)))
-    live = {(d.date, n) for d in layout.live_dates(spark, root, first, last) for n in d.numbers()}
-    for verb, some in (("ADD IF NOT EXISTS", sorted(live - known)), ("DROP IF EXISTS", sorted(known - live))):
-        between = " " if verb.startswith("ADD") else ", "
-        for at in range(0, len(some), 500):
-            parts = between.join(spec(*p) for p in some[at : at + 500])
-            spark.sql(f"ALTER TABLE {name} {verb} {parts}")
+def find_dates(spark: SparkSession, name: str) -> None:
+    """Make the dates that were written to a table's folder since the last time visible by name."""
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)
 
 

@@ -13,9 +13,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tickengine.functions import prices, times
 from tickengine.operators.parse import parse_events, raw_columns, split_valid
 from tickengine.operators.windows import vwap, with_date
-from tickengine.sources.layout import batch_number
-from tickengine.sources.tables import write_batch
-from tickengine.streaming.sinks import append_stream, dump_stream, each_batch, upsert_stream
+from tickengine.streaming.sinks import BatchWriter, append_stream, dump_stream, each_batch, upsert_stream
 from tickengine.streaming.source import read_backlog
 
 logger = logging.getLogger(__name__)
@@ -50,17 +48,16 @@ def run_streams(
     def places(name: str) -> tuple[str, str]:
         return f"{tables}/{name}", f"{checkpoints}/{name}"
 
-    def write_parsed(batch: DataFrame, batch_id: int) -> None:
-        def put(rows: DataFrame, name: str) -> None:
-            root = places(name)[0]
-            write_batch(rows, root, batch_number(spark, root, places("raw")[1], batch_id))
+    writer = BatchWriter()
 
-        spark = batch.sparkSession
+    def write_parsed(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, rejected = split_valid(batch, max_ahead=max_ahead)
-            put(raw_columns(valid.drop("raw_value")), "raw")
-            put(rejected.withColumn("date_partition", F.to_date("ingest_time")), "quarantine")
+            writer.append(raw_columns(valid.drop("raw_value")), places("raw")[0], batch_id)
+            dated = rejected.withColumn("date_partition", F.to_date("ingest_time"))
+            writer.append(dated, places("quarantine")[0], batch_id)
+            writer.done()
         finally:
             batch.unpersist()
 

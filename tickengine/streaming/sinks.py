@@ -7,11 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tickengine.sources.layout import batch_number
-from tickengine.sources.tables import dump_messages, write_batch
+from tickengine.sources.tables import dump_messages, upsert, write_batch
 from tickengine.streaming.source import trigger
 
 
+class BatchWriter:
+    """Appends micro-batches of one query, named after the query and Spark's own batch number.
+
+    A query's id lies in its checkpoint: it outlives restarts, and another checkpoint has
+    another. Only the first batch after a start can have been written before, so only that
+    one is looked for.
+    """
+
+    def __init__(self, rebalance: bool = True):
+        self.rebalance, self.started = rebalance, False
+
+    def append(self, rows: DataFrame, root: str, batch_id: int) -> None:
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_batch(rows, root, f"{query}-{batch_id}", rebalance=self.rebalance, written_before=not self.started)
+
+    def done(self) -> None:
+        self.started = True
+
+
 def each_batch(
     df: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -42,14 +60,14 @@ def append_stream(
 ) -> StreamingQuery:
     """Append each micro-batch to a table; a replayed batch replaces itself.
 
-    Batch writes instead of the file sink: the sink's own metadata log would break
-    readers once maintenance rewrites files. Batches are numbered by ``batch_number``,
-    so a new checkpoint, or another writer, adds to what is there.
+    Batch writes instead of the file sink: the sink's own metadata log would keep out
+    the rows of other writers, and those that maintenance wrote anew.
     """
+    writer = BatchWriter(rebalance)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        number = batch_number(batch.sparkSession, root, checkpoint, batch_id)
-        write_batch(batch, root, number, rebalance=rebalance)
+        writer.append(batch, root, batch_id)
+        writer.done()
 
     return each_batch(df, write, checkpoint, every=every, name=name)
 
@@ -62,17 +80,12 @@ def upsert_stream(
     every: str | None = "30 seconds",
     name: str | None = None,
 ) -> StreamingQuery:
-    """Write the windows each micro-batch changed; ``read_upserted`` merges by key.
+    """Replace the windows each micro-batch changed, by key.
 
-    Update mode makes windows visible before they close. A batch costs what it
-    changed, not the size of the dates it touches; compaction folds versions later.
+    Update mode makes windows visible before they close. A batch costs the size of the
+    dates it touches, which for windows are few rows; a replay changes nothing.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        number = batch_number(batch.sparkSession, root, checkpoint, batch_id)
-        write_batch(batch, root, number)
-
-    return each_batch(df, write, checkpoint, mode="update", every=every, name=name)
+    return each_batch(df, lambda batch, _: upsert(batch, root), checkpoint, mode="update", every=every, name=name)
 
 
 def dump_stream(
