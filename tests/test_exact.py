@@ -1,0 +1,66 @@
+"""Exact sums against fractions."""
+
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tickengine.functions.exact import exact_sum
+from tickengine.operators.windows import vwap
+
+
+def nearest(values):
+    """The double nearest to an exact sum; dividing whole numbers rounds correctly."""
+    total = sum(map(Fraction, values))
+    return total.numerator / total.denominator
+
+
+def summed(spark, groups, parts=3):
+    rows = [(i, v) for i, values in enumerate(groups) for v in values]
+    frame = spark.createDataFrame(rows, "k int, v double").repartition(parts)
+    return {r["k"]: r["s"] for r in frame.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
+
+
+def test_sums_equal_fractions_in_any_order(spark):
+    pick = random.Random(1)
+    groups = [[pick.uniform(-1, 1) * 10.0 ** pick.randint(-12, 30) for _ in range(60)] for _ in range(40)]
+    groups += [[1e16, 1.0, -1e16], [0.1] * 10, [1e30, 1e-7, -1e30], [-0.1, -0.2, -0.3], [0.0, -0.0], [2.0**127] * 9]
+    # Halfway between two doubles, and a little beside it.
+    groups += [[2.0**53, 1.0], [2.0**53, 1.0, 2.0**-60], [2.0**53, 3.0], [-(2.0**53), -1.0, 2.0**-60], [5e-20, 5e-20]]
+    expected = {i: nearest(g) for i, g in enumerate(groups)}
+    assert summed(spark, groups) == expected
+    for g in groups:
+        pick.shuffle(g)
+    assert summed(spark, groups, 7) == expected
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.floats(-1e25, 1e25).filter(lambda x: x == 0 or abs(x) > 1e-20), min_size=1, max_size=8), min_size=1, max_size=20))
+def test_any_doubles(spark, groups):
+    assert summed(spark, groups) == {i: nearest(g) for i, g in enumerate(groups)}
+
+
+def test_rows_that_are_no_numbers(spark):
+    groups = [[None, None], [1.5, None, float("nan"), float("inf")]]
+    assert summed(spark, groups) == {0: None, 1: 1.5}
+
+
+@pytest.mark.parametrize("value", [2.0**128, 2.0**-129, 2.0**-100 + 2.0**-140])
+def test_values_beyond_the_limbs_are_errors(spark, value):
+    with pytest.raises(Exception, match="outside"):
+        summed(spark, [[value]])
+
+
+def test_vwap_has_the_same_bits_in_any_order(spark, ticks_of):
+    pick = random.Random(2)
+    rows = [("A", round(pick.uniform(1, 500), 4), pick.randint(1, 10**6), "10:00:00") for _ in range(2_000)]
+    ticks = ticks_of(rows)
+    wanted = nearest([p * v for _, p, v, _ in rows]) / sum(v for _, _, v, _ in rows)
+    for parts in (1, 5, 13):
+        for frame in (ticks.repartition(parts), ticks.repartition(parts).orderBy("price")):
+            assert vwap(frame, "1 hour", exact=True).first()["vwap_1h"] == wanted
+    assert math.isclose(vwap(ticks, "1 hour").first()["vwap_1h"], wanted)

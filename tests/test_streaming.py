@@ -1,6 +1,7 @@
 import json
 import logging
 import os
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -311,3 +312,129 @@ def test_delivery_log(spark, feed, caplog):
     finally:
         spark.streams.removeListener(listener)
     assert any("delivered" in r.getMessage() for r in caplog.records)
+
+
+def test_chained_windows_equal_single_ones(spark, feed):
+    fill(feed)
+    feed.add(body("A", 1.0, 1, "10:40:00"))
+    lengths, root = ("1 minute", "5 minutes", "15 minutes"), new_dir(spark, "s")
+    ticks = parse.parse_events(feed.batch(spark))
+    chained = windows.chained_vwap(parsed(spark, feed), lengths, high_low=True)
+    query = jobs.chain_stream(chained, root, new_dir(spark, "c"), lengths, every=None)
+    query.awaitTermination()
+    assert sum(r["input_rows"] for r in jobs.progress_rows(query).collect()) == len(TICKS) + 1
+    for length, name in zip(lengths, ("1m", "5m", "15m")):
+        single = windows.vwap(ticks, length, high_low=True).filter("window_start < timestamp'2024-06-03 10:15:00'")
+        made = tables.read_table(spark, f"{root}/vwap_{name}")
+        assert bag(made.select(*single.columns)) == bag(single)
+        batch = windows.chain_rows(windows.chained_vwap(ticks, lengths, high_low=True), lengths, length)
+        assert bag(batch) == bag(windows.vwap(ticks, length, high_low=True))
+    with pytest.raises(ValueError, match="multiple"):
+        windows.chained_vwap(ticks, ("2 minutes", "5 minutes"))
+
+
+def test_tick_job_with_chained_windows(spark, feed):
+    fill(feed)
+    out = new_dir(spark, "job")
+    queries = jobs.run_streams(feed.stream(spark), f"{out}/t", f"{out}/c", every=None, chained=True)
+    jobs.await_all(queries)
+    assert sorted(q.name for q in queries) == ["raw", "vwap"]
+    made = tables.read_table(spark, f"{out}/t/vwap_5m")
+    expected = windows.vwap(tables.read_table(spark, f"{out}/t/raw"), "5 minutes")
+    assert bag(made.select(*expected.columns)) == bag(expected.filter("window_end <= timestamp'2024-06-03 10:10:30'"))
+    assert tables.read_table(spark, f"{out}/t/vwap_1m").agg(F.sum("tick_count_1m")).first()[0] == 6
+
+
+def test_late_ticks_are_kept_and_their_windows_repaired(spark, feed):
+    fill(feed)
+    feed.add(body("A", 100.0, 7, "10:00:20"), body("C", 3.0, 1, "10:04:00"))  # windows closed, one of them unknown
+    feed.add(body("A", 2.0, 1, "10:12:40"))
+    raw, late, made = (new_dir(spark, n) for n in ("r", "l", "v"))
+    ticks = parse.raw_columns(parsed(spark, feed)).drop("date_partition")
+    jobs.append_with_late(ticks, raw, late, new_dir(spark, "c"), every=None).awaitTermination()
+    assert {r["ticker"] for r in tables.read_table(spark, late).collect()} == {"A", "C"}
+    assert tables.read_table(spark, late).count() == 2
+    run(windows.with_date(windows.vwap(parsed(spark, feed))), made, new_dir(spark, "c"))
+    repaired = jobs.repair_windows(spark, raw, late, made)
+    assert repaired is not None
+    for _ in range(2):  # a repair may be repeated
+        expected = windows.vwap(tables.read_table(spark, raw)).filter("window_end <= timestamp'2024-06-03 10:10:30'")
+        assert bag(tables.read_table(spark, made).select(*expected.columns)) == bag(expected)
+        jobs.repair_windows(spark, raw, late, made)
+
+
+def test_late_ticks_after_a_restart(spark, feed):
+    raw, late, checkpoint = (new_dir(spark, n) for n in ("r", "l", "c"))
+    ticks = parse.raw_columns(parsed(spark, feed)).drop("date_partition")
+    for at in ("10:00:00", "10:30:00", "10:01:00", "10:29:00"):
+        feed.add(body("A", 1.0, 1, at))
+        jobs.append_with_late(ticks, raw, late, checkpoint, every=None).awaitTermination()
+    assert [str(r["event_time"]) for r in tables.read_table(spark, late).collect()] == ["2024-06-03 10:01:00"]
+    assert jobs.repair_windows(spark, raw, late, new_dir(spark, "none")) is None
+
+
+def test_outages_open_and_end(spark, feed):
+    root, checkpoint = new_dir(spark, "o"), new_dir(spark, "c")
+
+    def told():
+        jobs.outage_stream(parsed(spark, feed), root, checkpoint, "5 minutes", every=None).awaitTermination()
+        found = tables.stored_rows(spark, root)
+        return [] if found is None else sorted(
+            (r["ticker"], str(r["gap_start"])[11:], str(r["gap_end"])[11:], r["gap_seconds"])
+            for r in jobs.outages(spark, root, "5 minutes").collect()
+        )
+
+    feed.add(body("A", 1.0, 1, "10:00:00"), body("B", 1.0, 1, "10:00:00"), body("A", 1.0, 1, "10:04:00"))
+    feed.add(body("B", 1.0, 1, "10:08:00"))
+    # The watermark is at 10:06, six minutes after B's last tick and two after A's.
+    assert told() == [("B", "10:00:00", "", None)]
+    feed.add(body("B", 1.0, 1, "10:12:00"))
+    feed.add(body("B", 1.0, 1, "10:12:30"))
+    assert ("A", "10:04:00", "", None) in told()
+    feed.add(body("A", 1.0, 1, "10:20:00"))
+    feed.add(body("A", 1.0, 1, "10:40:00"), body("B", 1.0, 1, "10:40:00"))
+    feed.add(body("B", 1.0, 1, "10:41:00"))
+    rows = told()
+    assert ("A", "10:04:00", "10:20:00", 960) in rows and ("B", "10:00:00", "10:08:00", 480) in rows
+    assert ("A", "10:20:00", "", None) in rows
+
+
+def test_silent_tickers_as_windows_close(spark, feed):
+    fill(feed)
+    root = new_dir(spark, "s")
+    found = jobs.silent_tickers(parsed(spark, feed), ["A", "B", "C", "C"], "5 minutes")
+    run(windows.with_date(found), root, new_dir(spark, "c"))
+    rows = [(str(r["window_start"])[11:16], r["ticker"]) for r in tables.read_table(spark, root).collect()]
+    assert sorted(rows) == [("10:00", "C"), ("10:05", "B"), ("10:05", "C")]
+
+
+def test_observed_rules_per_batch(spark, feed):
+    fill(feed)
+    told, root = jobs.ObservedBatches("rules"), new_dir(spark, "o")
+    spark.streams.addListener(told)
+    try:
+        run(jobs.observe_rules(parsed(spark, feed), "rules"), new_dir(spark, "s"), new_dir(spark, "c"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        for _ in range(50):
+            if len(told.batches) >= len(TICKS):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(told)
+    rows = told.rows(spark)
+    assert rows.filter("rule = 'price_missing'").agg(F.sum("rows_checked")).first()[0] == len(TICKS)
+    told.flush(spark, root)
+    assert told.batches == [] and tables.read_table(spark, root).count() == 6 * len(TICKS)
+    told.flush(spark, root)
+
+
+def test_alerts_from_stored_windows(spark, feed):
+    fill(feed)
+    stored, root = new_dir(spark, "v"), new_dir(spark, "s")
+    ticks = parse.parse_events(feed.batch(spark))
+    tables.upsert(windows.with_date(windows.vwap(ticks, "5 minutes")), stored)
+    query = jobs.stored_alerts(parsed(spark, feed), stored, root, new_dir(spark, "c"), "5 minutes", every=None)
+    query.awaitTermination()
+    expected = analytics.vwap_deviation(ticks, windows.vwap(ticks, "5 minutes"), "5 minutes")
+    assert bag(tables.read_table(spark, root).select(*expected.columns)) == bag(expected) and expected.count() > 0
+    assert not any(r["state_rows"] for r in jobs.progress_rows(query).collect())

@@ -46,6 +46,8 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         upsert=args.upsert,
         decimals=args.decimals,
         max_ahead=args.max_ahead,
+        exact=args.exact,
+        chained=args.chained,
     )
     await_all(queries)
 
@@ -101,6 +103,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--upsert", action="store_true", help="publish open windows too")
     sub.add_argument("--high-low", action="store_true")
     sub.add_argument("--decimals", type=int, help="sum prices exactly, as whole units")
+    sub.add_argument("--exact", action="store_true", help="sum doubles exactly, in any order")
+    sub.add_argument("--chained", action="store_true", help="all window lengths in one query")
     sub.add_argument("--max-ahead", default="1 day", help="quarantine times further ahead of their arrival")
 
     sub = job("backfill", dump, source=True)

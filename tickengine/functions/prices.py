@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tickengine.functions.exact import exact_sum
+
 
 def minor_units(price: Column, decimals: int) -> Column:
     """A price as a whole number of its smallest unit.
@@ -25,32 +27,56 @@ def minor_units(price: Column, decimals: int) -> Column:
     )
 
 
-def vwap_expr(
+def vwap_sums(
     price: str = "price",
     volume: str = "volume",
     *,
     complete_rows: bool = True,
     decimals: int | None = None,
-) -> Column:
-    """Aggregate ``sum(price * volume) / sum(volume)``; no volume gives NULL.
+    exact: bool = False,
+) -> tuple[Column, Column]:
+    """The aggregates of a VWAP, price times volume and volume; both can be summed again.
 
-    ``complete_rows`` leaves a volume out of the divisor when its price is NULL, so
-    that both sums cover the same rows. ``decimals`` sums whole price units, which
-    makes the result independent of the order in which rows arrive; prices that do not
-    fit are an error.
+    (Those of ``exact`` are rounded already, so summing them again is not exact.)
     """
     p, v = F.col(price), F.col(volume)
     if decimals is not None:
         p = minor_units(p, decimals)
     weight = F.sum(F.when(p.isNotNull(), v) if complete_rows else v)
-    if decimals is None:
-        return F.try_divide(F.sum(p * v), weight)
+    if exact:
+        return exact_sum(p * v), weight
     # 18 and 19 digits: a product always fits 38 digits, and beyond that the sum raises.
-    units = F.sum(p * v.cast("decimal(19,0)"))
+    return F.sum(p * v if decimals is None else p * v.cast("decimal(19,0)")), weight
+
+
+def vwap_of(units: Column, weight: Column, decimals: int | None = None) -> Column:
+    """The VWAP of summed price times volume and summed volume; no volume gives NULL."""
+    if decimals is None:
+        return F.try_divide(units, weight)
     scale = F.lit(float(10**decimals))
     return F.try_divide(units.cast("double"), weight.cast("double") * scale)
 
 
+def vwap_expr(
+    price: str = "price",
+    volume: str = "volume",
+    *,
+    complete_rows: bool = True,
+    decimals: int | None = None,
+    exact: bool = False,
+) -> Column:
+    """Aggregate ``sum(price * volume) / sum(volume)``; no volume gives NULL.
+
+    ``complete_rows`` leaves a volume out of the divisor when its price is NULL, so
+    that both sums cover the same rows. Sums of doubles depend on the order in which rows
+    arrive, in the last digits. ``decimals`` sums whole price units, ``exact`` the products as
+    they are, rounded once at the end: both make the result independent of the order. Prices
+    that do not fit are an error. Where both are given, ``decimals`` counts.
+    """
+    exact = exact and decimals is None
+    return vwap_of(*vwap_sums(price, volume, complete_rows=complete_rows, decimals=decimals, exact=exact), decimals)
+
+
 def pct_change(opening: Column, closing: Column) -> Column:
     """Change in percent of the opening price; opening price 0 gives NULL."""
     return F.try_divide(closing - opening, opening) * 100

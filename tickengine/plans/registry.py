@@ -892,6 +892,175 @@ def replay_beside_stream(spark, sf):
     return ntz(tables.read_table(spark, root).drop("date_partition"))
 
 
+# The exact sum of the products as whole multiples of 2^-59, rounded to a double once.
+EXACT_SQL = f"""
+    SELECT window_start, ticker, CAST(CASE WHEN odd THEN head + 1 ELSE head END AS DOUBLE)
+               * pow(2.0, shift - 59) / volume AS vwap_1h, volume AS total_volume_1h
+    FROM (SELECT *, CAST(units // unit AS BIGINT) AS head,
+                 units % unit <> 0 AND (units // unit) % 2 = 0 AS odd
+          FROM (SELECT *, CAST(pow(2::HUGEINT, shift) AS HUGEINT) AS unit
+                FROM (SELECT *, CASE WHEN units < pow(2.0, 62) THEN 0 WHEN units < pow(2.0, 70) THEN 8
+                                     WHEN units < pow(2.0, 78) THEN 16 WHEN units < pow(2.0, 86) THEN 24
+                                     ELSE 32 END AS shift
+                      FROM (SELECT time_bucket(INTERVAL '1 hour', event_time) AS window_start, ticker,
+                                   SUM(CAST(price * volume * pow(2.0, 59) AS HUGEINT)) AS units,
+                                   CAST(SUM(volume) AS BIGINT) AS volume
+                            FROM {TICKS} GROUP BY ALL))))
+    WHERE volume > 0"""
+
+
+@query(EXACT_SQL)
+def vwap_exact(spark, sf):
+    """Sums of doubles as they are, with decimals, the same bits in any order of rows."""
+    made = windows.vwap(ticks(spark, sf).repartition(7, "event_id"), "1 hour", exact=True)
+    found = made.select("window_start", "ticker", "vwap_1h", "total_volume_1h")
+    return found.filter("total_volume_1h > 0")
+
+
+def in_batches(query_) -> int:
+    """The rows that a query read, once it has ended."""
+    query_.awaitTermination()
+    return sum(report["numInputRows"] for report in query_.recentProgress)
+
+
+def chain_part(length: str, suffix: str) -> str:
+    return f"""SELECT '{suffix}' AS length, window_start, window_end, ticker, vwap_{suffix} AS vwap,
+                      total_volume_{suffix} AS total_volume, tick_count_{suffix} AS tick_count,
+                      (SELECT COUNT(*) FROM events) AS source_rows
+               FROM ({vwap_sql(length, suffix, ON_TIME)})
+               WHERE date_trunc('day', window_start) + INTERVAL '1 day' <= {NEWEST} - INTERVAL '2 minutes'"""
+
+
+@query(f"{chain_part('1 hour', '1h')} UNION ALL {chain_part('1 day', '1d')}")
+def stream_vwap_chained(spark, sf):
+    """Hours and the days that hold them, from one query that reads each source row once."""
+    root, lengths = new_dir(spark, "stream"), ("1 hour", "1 day")
+    chained = windows.chained_vwap(ten_files(spark, sf), lengths, decimals=2)
+    read = in_batches(
+        jobs.chain_stream(chained, root, new_dir(spark, "checkpoint"), lengths, decimals=2, every=None)
+    )
+    parts = [
+        tables.read_table(spark, f"{root}/vwap_{suffix}").select(
+            F.lit(suffix).alias("length"), "window_start", "window_end", "ticker",
+            F.col(f"vwap_{suffix}").alias("vwap"), F.col(f"total_volume_{suffix}").alias("total_volume"),
+            F.col(f"tick_count_{suffix}").alias("tick_count"), F.lit(read).cast("long").alias("source_rows"),
+        )
+        for suffix in ("1h", "1d")
+    ]
+    return ntz(parts[0].unionByName(parts[1]))
+
+
+@query(f"SELECT * FROM ({vwap_sql('1 day', '1d')}) WHERE {CLOSED}")
+def stream_late_repair(spark, sf):
+    """Closed days with the late tick: its day is computed again from the raw ticks."""
+    raw, late, made = (new_dir(spark, name) for name in ("raw", "late", "vwap"))
+    source = ten_files(spark, sf)
+    drained(jobs.append_with_late(source, raw, late, new_dir(spark, "checkpoint"), every=None))
+    days = dated_vwap(source, "1 day")
+    drained(sinks.append_stream(days, made, new_dir(spark, "checkpoint"), every=None))
+    jobs.repair_windows(spark, raw, late, made, "1 day", decimals=2)
+    return ntz(tables.read_table(spark, made).drop("date_partition"))
+
+
+OUTAGE = "INTERVAL '2 hours'"
+
+
+@query(
+    f"""WITH timed AS (
+            SELECT ticker, event_time, event_time > lag(event_time) OVER w + {OUTAGE} AS starts
+            FROM {ON_TIME} WINDOW w AS (PARTITION BY ticker ORDER BY event_time)
+        ), sessions AS (
+            SELECT ticker, MIN(event_time) AS first, MAX(event_time) AS last,
+                   MAX(event_time) + {OUTAGE} <= {NEWEST} - INTERVAL '2 minutes' AS closed
+            FROM (SELECT *, SUM(CASE WHEN starts THEN 1 ELSE 0 END)
+                              OVER (PARTITION BY ticker ORDER BY event_time) AS n FROM timed)
+            GROUP BY ticker, n
+        ), ended AS (
+            SELECT ticker, last AS gap_start, closed,
+                   CASE WHEN lead(closed) OVER v THEN lead(first) OVER v END AS gap_end
+            FROM sessions WINDOW v AS (PARTITION BY ticker ORDER BY first)
+        )
+        SELECT ticker, gap_start, gap_end, CAST(date_sub('second', gap_start, gap_end) AS BIGINT) AS gap_seconds
+        FROM ended WHERE closed"""
+)
+def stream_outages(spark, sf):
+    """Outages of over two hours: ended ones, and those that still go on behind the watermark."""
+    root = new_dir(spark, "outages")
+    drained(jobs.outage_stream(ten_files(spark, sf), root, new_dir(spark, "checkpoint"), "2 hours", every=None))
+    return ntz(jobs.outages(spark, root, "2 hours"))
+
+
+@query(
+    f"""SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, expected.ticker
+        FROM (SELECT DISTINCT time_bucket(INTERVAL '1 hour', event_time) AS window_start FROM {ON_TIME}),
+             (SELECT DISTINCT ticker FROM {TICKS} UNION ALL SELECT 'refund') AS expected
+        WHERE window_start + INTERVAL '1 hour' <= {NEWEST} - INTERVAL '2 minutes'
+          AND NOT EXISTS (SELECT 1 FROM {ON_TIME} AS seen WHERE seen.ticker = expected.ticker
+                          AND time_bucket(INTERVAL '1 hour', seen.event_time) = window_start)"""
+)
+def stream_silent_tickers(spark, sf):
+    """Expected tickers without a tick per closed hour; one of them never comes."""
+    root, expected = new_dir(spark, "silent"), ["click", "error", "purchase", "signup", "view", "refund"]
+    found = jobs.silent_tickers(ten_files(spark, sf), expected, "1 hour")
+    dated = windows.with_date(found)
+    drained(sinks.append_stream(dated, root, new_dir(spark, "checkpoint"), every=None))
+    return ntz(tables.read_table(spark, root).drop("date_partition"))
+
+
+@query(
+    f"""SELECT rule, COUNT(*) AS rows_checked, CAST(SUM(broken) AS BIGINT) AS rows_failed, MAX(event_time) AS newest
+        FROM (SELECT event_time, UNNEST(['ticker_missing', 'price_missing', 'event_time_missing',
+                                         'price_not_a_number', 'price_not_positive', 'volume_negative',
+                                         'price_high']) AS rule,
+                     UNNEST([ticker IS NULL, price IS NULL, event_time IS NULL, isnan(price), price <= 0,
+                             volume < 0, price > 100]::INT[]) AS broken
+              FROM {TICKS})
+        GROUP BY rule"""
+)
+def stream_quality(spark, sf):
+    """Rules and newest time counted by the running stream, a row per batch and rule, summed."""
+    told = jobs.ObservedBatches("rules")
+    spark.streams.addListener(told)
+    root = new_dir(spark, "observed")
+    try:
+        checks = quality.tick_rules() | {"price_high": F.col("price") > 100}
+        watched = jobs.observe_rules(ten_files(spark, sf), "rules", checks)
+        dated = watched.withColumn("date_partition", F.to_date("event_time"))
+        drained(sinks.append_stream(dated, new_dir(spark, "stream"), new_dir(spark, "checkpoint"), every=None))
+        for _ in range(100):  # reports come after the query has ended
+            if len(told.batches) >= 10:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(told)
+    told.flush(spark, root)
+    sums = tables.read_table(spark, root).groupBy("rule").agg(
+        F.sum("rows_checked").alias("rows_checked"), F.sum("rows_failed").alias("rows_failed"), F.max("newest").alias("newest")
+    )
+    return ntz(sums)
+
+
+@query(deviation_sql("1 day", "1d", "<"))
+def stream_alerts_stored(spark, sf):
+    """Alerts by a look into the stored windows of each batch's dates."""
+    stored, root = new_dir(spark, "vwap"), new_dir(spark, "alerts")
+    zoned = ticks(spark, sf).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    tables.upsert(dated_vwap(zoned, "1 day"), stored)
+    drained(jobs.stored_alerts(ten_files(spark, sf), stored, root, new_dir(spark, "checkpoint"), "1 day", every=None))
+    return ntz(tables.read_table(spark, root).drop("date_partition"))
+
+
+@query(vwap_sql("1 hour", "1h", f"(SELECT * FROM {TICKS} WHERE event_time < TIMESTAMP '{MIDDLE}')"))
+def vwap_known_at(spark, sf):
+    """The VWAP table as it was known at a moment, from a table that keeps both versions of a window."""
+    root, found = new_dir(spark, "versions"), ticks(spark, sf)
+    known = found.filter(F.col("event_time") < F.lit(MIDDLE).cast("timestamp_ntz"))
+    for batch, at in ((known, MIDDLE), (found, "2024-02-01 00:00:00")):
+        made = dated_vwap(batch, "1 hour").withColumn("known_at", F.lit(at).cast("timestamp"))
+        tables.write_batch(made, root)
+    return tables.versions_as_of(tables.read_table(spark, root), "2024-01-20 00:00:00").drop("date_partition")
+
+
 def message_text() -> str:
     """A message of whole numbers, with a key that the schema does not know; in SQL of both."""
     return (

@@ -22,9 +22,13 @@ class BatchWriter:
     def __init__(self, rebalance: bool = True):
         self.rebalance, self.started = rebalance, False
 
-    def append(self, rows: DataFrame, root: str, batch_id: int) -> None:
+    def name_of(self, rows: DataFrame, batch_id: int) -> str:
         query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_batch(rows, root, f"{query}-{batch_id}", rebalance=self.rebalance, written_before=not self.started)
+        return f"{query}-{batch_id}"
+
+    def append(self, rows: DataFrame, root: str, batch_id: int) -> None:
+        name = self.name_of(rows, batch_id)
+        write_batch(rows, root, name, rebalance=self.rebalance, written_before=not self.started)
 
     def done(self) -> None:
         self.started = True
