@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,32 @@ def test_clustering_narrows_what_a_filter_reads(spark, root):
     assert touched("event_time < '2024-06-03 10:00:30'") < many
 
 
+def test_row_groups_that_cannot_match_are_skipped(spark, ticks_of):
+    """One file of sorted row groups."""
+    path = new_dir(spark, "m")
+    rows = ticks_of([(f"T{2 * (i % 400):04d}", i / 7, i, "10:00:00") for i in range(40_000)])
+    tables.write_batch(rows.withColumn("date_partition", F.to_date("event_time")).repartition(4), path)
+
+    def scanned(ticker):
+        found = spark.read.parquet(path).filter(F.col("ticker") == ticker)
+        rows_found = len(found.collect())
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return rows_found, leaf.metrics().apply("numOutputRows").value()
+
+    assert scanned("T0400") == (100, 40_000)
+    maintenance.zorder(spark, path, row_group_bytes=60_000)
+    assert files(spark, path) == 1
+    name = maintenance.table_files(spark, path).first()["path"].removeprefix("file:")
+    footer = pq.ParquetFile(name).metadata
+    column = next(i for i in range(footer.num_columns) if footer.schema.column(i).name == "ticker")
+    ranges = [footer.row_group(i).column(column).statistics for i in range(footer.num_row_groups)]
+    fitting = [i for i, r in enumerate(ranges) if r.min <= "T0400" <= r.max]
+    assert len(ranges) >= 5 and len(fitting) <= 2
+    found, read = scanned("T0400")
+    assert found == 100 and read <= sum(footer.row_group(i).num_rows for i in fitting) < 40_000
+    assert scanned("T0401") == (0, 0)  # between least and greatest of a group, but not in it
+
+
 def test_one_ticker_fills_several_files(spark, ticks_of):
     """A single hot value, and even copies of a single row, are split."""
     rows = ticks_of([("HOT", 1.0, 1, "10:00:00")] * 4000)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickengine.functions import times
 from tickengine.functions.clustering import with_z_value
@@ -19,6 +19,8 @@ from tickengine.sources.ticks import list_files
 logger = logging.getLogger(__name__)
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+# A file of the target size has about 32 row groups, in memory a few more bytes each.
+ROW_GROUP_BYTES = 16 * 1024 * 1024
 RETENTION_HOURS = 168  # Fixed value: seven days.
 
 
@@ -142,10 +144,13 @@ def zorder(
     target_bytes: int = TARGET_FILE_BYTES,
     bits: int = 8,
     min_files: int = 1,
+    row_group_bytes: int = ROW_GROUP_BYTES,
 ) -> list[dt.date]:
     """Rewrite a date, or all closed dates in one job, clustered by ``columns`` (default: ticker).
 
-    Dates of one file's size are gathered and sorted; the rows of larger ones are dealt into as many
+    Files hold several row groups, sorted, with the least and greatest value of each column, and Bloom
+    filters for clustering columns of text: readers skip the groups that cannot hold a value,
+    also one that lies between least and greatest. Dates of one file's size are gathered and sorted; the rows of larger ones are dealt into as many
     ranges of the date and the clustering columns as they need files.
     """
     dates = _dates(spark, root, date, before, min_files, target_bytes)
@@ -163,7 +168,9 @@ def zorder(
             rows = _rows_of(spark, root, list(large))
             parts.append(clustered(rows, by, sum(large.values()), keys=keys, bits=bits))
         made = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        overwrite_dates(made, root, rebalance=False)
+        texts = [c for c in by if made.schema[c].dataType == T.StringType()]
+        skipping = {f"parquet.bloom.filter.enabled#{c}": "true" for c in texts}
+        overwrite_dates(made, root, rebalance=False, **skipping, **{"parquet.block.size": str(row_group_bytes)})
     return dates
 
 

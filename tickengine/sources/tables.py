@@ -29,14 +29,16 @@ def align_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*known, *[c for c in df.columns if c not in schema.fieldNames()])
 
 
-def overwrite_dates(df: DataFrame, root: str, *, rebalance: bool = True, fmt: str = "parquet") -> None:
+def overwrite_dates(
+    df: DataFrame, root: str, *, rebalance: bool = True, fmt: str = "parquet", **options: str
+) -> None:
     """Replace the dates that ``df`` has rows of, and no others; ``df`` may read the same table."""
     if rebalance:
         df = df.hint("rebalance", "date_partition")
     (
         df.write.format(fmt)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", **options)
         .partitionBy("date_partition")
         .save(root)
     )
