@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -67,9 +68,31 @@ def test_cuts_split_pieces(codec):
     assert [end for _, end in cut] == [False] * (len(cut) - 1) + [True]
 
 
+def test_very_long_words(library, codec):
+    pick = random.Random(8)
+    words = ["a" * 5_000, "".join(pick.choice("etaoinshrdlu") for _ in range(20_000)), "the" * 3_000 + "é" * 500,
+             "".join(pick.choice("ab") for _ in range(999)) + " " + "0123456789" * 400, "!?" * 2_000]
+    for word in words:
+        assert list(codec.encode(word)) == library.encode(word, add_special_tokens=False).ids
+    for n in (1, 2, 3, 150, 201, 400):
+        raw = "".join(pick.choice("etaoin") for _ in range(n)).encode()
+        ids = [codec.inner[b] for b in raw[:-1]] + [codec.final[raw[-1]]]
+        assert codec.merge_long(ids) == library.encode(raw.decode(), add_special_tokens=False).ids
+
+
+def test_a_word_of_a_megabyte(library, codec):
+    pick = random.Random(9)
+    word = "".join(pick.choice("etaoinshrdlucmf") for _ in range(1_000_000))
+    began = time.monotonic()
+    made = codec.encode(word)
+    assert time.monotonic() - began < 30
+    assert list(made) == library.encode(word, add_special_tokens=False).ids
+    assert not any(len(k) > bpe.LONG for k in codec.pieces) and not any(len(k[0]) > bpe.LONG for k in codec.fragments)
+
+
 def test_cache_stays_bounded():
     cache = bpe.Cache(lambda x: x, 3)
-    assert [cache[i] for i in (1, 2, 3, 4, 1, 5)] == [1, 2, 3, 4, 1, 5]
+    assert [cache[i] for i in "abcdae"] == list("abcdae")
     assert len(cache) <= 3 and len(cache.older) <= 3
 
 

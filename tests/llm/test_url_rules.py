@@ -1,5 +1,6 @@
 """Listed rules against plain string code, mined rules against counting."""
 
+import time
 from itertools import combinations
 
 import pytest
@@ -100,6 +101,22 @@ def test_support_is_alike_at_every_size(spark, others):
     assert {tuple(r["antecedent"]) for r in found} == {("host:biz",), ("host:worse",), ("path:x",)}
 
 
+def test_thirty_tokens_in_common(spark):
+    """All subsets of them are frequent; they are one item, and a rule for each of them."""
+    path = "/".join(chr(97 + i // 26) + chr(97 + i % 26) for i in range(30))
+    bad = [(f"http://bad.org/{path}?n={i}", True) for i in range(40)]
+    good = [(f"http://good.org/{path[:8]}/x{i % 7}", False) for i in range(60)]
+    began = time.monotonic()
+    rules = u.learn(spark.createDataFrame(bad + good, "url string, bad boolean"))
+    found = {tuple(r["antecedent"]): r["confidence"] for r in rules.collect()}
+    assert time.monotonic() - began < 60
+    assert ("host:bad",) in found and ("path:bd",) in found and set(found.values()) == {1.0}
+    assert ("path:aa",) not in found and len(found) == 29  # the host, 27 tokens of the path, the query
+    pages = spark.createDataFrame([(1, f"http://x.net/{path}"), (2, "http://bad.com/"), (3, "http://y.z/aa")],
+                                  "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in u.judge(pages, rules).collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
 def test_empty_tables(spark):
     labelled = spark.createDataFrame([], "url string, bad boolean")
     pages = spark.createDataFrame([], "page_id long, url string")

@@ -23,6 +23,7 @@ import hashlib
 import json
 import unicodedata
 from array import array
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,9 @@ from .common import mapped, table
 WORD_END = "</w>"
 # Pieces and fragments that a worker remembers, about 25 MB each time.
 CACHE = 100_000
+# Fragments of more symbols are merged with a heap, in n log n steps; shorter ones by looking
+# for the least rank each time, which is faster there and gives the same.
+LONG = 200
 # White space as the vocabulary's pattern means it.
 _SPACE = r"\x09-\x0d\x20\x85\xa0  -     　"
 # The vocabulary's own pattern for pieces: a fixed value, with white space written out.
@@ -49,7 +53,10 @@ def byte_letters() -> list[str]:
 
 
 class Cache(dict):
-    """A dict that computes what it misses; full, it keeps its entries for one more turn."""
+    """A dict that computes what it misses; full, it keeps its entries for one more turn.
+
+    Keys of more than ``LONG`` letters or bytes are not kept, so its memory is bounded.
+    """
 
     def __init__(self, make, limit: int):
         super().__init__()
@@ -59,6 +66,8 @@ class Cache(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        if len(key if isinstance(key, str) else key[0]) > LONG:
+            return value
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
@@ -124,6 +133,8 @@ class Codec:
         ids = [self.inner[b] for b in raw]
         if ends:
             ids[-1] = self.final[raw[-1]]
+        if len(ids) > LONG:
+            return self.merge_long(ids)
         none, rank, merged = len(self.merged), self.ranks.get, self.merged
         ranks = [rank(pair, none) for pair in zip(ids, ids[1:])]
         while ranks:
@@ -139,6 +150,29 @@ class Codec:
                 ranks[i - 1] = rank((ids[i - 1], ids[i]), none)
         return ids
 
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """The same for many symbols: a heap of pairs by rank and place over a linked list."""
+        n, rank, merged = len(ids), self.ranks.get, self.merged
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, pair in enumerate(zip(ids, ids[1:])) if (r := rank(pair)) is not None]
+        heapify(heap)
+        while heap:
+            r, i = heappop(heap)
+            j = after[i]
+            # A pair that was merged, or whose symbols changed, is not there any more.
+            if ids[i] < 0 or j >= n or rank((ids[i], ids[j])) != r:
+                continue
+            ids[i], ids[j] = merged[r], -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := rank((ids[i], ids[k]))) is not None:
+                    heappush(heap, (r, i))
+            h = before[i]
+            if h >= 0 and (r := rank((ids[h], ids[i]))) is not None:
+                heappush(heap, (r, h))
+        return [x for x in ids if x >= 0]
+
     def encode_piece(self, piece: str) -> bytes:
         return b"".join(map(self.fragments.__getitem__, self.cut(piece.encode())))
 

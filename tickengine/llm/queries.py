@@ -34,7 +34,9 @@ QUERIES = {
     "op13_quality_classifier": quality_classifier.query,
 }
 ORACLES = {
+    "op3_warc": warc.SQL,
     "op4_quality_rules": quality_rules.SQL,
     "op6_chat_format": chat_format.SQL,
+    "op8_near_duplicates": minhash.SQL,
     "op11_hard_negatives": hard_negatives.SQL,
 }

@@ -1,7 +1,8 @@
 """URL filters: host and path rules first, then association rules mined by FP-growth.
 
-``learn`` turns labelled urls into transactions of url tokens plus a class item, lets
-Spark's FP-growth find the frequent combinations and keeps the rules "these tokens ->
+``learn`` turns labelled urls into transactions of url tokens plus a class item. Tokens that
+stand in exactly the same urls are one item there, named after the first of them, so what urls
+have in common as a whole costs one item and not all its subsets. It lets Spark's FP-growth find the frequent combinations and keeps the rules "these tokens ->
 bad" whose support and confidence are high enough and that no shorter rule implies.
 ``match`` finds the rules of each distinct url through an inverted index: every rule is
 posted under its rarest token, urls look up their own tokens, and a posting fires when
@@ -91,10 +92,11 @@ def learn(
     """
     spark = urls.sparkSession
     known = urls.filter(F.col(bad_col).isNotNull() & F.col(url_col).isNotNull())
-    baskets = known.select(
-        F.concat(
-            tokens(F.col(url_col)), F.when(F.col(bad_col), F.array(F.lit(BAD))).otherwise(F.array())
-        ).alias("items")
+    own = known.select(F.col(url_col).alias("url"), F.col(bad_col).alias("bad"), tokens(F.col(url_col)).alias("tokens"))
+    distinct = own.select("url", "tokens").dropDuplicates(["url"])
+    same = alike(distinct)
+    baskets = own.join(fold(distinct, same), "url").select(
+        F.concat("items", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array())).alias("items")
     )
     n = known.count()
     if not n:
@@ -117,7 +119,42 @@ def learn(
         .groupBy("antecedent", "confidence", "support")
         .agg(F.min_by("token", F.struct("freq", "token")).alias("posted"))
     )
-    return _not_implied(posted)
+    return _unfolded(_not_implied(posted), same)
+
+
+def alike(urls: DataFrame) -> DataFrame:
+    """``token`` and ``first``: the first token that stands in exactly the same urls.
+
+    Which urls these are is told by their number and two sums of hashes.
+    """
+    rows = urls.select("url", F.explode("tokens").alias("token"))
+    marks = [F.sum(F.xxhash64(F.lit(seed), "url").cast("decimal(20,0)")).alias(f"h{seed}") for seed in (1, 2)]
+    told = rows.groupBy("token").agg(F.count("*").alias("n"), *marks)
+    first = told.groupBy("n", "h1", "h2").agg(F.min("token").alias("first"))
+    return told.join(first, ["n", "h1", "h2"]).select("token", "first")
+
+
+def fold(urls: DataFrame, same: DataFrame) -> DataFrame:
+    """Per url its ``items``: the first tokens among its own."""
+    first = same.filter(F.col("token") == F.col("first")).select("token")
+    # A frequent token has a row a url, which Spark may split in the join.
+    kept = (
+        urls.select("url", F.explode("tokens").alias("token")).join(first, "token")
+        .groupBy("url").agg(F.array_sort(F.collect_list("token")).alias("items"))
+    )
+    return urls.select("url").join(kept, "url", "left").select(
+        "url", F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    )
+
+
+def _unfolded(rules: DataFrame, same: DataFrame) -> DataFrame:
+    """Each rule with each of the tokens that one of its items stands for."""
+    each = rules.withColumn("first", F.explode("antecedent")).join(same, "first")
+    own = F.array_sort(F.array_append(F.array_remove("antecedent", F.col("first")), F.col("token")))
+    posted = F.when(F.col("posted") == F.col("first"), F.col("token")).otherwise(F.col("posted"))
+    return each.select(own.alias("antecedent"), "confidence", "support", posted.alias("posted")).dropDuplicates(
+        ["antecedent"]
+    )
 
 
 def _not_repeating(rules: DataFrame) -> DataFrame:

@@ -411,6 +411,19 @@ def query(spark, sf_dir) -> DataFrame:
     path = new_dir(spark, "warc")
     write_archives(captures, path)
     return histories(spark, path).select(
-        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to",
-        "urlkey", F.col("time").alias("captured"), "range", "place",
-    )
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+SQL = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), first AS (
+  SELECT *, MIN(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM first
+"""
