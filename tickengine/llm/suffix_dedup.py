@@ -30,6 +30,7 @@ are read in pieces of at most ``PIECE`` bytes that overlap by a window.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -384,8 +385,9 @@ def find_spans(docs: DataFrame, scratch: Scratch, window: int = WINDOW, gram: in
     placed = cuts.join(strings.filter(F.col("n") > 1).select(*_STRING), _STRING).select(
         "k1", "k2", F.col("start").alias("s"), F.col("end").alias("e")
     )
-    for spans in found:
+    if found:
         at = F.col("start")
+        spans = reduce(DataFrame.unionByName, found)
         placed = placed.unionByName(
             spans.join(strings.select(*_STRING, "k1", "k2", "start"), _STRING)
             .select("k1", "k2", (at + F.col("s")).alias("s"), (at + F.col("e")).alias("e"))
