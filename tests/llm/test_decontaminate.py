@@ -176,22 +176,47 @@ def test_no_fingerprint_within_the_radius_is_missed(radius):
     assert set(zip(windows.tolist(), prints.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(near))))
 
 
-@pytest.mark.parametrize("words", range(1, 300))
-def test_an_asked_window_lies_inside_every_whole_passage(words):
+@pytest.mark.parametrize("words", [*range(1, 300), 1_279, 1_600, 5_000])
+def test_windows_are_item_sized(words):
     size = d.window_size(words)
-    assert size <= words and size % d.step(size) == 0
-    assert words - size + 1 >= d.step(size)
+    starts = d.window_starts(words, size)
+    assert size <= words and (4 * size >= 3 * words or size == d.MOST_WINDOW)
+    covered = {w for at in starts for w in range(at, at + size)}
+    assert covered == set(range(words)) and starts[-1] + size == words
 
 
-def test_window_fingerprints():
+def test_window_fingerprints(monkeypatch):
+    monkeypatch.setattr(d, "STRIDE", 37)
     draw = np.random.default_rng(1)
     hashes, weights = draw.integers(0, 2**63, 200).astype(np.uint64), draw.integers(1, 20, 200)
-    votes = d.Votes(hashes, weights)
-    for size in (1, 4, 6, 10, 12, 20, 24, 40, 96):
-        every = d.step(size)
-        for i, value in enumerate(votes.fingerprints(size).tolist()):
-            part = d.voted(hashes, weights)[i * every : i * every + size].sum(axis=0)
-            assert value == int(np.packbits(part > 0).view(np.uint64)[0])
+    sizes = [1, 4, 6, 10, 12, 20, 24, 40, 96, 201]
+    made = d.fingerprints(hashes, weights, sizes)
+    votes = d.voted(hashes, weights)
+    for size in sizes:
+        wanted = [
+            int(np.packbits(votes[i : i + size].sum(axis=0) > 0).view(np.uint64)[0]) for i in range(200 - size + 1)
+        ]
+        assert made[size].tolist() == wanted
+
+
+def test_both_sources_bring_leaks(prose):
+    """Windows within the radius find most; rare shingles find the rest, and all leaks together."""
+    pick, windows, leaks = random.Random(5), 0, 0
+    for n in (25, 60, 200):
+        item = prose(n, n).split()
+        index = d.Index([" ".join(item)])
+        only = d.Index([" ".join(item)])
+        only.rare = {}
+        for i in range(40):
+            words = prose(31, i).split() + edited(item, KINDS[i % 4], 0.02 + 0.01 * (i % 12), pick) + prose(40, i).split()
+            text = " ".join(words).encode()
+            best = max(d.search([text], index, d.SIMILARITY), key=lambda f: f[4], default=None)
+            assert (best is not None) == (best_of(words, item) >= d.SIMILARITY)
+            alone = {f[2] for f in d.search([text], only, d.SIMILARITY)}
+            assert best is None or best[5] == (best[2] in alone)
+            leaks += best is not None
+            windows += bool(best and best[5])
+    assert 0.7 * leaks <= windows < leaks
 
 
 def test_query(spark, sf_dir, rows_of):

@@ -1,4 +1,4 @@
-"""Benchmark decontamination by SimHash of short windows, then exact comparison of passages.
+"""Benchmark decontamination by SimHash of item-sized windows, then exact comparison of passages.
 
 Words are runs without blanks, control spaces and ASCII signs; A-Z count as a-z. A window's
 fingerprint has 64 bits: each word votes with its length on every bit, by its hash.
@@ -7,19 +7,24 @@ A passage starts at any word of a text and has as many words as the item, or tho
 is a leak from ``similarity`` on: the weight of the five-word shingles in both, as a share of
 those in either, where a shingle weighs as many bytes as its words have.
 
-Such a passage lacks at most a share of 1 - ``similarity`` of the item's weight. So of any
-shingles of the item that weigh more than that, it holds one unedited. The index has the
-fingerprints of these, chosen among those in the fewest items, and a text is asked at each of
-its words: no leak is without a hit, whatever was replaced, inserted or deleted, and
-what other texts stand beside it changes nothing. All passages around a hit are compared.
+Candidates come from two sources, and all passages around each are compared exactly:
 
-The index holds the 64 bits in four blocks of 16. Of two fingerprints within ``radius``,
-one block differs in at most radius / 4 bits, so every block is entered under all values
-that near to it: no fingerprint within the radius is missed. An unedited window needs no
-radius; a larger one gives more to compare and the same leaks.
+* Windows of about the item's size (6, 8 or 10 times a power of two, at least three quarters
+  of its words), fingerprinted in the item at its start, middle and end and in a text at
+  every word. The index holds the 64 bits in four blocks of 16. Of two fingerprints within
+  ``radius``, one block differs in at most radius / 4 bits, so every block is entered under
+  all values that near to it: no fingerprint within the radius is missed.
+* What lies beyond the radius and is still a leak: a passage lacks at most a share of 1 -
+  ``similarity`` of the item's weight. So of any shingles of the item that weigh more than
+  that, it holds one unedited. The hashes of these, chosen among those in the fewest items,
+  are looked up at each word of a text: no leak is without a candidate, whatever was
+  replaced, inserted or deleted, and other texts beside it change nothing.
+
+``by_window`` tells whether the best passage also came from the first source.
 
 Defined results: NULL and empty texts hold nothing. An item of fewer than ``size`` words is
-one shingle, its whole run of words, and is found where a text has these words in a row.
+one shingle, its whole run of words, and is found where a text has these words in a row;
+an item of one shingle is looked up by its hash alone.
 Items without words (NULL, empty, only signs) are found nowhere. In scripts without blanks
 a word is what stands between blanks or ASCII signs, a sentence or more: an item is found
 where such pieces are equal as wholes, not inside longer ones. Rows are searched one by one:
@@ -28,8 +33,9 @@ items with one id the best counts, in each slice. An empty table on either side
 are not read, whatever their names. Texts are searched whole.
 
 One pass over the texts, no shuffle. Items go to the tasks with the code, in slices of at
-most ``SLICE`` bytes of text, which bounds what is sent; a larger benchmark is searched
-slice by slice, each in a pass of its own, so nothing depends on its size but time.
+most about ``SLICE`` bytes of text. A larger benchmark is searched slice by slice, each in a
+pass that is written before the driver takes the next, so the driver holds one slice.
+Nothing depends on the size of the benchmark but time.
 """
 
 from __future__ import annotations
@@ -44,37 +50,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, table
+from .common import free_name, mapped, table, written
 from .shingles import Words, chunks, read_words, shingle_hashes
 
 SIZE = 5
 SIMILARITY = 0.8
-RADIUS = 0
+RADIUS = 7
 BLOCKS = 4
 SLICE = 4_000_000
 CHUNK = 500_000
 # Sums of votes stay below 2**15 for windows of up to 1,600 words.
 MOST_WEIGHT = 20
+MOST_WINDOW = 1_280
+# Words whose votes are summed at a time; they stay in a core's cache.
+STRIDE = 4_096
 _U = np.uint64
 
 
-def step(size: int) -> int:
-    """How many words lie between asked windows: the power of two that leaves 6, 8 or 10."""
+def window_size(words: int) -> int:
+    """The largest of 6, 8 and 10 times a power of two that an item of ``words`` words holds."""
+    if words <= 6:
+        return words
     every = 1
-    while size > 10 * every:
+    while 12 * every <= words:
         every *= 2
-    return every
+    return min(MOST_WINDOW, max(n * every for n in (6, 8, 10) if n * every <= words))
 
 
-def window_size(words: int) -> int:
-    """The largest size of 6, 8 or 10 steps up to 85 % of an item's words; not asked by ``search``."""
-    most = max(1, int(words * 0.85))
-    if most <= 6:
-        return most
-    every = step(most)
-    if every > 1 and most < 6 * every:
-        every //= 2
-    return max(n * every for n in (6, 8, 10) if n * every <= most)
+def window_starts(words: int, size: int) -> list[int]:
+    """Where an item's windows start: at both ends, in the middle, and one beside another."""
+    last = words - size
+    return sorted({0, last // 2, last, *range(0, last + 1, size)})
 
 
 def voted(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -86,46 +92,31 @@ def voted(hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return bits
 
 
-def _prints(sums: np.ndarray) -> np.ndarray:
-    return np.packbits((sums > 0).reshape(-1)).view(_U)
-
-
-class Votes:
-    """Votes of all words, summed in steps, and fingerprints of windows made of steps."""
-
-    def __init__(self, hashes: np.ndarray, weights: np.ndarray):
-        self.steps = {1: voted(hashes, weights)}
-        self.runs: dict[tuple[int, int], np.ndarray] = {}
-
-    def step(self, every: int) -> np.ndarray:
-        if every not in self.steps:
-            half = self.step(every // 2)
-            half = half[: len(half) // 2 * 2].reshape(-1, 2, 64)
-            self.steps[every] = half[:, 0] + half[:, 1]
-        return self.steps[every]
-
-    def run(self, every: int, n: int) -> np.ndarray:
-        """Sums of ``n`` steps from each step on; ``n`` is a power of two."""
-        if n == 1:
-            return self.step(every)
-        if (every, n) not in self.runs:
-            half = self.run(every, n // 2)
-            self.runs[every, n] = half[: max(0, len(half) - n // 2)] + half[n // 2 :]
-        return self.runs[every, n]
-
-    def fingerprints(self, size: int, every: int = 0) -> np.ndarray:
-        """Fingerprints of the windows of ``size`` words at every ``every``-th or ``step(size)``-th word."""
-        every = every or step(size)
-        n = size // every
-        windows = len(self.step(every)) - n + 1
-        if windows < 1:
-            return np.zeros(0, dtype=_U)
-        total, at = 0, 0
-        for power in range(n.bit_length()):
-            if n >> power & 1:
-                total = total + self.run(every, 1 << power)[at : at + windows]
-                at += 1 << power
-        return _prints(np.ascontiguousarray(total))
+def fingerprints(hashes: np.ndarray, weights: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
+    """Of each size, the fingerprints of the windows at every word.
+
+    Votes are added up in runs of doubling length, which all sizes share.
+    """
+    n = len(hashes)
+    made = {size: np.zeros(max(0, n - size + 1), dtype=_U) for size in sizes}
+    more = max(sizes, default=1) - 1
+    for at in range(0, n, STRIDE):
+        runs = [voted(hashes[at : at + STRIDE + more], weights[at : at + STRIDE + more])]
+        for size in sizes:
+            windows = min(STRIDE, len(runs[0]) - size + 1)
+            if windows < 1:
+                continue
+            total, begin = None, 0
+            for power in range(size.bit_length()):
+                if power == len(runs):
+                    half, length = runs[-1], 1 << (power - 1)
+                    runs.append(half[: len(half) - length] + half[length:])
+                if size >> power & 1:
+                    part = runs[power][begin : begin + windows]
+                    total = part if total is None else total + part
+                    begin += 1 << power
+            made[size][at : at + windows] = np.packbits((total > 0).reshape(-1)).view(_U)
+    return made
 
 
 class Item(NamedTuple):
@@ -176,6 +167,29 @@ def lower_words(text: str | None) -> tuple[list[bytes], np.ndarray]:
     return [raw[a:b] for a, b in zip(words.start, words.end)], words.hash
 
 
+class Shingles(NamedTuple):
+    """Hashes of chosen shingles of one length, sorted, and their items."""
+
+    hashes: np.ndarray
+    item: np.ndarray
+    low: np.ndarray  # which values the low 16 bits have
+
+    def find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (place in ``asked``, item)."""
+        at = np.flatnonzero(self.low[(asked & _U(0xFFFF)).astype(np.int64)])
+        begin = np.searchsorted(self.hashes, asked[at])
+        n = np.searchsorted(self.hashes, asked[at], "right") - begin
+        found = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(at, n), self.item[found]
+
+
+def shingles_of(hashes: np.ndarray, item: np.ndarray) -> Shingles:
+    order = np.argsort(hashes, kind="stable")
+    low = np.zeros(1 << 16, dtype=bool)
+    low[(hashes & _U(0xFFFF)).astype(np.int64)] = True
+    return Shingles(hashes[order], item[order], low)
+
+
 class Index:
     """All items of a slice of the benchmark, for leaks of at least ``least``."""
 
@@ -188,28 +202,33 @@ class Index:
     ):
         self.size, self.radius = size, radius
         self.items: dict[int, Item] = {}
-        read = {}
+        hashed: dict[int, np.ndarray] = {}
+        windows: dict[int, list[tuple]] = {}
         for number, text in enumerate(texts):
             words, hashes = lower_words(text)
             if not words:
                 continue
             short = min(size, len(words))
             shingles = weighted(words, short)
-            own, first = np.unique(shingle_hashes(hashes, short), return_index=True)
+            hashed[number] = shingle_hashes(hashes, short)
+            own, first = np.unique(hashed[number], return_index=True)
             weights = np.array([sum(map(len, words[i : i + short])) for i in first.tolist()])
             self.items[number] = Item(words, short, shingles, sum(shingles.values()), own, weights)
-            votes = Votes(hashes, _weights(np.array([len(w) for w in words])))
-            read[number] = votes.fingerprints(short, 1)
+            if len(words) > size:
+                window = window_size(len(words))
+                at = np.array(window_starts(len(words), window))
+                prints = fingerprints(hashes, _weights(np.array([len(w) for w in words])), [window])
+                windows.setdefault(window, []).append((prints[window][at], np.full(len(at), number), at))
         holders = Counter(s for item in self.items.values() for s in item.shingles)
-        found: dict[int, list[tuple]] = {}
+        rare: dict[int, list[tuple]] = {}
         for number, item in self.items.items():
             at = np.array(chosen(item, holders, least))
-            part = (read[number][at], np.full(len(at), number), at)
-            found.setdefault(item.size, []).append(part)
+            rare.setdefault(item.size, []).append((hashed[number][at], np.full(len(at), number)))
         self.by_size = {
             own: index_size(*(np.concatenate(x) for x in zip(*parts)), radius)
-            for own, parts in found.items()
+            for own, parts in sorted(windows.items())
         }
+        self.rare = {own: shingles_of(*(np.concatenate(x) for x in zip(*parts))) for own, parts in rare.items()}
 
 
 def chosen(item: Item, holders: Counter, least: float) -> list[int]:
@@ -266,29 +285,43 @@ def near_windows(own: SizeIndex, asked: np.ndarray, radius: int) -> tuple[np.nda
     return np.divmod(pairs, len(own.prints))
 
 
-def search(texts: list[bytes], index: Index, least: float) -> list[tuple[int, int, int, int, float]]:
-    """Leaks of a run of texts: text, item, first word, end word, similarity.
+def search(
+    texts: list[bytes], index: Index, least: float
+) -> list[tuple[int, int, int, int, float, bool]]:
+    """Leaks of a run of texts: text, item, first word, end word, similarity, whether an
+    item-sized window told of it.
 
     All passages from ``least`` on, which is not below that of the index.
     """
     words = read_words(texts, punctuation=False)
     if not len(words.hash):
         return []
-    votes = Votes(words.hash, _weights(words.end - words.start))
     text_of = np.repeat(np.arange(len(texts)), np.diff(words.first))
-    hits: dict[tuple[int, int], list[int]] = {}
-    for size, own in index.by_size.items():
-        window, found = near_windows(own, votes.fingerprints(size, 1), index.radius)
+
+    def by_text(window, item, size):
         inside = text_of[window] == text_of[window + size - 1]  # a window of one text
-        window, item = window[inside], own.item[found[inside]]
-        for t, i, w in zip(text_of[window].tolist(), item.tolist(), window.tolist()):
-            hits.setdefault((t, i), []).append(w)
+        window = window[inside]
+        return zip(zip(text_of[window].tolist(), item[inside].tolist()), window.tolist())
+
+    near: dict[tuple[int, int], list[int]] = {}
+    prints = fingerprints(words.hash, _weights(words.end - words.start), list(index.by_size))
+    for size, own in index.by_size.items():
+        window, found = near_windows(own, prints[size], index.radius)
+        for key, w in by_text(window, own.item[found], size):
+            near.setdefault(key, []).append(w)
+    hits = {key: set(at) for key, at in near.items()}
+    for size, own in index.rare.items():
+        if len(words.hash) >= size:
+            for key, w in by_text(*own.find(shingle_hashes(words.hash, size)), size):
+                hits.setdefault(key, set()).add(w)
     raw = words.raw.tobytes() if hits else b""
     made = []
     for (text, item), at in hits.items():
+        own, told = index.items[item], np.array(near.get((text, item), []), dtype=np.int64)
         base, end = int(words.first[text]), int(words.first[text + 1])
-        for first, last, score in passages(words, raw, base, end, at, index.items[item], least):
-            made.append((text, item, first - base, last - base, score))
+        for first, last, score in passages(words, raw, base, end, sorted(at), own, least):
+            by_window = bool(((told >= first) & (told <= first + len(own.words) - own.size)).any())
+            made.append((text, item, first - base, last - base, score, by_window))
     return made
 
 
@@ -367,7 +400,8 @@ def apart(spans: list[tuple[int, int]]) -> int:
 
 
 def slices(benchmark: DataFrame, slice_bytes: int, item_col: str, text_col: str):
-    """Ids and texts of the items, in parts of about ``slice_bytes`` of text."""
+    """Ids and texts of the items, in parts of about ``slice_bytes`` of text, and whether
+    the part is the only one."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).filter(
         F.col("text").isNotNull()
     ).distinct()
@@ -377,7 +411,7 @@ def slices(benchmark: DataFrame, slice_bytes: int, item_col: str, text_col: str)
         number = F.pmod(F.xxhash64("item", "text"), F.lit(n))
         for i in range(n):
             rows = items.filter(number == i).orderBy("item", "text").collect()
-            yield [r["item"] for r in rows], [r["text"] for r in rows]
+            yield [r["item"] for r in rows], [r["text"] for r in rows], n == 1
 
 
 def find_leaks(
@@ -393,12 +427,12 @@ def find_leaks(
     item_text_col: str = "text",
 ) -> DataFrame:
     """Per row and item found in it: ``id``, ``item_id``, ``similarity`` and the words
-    (``first_word``, ``end_word``) of the best passage, and ``n_passages``."""
+    (``first_word``, ``end_word``) of the best passage, ``n_passages`` and ``by_window``."""
     kind = docs.schema[id_col].dataType.simpleString()
     item_kind = benchmark.schema[item_col].dataType
     schema = (
         f"id {kind}, item_id {item_kind.simpleString()}, similarity double, first_word long, "
-        "end_word long, n_passages long"
+        "end_word long, n_passages long, by_window boolean"
     )
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
@@ -412,29 +446,39 @@ def find_leaks(
                 best: dict[tuple, list] = {}
                 before = 0
                 for run_ in chunks(batch.column(1).to_pylist(), CHUNK):
-                    for text, item, first, end, score in search(run_, made[0], least):
-                        seen = best.setdefault((before + text, ids[item]), [0.0, 0, 0, []])
+                    for text, item, first, end, score, by_window in search(run_, made[0], least):
+                        seen = best.setdefault((before + text, ids[item]), [0.0, 0, 0, [], False])
                         if score > seen[0]:
-                            seen[:3] = [score, first, end]
+                            seen[:3], seen[4] = [score, first, end], by_window
                         seen[3].append((first, end))
                     before += len(run_)
-                rows_ = [(t, i, s, a, b, apart(n)) for (t, i), (s, a, b, n) in best.items()]
-                columns = list(zip(*rows_)) or [[]] * 6
+                rows_ = [(t, i, s, a, b, apart(n), w) for (t, i), (s, a, b, n, w) in best.items()]
+                columns = list(zip(*rows_)) or [[]] * 7
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(list(columns[0]), pa.int64())),
                      pa.array(list(columns[1]), _arrow(item_kind)), pa.array(list(columns[2]), pa.float64()),
-                     *(pa.array(list(c), pa.int64()) for c in columns[3:])],
-                    ["id", "item_id", "similarity", "first_word", "end_word", "n_passages"],
+                     *(pa.array(list(c), pa.int64()) for c in columns[3:6]),
+                     pa.array(list(columns[6]), pa.bool_())],
+                    ["id", "item_id", "similarity", "first_word", "end_word", "n_passages", "by_window"],
                 )
 
         return mapped(own, run, schema)
 
-    parts = [searched(*s) for s in slices(benchmark, slice_bytes, item_col, item_text_col)]
+    parts = []
+    for ids, texts, only in slices(benchmark, slice_bytes, item_col, item_text_col):
+        part = searched(ids, texts)
+        parts.append(part if only else written(part, "leaks"))
     if not parts:
         return docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
 
 
+def _clean(texts: list[bytes], index: Index, least: float) -> np.ndarray:
+    stays = np.ones(len(texts), dtype=bool)
+    stays[[text for text, *_ in search(texts, index, least)]] = False
+    return stays
+
+
 def keep_clean(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -446,29 +490,39 @@ def keep_clean(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows, with all columns, that hold no item."""
+    """The rows, with all columns, that hold no item.
+
+    With several slices, each writes the digests of the texts that it finds, and the rows
+    with these texts leave in one join.
+    """
     place = docs.columns.index(text_col)
 
-    def without(part: DataFrame, texts: list[str]) -> DataFrame:
+    def judged(part: DataFrame, at: int, texts: list[str], keep: bool) -> DataFrame:
         made: list[Index] = []
 
         def run(batches):
             if not made:
                 made.append(Index(texts, size, radius, least))
             for batch in batches:
-                stays = np.ones(batch.num_rows, dtype=bool)
-                before = 0
-                for run_ in chunks(batch.column(place).to_pylist(), CHUNK):
-                    for text, *_ in search(run_, made[0], least):
-                        stays[before + text] = False
-                    before += len(run_)
-                yield batch.filter(pa.array(stays))
+                stays = [_clean(run_, made[0], least) for run_ in chunks(batch.column(at).to_pylist(), CHUNK)]
+                stays = np.concatenate(stays) if stays else np.ones(0, dtype=bool)
+                yield batch.filter(pa.array(stays == keep))
 
         return mapped(part, run, part.schema)
 
-    for _, texts in slices(benchmark, slice_bytes, item_col, item_text_col):
-        docs = without(docs, texts)
-    return docs
+    digest = F.sha2(F.col(text_col).cast("binary"), 256)
+    found = []
+    for _, texts, only in slices(benchmark, slice_bytes, item_col, item_text_col):
+        if only:
+            return judged(docs, place, texts, keep=True)
+        leaks = judged(docs.select(F.col(text_col)), 0, texts, keep=False)
+        found.append(written(leaks.select(digest.alias("digest")).distinct(), "leaks"))
+    if not found:
+        return docs
+    key = free_name(docs, "digest")
+    leaks = reduce(DataFrame.union, found).distinct().withColumnRenamed("digest", key)
+    left = docs.withColumn(key, digest).join(leaks, key, "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _arrow(kind) -> pa.DataType:
