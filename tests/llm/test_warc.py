@@ -17,7 +17,7 @@ def histories(spark, rows, **sizes):
         [(*r, "z") for r in rows], "id long, url string, payload string, time timestamp, record_type string"
     )
     path = new_dir(spark, "warc-test")
-    warc.write_archives(frame.repartition(3), path, per_file=4)
+    warc.write_archives(frame.repartition(3), path, archive_bytes=4 * warc.LEAST_CLASS)
     return warc.histories(spark, path, **sizes).collect()
 
 
@@ -64,6 +64,43 @@ def test_offsets_find_the_records(spark, sf_dir):
         assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"p" * entry["id"] + b"\r\n\r\n")
 
 
+def archives(spark, path):
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    return [list(warc.read_records(bytes(r["content"]))) for r in found.collect()]
+
+
+def test_archives_are_bounded_by_bytes(spark):
+    """Pages of 2 MB, some of 40 kB and many small ones in one table of one partition."""
+    sizes = [2_000_000] * 60 + [40_000] * 300 + [50] * 3_000
+    rows = spark.range(len(sizes)).coalesce(1).select(
+        "id", F.concat(F.lit("http://a/"), F.col("id").cast("string")).alias("url"),
+        F.expr(f"rpad(concat(id, ' '), CASE WHEN id < 60 THEN {sizes[0]} WHEN id < 360 THEN 40000 ELSE 50 END, 'xyz ')")
+        .alias("payload"), F.current_timestamp().alias("time"),
+    )
+    path = new_dir(spark, "warc-test")
+    warc.write_archives(rows, path, archive_bytes=8 << 20)
+    held = archives(spark, path)
+    assert sum(map(len, held)) == len(sizes)
+    assert all(sum(len(r[3]) for r in records) <= (8 << 20) + 500 * len(records) for records in held)
+    assert len(held) <= 30 + 15 + 10  # two large pages, 32 middle ones or 512 small ones in each
+    found = warc.histories(spark, path, per_range=500).collect()
+    assert sorted((r["id"], r["payload_bytes"]) for r in found) == list(enumerate(sizes))
+
+
+def test_size_classes(spark):
+    base = warc.LEAST_CLASS
+    sizes = [0, 1, base, base + 1, 16 * base, 16 * base + 1, 256 * base, 256 * base + 1, (1 << 31) - 1]
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long").select(warc.size_class(F.col("n")).alias("c"))
+    assert [r["c"] for r in rows.collect()] == [0, 0, 0, 1, 1, 2, 2, 3, 5]
+
+
+def test_copies_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_SENT", 0)
+    rows = [(i, "u", "p" * (100 + i % 3), None) for i in range(9)]
+    found = histories(spark, rows)
+    assert sorted((r["id"], r["refers_to"]) for r in found) == [(i, i % 3 if i > 2 else None) for i in range(9)]
+
+
 def test_damage_is_noticed():
     record = b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n"
     assert [b for *_, b in warc.read_records(gzip.compress(record * 3))] == [b"abcde"] * 3

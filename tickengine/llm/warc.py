@@ -3,6 +3,8 @@
 ``write_archives`` writes one record per capture. Spark's text writer does it: a record is
 a line, and the ``\\r\\n\\r\\n`` that ends every record is the line separator. A capture whose
 payload of ``least`` bytes or more was seen under a smaller id becomes a revisit of that id.
+An archive holds captures whose payloads are of one class of size (each 16 times the one
+below), so a number of records bounds its bytes, however sizes are mixed in the table.
 
 ``read_runs`` reads the archives back, file by file, with the lengths that the records
 state. The index entries of a file, sorted by url key, timestamp, id and place, are a run.
@@ -18,7 +20,8 @@ referred to; repeated rows of the smallest id are all responses, and every row i
 An empty table gives no rows. Columns besides id, url, payload and time are not read.
 
 Copies are found in a narrow table (id and digest); only digests that occur twice are
-joined back, and Spark splits the rows of a very common one. Splitters are a bounded number
+joined back: sent to all tasks if there are at most ``MOST_SENT`` of them, so that payloads
+are not shuffled, else in a shuffle in which Spark splits the rows of a very common one. Splitters are a bounded number
 of keys, taken from every run alike. Archives and blocks are in the shared folder.
 """
 
@@ -44,23 +47,36 @@ END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def mark_copies(captures: DataFrame, least: int = 100) -> DataFrame:
-    """Adds ``payload_bytes``, ``payload_digest``, ``record_type`` and ``refers_to``."""
-    own = captures.select(
+# Digests of copies that are sent to all tasks, about 100 bytes each.
+MOST_SENT = 100_000
+
+
+def _sized(captures: DataFrame) -> DataFrame:
+    return captures.select(
         "id", "url", F.coalesce("payload", F.lit("")).alias("payload"), "time"
-    ).withColumns(
-        {
-            "payload_bytes": F.octet_length("payload").cast("long"),
-            "payload_digest": F.sha2(F.col("payload").cast("binary"), 256),
-        }
-    )
+    ).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+
+
+def _digested(captures: DataFrame) -> DataFrame:
+    return captures.withColumn("payload_digest", F.sha2(F.col("payload").cast("binary"), 256))
+
+
+def copied(captures: DataFrame, least: int) -> DataFrame:
+    """``payload_digest`` and ``first_id`` of payloads that occur twice or more, in a table."""
     groups = (
-        own.filter(F.col("payload_bytes") >= least)
+        _digested(_sized(captures).filter(F.col("payload_bytes") >= least))
         .groupBy("payload_digest")
         .agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
         .filter((F.col("n") > 1) & F.col("first_id").isNotNull())
         .select("payload_digest", "first_id")
     )
+    found = written(groups, "warc-copies")
+    return F.broadcast(found) if found.count() <= MOST_SENT else found
+
+
+def mark_copies(captures: DataFrame, groups: DataFrame) -> DataFrame:
+    """Adds ``payload_digest``, ``record_type`` and ``refers_to`` to sized captures."""
+    own = _digested(captures)
     again = F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
     return own.join(groups, "payload_digest", "left").select(
         *[F.col(c) for c in own.columns],
@@ -117,15 +133,37 @@ def records(marked: DataFrame) -> DataFrame:
     )
 
 
-def write_archives(captures: DataFrame, path: str, per_file: int = 5_000, least: int = 100) -> None:
-    """Gzipped archives of ``captures`` (id, url, payload, time) below ``path``."""
-    (
-        records(mark_copies(captures, least))
-        .write.option("lineSep", CRLF * 2)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", per_file)
-        .text(path)
-    )
+# Payload bytes of the smallest class of size.
+LEAST_CLASS = 1 << 14
+
+
+def size_class(payload_bytes: Column) -> Column:
+    """0 for up to ``LEAST_CLASS`` bytes, one more for each 16 times as many."""
+    over = F.ceil(F.log2(F.greatest(payload_bytes, F.lit(1)) / F.lit(LEAST_CLASS)) / 4)
+    return F.greatest(over, F.lit(0)).cast("int")
+
+
+def write_archives(
+    captures: DataFrame, path: str, archive_bytes: int = 64 << 20, least: int = 100
+) -> None:
+    """Gzipped archives of ``captures`` (id, url, payload, time) below ``path``.
+
+    The payloads of an archive have at most ``archive_bytes``, or it holds one record. There
+    is a pass over the captures for each class of size that occurs.
+    """
+    groups = copied(captures, least)
+    own = _sized(captures).withColumn("class", size_class(F.col("payload_bytes")))
+    classes = sorted(r["class"] for r in own.select("class").distinct().collect()) or [0]
+    for number in classes:
+        part = own.filter(F.col("class") == number).drop("class")
+        (
+            records(mark_copies(part, groups))
+            .write.mode("error" if number == classes[0] else "append")
+            .option("lineSep", CRLF * 2)
+            .option("compression", "gzip")
+            .option("maxRecordsPerFile", max(1, archive_bytes // (LEAST_CLASS << (4 * number))))
+            .text(path)
+        )
 
 
 class Bytes:
