@@ -1,5 +1,6 @@
 """Listed rules against plain string code, mined rules against counting."""
 
+import random
 import time
 from itertools import combinations
 
@@ -117,6 +118,25 @@ def test_thirty_tokens_in_common(spark):
     assert {r["page_id"]: r["verdict"] for r in u.judge(pages, rules).collect()} == {1: "block", 2: "block", 3: "allow"}
 
 
+def test_other_urls_are_not_mined(spark):
+    """Combinations of good urls only, here all subsets of 24 tokens, cost nothing."""
+    pick = random.Random(4)
+    names = [chr(97 + i) * 2 for i in range(24)]
+    good = [("http://good.org/" + "/".join(pick.sample(names, 22)), False) for _ in range(400)]
+    bad = [(f"http://bad.org/aa/zz/{i}", True) for i in range(30)]
+    began = time.monotonic()
+    rules = u.learn(spark.createDataFrame(good + bad, "url string, bad boolean")).collect()
+    assert time.monotonic() - began < 60
+    assert {tuple(r["antecedent"]) for r in rules} == {("host:bad",), ("path:zz",), ("path:#",)}
+    assert {(r["confidence"], r["support"]) for r in rules} == {(1.0, 30 / 430)}
+
+
+def test_too_few_bad_urls_give_no_rule(spark):
+    rows = [(f"http://bad.org/{i}", True) for i in range(19)] + [("http://good.org/", False)] * 5
+    frame = spark.createDataFrame(rows, "url string, bad boolean")
+    assert u.learn(frame).count() == 0 and u.learn(frame, min_count=19).count() > 0
+
+
 def test_empty_tables(spark):
     labelled = spark.createDataFrame([], "url string, bad boolean")
     pages = spark.createDataFrame([], "page_id long, url string")

@@ -1,9 +1,11 @@
 """URL filters: host and path rules first, then association rules mined by FP-growth.
 
-``learn`` turns labelled urls into transactions of url tokens plus a class item. Tokens that
-stand in exactly the same urls are one item there, named after the first of them, so what urls
-have in common as a whole costs one item and not all its subsets. It lets Spark's FP-growth find the frequent combinations and keeps the rules "these tokens ->
-bad" whose support and confidence are high enough and that no shorter rule implies.
+``learn`` turns labelled urls into sets of url tokens. Tokens that stand in exactly the same
+urls are one item there, named after the first of them, so what urls have in common as a
+whole costs one item and not all its subsets. Spark's FP-growth finds the combinations that
+are frequent among the bad urls; the others are looked up in an inverted index of these, which
+gives the confidence of each rule "these tokens -> bad". Rules stay whose support and
+confidence are high enough and that no shorter rule implies.
 ``match`` finds the rules of each distinct url through an inverted index: every rule is
 posted under its rarest token, urls look up their own tokens, and a posting fires when
 all tokens of the rule are there. ``judge`` adds verdicts.
@@ -22,15 +24,15 @@ hint, so Spark broadcasts them only when it has measured that they are small.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 
-BAD = "class:bad"
 RULE_SCHEMA = "antecedent array<string>, confidence double, support double, posted string"
 
 
@@ -93,33 +95,53 @@ def learn(
     spark = urls.sparkSession
     known = urls.filter(F.col(bad_col).isNotNull() & F.col(url_col).isNotNull())
     own = known.select(F.col(url_col).alias("url"), F.col(bad_col).alias("bad"), tokens(F.col(url_col)).alias("tokens"))
+    n, n_bad = own.agg(F.count("*"), F.count_if("bad")).first()
+    least = max(min_count, 1, ceil(min_support * n - 1e-9))
+    if n_bad < least:
+        return spark.createDataFrame([], RULE_SCHEMA)
     distinct = own.select("url", "tokens").dropDuplicates(["url"])
     same = alike(distinct)
-    baskets = own.join(fold(distinct, same), "url").select(
-        F.concat("items", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array())).alias("items")
-    )
-    n = known.count()
-    if not n:
-        return spark.createDataFrame([], RULE_SCHEMA)
-    # Half a url less: the product with n, rounded up, is min_count whatever the rounding.
-    support = min(1.0, max(min_support, (min_count - 0.5) / n))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.filter(F.element_at("consequent", 1) == BAD).select(
-        F.array_sort("antecedent").alias("antecedent"), "confidence", "support"
+    baskets = written(own.join(fold(distinct, same), "url").select("items", "bad"), "url-baskets")
+    # Half a url less: the product with n_bad, rounded up, is least whatever the rounding.
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad).fit(baskets.filter("bad"))
+    sets = written(model.freqItemsets, "url-sets").select(
+        F.array_sort("items").alias("antecedent"), F.col("freq").alias("n_bad")
     )
     if max_tokens is not None:
-        rules = rules.filter(F.size("antecedent") <= max_tokens)
-    rules = _not_repeating(rules)
-    rarity = model.freqItemsets.filter(F.size("items") == 1).select(
-        F.element_at("items", 1).alias("token"), "freq"
-    )
-    posted = (
-        rules.withColumn("token", F.explode("antecedent"))
+        sets = sets.filter(F.size("antecedent") <= max_tokens)
+    rules = _confident(_posted(sets, baskets), baskets).filter(F.col("confidence") >= min_confidence)
+    rules = rules.withColumn("support", F.col("n_bad") / n).drop("n_bad")
+    return _unfolded(_not_implied(_not_repeating(rules)), same)
+
+
+def _posted(sets: DataFrame, baskets: DataFrame) -> DataFrame:
+    """The sets with ``posted``, the one of their items that fewest urls have."""
+    rarity = baskets.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    return (
+        sets.withColumn("token", F.explode("antecedent"))
         .join(rarity, "token")
-        .groupBy("antecedent", "confidence", "support")
-        .agg(F.min_by("token", F.struct("freq", "token")).alias("posted"))
+        .groupBy("antecedent", "n_bad")
+        .agg(F.min_by("token", F.struct("n", "token")).alias("posted"))
+    )
+
+
+def _confident(posted: DataFrame, baskets: DataFrame) -> DataFrame:
+    """Adds ``confidence``: the bad urls with a set as a share of all with it.
+
+    Urls of equal items are looked up once.
+    """
+    others = baskets.filter(~F.col("bad")).groupBy("items").agg(F.count("*").alias("n"))
+    held = (
+        others.select("items", "n", F.explode("items").alias("posted"))
+        .join(posted, "posted")
+        .filter(F.size(F.array_except("antecedent", "items")) == 0)
+        .groupBy("antecedent")
+        .agg(F.sum("n").alias("n_other"))
+    )
+    every = F.col("n_bad") + F.coalesce("n_other", F.lit(0))
+    return posted.join(held, "antecedent", "left").select(
+        "antecedent", "n_bad", "posted", (F.col("n_bad") / every).alias("confidence")
     )
-    return _unfolded(_not_implied(posted), same)
 
 
 def alike(urls: DataFrame) -> DataFrame:
@@ -173,7 +195,9 @@ def _not_repeating(rules: DataFrame) -> DataFrame:
         .select(F.col("long").alias("antecedent"))
         .distinct()
     )
-    return rules.join(repeating, "antecedent", "left_anti").select("antecedent", "confidence", "support")
+    return rules.join(repeating, "antecedent", "left_anti").select(
+        "antecedent", "confidence", "support", "posted"
+    )
 
 
 def _not_implied(rules: DataFrame) -> DataFrame:
