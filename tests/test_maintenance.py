@@ -246,3 +246,26 @@ def test_replay(spark, root):
     tables.upsert(wrong, vwap_root)
     replay.replay_into(spark, root, vwap_root, DAY, DAY)
     assert bag(tables.read_table(spark, vwap_root).select(*expected.columns)) == bag(expected)
+
+
+def test_statistics_come_from_the_footers(spark, ticks_of):
+    root = new_dir(spark, "t")
+    for day in ("2024-06-03", "2024-06-04"):
+        found = ticks_of([("A", 1.5, 1, "10:00:00"), ("B", None, 9, "10:00:01"), ("B", -2.0, None, "10:00:02")], day)
+        tables.write_batch(found.withColumn("date_partition", F.to_date("event_time")), root)
+    told = maintenance.statistics(spark, root, ["price", "volume"])
+    plan = told._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*)" in plan and "MIN(price)" in plan
+    assert [tuple(r)[1:] for r in told.collect()] == [(3, 2, -2.0, 1.5, 2, 1, 9)] * 2
+    scanned = maintenance.statistics(spark, root, ["price", "volume"], scan=True)
+    assert sorted(map(tuple, scanned.collect())) == sorted(map(tuple, told.collect()))
+
+
+def test_statistics_of_other_types_need_a_scan(spark, ticks_of):
+    root = new_dir(spark, "t")
+    found = ticks_of([("A", None, 1, "10:00:00"), ("B", None, 2, "10:00:01")])
+    tables.write_batch(found.withColumn("date_partition", F.to_date("event_time")), root)
+    with pytest.raises(ValueError, match="ticker"):
+        maintenance.statistics(spark, root, ["ticker"])
+    told = maintenance.statistics(spark, root, ["ticker", "price"], scan=True).first()
+    assert tuple(told)[1:] == (2, 2, "A", "B", 0, None, None)

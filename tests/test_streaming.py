@@ -438,3 +438,25 @@ def test_alerts_from_stored_windows(spark, feed):
     expected = analytics.vwap_deviation(ticks, windows.vwap(ticks, "5 minutes"), "5 minutes")
     assert bag(tables.read_table(spark, root).select(*expected.columns)) == bag(expected) and expected.count() > 0
     assert not any(r["state_rows"] for r in jobs.progress_rows(query).collect())
+
+
+def test_deliveries_as_a_table(spark, feed):
+    fill(feed)
+    log, root = jobs.Deliveries(), new_dir(spark, "d")
+    log.flush(spark, root)
+    spark.streams.addListener(log)
+    try:
+        run(parsed(spark, feed), new_dir(spark, "s"), new_dir(spark, "c"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
+    kept = list(log.batches)
+    assert log.ended and log.ended[0][1] is None
+    log.flush(spark, root)
+    assert log.batches == []
+    log.batches = list(kept)  # a batch that ran again
+    log.flush(spark, root)
+    stored = tables.read_table(spark, root)
+    assert stored.count() == len({r[:4:2] for r in kept})
+    assert stored.agg(F.sum("input_rows")).first()[0] == feed.batch(spark).count()
+    assert stored.filter("end_offset IS NULL").isEmpty()

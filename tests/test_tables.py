@@ -220,3 +220,57 @@ def test_sql_over_views(spark, dated):
            ON r.ticker = v.ticker AND r.event_time BETWEEN v.window_start AND v.window_end"""
     )
     assert rows.count() == 4  # the tick at 10:01:00 lies in two closed intervals
+
+
+def test_writes_read_their_own_dates_only(spark, dated):
+    """A broken file of another date is in nobody's way."""
+    root, keyed = new_dir(spark, "t"), new_dir(spark, "v")
+    tables.write_batch(dated(), root, "a")
+    tables.upsert(windows.with_date(windows.vwap(dated())), keyed)
+    for folder in (root, keyed):
+        broken = spark.createDataFrame([("no table",)], "value string").coalesce(1)
+        broken.write.text(f"{folder}/date_partition=2024-06-09")
+    tables.write_batch(dated(), root, "a")
+    tables.upsert(windows.with_date(windows.vwap(dated())), keyed)
+    day = dt.date(2024, 6, 3)
+    assert tables.stored_dates(spark, root, [day]).count() == 3
+    assert tables.stored_dates(spark, keyed, [day]).count() == 3
+    assert tables.stored_dates(spark, root, [day]).schema["date_partition"].dataType.simpleString() == "date"
+
+
+def test_dates_that_a_table_lacks(spark, dated):
+    root = new_dir(spark, "t")
+    assert tables.table_days(spark, root) == []
+    assert tables.newest(spark, root, "event_time") is None
+    assert tables.stored_dates(spark, root, [dt.date(2024, 6, 3), None]) is None
+    undated = dated().withColumn("date_partition", F.lit(None).cast("date"))
+    tables.write_batch(undated, root, "a")
+    tables.write_batch(undated, root, "a")
+    assert tables.table_days(spark, root) == []
+    none = tables.stored_dates(spark, root, [None])
+    assert none.count() == 3 and none.filter("date_partition IS NULL").count() == 3
+    assert tables.stored_dates(spark, root, []) is None
+
+
+def test_newest_value_of_a_table(spark, dated):
+    root = new_dir(spark, "t")
+    tables.write_batch(dated(), root, "a")
+    tables.write_batch(dated(day="2024-06-05"), root, "b")
+    assert tables.table_days(spark, root) == [dt.date(2024, 6, 3), dt.date(2024, 6, 5)]
+    assert tables.newest(spark, root, "event_time").day == 5
+    assert tables.newest(spark, root, "event_time", apart_from="b").day == 3
+
+
+def test_messages_of_a_ticker_in_order(spark, ticks_of, tmp_path):
+    rows = [(t, float(i), 1, f"10:{i:02d}:00") for i in range(40) for t in "ABC"]
+    ticks = ticks_of(rows).repartition(8, "price")
+    messages.publish(ticks, "parquet", ordered=True, path=str(tmp_path / "bus"))
+    sent = spark.read.parquet(str(tmp_path / "bus")).select(
+        F.decode("key", "UTF-8").alias("key"), F.decode("value", "UTF-8").alias("value"),
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"),
+    )
+    found = sent.orderBy("file", "place").collect()
+    for ticker in "ABC":
+        own = [r for r in found if r["key"] == ticker]
+        assert len({r["file"] for r in own}) == 1
+        assert [json.loads(r["value"])["price"] for r in own] == [float(i) for i in range(40)]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickengine.functions import times
 from tickengine.functions.clustering import with_z_value
-from tickengine.sources.tables import overwrite_dates, read_table
+from tickengine.sources.tables import overwrite_dates, read_table, stored_dates
 from tickengine.sources.ticks import list_files
 
 logger = logging.getLogger(__name__)
@@ -42,14 +42,27 @@ def _closed(spark: SparkSession, before: dt.date | None):
     return F.current_date() if before is None else F.lit(str(before)).cast("date")
 
 
-def _sizes(spark: SparkSession, root: str, target_bytes: int) -> DataFrame:
+def _sizes(spark: SparkSession, root: str, target_bytes: int, date=None) -> DataFrame:
     """Per date its files, bytes and the files it would need."""
     needed = F.greatest(F.lit(1), F.ceil(F.sum("length") / target_bytes))
-    return table_files(spark, root).groupBy("date_partition").agg(
+    return table_files(spark, root, date).groupBy("date_partition").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), needed.alias("needed")
     )
 
 
+def _chosen(
+    spark: SparkSession, root: str, date, before: dt.date | None, min_files: int, target_bytes: int
+) -> dict[dt.date, int]:
+    """The dates to rewrite, oldest first, with the files that each needs; a given date always."""
+    found = _sizes(spark, root, target_bytes, date)
+    if date is None:
+        found = found.filter(F.col("date_partition") < _closed(spark, before))
+        if min_files > 1:
+            found = found.filter(F.col("files") >= min_files * F.col("needed"))
+    rows = found.select("date_partition", "needed").orderBy("date_partition").collect()
+    return {r["date_partition"]: r["needed"] for r in rows}
+
+
 def dates_to_rewrite(
     spark: SparkSession,
     root: str,
@@ -59,23 +72,12 @@ def dates_to_rewrite(
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> list[dt.date]:
     """Closed dates with at least ``min_files`` times the files they need, oldest first; with 1 all."""
-    found = _sizes(spark, root, target_bytes).filter(F.col("date_partition") < _closed(spark, before))
-    if min_files > 1:
-        found = found.filter(F.col("files") >= min_files * F.col("needed"))
-    return [r[0] for r in found.select("date_partition").orderBy("date_partition").collect()]
+    return list(_chosen(spark, root, None, before, min_files, target_bytes))
 
 
 def _rows_of(spark: SparkSession, root: str, dates: list[dt.date]) -> DataFrame:
     """All rows of some dates, batches included."""
-    return read_table(spark, root, with_batch=True).filter(F.col("date_partition").isin(dates))
-
-
-def _dates(
-    spark: SparkSession, root: str, date, before: dt.date | None, min_files: int, target_bytes: int
-) -> list[dt.date]:
-    if date is None:
-        return dates_to_rewrite(spark, root, before, min_files=min_files, target_bytes=target_bytes)
-    return [dt.date.fromisoformat(str(date))]
+    return stored_dates(spark, root, dates)
 
 
 def compact(
@@ -91,7 +93,7 @@ def compact(
 
     Rows of a date are gathered into files of about ``target_bytes`` as shuffled.
     """
-    dates = _dates(spark, root, date, before, min_files, target_bytes)
+    dates = list(_chosen(spark, root, date, before, min_files, target_bytes))
     if dates:
         # A session of its own, because the size of what is gathered is a setting.
         session = spark.newSession()
@@ -153,12 +155,11 @@ def zorder(
     also one that lies between least and greatest. Dates of one file's size are gathered and sorted; the rows of larger ones are dealt into as many
     ranges of the date and the clustering columns as they need files.
     """
-    dates = _dates(spark, root, date, before, min_files, target_bytes)
-    if dates:
+    needed = _chosen(spark, root, date, before, min_files, target_bytes)
+    if needed:
         by = columns or ["ticker"]
-        sizes = _sizes(spark, root, target_bytes).filter(F.col("date_partition").isin(dates)).collect()
-        small = [r["date_partition"] for r in sizes if r["needed"] == 1]
-        large = {r["date_partition"]: r["needed"] for r in sizes if r["needed"] > 1}
+        small = [day for day, n in needed.items() if n == 1]
+        large = {day: n for day, n in needed.items() if n > 1}
         parts = []
         if small:
             rows = _rows_of(spark, root, small)
@@ -171,7 +172,38 @@ def zorder(
         texts = [c for c in by if made.schema[c].dataType == T.StringType()]
         skipping = {f"parquet.bloom.filter.enabled#{c}": "true" for c in texts}
         overwrite_dates(made, root, rebalance=False, **skipping, **{"parquet.block.size": str(row_group_bytes)})
-    return dates
+    return list(needed)
+
+
+# Types whose least and greatest value Spark takes from footers; texts may be cut off there.
+_IN_FOOTERS = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType)
+
+
+def statistics(spark: SparkSession, root: str, columns: list[str], *, scan: bool = False) -> DataFrame:
+    """Per date: ``rows``, and of each column ``<name>_count``, ``_min`` and ``_max``, from the footers alone.
+
+    Spark's Parquet reader takes counts and bounds from the row groups' statistics where they are
+    all that is asked for, so a date costs its footers, however many rows it has. That holds for
+    numbers, dates and booleans; other types are an error. A row group in which a column is NULL
+    throughout, or holds a NaN, or a file without the column, has no bounds, and Spark ends with
+    an error that says so: ``scan`` reads the columns instead, with the same results, of any type.
+    A session of its own, as the reader and the push-down are settings.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    if not scan:
+        session.conf.set("spark.sql.sources.useV1SourceList", "")
+        session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    rows = session.read.option("mergeSchema", "true").parquet(root)
+    without = [c for c in columns if not isinstance(rows.schema[c].dataType, _IN_FOOTERS)]
+    if without and not scan:
+        raise ValueError(f"no bounds in the footers for {', '.join(without)}")
+    told = [
+        made
+        for c in columns
+        for made in (F.count(c).alias(f"{c}_count"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))
+    ]
+    return rows.groupBy("date_partition").agg(F.count(F.lit(1)).alias("rows"), *told)
 
 
 def loads(spark: SparkSession, root: str) -> DataFrame:

@@ -12,7 +12,7 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tickengine.functions import times
 from tickengine.operators import analytics, parse, quality, windows
@@ -353,6 +353,25 @@ def parse_roundtrip(spark, sf):
     return ntz(parsed.select("ticker", "price", "volume", "event_time", "date_partition"))
 
 
+@query("SELECT event_type AS ticker, COUNT(*) AS messages, CAST(0 AS BIGINT) AS before_an_earlier FROM events GROUP BY ALL")
+def publish_in_order(spark, sf):
+    """Messages of each ticker as a sink got them, from ticks in any order: all in one file, by time."""
+    folder = new_dir(spark, "bus")
+    messages.publish(ticks(spark, sf).repartition(16, "event_id"), "parquet", ordered=True, path=folder)
+    sent = spark.read.parquet(folder).select(
+        F.decode("key", "UTF-8").alias("ticker"),
+        F.get_json_object(F.decode("value", "UTF-8"), "$.timestamp").alias("time"),
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"),
+    )
+    # A ticker in several files would be sent by several tasks at once.
+    place = F.struct("file", "place")
+    before = F.lag(F.struct("file", "time")).over(Window.partitionBy("ticker").orderBy(place))
+    wrong = (before["file"] != F.col("file")) | (before["time"] > F.col("time"))
+    return sent.withColumn("wrong", wrong).groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if("wrong").alias("before_an_earlier")
+    )
+
+
 def mixed_messages(spark, sf) -> DataFrame:
     """Ticks as messages, except that ``error`` events send their props as they are."""
     events = table(spark, sf, "events")
@@ -588,6 +607,18 @@ def zorder_files(spark, sf):
     )
 
 
+@query(
+    f"""SELECT CAST(event_time AS DATE) AS date_partition, COUNT(*) AS "rows",
+               COUNT(price) AS price_count, MIN(price) AS price_min, MAX(price) AS price_max,
+               COUNT(volume) AS volume_count, MIN(volume) AS volume_min, MAX(volume) AS volume_max
+        FROM {TICKS} GROUP BY ALL"""
+)
+def file_statistics(spark, sf):
+    """Counts and bounds of each date, from the footers of its files."""
+    root = clustered_ticks(spark, sf, ["ticker"])
+    return maintenance.statistics(spark, root, ["price", "volume"])
+
+
 @query(
     f"""SELECT CAST(CASE WHEN ts < TIMESTAMP '{MIDDLE}' THEN 0 ELSE 1 END AS VARCHAR) AS batch_id,
                COUNT(*) AS "rows", MIN(CAST(ts AS DATE)) AS first_date, MAX(CAST(ts AS DATE)) AS last_date
@@ -962,6 +993,27 @@ def stream_late_repair(spark, sf):
     return ntz(tables.read_table(spark, made).drop("date_partition"))
 
 
+@query("SELECT 'ticks' AS name, CAST(10 AS BIGINT) AS batches, COUNT(*) AS input_rows FROM events")
+def stream_deliveries(spark, sf):
+    """What was delivered, batch by batch, as the running query tells."""
+    log = jobs.Deliveries()
+    spark.streams.addListener(log)
+    try:
+        dated = ten_files(spark, sf).withColumn("date_partition", F.to_date("event_time"))
+        out = new_dir(spark, "stream"), new_dir(spark, "checkpoint")
+        drained(sinks.append_stream(dated, *out, every=None, name="ticks"))
+        for _ in range(100):  # reports come after the query has ended
+            if log.ended:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    own = log.rows(spark).filter("name = 'ticks' AND input_rows > 0")
+    return own.groupBy("name").agg(
+        F.count_distinct("batch_id").alias("batches"), F.sum("input_rows").alias("input_rows")
+    )
+
+
 OUTAGE = "INTERVAL '2 hours'"
 
 

@@ -9,6 +9,7 @@ the date's folder when all tasks are done.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -63,9 +64,8 @@ def write_batch(
     name = uuid.uuid4().hex if batch_id is None else str(batch_id)
     rows = df.withColumn("batch_id", F.lit(name))
     if batch_id is not None and written_before:
-        stored = stored_rows(df.sparkSession, root, fmt=fmt)
-        if stored is not None and "batch_id" in stored.columns:
-            same = stored.filter(dates_of(rows))
+        same = stored_dates(df.sparkSession, root, days_of(rows), fmt=fmt)
+        if same is not None and "batch_id" in same.columns:
             if not same.filter(F.col("batch_id") == name).isEmpty():
                 others = same.filter(~F.col("batch_id").eqNullSafe(name))
                 overwrite_dates(others.unionByName(rows, allowMissingColumns=True), root, rebalance=rebalance, fmt=fmt)
@@ -76,11 +76,15 @@ def write_batch(
     return name
 
 
-def dates_of(df: DataFrame) -> F.Column:
-    """A condition on ``date_partition``: the dates of ``df``, as many as there are days in it."""
-    dates = [r[0] for r in df.select("date_partition").distinct().collect()]
-    return F.col("date_partition").isin([d for d in dates if d is not None]) | (
-        F.col("date_partition").isNull() if None in dates else F.lit(False)
+def days_of(df: DataFrame) -> list[dt.date | None]:
+    """The dates that ``df`` has rows of, as many as there are days in it."""
+    return [r[0] for r in df.select("date_partition").distinct().collect()]
+
+
+def on_days(days: list[dt.date | None]) -> F.Column:
+    """A condition on ``date_partition``."""
+    return F.col("date_partition").isin([d for d in days if d is not None]) | (
+        F.col("date_partition").isNull() if None in days else F.lit(False)
     )
 
 
@@ -94,14 +98,14 @@ def upsert(
     """Write rows by key: new keys are added, known ones replaced.
 
     The dates that ``df`` has rows of are read, united with it and written back, so a batch costs
-    the size of these dates. All versions of a key lie in one date. Within ``df`` keys must be
+    the size of these dates, whatever the table holds beside them. All versions of a key lie in one date. Within ``df`` keys must be
     unique. Writing the same rows again changes nothing.
     """
-    stored = stored_rows(df.sparkSession, root, fmt=fmt)
+    stored = stored_dates(df.sparkSession, root, days_of(df), fmt=fmt)
     if stored is None:
         overwrite_dates(df, root, fmt=fmt)
         return
-    versions = stored.filter(dates_of(df)).withColumn("_version", F.lit(0)).unionByName(
+    versions = stored.withColumn("_version", F.lit(0)).unionByName(
         df.withColumn("_version", F.lit(1)), allowMissingColumns=True
     )
     merged = latest_rows(versions, ["date_partition", *keys], "_version")
@@ -159,6 +163,81 @@ def stored_rows(spark: SparkSession, root: str, *, fmt: str = "parquet", merge_s
         raise
 
 
+# The folder of rows without a date.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folder(root: str, day: dt.date | None) -> str:
+    return f"{root}/date_partition={NO_DATE if day is None else day}"
+
+
+def table_days(spark: SparkSession, root: str) -> list[dt.date]:
+    """The dates a table has folders of, oldest first: one listing of its root, no file is looked at."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = (status.getPath().getName() for status in files.listStatus(path))
+    days = (name.removeprefix("date_partition=") for name in names if name.startswith("date_partition="))
+    return sorted(dt.date.fromisoformat(day) for day in days if day != NO_DATE)
+
+
+def stored_dates(
+    spark: SparkSession,
+    root: str,
+    days: list[dt.date | None],
+    *,
+    fmt: str = "parquet",
+    merge_schema: bool = True,
+) -> DataFrame | None:
+    """The rows of some dates, or None where the table has none of them.
+
+    Only the folders of these dates are listed, and only their footers read for the schema, so
+    the cost of a micro-batch does not follow the age of its table. Formats that keep a
+    log of their files are read by it.
+    """
+    if fmt != "parquet":
+        stored = stored_rows(spark, root, fmt=fmt, merge_schema=merge_schema)
+        return None if stored is None else stored.filter(on_days(days))
+    conf = spark._jsc.hadoopConfiguration()
+    folders = [spark._jvm.org.apache.hadoop.fs.Path(_folder(root, day)) for day in days]
+    found = [_folder(root, day) for day, path in zip(days, folders) if path.getFileSystem(conf).exists(path)]
+    if not found:
+        return None
+    reader = spark.read.option("basePath", root).option("mergeSchema", str(merge_schema).lower())
+    try:
+        rows = reader.parquet(*found)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # folders without a file
+            return None
+        raise
+    return rows.withColumn("date_partition", F.col("date_partition").cast("date"))
+
+
+def newest(
+    spark: SparkSession, root: str, column: str, *, apart_from: str | None = None, fmt: str = "parquet"
+) -> dt.datetime | None:
+    """The greatest ``column``, one that grows with the date, read from the newest date that has any.
+
+    ``apart_from`` names a batch that does not count.
+    """
+
+    def most(rows: DataFrame):
+        if apart_from is not None:
+            rows = rows.filter(~F.col("batch_id").eqNullSafe(apart_from))
+        return rows.agg(F.max(column)).first()[0]
+
+    if fmt != "parquet":
+        rows = stored_rows(spark, root, fmt=fmt)
+        return None if rows is None else most(rows)
+    for day in reversed(table_days(spark, root)):
+        rows = stored_dates(spark, root, [day])
+        found = None if rows is None else most(rows)
+        if found is not None:
+            return found
+    return None
+
+
 def read_table(
     spark: SparkSession,
     root: str,

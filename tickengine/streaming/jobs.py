@@ -15,7 +15,15 @@ from tickengine.operators.parse import parse_events, raw_columns, split_valid
 from tickengine.operators.analytics import vwap_deviation
 from tickengine.operators.quality import tick_rules
 from tickengine.operators.windows import chain_rows, chained_vwap, vwap, with_date
-from tickengine.sources.tables import dates_of, read_table, stored_rows, upsert as upsert_rows
+from tickengine.sources.tables import (
+    days_of,
+    latest_rows,
+    newest as newest_stored,
+    read_table,
+    stored_dates,
+    stored_rows,
+    upsert as upsert_rows,
+)
 from tickengine.streaming.sinks import BatchWriter, append_stream, dump_stream, each_batch, upsert_stream
 from tickengine.streaming.source import read_backlog
 
@@ -217,9 +225,10 @@ def stored_alerts(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("date_partition", F.to_date("event_time")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            windows = read_table(batch.sparkSession, vwap_root).filter(dates_of(batch))
-            alerts = vwap_deviation(batch.drop("date_partition"), windows, duration, threshold=threshold)
-            writer.append(alerts.withColumn("date_partition", F.to_date("event_time")), root, batch_id)
+            windows = stored_dates(batch.sparkSession, vwap_root, days_of(batch))
+            if windows is not None:
+                alerts = vwap_deviation(batch.drop("date_partition"), windows, duration, threshold=threshold)
+                writer.append(alerts.withColumn("date_partition", F.to_date("event_time")), root, batch_id)
             writer.done()
         finally:
             batch.unpersist()
@@ -251,10 +260,7 @@ def append_with_late(
         batch = batch.withColumn("date_partition", F.to_date("event_time")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if not newest:
-                stored = stored_rows(spark, root)
-                own = writer.name_of(batch, batch_id)
-                known = None if stored is None else stored.filter(F.col("batch_id") != own).agg(F.max("event_time")).first()[0]
-                newest.append(known)
+                newest.append(newest_stored(spark, root, "event_time", apart_from=writer.name_of(batch, batch_id)))
             late = batch.filter(F.col("event_time") < F.lit(newest[0]).cast("timestamp") - delay)
             writer.append(batch, root, batch_id)
             writer.append(late, late_root, batch_id)
@@ -285,19 +291,20 @@ def repair_windows(
     from the raw table, and of these only the windows touched are aggregated. Returns the repaired
     windows, None if there are no late ticks or no windows. Window lengths have to divide a day.
     """
-    late, stored = stored_rows(spark, late_root), stored_rows(spark, vwap_root)
-    if late is None or stored is None:
+    closed = newest_stored(spark, vwap_root, "window_end")
+    if closed is None or stored_rows(spark, late_root) is None:
         return None
     late = read_table(spark, late_root, first=first, last=last)
-    closed = stored.agg(F.max("window_end")).first()[0]
     span = F.window("event_time", duration)
     touched = (
         late.select(span.alias("span"), "ticker", "date_partition")
         .filter(F.col("span.end") <= F.lit(closed).cast("timestamp"))
         .select("date_partition", F.col("span.start").alias("window_start"), "ticker").distinct()
     )
-    raw = read_table(spark, raw_root).filter(dates_of(touched))
-    rows = raw.withColumn("window_start", times.bucket_start("event_time", duration)).join(
+    raw = stored_dates(spark, raw_root, days_of(touched))
+    if raw is None:  # no window touched is closed
+        return None
+    rows = raw.drop("batch_id").withColumn("window_start", times.bucket_start("event_time", duration)).join(
         touched.drop("date_partition"), ["window_start", "ticker"], "left_semi"
     )
     made = with_date(vwap(rows.drop("window_start"), duration, **options))
@@ -334,7 +341,7 @@ def outage_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            known = stored_rows(batch.sparkSession, root)
+            known = stored_rows(batch.sparkSession, root, merge_schema=False)
             rows = batch
             if known is not None:
                 open_ = known.filter("gap_end IS NULL").join(
@@ -507,3 +514,49 @@ class DeliveryLog(StreamingQueryListener):
             logger.error("query %s failed: %s", event.id, event.exception)
         else:
             logger.info("query %s ended", event.id)
+
+
+class Deliveries(DeliveryLog):
+    """The same log, kept as rows as well: per batch and source its rows and offsets, and how queries ended.
+
+    Rows are kept on the driver until ``flush`` writes them, one per batch and source.
+    """
+
+    def __init__(self) -> None:
+        self.batches: list[tuple] = []
+        self.ended: list[tuple[str, str | None]] = []
+
+    def onQueryProgress(self, event) -> None:
+        super().onQueryProgress(event)
+        report = event.progress
+        for number, source in enumerate(report.sources):
+            self.batches.append(
+                (str(report.id), report.name, report.batchId, number, source.description,
+                 source.numInputRows, source.startOffset, source.endOffset, report.timestamp)
+            )
+
+    def onQueryTerminated(self, event) -> None:
+        super().onQueryTerminated(event)
+        self.ended.append((str(event.id), event.exception))
+
+    def rows(self, spark: SparkSession, taken: int | None = None) -> DataFrame:
+        """Per query, batch and source: rows delivered, the offsets they lie between, and when."""
+        made = spark.createDataFrame(
+            self.batches[:taken],
+            "query string, name string, batch_id long, source int, description string, "
+            "input_rows long, start_offset string, end_offset string, at string",
+        )
+        return made.withColumn("at", F.col("at").cast("timestamp"))
+
+    def flush(self, spark: SparkSession, root: str) -> None:
+        """Write the rows kept so far to a table, by query, batch and source, and forget them.
+
+        A batch that ran again counts as its last run told.
+        """
+        taken = len(self.batches)
+        if not taken:
+            return
+        dated = self.rows(spark, taken).withColumn("date_partition", F.to_date("at"))
+        keys = ["query", "batch_id", "source"]
+        upsert_rows(latest_rows(dated.withColumn("_at", F.col("at")), ["date_partition", *keys], "_at"), root, tuple(keys))
+        del self.batches[:taken]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -34,6 +36,16 @@ class BatchWriter:
         self.started = True
 
 
+@contextlib.contextmanager
+def kept(batch: DataFrame):
+    """A micro-batch that is used several times: its source is read and its state advanced once."""
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 def each_batch(
     df: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -70,7 +82,8 @@ def append_stream(
     writer = BatchWriter(rebalance)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        writer.append(batch, root, batch_id)
+        with contextlib.nullcontext(batch) if writer.started else kept(batch) as rows:
+            writer.append(rows, root, batch_id)
         writer.done()
 
     return each_batch(df, write, checkpoint, every=every, name=name)
@@ -89,7 +102,12 @@ def upsert_stream(
     Update mode makes windows visible before they close. A batch costs the size of the
     dates it touches, which for windows are few rows; a replay changes nothing.
     """
-    return each_batch(df, lambda batch, _: upsert(batch, root), checkpoint, mode="update", every=every, name=name)
+
+    def write(batch: DataFrame, _: int) -> None:
+        with kept(batch) as rows:
+            upsert(rows, root)
+
+    return each_batch(df, write, checkpoint, mode="update", every=every, name=name)
 
 
 def dump_stream(
