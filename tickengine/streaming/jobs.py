@@ -289,7 +289,7 @@ def repair_windows(
     Only windows that are closed, i.e. end no later than the last one the table holds: open ones
     are still the stream's. ``first`` and ``last`` choose dates of late ticks. Only the dates touched are read
     from the raw table, and of these only the windows touched are aggregated. Returns the repaired
-    windows, None if there are no late ticks or no windows. Window lengths have to divide a day.
+    windows, None if there are none to repair. Window lengths have to divide a day.
     """
     closed = newest_stored(spark, vwap_root, "window_end")
     if closed is None or stored_rows(spark, late_root) is None:
