@@ -359,9 +359,12 @@ def outage_stream(
     return each_batch(sessions, write, checkpoint, every=every, name=name)
 
 
+OUTAGES = "ticker string, gap_start timestamp, gap_end timestamp, date_partition date"
+
+
 def outages(spark: SparkSession, root: str, max_gap: str = "30 minutes") -> DataFrame:
-    """Outages that ``outage_stream`` found; those that still go on have no end."""
-    rows = read_table(spark, root)
+    """Outages that ``outage_stream`` found, maybe none; those that still go on have no end."""
+    rows = read_table(spark, root, schema=OUTAGES)
     longer = F.col("gap_end").isNull() | (F.col("gap_end") > F.col("gap_start") + times.interval(max_gap))
     return rows.filter(longer).select(
         "ticker", "gap_start", "gap_end", F.timestamp_diff("SECOND", F.col("gap_start"), F.col("gap_end")).alias("gap_seconds")
