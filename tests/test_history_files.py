@@ -49,8 +49,39 @@ def test_log_of_operations(spark, root):
     assert {r["root"] for r in told.collect()} == {root}
 
 
+def test_compaction_beside_leaves_files_to_vacuum(spark, root, name):
+    before = bag(spark.table(name))
+    files = maintenance.listed_files(spark, root, name)
+    assert [tuple(r) for r in files.select("is_live", "rewritten").distinct().collect()] == [(True, False)]
+    old = bag(files.filter(F.col("date_partition") == DAYS[0]).select("path"))
+    started = spark.table(name)
+    assert maintenance.compact_beside(spark, root, name, DAYS[0]) == [dt.date.fromisoformat(DAYS[0])]
+    assert bag(spark.table(name)) == before == bag(started)
+    files = maintenance.listed_files(spark, root, name)
+    assert files.filter("is_live AND rewritten").count() == 1
+    assert bag(files.filter("NOT is_live").select("path")) == old
+    assert maintenance.vacuum(spark, root, name) == []  # not seven days yet
+    assert maintenance.vacuum(spark, root, name, as_of="2100-01-01 00:00:00") == [p for (p,) in old]
+    again = spark.table(name).filter(F.col("date_partition") == DAYS[0])
+    tables.insert_into(again, name)  # goes to the new folder
+    assert spark.table(name).count() == 360
+    maintenance.vacuum(spark, root, name, as_of="2100-01-01 00:00:00", dry_run=False)
+    assert maintenance.listed_files(spark, root, name).filter("NOT is_live").isEmpty()
+    assert spark.table(name).count() == 360
+
+
+def test_closed_dates_are_compacted_beside_once(spark, root, name):
+    both = [dt.date.fromisoformat(d) for d in DAYS]
+    assert maintenance.compact_beside(spark, root, name, before=dt.date(2100, 1, 1)) == both
+    assert maintenance.compact_beside(spark, root, name, before=dt.date(2100, 1, 1)) == []
+    replaced = maintenance.replaced_files(spark, root, name, as_of="2100-01-01 00:00:00")
+    batches = replaced.join(maintenance.file_batches(spark, root), "file").select("date_partition", "batch_id").distinct()
+    assert bag(batches) == [(d, n) for d in both for n in "01"]
+
+
 def test_every_date_is_told(spark):
     """All dates and operations, not the batches or the old dates alone."""
     sf = "/root/testdata/sf0.001"
     days = spark.read.parquet(f"{sf}/events.parquet").select(F.to_date("ts")).distinct().count()
     assert registry.QUERIES["table_history"](spark, sf).count() == 2 * days
+    assert registry.QUERIES["vacuum_candidates"](spark, sf).count() == days + 1
