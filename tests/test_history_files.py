@@ -85,3 +85,4 @@ def test_every_date_is_told(spark):
     days = spark.read.parquet(f"{sf}/events.parquet").select(F.to_date("ts")).distinct().count()
     assert registry.QUERIES["table_history"](spark, sf).count() == 2 * days
     assert registry.QUERIES["vacuum_candidates"](spark, sf).count() == days + 1
+    assert registry.QUERIES["file_listing"](spark, sf).count() == days + 1
