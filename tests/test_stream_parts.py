@@ -1,12 +1,16 @@
 """The stream of ten parts that queries make of the events."""
 
 import datetime as dt
+import time
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickengine.plans import registry
 from tickengine.session import new_dir
 from tickengine.sources.ticks import list_files
+from tickengine.streaming import jobs
 from tickengine.streaming.sinks import each_batch
 
 START = dt.datetime(2024, 1, 1)
@@ -51,3 +55,39 @@ def test_parts_of_few_rows_keep_batches_apart(spark, monkeypatch):
     few, plain = batches_of(spark, sf, monkeypatch, 1000)
     assert files == 50 and few == 10
     assert seen == plain and sorted(sum(seen, [])) == list(range(202))
+
+
+@pytest.mark.parametrize(
+    "name, log, wanted",
+    [
+        ("stream_deliveries", jobs.Deliveries, {("ticks", 10, 40)}),
+        ("stream_late_rows", jobs.LateRows, {("late", 1)}),
+        ("stream_quality", jobs.ObservedBatches, {40}),
+    ],
+)
+def test_reports_that_come_late_are_waited_for(spark, monkeypatch, name, log, wanted):
+    """The last reports take seconds, and a wait of a number of tries would be over at once."""
+    hear = log.onQueryProgress
+
+    def slow(self, event):
+        if event.progress.batchId >= 8:
+            time.sleep(2)
+        hear(self, event)
+
+    monkeypatch.setattr(log, "onQueryProgress", slow)
+    monkeypatch.setattr(registry, "time", SimpleNamespace(sleep=lambda _: None), raising=False)
+    found = registry.QUERIES[name](spark, events_of(spark, range(0, 400_000, 10_000)))
+    if name == "stream_quality":
+        found = found.select("rows_checked").distinct()
+        assert {r[0] for r in found.collect()} == wanted
+    else:
+        columns = ["name", *sorted(set(found.columns) - {"name"})]
+        assert {tuple(r) for r in found.select(columns).collect()} == wanted
+
+
+def test_a_missing_end_fails(spark):
+    ticks = registry.ten_files(spark, events_of(spark, range(40)))
+    made = each_batch(ticks, lambda *_: None, new_dir(spark, "checkpoint"), every=None)
+    made.awaitTermination()
+    with pytest.raises(TimeoutError):
+        jobs.Ends().wait(made, silence=0.1)

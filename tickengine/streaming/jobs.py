@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 
 from pyspark import StorageLevel
 from pyspark.errors import StreamingQueryException
@@ -470,6 +471,41 @@ def progress_rows(query: StreamingQuery) -> DataFrame:
     )
 
 
+class Ends(StreamingQueryListener):
+    """Tells when a query's reports have all come: its end is the last of them.
+
+    Listeners that were added before this one have heard them then.
+    """
+
+    def __init__(self) -> None:
+        self.runs: set[str] = set()
+        self.heard = threading.Condition()
+
+    def _hear(self, *runs: str) -> None:
+        with self.heard:
+            self.runs.update(runs)
+            self.heard.notify_all()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._hear()
+
+    def onQueryIdle(self, event) -> None:
+        self._hear()
+
+    def onQueryTerminated(self, event) -> None:
+        self._hear(str(event.runId))
+
+    def wait(self, query: StreamingQuery, silence: float = 300.0) -> None:
+        """Returns when the end of ``query`` was told; fails if nothing is told for ``silence`` seconds."""
+        with self.heard:
+            while str(query.runId) not in self.runs:
+                if not self.heard.wait(silence):
+                    raise TimeoutError(f"no report of query {query.runId} for {silence} s")
+
+
 class LateRows(StreamingQueryListener):
     """Counts rows dropped as late, per query name, for as long as the session lives.
 
